@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from .chat import OP2_SQL, op2_chat
 from .mixing import OP9_SQL, op9_mixing
+from .quality import OP8_SQL, op8_quality
 
 QUERIES = {
+    "op2_chat": op2_chat,
+    "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
 }
 
 ORACLES = {
+    "op2_chat": OP2_SQL,
+    "op8_quality": OP8_SQL,
     "op9_mixing": OP9_SQL,
 }
