@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from .chat import OP2_SQL, op2_chat
 from .mixing import OP9_SQL, op9_mixing
+from .packing import op5_packing
 from .quality import OP8_SQL, op8_quality
 
 QUERIES = {
+    "op5_packing": op5_packing,
     "op2_chat": op2_chat,
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
