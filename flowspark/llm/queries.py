@@ -6,8 +6,10 @@ from .chat import OP2_SQL, op2_chat
 from .mixing import OP9_SQL, op9_mixing
 from .packing import op5_packing
 from .quality import OP8_SQL, op8_quality
+from .toxicity import op7_toxicity
 
 QUERIES = {
+    "op7_toxicity": op7_toxicity,
     "op5_packing": op5_packing,
     "op2_chat": op2_chat,
     "op8_quality": op8_quality,
