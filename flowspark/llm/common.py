@@ -38,6 +38,7 @@ def stash(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
+    df.sparkSession._jvm.System.gc()  # what the write shuffled is not needed again; unreachable shuffles are then deleted
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

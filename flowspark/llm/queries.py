@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat import OP2_SQL, op2_chat
+from .linededup import op1_line_dedup
 from .minhash import op10_minhash
 from .mixing import OP9_SQL, op9_mixing
 from .packing import op5_packing
@@ -10,6 +11,7 @@ from .quality import OP8_SQL, op8_quality
 from .toxicity import op7_toxicity
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op10_minhash": op10_minhash,
     "op7_toxicity": op7_toxicity,
     "op5_packing": op5_packing,
