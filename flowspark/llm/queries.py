@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat import OP2_SQL, op2_chat
+from .hmm import op3_hmm
 from .linededup import op1_line_dedup
 from .minhash import op10_minhash
 from .mixing import OP9_SQL, op9_mixing
@@ -11,6 +12,7 @@ from .quality import OP8_SQL, op8_quality
 from .toxicity import op7_toxicity
 
 QUERIES = {
+    "op3_hmm": op3_hmm,
     "op1_line_dedup": op1_line_dedup,
     "op10_minhash": op10_minhash,
     "op7_toxicity": op7_toxicity,
