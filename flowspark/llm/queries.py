@@ -5,13 +5,17 @@ from __future__ import annotations
 from .chat import OP2_SQL, op2_chat
 from .hmm import op3_hmm
 from .linededup import op1_line_dedup
+from .media import op4_media
 from .minhash import op10_minhash
 from .mixing import OP9_SQL, op9_mixing
 from .packing import op5_packing
 from .quality import OP8_SQL, op8_quality
 from .toxicity import op7_toxicity
+from .warc import OP6_SQL, op6_warc
 
 QUERIES = {
+    "op4_media": op4_media,
+    "op6_warc": op6_warc,
     "op3_hmm": op3_hmm,
     "op1_line_dedup": op1_line_dedup,
     "op10_minhash": op10_minhash,
@@ -23,6 +27,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op6_warc": OP6_SQL,
     "op2_chat": OP2_SQL,
     "op8_quality": OP8_SQL,
     "op9_mixing": OP9_SQL,
