@@ -4,7 +4,8 @@ A document's word shingles are hashed to 64 bits. MinHash samples of the set are
 search and folded into an odd sketch: a bitmap in which each sample flips one bit. The XOR
 of two bitmaps has about as many ones as twice the samples that differ, which tells high similarities
 precisely; pairs whose count is beyond what the threshold allows (by far more than chance
-explains) are dropped, all others are confirmed on the full shingle sets.
+explains) are dropped. So are pairs for which a second bitmap, in which each shingle flips one bit, shows too large a
+symmetric difference (it never shows more than there is). All others are confirmed on the full shingle sets.
 
 Documents with equal sets form a class first, and only the class's least id goes on. Within a band's bucket each
 class is first compared with the bucket's least id alone. After joining what was confirmed, only the classes that are
@@ -32,7 +33,7 @@ from .components import components
 from .toxicity import groups
 
 WORDS, PERCENT, ROWS, BANDS = 3, 85, 5, 30
-BITS = 256
+BITS, SET_BITS = 256, 512
 CACHE_WORDS = 400_000
 SEED = 20_240_117
 
@@ -89,13 +90,14 @@ class Sketcher:
         return least
 
     def __call__(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The odd sketch as signed 64-bit numbers, and the bands' keys."""
+        """The odd sketch and the set's parities as signed 64-bit numbers, and the bands' keys."""
         marked = mixed(self.samples(shingles) ^ self.marks)
         odd = (np.bincount((marked >> np.uint64(40)).astype(np.int64) % self.bits, minlength=self.bits) & 1).astype(np.uint8)
         keys = np.zeros(self.bands, dtype=np.uint64)
         for part in marked.reshape(self.bands, self.rows).T:
             keys = mixed(keys * np.uint64(0x9E3779B97F4A7C15) + part)
-        return np.packbits(odd).view(np.int64), keys.view(np.int64)
+        whole = (np.bincount((shingles >> np.uint64(20)).astype(np.int64) % SET_BITS, minlength=SET_BITS) & 1).astype(np.uint8)
+        return np.packbits(np.concatenate([odd, whole])).view(np.int64), keys.view(np.int64)
 
 
 def odd_limit(samples: int, percent: int, bits: int = BITS) -> int:
@@ -143,18 +145,28 @@ def full_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str, words:
     return chosen.mapInArrow(run, "doc_id bigint, shingles binary")
 
 
-def differing(a: Column, b: Column, words: int = BITS // 64) -> Column:
-    """Ones in the XOR of two odd sketches."""
+def differing(a: Column, b: Column, first: int, words: int) -> Column:
+    """Ones in the XOR of some words of two bitmaps."""
     out = F.lit(0)
-    for i in range(words):
+    for i in range(first, first + words):
         out = out + F.bit_count(F.element_at(a, i + 1).bitwiseXOR(F.element_at(b, i + 1)))
     return out
 
 
 def alike(x: str, y: str, percent: int, limit: int) -> Column:
-    """Whether sizes and odd sketches of rows x and y allow the threshold."""
+    """Whether sizes, odd sketches and parities of rows x and y allow the threshold.
+
+    The parities' limit is the largest symmetric difference at the threshold or, for large sets, what it shows by far at most.
+    """
     a, b = F.col(f"{x}.n"), F.col(f"{y}.n")
-    return (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (differing(F.col(f"{x}.sketch"), F.col(f"{y}.sketch")) <= limit)
+    s, t = F.col(f"{x}.sketch"), F.col(f"{y}.sketch")
+    most = (a + b) * F.lit((100 - percent) / (100 + percent))
+    shown = F.lit(SET_BITS / 2) * (1 - F.exp(most * F.lit(-2 / SET_BITS))) + F.lit(6.5) * F.sqrt(F.least(most, F.lit(SET_BITS / 4)))
+    return (
+        (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
+        & (differing(s, t, BITS // 64, SET_BITS // 64) <= F.least(most, shown) + 1e-6)
+        & (differing(s, t, 0, BITS // 64) <= limit)
+    )
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
