@@ -184,9 +184,10 @@ def kept_text(text: Column, removed: Column) -> Column:
 
 def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
     """docs with their texts without removed lines; documents that lose all their words are dropped."""
-    done = with_removed(docs, text, doc_id, percent).withColumn("_text", kept_text(F.col(text), F.col("_removed")))
+    rows = docs.select(F.struct("*").alias("_row"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
+    done = with_removed(rows, percent=percent).withColumn("_text", kept_text(F.col("text"), F.col("_removed")))
     empty = F.col("_removed").isNotNull() & ~F.col("_text").rlike(WORD)
-    return done.filter(~empty).select(*[(F.col("_text") if c == text else F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    return done.filter(~empty).select(F.col("_row").withField(text, F.col("_text")).alias("_row")).select("_row.*")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

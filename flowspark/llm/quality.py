@@ -179,10 +179,10 @@ def judged(docs: DataFrame, limits: DataFrame, lang: str = "lang", source: str =
 
 
 def quality_filter(docs: DataFrame) -> DataFrame:
-    """The documents that pass, with the columns of docs."""
-    scored = measured(docs)
+    """The documents that pass, with the columns of docs, whatever their names."""
+    scored = measured(docs.select(F.struct("*").alias("_row"), "text", "lang", "source"))
     limits = stash(thresholds(sketches(scored)), "quality-limits")
-    return judged(scored, limits).filter("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return judged(scored, limits).filter("kept").select("_row.*")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,7 +102,7 @@ def read_directory(read, size: int) -> dict[str, Member]:
     tail_at = max(0, size - END_SIZE - FULL16 - LOCATOR64_SIZE)
     tail = read(tail_at, size - tail_at)
     place = tail.rfind(END)
-    while place >= 0 and place + END_SIZE + struct.unpack_from("<H", tail, place + 20)[0] != len(tail):  # else in a comment
+    while place >= 0 and (place + END_SIZE > len(tail) or place + END_SIZE + struct.unpack_from("<H", tail, place + 20)[0] != len(tail)):  # else in a comment
         place = tail.rfind(END, 0, place)
     if place < 0:
         raise ValueError("no end of central directory")
