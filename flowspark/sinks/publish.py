@@ -172,12 +172,16 @@ def paramiko_client(connection: SftpConnection, secrets: Secrets):
     else:
         ssh.load_system_host_keys()
     ssh.set_missing_host_key_policy(paramiko.RejectPolicy())
-    options = {"username": connection.user, "port": connection.port}
+    password = secrets.require(connection.secret) if connection.secret else None
+    user = connection.user
+    if not user and password and ":" in password:
+        user, password = password.split(":", 1)
+    options = {"username": user, "port": connection.port}
     if connection.key_secret:
         options["pkey"] = paramiko.RSAKey.from_private_key(io.StringIO(base64.b64decode(secrets.require(connection.key_secret)).decode()))
     elif connection.key_file:
         options["key_filename"] = connection.key_file
-    elif connection.secret:
-        options["password"] = secrets.require(connection.secret)
+    elif password:
+        options["password"] = password
     ssh.connect(connection.host, **options)
     return ssh.open_sftp()

@@ -167,26 +167,24 @@ def load_catalog(source: str, inline: bool = False) -> Catalog:
         doc = json.loads(source)
     except ValueError as e:
         raise FlowError("El catálogo no es JSON", "CATALOG_INVALID") from e
-    held = doc.get("conexiones", doc) if isinstance(doc, dict) else None
-    if isinstance(held, dict):
-        held = [{"nombre": k, **v} for k, v in held.items()]
-    if not isinstance(held, list):
-        raise FlowError("El catálogo no tiene conexiones", "CATALOG_INVALID")
-    out = {}
+    if not isinstance(doc, dict):
+        raise FlowError("El catálogo debe ser un objeto", "CATALOG_INVALID")
+    held = [c for section in ("jdbc", "locales", "sftp", "conexiones") for c in doc.get(section) or []]
+    out: dict = {}
     for one in held:
         name, kind = str(one.get("nombre", "")), str(one.get("tipo", "")).lower()
         if not name or name in out:
             raise FlowError(f"Conexión sin nombre o repetida: {name!r}", "CATALOG_INVALID")
+        allowed = [(a.get("esquema") or "", a.get("tabla") or "", tuple(a.get("campos") or ())) for a in one.get("allowlist") or []]
+        secret = one.get("secreto_nombre")
         try:
             if kind == "jdbc":
-                tables = one.get("tablas") or one.get("tablas_permitidas") or {}
-                if isinstance(tables, list):
-                    tables = {".".join(filter(None, (t.get("esquema"), t.get("tabla") or t["nombre"]))): t.get("columnas", []) for t in tables}
-                out[name] = JdbcConnection(name, one["url"], one.get("driver"), one.get("secreto"), {k: tuple(v) for k, v in tables.items()}, one.get("opciones") or {})
+                tables = {f"{schema}.{table}" if schema else table: columns for schema, table, columns in allowed}
+                out[name] = JdbcConnection(name, one["url"], one.get("driver"), secret, tables, one.get("propiedades") or {})
             elif kind == "local":
-                out[name] = LocalConnection(name, one["ruta_base"], tuple(one.get("archivos") or one.get("archivos_permitidos") or ()))
+                out[name] = LocalConnection(name, one["ruta_base"], tuple(table for _, table, _ in allowed))
             elif kind == "sftp":
-                out[name] = SftpConnection(name, one["host"], int(one.get("puerto", 22)), one["usuario"], one["ruta_base"], one.get("secreto"), one.get("archivo_clave"), one.get("secreto_clave"), one.get("known_hosts"))
+                out[name] = SftpConnection(name, one["host"], int(one.get("puerto", 22)), one.get("usuario") or "", one.get("ruta_base", "/"), secret, one.get("clave_privada"), one.get("secreto_clave_privada_nombre"), one.get("known_hosts"))
             else:
                 raise FlowError(f"Tipo de conexión desconocido: {kind!r}", "CATALOG_INVALID")
         except KeyError as e:

@@ -87,10 +87,15 @@ class TargetDatabase:
 
     @classmethod
     def of(cls, doc: dict) -> TargetDatabase:
-        mode = str(doc.get("modo", "overwrite")).lower()
-        if mode not in MODES or not doc.get("url") or not doc.get("driver"):
+        mode = str(doc.get("modo") or doc.get("save_mode") or "overwrite").lower()
+        url = doc.get("url") or doc.get("jdbc_url")
+        if not url and doc.get("host"):
+            database = doc.get("database") or doc.get("db") or doc.get("base_datos")
+            url = f"jdbc:postgresql://{doc['host']}:{doc.get('puerto') or doc.get('port') or 5432}/{database}" if database else None
+        if mode not in MODES or not url:
             raise FlowError("Base destino inválida", "TARGET_INVALID")
-        return cls(doc["url"], doc["driver"], doc.get("secreto"), doc.get("esquema"), mode)
+        driver = doc.get("driver") or "org.postgresql.Driver"
+        return cls(url, driver, doc.get("secreto_nombre") or doc.get("secreto"), doc.get("schema") or doc.get("esquema"), mode)
 
     def options(self, table: str, secrets: Secrets) -> dict[str, str]:
         name = ".".join(([identifier(self.schema, "esquema")] if self.schema else []) + [identifier(table, "tabla")])

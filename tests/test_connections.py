@@ -12,7 +12,10 @@ from flowspark.streaming.csv_sink import stream_to_csv
 
 
 def catalog_of(base, files=("in.csv",)):
-    return load_catalog(json.dumps({"conexiones": [{"nombre": "datos", "tipo": "local", "ruta_base": str(base), "archivos": list(files)}, {"nombre": "remoto", "tipo": "sftp", "host": "h", "usuario": "u", "ruta_base": "/d"}]}), inline=True)
+    local = {"nombre": "datos", "tipo": "local", "ruta_base": str(base), "allowlist": [{"esquema": "", "tabla": f, "campos": []} for f in files]}
+    remote = {"nombre": "remoto", "tipo": "sftp", "host": "h", "usuario": "u", "ruta_base": "/d"}
+    database = {"nombre": "db", "tipo": "jdbc", "url": "jdbc:x", "driver": "d", "secreto_nombre": "S", "allowlist": [{"esquema": "e", "tabla": "t", "campos": ["a"]}], "propiedades": {"ssl": "false"}}
+    return load_catalog(json.dumps({"version": 1, "jdbc": [database], "locales": [local], "sftp": [remote]}), inline=True)
 
 
 @pytest.mark.parametrize("path", ["", "/etc/x.csv", "../x.csv", "a/../x.csv", "a\\x.csv", "a%2e.csv", "a+b.csv", "con.csv", "x.exe", "a./x.csv", "a//x.csv"])
@@ -53,6 +56,9 @@ def test_jdbc_options():
     with pytest.raises(FlowError):
         subquery(None, "t", [])
     assert package_of("org.postgresql.Driver").startswith("org.postgresql:")
+    held = catalog_of("/tmp").get("db", JdbcConnection)
+    assert held.tables == {"e.t": ("a",)} and held.secret == "S" and held.options == {"ssl": "false"}
+    assert TargetDatabase.of({"host": "h", "base_datos": "b"}).url == "jdbc:postgresql://h:5432/b"
     target = TargetDatabase.of({"url": "jdbc:x", "driver": "d", "esquema": "s"})
     assert target.options("t", Secrets())["dbtable"] == '"s"."t"' and table_name("lib://c/Mi Salida-1.csv") == "mi_salida_1"
 
