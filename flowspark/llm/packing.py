@@ -19,6 +19,8 @@ repeated rows are documents of their own; an empty table gives an empty table; o
 from __future__ import annotations
 
 import bisect
+import gc
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -34,8 +36,10 @@ CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words in a worker's memory; the cache starts anew beyond.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 1_200_000
 NODES = 20_000
+#: Texts that are encoded together.
+GROUP = 128
 #: Completions that are looked at for one largest piece.
 FILLINGS = 64
 
@@ -47,28 +51,70 @@ class WordEncoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never joins what white space parts, so that a text's ids are
-    those of its space-separated parts, and repeated parts come from a cache.
+    those of its space-separated parts, and repeated parts come from a cache. A part of letters and a run
+    of punctuation has the ids of its lower-cased letters, then of the run, which
+    come from a second cache. New entries are encoded many at a time, parted by spaces.
     """
 
-    def __init__(self, path: str):
-        import os
+    #: Letters whose lower case is one precomposed letter in any implementation, then punctuation that the tokenizer keeps together.
+    SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*&%$#]*)")
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode_batch_fast
+        self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[bytes, bytes] = {}
-
-    def __call__(self, parts: list[bytes]) -> bytes:
-        cache = self.cache
-        if new := {p for p in parts if p not in cache}:
-            if len(cache) + len(new) > CACHE_WORDS:
-                cache.clear()
-                new = set(parts)
-            new = list(new)
-            for got, part in zip(self.encode([p.decode() for p in new], add_special_tokens=False), new, strict=True):
-                cache[part] = np.asarray(got.ids, dtype="<u4").tobytes()
-        return b"".join(map(cache.__getitem__, parts))
+        self.cores: dict[str, bytes] = {}
+
+    def encoded(self, words: list[str]) -> list[bytes]:
+        """The ids of each of some words without white space."""
+        plain = [w for w in words if "<|" not in w and not any(map(str.isspace, w))] if any("<|" in w or len(w.split()) != 1 for w in words) else words
+        got = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+        ids = np.array(got.ids, dtype="<u4").tobytes()
+        first = np.cumsum([0, *[len(w) + 1 for w in plain]])[:-1]
+        owner = np.searchsorted(first, np.fromiter((o[0] for o in got.offsets), dtype=np.int64, count=len(got.ids)), side="right") - 1
+        ends = np.cumsum(np.bincount(owner, minlength=len(plain)) * 4).tolist() if plain else []
+        known = {w: ids[a:b] for w, a, b in zip(plain, [0, *ends], ends, strict=False)}
+        for w in words:
+            if w not in known:
+                known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return [known[w] for w in words]
+
+    def learn(self, parts: set[bytes]) -> None:
+        if len(self.cores) > CACHE_WORDS // 2:
+            self.cores.clear()
+        match, cores, cache = self.SIMPLE.fullmatch, self.cores, self.cache
+        cores[""] = b""
+        simple, other, new = [], [], set()
+        for part in parts:
+            word = part.decode()
+            if m := match(word):
+                core, run = m[1].lower(), m[2]
+                simple.append((part, core, run))
+                if core not in cores:
+                    new.add(core)
+                if run not in cores:
+                    new.add(run)
+            else:
+                other.append((part, word))
+        if new:
+            words = list(new)
+            cores.update(zip(words, self.encoded(words), strict=True))
+        for part, core, run in simple:
+            cache[part] = cores[core] + cores[run]
+        for (part, _), ids in zip(other, self.encoded([w for _, w in other]) if other else [], strict=True):
+            self.cache[part] = ids
+
+    def __call__(self, texts: list[list[bytes]]) -> list[bytes]:
+        # A group's own words fit a processor's cache, the large cache does not: each word is looked up there once.
+        own = dict.fromkeys(set().union(*texts))
+        if len(self.cache) + len(own) > CACHE_WORDS:
+            self.cache.clear()
+        if new := {p for p in own if p not in self.cache}:
+            self.learn(new)
+        for part in own:
+            own[part] = self.cache[part]
+        return [b"".join(map(own.__getitem__, parts)) for parts in texts]
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -87,11 +133,13 @@ def pieces(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder(tokenizer_path(tokenizer))
+        gc.disable()  # the cache has no cycles, and is slow to walk
         end = np.asarray([end_id], dtype="<u4").tobytes()
         for batch in batches:
             rows = ([], [], [], [], [])
-            for key, body in zip(batch.column(0), batch.column(1), strict=True):
-                ids = encoder(body.as_py().split()) + end
+            texts = (ids for at in range(0, batch.num_rows, GROUP) for ids in encoder([x.as_py().split() for x in batch.column(1)[at : at + GROUP]]))
+            for key, ids in zip(batch.column(0), texts, strict=True):
+                ids += end
                 for n, at in enumerate(range(0, len(ids), capacity * 4)):
                     part = ids[at : at + capacity * 4]
                     for row, value in zip(rows, (key.as_py(), n, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
