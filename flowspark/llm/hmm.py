@@ -264,22 +264,25 @@ def trained(docs: DataFrame, corpus: np.ndarray, states: int, rounds: int) -> Mo
     return model
 
 
-def class_scores(docs: DataFrame, model: Model) -> DataFrame:
-    """key, n_tokens, log10 of the class sequence's probability."""
-    told = docs.sparkSession.sparkContext.broadcast(model)
+def class_scores(docs: DataFrame, model: Model, head_logs: np.ndarray) -> DataFrame:
+    """key, doc_id, n_tokens, log10 of the class sequence's probability, and the head tokens' base score and number."""
+    told = docs.sparkSession.sparkContext.broadcast((model, head_logs))
+    names = ["key", "doc_id", "n_tokens", "classes", "head_base", "head_known"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = told.value
+        model, logs = told.value
         for batch in batches:
-            texts = [np.frombuffer(x.as_py(), dtype="<u2").astype(np.int64) for x in batch.column(1)]
+            texts = [np.frombuffer(x.as_py(), dtype="<u2").astype(np.int64) for x in batch.column(2)]
             out = np.zeros(len(texts))
             for group in batches_by_length(texts):
                 out[group] = forward(model, [texts[i] for i in group])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(out / math.log(10))], names=["key", "n_tokens", "classes"]
-            )
+            heads = [t[t < HEAD] for t in texts]
+            base, known = [float(logs[h].sum()) for h in heads], [len(h) for h in heads]
+            sizes = pa.array([len(t) for t in texts], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sizes, pa.array(out / math.log(10)), pa.array(base, pa.float64()), pa.array(known, pa.int64())], names=names)
 
-    return docs.select("key", "ids").mapInArrow(run, "key bigint, n_tokens bigint, classes double")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("key", "doc_id", "ids").mapInArrow(run, f"key bigint, doc_id {kind}, n_tokens bigint, classes double, head_base double, head_known bigint")
 
 
 def scored(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, head_size: int = HEAD) -> DataFrame:
@@ -308,19 +311,6 @@ def scored(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, head_siz
 
     rows = encoded(docs, head)
     model = trained(rows.filter("train"), corpus, states, rounds)
-    head_scores = spark.sparkContext.broadcast(base_of(head_counts.astype(float)))
-
-    def head_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        logs = head_scores.value
-        for batch in batches:
-            base, known = [], []
-            for x in batch.column(1):
-                ids = np.frombuffer(x.as_py(), dtype="<u2")
-                ids = ids[ids < HEAD]
-                base.append(float(logs[ids].sum()))
-                known.append(len(ids))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(base, pa.float64()), pa.array(known, pa.int64())], names=["key", "head_base", "head_known"])
-
     shares = spark.createDataFrame(pa.table({"class": pa.array(range(TAIL), pa.int32()), "all": pa.array(tail_n + tail_v + 1.0)}))
     asked = rows.select("key", F.explode("tail").alias("t")).select("key", "t.token", "t.n")
     found = asked.join(rare.select("token", "c"), "token", "left").withColumn("class", group).join(F.broadcast(shares), "class")  # TAIL rows
@@ -330,8 +320,7 @@ def scored(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, head_siz
         F.sum(F.col("n") * F.log10((c + 1.0) / F.col("all"))).alias("tail_share"),
         F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(F.lit(0))).alias("tail_known"),
     )
-    heads = rows.select("key", "ids").mapInArrow(head_part, "key bigint, head_base double, head_known bigint")
-    whole = rows.select("key", "doc_id").join(class_scores(rows, model), "key").join(heads, "key").join(tails, "key", "left")
+    whole = class_scores(rows, model, base_of(head_counts.astype(float))).join(tails, "key", "left")
     return whole.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
