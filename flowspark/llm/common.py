@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import gc
+import sys
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -31,14 +35,20 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of earlier steps: it does so once nothing refers to their plans."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def stash(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """Cut the lineage: write df as Parquet in the shared folder and read it back.
 
     Unlike a block held by one executor, the files survive the loss of any executor.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    release(df.sparkSession)
     df.write.option("compression", compression).parquet(path)
-    df.sparkSession._jvm.System.gc()  # what the write shuffled is not needed again; unreachable shuffles are then deleted
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -51,6 +61,23 @@ def drop_stash(*frames: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def of_worker(key: tuple, make, idle: float = 10.0):
+    """make()'s value, kept for the Python worker's later tasks and let go after some idle seconds."""
+    kept = sys.__dict__.setdefault("_flowspark_kept", {})
+    value, timer = kept.pop(key, (None, None))
+    if timer:
+        timer.cancel()
+    value = make() if value is None else value
+    try:
+        yield value
+    finally:
+        timer = threading.Timer(idle, kept.pop, (key, None))
+        timer.daemon = True
+        kept[key] = (value, timer)
+        timer.start()
+
+
 def word_count(text: Column) -> Column:
     """Words of a text, as long; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -30,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ranked, spread, stash, table
+from .common import of_worker, ranked, spread, stash, table
 
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words in a worker's memory; the cache starts anew beyond.
-CACHE_WORDS = 1_200_000
+CACHE_WORDS = 900_000
 NODES = 20_000
 #: Texts that are encoded together.
 GROUP = 128
@@ -81,7 +81,7 @@ class WordEncoder:
         return [known[w] for w in words]
 
     def learn(self, parts: set[bytes]) -> None:
-        if len(self.cores) > CACHE_WORDS // 2:
+        if len(self.cores) > CACHE_WORDS // 3:
             self.cores.clear()
         match, cores, cache = self.SIMPLE.fullmatch, self.cores, self.cache
         cores[""] = b""
@@ -132,19 +132,23 @@ def pieces(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", capacity
     out = pa.schema([("doc_id", to_arrow_type(id_type)), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer_path(tokenizer))
-        gc.disable()  # the cache has no cycles, and is slow to walk
+        path = tokenizer_path(tokenizer)
         end = np.asarray([end_id], dtype="<u4").tobytes()
-        for batch in batches:
-            rows = ([], [], [], [], [])
-            texts = (ids for at in range(0, batch.num_rows, GROUP) for ids in encoder([x.as_py().split() for x in batch.column(1)[at : at + GROUP]]))
-            for key, ids in zip(batch.column(0), texts, strict=True):
-                ids += end
-                for n, at in enumerate(range(0, len(ids), capacity * 4)):
-                    part = ids[at : at + capacity * 4]
-                    for row, value in zip(rows, (key.as_py(), n, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
-                        row.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(rows, out, strict=True)], schema=out)
+        gc.disable()  # the caches have no cycles, and are slow to walk
+        try:
+            with of_worker(("encoder", path), lambda: WordEncoder(path)) as encoder:
+                for batch in batches:
+                    rows = ([], [], [], [], [])
+                    texts = (ids for at in range(0, batch.num_rows, GROUP) for ids in encoder([x.as_py().split() for x in batch.column(1)[at : at + GROUP]]))
+                    for key, ids in zip(batch.column(0), texts, strict=True):
+                        ids += end
+                        for n, at in enumerate(range(0, len(ids), capacity * 4)):
+                            part = ids[at : at + capacity * 4]
+                            for row, value in zip(rows, (key.as_py(), n, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
+                                row.append(value)
+                    yield pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(rows, out, strict=True)], schema=out)
+        finally:
+            gc.enable()
 
     schema = f"doc_id {id_type.simpleString()}, piece int, start bigint, length bigint, ids_crc32 bigint"
     return chosen.mapInArrow(cut, schema)
