@@ -15,6 +15,7 @@ Spark's limit for a value); other columns are not used.
 
 from __future__ import annotations
 
+import bz2
 import hashlib
 import struct
 import zlib
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash, table
+from .common import release, stash, table
 from .minhash import mixed
 from .toxicity import groups
 
@@ -104,7 +105,7 @@ LISTS = pa.list_(pa.binary())
 
 
 def described(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """doc_id, doc (id without nulls), n_bytes, media_key, digests: one row per document."""
+    """doc_id, doc (id without nulls), n_bytes, media_key, digests, lengths: one row per document."""
     chosen = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(PLACE)).alias("doc"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
     )
@@ -113,25 +114,27 @@ def described(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
         gear = gear_table()
         for whole in batches:
             for batch in groups(whole, 2):
-                sizes, keys, lists = [], [], []
+                sizes, keys, lists, lengths = [], [], [], []
                 for body in batch.column(2):
                     text = body.as_py()
-                    media = to_wav(payload_of(text))
+                    parts = chunks_of(to_wav(payload_of(text)), gear)
                     sizes.append(len(text))
                     keys.append(hashlib.sha256(text).digest())
-                    lists.append([digest(c) for c in chunks_of(media, gear)])
+                    lists.append([digest(c) for c in parts])
+                    lengths.append([len(c) for c in parts])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(lists, LISTS)],
-                    names=["doc_id", "doc", "n_bytes", "media_key", "digests"],
+                    [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(lists, LISTS), pa.array(lengths, pa.list_(pa.int32()))],
+                    names=["doc_id", "doc", "n_bytes", "media_key", "digests", "lengths"],
                 )
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"doc_id {kind}, doc bigint, n_bytes bigint, media_key binary, digests array<binary>")
+    return chosen.mapInArrow(run, f"doc_id {kind}, doc bigint, n_bytes bigint, media_key binary, digests array<binary>, lengths array<int>")
 
 
 def owners(seen: DataFrame) -> DataFrame:
-    """One row per medium: media_key, doc (that holds its text), foreign and lent (places of chunks that another medium owns, or that others need)."""
-    media = stash(seen.groupBy("media_key").agg(F.min("doc").alias("doc"), F.min("digests").alias("digests")), "media")
+    """One row per medium: media_key, doc (that holds its text), digests, lengths, foreign and lent (places of chunks that another medium owns, or that others need)."""
+    firsts = seen.groupBy("media_key").agg(F.min("doc").alias("doc"))
+    media = stash(seen.select("media_key", "doc", "digests", "lengths").join(firsts, ["media_key", "doc"]).dropDuplicates(["media_key", "doc"]), "media")
     placed = media.select("media_key", F.posexplode("digests").alias("at", "digest"))
     held = placed.groupBy("digest").agg(F.min(F.struct("media_key", "at")).alias("owner"), F.count(F.lit(1)).alias("uses")).filter("uses > 1").drop("uses")
     mine = (F.col("owner.media_key") == F.col("media_key")) & (F.col("owner.at") == F.col("at"))
@@ -139,103 +142,90 @@ def owners(seen: DataFrame) -> DataFrame:
         F.collect_list(F.when(~mine, F.col("at"))).alias("foreign"), F.collect_list(F.when(mine, F.col("at"))).alias("lent")
     )
     none = F.array().cast("array<int>")
-    return stash(media.join(shared, "media_key", "left").select("media_key", "doc", F.coalesce("foreign", none).alias("foreign"), F.coalesce("lent", none).alias("lent")), "owners")
+    return stash(media.join(shared, "media_key", "left").withColumns({"foreign": F.coalesce("foreign", none), "lent": F.coalesce("lent", none)}), "owners")
 
 
 def stored(docs: DataFrame, owned: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """The store: media_key, digests, foreign, lent, ends (of own chunks) and bytes (own chunks, compressed)."""
+    """The store: media_key, digests, lengths, foreign, lent and bytes (own chunks in order, compressed together).
+
+    Media travel compressed, and are stored as they came unless some of their chunks have other owners.
+    """
     packed = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(PLACE)).alias("doc"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        tool = zstandard.ZstdCompressor(level=6)
         for whole in batches:
             for batch in groups(whole, 1):
                 texts = [x.as_py() for x in batch.column(1)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()), pa.array(map(tool.compress, texts), pa.binary())],
-                    names=["doc", "media_key", "squeezed"],
-                )
+                keys = [hashlib.sha256(t).digest() for t in texts]
+                bodies = [bz2.compress(to_wav(payload_of(t))) for t in texts]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(bodies, pa.binary())], names=["doc", "media_key", "bytes"])
 
-    small = packed.mapInArrow(squeeze, "doc bigint, media_key binary, squeezed binary")
-    chosen = small.join(owned, ["doc", "media_key"]).select("media_key", "squeezed", "foreign", "lent")
-    names = ["media_key", "digests", "foreign", "lent", "ends", "bytes"]
+    small = packed.mapInArrow(squeeze, "doc bigint, media_key binary, bytes binary")
+    chosen = small.join(owned, ["doc", "media_key"]).dropDuplicates(["doc", "media_key"]).select("media_key", "digests", "lengths", "foreign", "lent", "bytes")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        gear, tool, back = gear_table(), zstandard.ZstdCompressor(level=6), zstandard.ZstdDecompressor()
         for batch in batches:
-            lists, ends, bodies = [], [], []
-            for squeezed, foreign in zip(batch.column(1), batch.column(2), strict=True):
-                parts = chunks_of(to_wav(payload_of(back.decompress(squeezed.as_py()))), gear)
-                away = set(foreign.as_py())
-                own = [p for i, p in enumerate(parts) if i not in away]
-                lists.append([digest(p) for p in parts])
-                ends.append(np.cumsum([len(p) for p in own]).astype(np.int64))
-                bodies.append(tool.compress(b"".join(own)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(lists, LISTS), batch.column(2), batch.column(3), pa.array(ends, pa.list_(pa.int64())), pa.array(bodies, pa.binary())], names=names
-            )
-
-    schema = "media_key binary, digests array<binary>, foreign array<int>, lent array<int>, ends array<bigint>, bytes binary"
-    return stash(chosen.mapInArrow(build, schema), "media-store", "none")
-
-
-def own_chunks(ends: list[int], body: bytes, digests: list[bytes], foreign: list[int]) -> dict[int, bytes]:
+            bodies = []
+            for lengths, foreign, body in zip(batch.column(2), batch.column(3), batch.column(5), strict=True):
+                away, body = set(foreign.as_py()), body.as_py()
+                if away:
+                    media, ends = bz2.decompress(body), np.cumsum([0, *lengths.as_py()])
+                    body = bz2.compress(b"".join(media[a:b] for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False)) if i not in away))
+                bodies.append(body)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(bodies, pa.binary())], names=batch.schema.names)
+
+    return stash(chosen.mapInArrow(build, chosen.schema), "media-store", "none")
+
+
+def own_chunks(body: bytes, lengths: list[int], foreign: list[int]) -> dict[int, bytes]:
     """Place to chunk, of a store row's own chunks."""
-    away = set(foreign)
-    places = [i for i in range(len(digests)) if i not in away]
-    return {i: body[a:b] for i, a, b in zip(places, [0, *ends], ends, strict=False)}
+    away, body, at, out = set(foreign), bz2.decompress(body), 0, {}
+    for i, n in enumerate(lengths):
+        if i not in away:
+            out[i] = body[at : at + n]
+            at += n
+    return out
 
 
 def read_back(store: DataFrame) -> DataFrame:
-    """media_key and what the medium, put together again, gives: payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature."""
+    """media_key and what the medium, put together again, gives: payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256 (both binary), feature."""
 
     def lend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        back = zstandard.ZstdDecompressor()
         for batch in batches:
             keys, parts = [], []
             for row in batch.to_pylist():
-                own = own_chunks(row["ends"], back.decompress(row["bytes"]), row["digests"], row["foreign"])
+                own = own_chunks(row["bytes"], row["lengths"], row["foreign"])
                 keys += [row["digests"][i] for i in row["lent"]]
-                parts += [own[i] for i in row["lent"]]
+                parts += [zlib.compress(own[i]) for i in row["lent"]]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(parts, pa.binary())], names=["digest", "chunk"])
 
-    lent = store.filter("size(lent) > 0").select("digests", "foreign", "lent", "ends", "bytes").mapInArrow(lend, "digest binary, chunk binary").dropDuplicates(["digest"])
-    asked = store.filter("size(foreign) > 0").select("media_key", F.explode("foreign").alias("at"), "digests").select("media_key", "at", F.expr("digests[at]").alias("digest")).distinct()
+    lent = store.filter("size(lent) > 0").select("digests", "lengths", "foreign", "lent", "bytes").mapInArrow(lend, "digest binary, chunk binary")
+    asked = store.filter("size(foreign) > 0").select("media_key", F.explode("foreign").alias("at"), "digests").select("media_key", "at", F.expr("digests[at]").alias("digest"))
     fetched = asked.join(lent, "digest").groupBy("media_key").agg(F.collect_list(F.struct("at", "chunk")).alias("fetched"))
     none = F.array().cast("array<struct<at: int, chunk: binary>>")
     alone = store.filter("size(foreign) = 0").withColumn("fetched", none)
     mixed_rows = store.filter("size(foreign) > 0").join(fetched, "media_key", "left").withColumn("fetched", F.coalesce("fetched", none))
     names = ["media_key", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    kinds = [pa.binary(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
+    kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
 
     def restore(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        back = zstandard.ZstdDecompressor()
         for batch in batches:
             rows = []
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
-                parts = own_chunks(row["ends"], back.decompress(row["bytes"]), row["digests"], row["foreign"])
-                parts |= {x["at"]: x["chunk"] for x in row["fetched"]}
+                parts = own_chunks(row["bytes"], row["lengths"], row["foreign"]) | {x["at"]: zlib.decompress(x["chunk"]) for x in row["fetched"]}
                 ordered = [parts.get(i) for i in range(len(row["digests"]))]
                 if any(p is None or digest(p) != d for p, d in zip(ordered, row["digests"], strict=True)):
                     raise ValueError("a stored chunk is missing or damaged")
                 media = b"".join(ordered)
                 payload = from_wav(media)
-                rows.append((row["media_key"], len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(media), hashlib.sha256(media).hexdigest(), feature_of(payload)))
+                rows.append((row["media_key"], len(payload), hashlib.sha256(payload).digest(), zlib.crc32(payload[-BLOCK:]), len(media), hashlib.sha256(media).digest(), feature_of(payload)))
             columns = list(zip(*rows, strict=True)) if rows else [[] for _ in names]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    columns = ["media_key", "digests", "foreign", "ends", "bytes", "fetched"]
-    schema = "media_key binary, payload_bytes bigint, payload_sha256 string, tail_crc32 bigint, media_bytes bigint, media_sha256 string, feature string"
-    return alone.select(columns).mapInArrow(restore, schema).unionByName(mixed_rows.select(columns).mapInArrow(restore, schema)).dropDuplicates(["media_key"])
+    columns = ["media_key", "digests", "lengths", "foreign", "bytes", "fetched"]
+    schema = "media_key binary, payload_bytes bigint, payload_sha256 binary, tail_crc32 bigint, media_bytes bigint, media_sha256 binary, feature string"
+    return alone.select(columns).mapInArrow(restore, schema).unionByName(mixed_rows.select(columns).mapInArrow(restore, schema))
 
 
 def media_columns(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
@@ -246,4 +236,6 @@ def media_columns(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
 
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, store = media_columns(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return docs.join(read_back(store), "media_key").drop("media_key")
+    release(spark)
+    got = docs.join(read_back(store), "media_key").drop("media_key")
+    return got.withColumns({c: F.lower(F.hex(c)) for c in ("payload_sha256", "media_sha256")})
