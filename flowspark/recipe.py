@@ -17,7 +17,7 @@ from .sinks.parquet import OutputConfig, write
 from .sources.reader import InputConfig, read, resolve_schema
 from .types import as_bool
 
-DEFAULT_NAME = "Motor Spark mecánico"
+DEFAULT_NAME = "receta"
 
 
 @dataclass(frozen=True)

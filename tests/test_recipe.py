@@ -44,7 +44,7 @@ def test_duplicates_without_columns_use_the_whole_row(spark):
 
 def test_recipe_document():
     recipe = load_recipe(json.dumps({"salida": OUTPUT, "pasos": [{"tipo": "filtrar", "expresion": "a > 1"}]}))
-    assert recipe.name == "Motor Spark mecánico" and recipe.input.format == "csv" and recipe.output.mode == "error"
+    assert recipe.name == "receta" and recipe.input.format == "csv" and recipe.output.mode == "error"
     for bad in ({}, {"salida": OUTPUT, "pasos": [{"tipo": "volar"}]}, {"salida": {"formato": "csv"}}, {"salida": OUTPUT, "incremental": {"activo": True}}, {"salida": OUTPUT, "entrada": {"modo_esquema": "x"}}):
         with pytest.raises(RecipeError):
             load_recipe(json.dumps(bad))
