@@ -17,6 +17,7 @@ texts are scored whole; other columns are carried along by `scored` and `reject_
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,12 +28,12 @@ from pyspark.sql import functions as F
 from .common import table
 
 #: The training sample: at most so many labelled documents of each kind (chosen by a hash of their id), of at most so many bytes.
-SAMPLE = 1500
-SAMPLE_BYTES = 20_000
+SAMPLE = 1200
+SAMPLE_BYTES = 12_000
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 PREFIXES = (3, 4, 5, 6)
-STEPS = 30
+STEPS = 60
 CACHE_WORDS = 300_000
 EDGES = b".,;:!?\"'()[]{}*&%$#<>|"
 SPAN = "array<struct<start: bigint, end: bigint, marginal: double>>"
@@ -99,13 +100,13 @@ def families(texts: list[set[bytes]]) -> np.ndarray:
             i = root[i]
         return i
 
-    multipliers = np.arange(1, 33, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
+    multipliers = np.arange(1, 129, 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
     owner: dict[tuple, int] = {}
     for i, words in enumerate(texts):
         hashes = np.fromiter((zlib.crc32(w) | zlib.adler32(w) << 32 for w in words), dtype=np.uint64, count=len(words))
-        least = (hashes[None, :] * multipliers[:, None] >> np.uint64(20)).min(axis=1).tolist() if words else [0] * 16
-        for band in range(0, 16, 2):
-            other = owner.setdefault((band, *least[band : band + 2]), i)
+        least = (hashes[None, :] * multipliers[:, None] >> np.uint64(20)).min(axis=1).tolist() if words else [0] * 64
+        for band in range(0, 64, 8):
+            other = owner.setdefault((band, *least[band : band + 8]), i)
             root[find(i)] = find(other)
     return np.array([find(i) for i in range(len(texts))])
 
@@ -114,36 +115,49 @@ def train(texts: list[bytes], toxic: np.ndarray) -> dict:
     """The fitted chain: weights by feature, bias, chain (2 x 2, as factors) and the logistic layer."""
     types: dict[bytes, int] = {}
     words = [[types.setdefault(w, len(types)) for w in t.split()] for t in texts]
+    numbers: dict[bytes, int] = {}  # of features
     names = list(types)
-    kinds = [features(w) for w in names]
-    seen: tuple[dict, dict] = ({}, {})  # of each label: families that have a feature
+    sizes, flat = array("H"), array("i")
+    for w in names:
+        mine = [numbers.setdefault(f, len(numbers)) for f in features(w)]
+        sizes.append(len(mine))
+        flat.extend(mine)
+    flat, sizes = np.array(flat, dtype=np.int64), np.array(sizes, dtype=np.int64)
+    ends = np.cumsum(sizes)
     family = families([{names[w] for w in set(t)} for t in words])
-    for t, y, f in zip(words, toxic, family, strict=True):
-        for feature in {k for w in set(t) for k in kinds[w]}:
-            seen[int(y)].setdefault(feature, set()).add(f)
-    n = np.array([len(set(family[toxic == y])) for y in (0, 1)], dtype=float)
-    counts = {f: (len(seen[0].get(f, ())), len(seen[1].get(f, ()))) for f in seen[0].keys() | seen[1].keys()}
-    known = {f: i for i, f in enumerate(sorted(f for f, (a, b) in counts.items() if a + b >= 3))}
-    least = max(12.0, 2 * np.log(max(len(known), 1)))  # about one false tie among all features
-    tied = set()
-    for f in known:
-        a, b = counts[f]
-        share = (a + b) / n.sum()
-        ratio = 2 * ((b * np.log(b / (share * n[1])) if b else 0) + (a * np.log(a / (share * n[0])) if a else 0))
-        if ratio >= least and b / n[1] >= 100 * a / n[0]:
-            tied.add(f)
-    bad = np.array([any(f in tied for f in fs) for fs in kinds], dtype=float)
-    kinds = [[known[f] for f in fs if f in known] for fs in kinds]
+    n, seen = np.zeros(2), np.zeros((2, len(numbers)))  # families, and families with each feature
+    for y in (0, 1):
+        for f in np.unique(family[toxic == y]).tolist():
+            held = np.unique(np.concatenate([[], *[np.asarray(words[i], dtype=np.int64) for i in np.flatnonzero((family == f) & (toxic == y))]]).astype(np.int64))
+            n[y] += 1
+            if len(held):
+                seen[y][np.unique(np.concatenate([flat[ends[w] - sizes[w] : ends[w]] for w in held.tolist()]))] += 1
+    by_number = list(numbers)
+    del numbers
+    usable = np.flatnonzero(seen.sum(axis=0) >= 3)
+    a, b = seen[0][usable], seen[1][usable]
+    least = max(12.0, 2 * np.log(max(len(usable), 1)))  # about one false tie among all features
+    share = (a + b) / n.sum()
+    part = lambda k, m: np.where(k > 0, k * np.log(np.maximum(k, 1) / (share * m)), 0.0)
+    tied = (2 * (part(b, n[1]) + part(a, n[0])) >= least) & (b / n[1] >= 100 * a / n[0])
+    place = np.full(seen.shape[1], -1, dtype=np.int64)
+    place[usable] = np.arange(len(usable))
+    mark = np.zeros(seen.shape[1], dtype=bool)
+    mark[usable[tied]] = True
+    owner = np.repeat(np.arange(len(names)), sizes)
+    bad = (np.bincount(owner, weights=mark[flat], minlength=len(names)) > 0).astype(float)
+    known = [by_number[i] for i in usable.tolist()]
+    del by_number
+    keep = place[flat] >= 0
+    flat, owner, kinds = place[flat][keep], owner[keep], names
     tokens = np.fromiter((w for t in words for w in t), dtype=np.int64)
     lengths = np.array([len(t) for t in words], dtype=np.int64)
     gold = bad[tokens] * np.repeat(toxic, lengths)
-    flat = np.fromiter((f for fs in kinds for f in fs), dtype=np.int64)
-    owner = np.repeat(np.arange(len(kinds)), [len(fs) for fs in kinds]).astype(np.int64)
     first = np.zeros(len(tokens), dtype=bool)
     first[(np.cumsum(lengths) - lengths)[lengths > 0]] = True
     pairs = np.flatnonzero(~first)
     counted = np.bincount(gold[pairs - 1].astype(int) * 2 + gold[pairs].astype(int), minlength=4).reshape(2, 2)
-    weights, bias, chain = np.zeros(len(known)), -3.0, np.zeros((2, 2))
+    weights, bias, chain = np.where(tied, 2.0, 0.0), -5.0, np.zeros((2, 2))
     memory = [np.zeros(len(known)), 0.0, np.zeros((2, 2))]
     gold_types = np.bincount(tokens, weights=gold, minlength=len(kinds))
     emission = lambda: np.bincount(owner, weights=weights[flat], minlength=len(kinds)) + bias
@@ -168,7 +182,7 @@ def train(texts: list[bytes], toxic: np.ndarray) -> dict:
         weights, bias, chain = values
     p = marginals(np.exp(np.clip(emission(), -30, 30))[tokens], lengths, np.exp(chain))
     layer = logistic(document_inputs(p, lengths), toxic)
-    kept = {f: float(weights[i]) for f, i in known.items() if abs(weights[i]) > 1e-4}
+    kept = {f: float(x) for f, x in zip(known, weights, strict=True) if abs(x) > 1e-4}
     return {"weights": kept, "bias": float(bias), "chain": np.exp(chain), "layer": layer}
 
 
@@ -301,7 +315,8 @@ def scored(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that are not toxic, with the columns of docs."""
-    return scored(docs, fit(docs, labels)).filter(F.col("tox_score") < threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct("*").alias("_row"), "text")
+    return scored(rows, fit(docs, labels)).filter(F.col("tox_score") < threshold).select("_row.*")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
