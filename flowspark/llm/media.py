@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import release, stash, table
+from .common import drop_stash, release, stash, table
 from .minhash import mixed
 from .toxicity import groups
 
@@ -104,8 +104,12 @@ PLACE = -(1 << 63)
 LISTS = pa.list_(pa.binary())
 
 
+def key_of(text: bytes) -> bytes:
+    return hashlib.blake2b(text, digest_size=16, person=b"medium").digest()
+
+
 def described(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """doc_id, doc (id without nulls), n_bytes, media_key, digests, lengths: one row per document."""
+    """doc_id, doc (id without nulls), n_bytes, media_key, digests: one row per document."""
     chosen = docs.select(
         F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(PLACE)).alias("doc"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
     )
@@ -114,35 +118,31 @@ def described(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
         gear = gear_table()
         for whole in batches:
             for batch in groups(whole, 2):
-                sizes, keys, lists, lengths = [], [], [], []
-                for body in batch.column(2):
-                    text = body.as_py()
-                    parts = chunks_of(to_wav(payload_of(text)), gear)
-                    sizes.append(len(text))
-                    keys.append(hashlib.sha256(text).digest())
-                    lists.append([digest(c) for c in parts])
-                    lengths.append([len(c) for c in parts])
+                texts = [body.as_py() for body in batch.column(2)]
+                lists = [[digest(c) for c in chunks_of(to_wav(payload_of(t)), gear)] for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(lists, LISTS), pa.array(lengths, pa.list_(pa.int32()))],
-                    names=["doc_id", "doc", "n_bytes", "media_key", "digests", "lengths"],
+                    [batch.column(0), batch.column(1), pa.array([len(t) for t in texts], pa.int64()), pa.array([key_of(t) for t in texts], pa.binary()), pa.array(lists, LISTS)],
+                    names=["doc_id", "doc", "n_bytes", "media_key", "digests"],
                 )
 
     kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"doc_id {kind}, doc bigint, n_bytes bigint, media_key binary, digests array<binary>, lengths array<int>")
+    return chosen.mapInArrow(run, f"doc_id {kind}, doc bigint, n_bytes bigint, media_key binary, digests array<binary>")
 
 
 def owners(seen: DataFrame) -> DataFrame:
-    """One row per medium: media_key, doc (that holds its text), digests, lengths, foreign and lent (places of chunks that another medium owns, or that others need)."""
+    """One row per medium: media_key, doc (that holds its text), foreign and lent (places of chunks that another medium owns, or that others need)."""
     firsts = seen.groupBy("media_key").agg(F.min("doc").alias("doc"))
-    media = stash(seen.select("media_key", "doc", "digests", "lengths").join(firsts, ["media_key", "doc"]).dropDuplicates(["media_key", "doc"]), "media")
-    placed = media.select("media_key", F.posexplode("digests").alias("at", "digest"))
+    media = seen.select("media_key", "doc", "digests").join(firsts, ["media_key", "doc"]).dropDuplicates(["media_key", "doc"])
+    placed = stash(media.select("media_key", F.posexplode("digests").alias("at", "digest")), "chunk-places")
     held = placed.groupBy("digest").agg(F.min(F.struct("media_key", "at")).alias("owner"), F.count(F.lit(1)).alias("uses")).filter("uses > 1").drop("uses")
     mine = (F.col("owner.media_key") == F.col("media_key")) & (F.col("owner.at") == F.col("at"))
     shared = placed.join(held, "digest").groupBy("media_key").agg(
         F.collect_list(F.when(~mine, F.col("at"))).alias("foreign"), F.collect_list(F.when(mine, F.col("at"))).alias("lent")
     )
     none = F.array().cast("array<int>")
-    return stash(media.join(shared, "media_key", "left").withColumns({"foreign": F.coalesce("foreign", none), "lent": F.coalesce("lent", none)}), "owners")
+    owned = stash(firsts.join(shared, "media_key", "left").withColumns({"foreign": F.coalesce("foreign", none), "lent": F.coalesce("lent", none)}), "owners")
+    drop_stash(placed)
+    return owned
 
 
 def stored(docs: DataFrame, owned: DataFrame, text: str, doc_id: str) -> DataFrame:
@@ -156,25 +156,29 @@ def stored(docs: DataFrame, owned: DataFrame, text: str, doc_id: str) -> DataFra
         for whole in batches:
             for batch in groups(whole, 1):
                 texts = [x.as_py() for x in batch.column(1)]
-                keys = [hashlib.sha256(t).digest() for t in texts]
+                keys = [key_of(t) for t in texts]
                 bodies = [bz2.compress(to_wav(payload_of(t))) for t in texts]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(bodies, pa.binary())], names=["doc", "media_key", "bytes"])
 
     small = packed.mapInArrow(squeeze, "doc bigint, media_key binary, bytes binary")
-    chosen = small.join(owned, ["doc", "media_key"]).dropDuplicates(["doc", "media_key"]).select("media_key", "digests", "lengths", "foreign", "lent", "bytes")
+    chosen = small.join(owned, ["doc", "media_key"]).dropDuplicates(["doc", "media_key"]).select("media_key", "foreign", "lent", "bytes")
+    names = ["media_key", "digests", "lengths", "foreign", "lent", "bytes"]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gear = gear_table()
         for batch in batches:
-            bodies = []
-            for lengths, foreign, body in zip(batch.column(2), batch.column(3), batch.column(5), strict=True):
+            lists, lengths, bodies = [], [], []
+            for foreign, body in zip(batch.column(1), batch.column(3), strict=True):
                 away, body = set(foreign.as_py()), body.as_py()
-                if away:
-                    media, ends = bz2.decompress(body), np.cumsum([0, *lengths.as_py()])
-                    body = bz2.compress(b"".join(media[a:b] for i, (a, b) in enumerate(zip(ends, ends[1:], strict=False)) if i not in away))
-                bodies.append(body)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(bodies, pa.binary())], names=batch.schema.names)
-
-    return stash(chosen.mapInArrow(build, chosen.schema), "media-store", "none")
+                parts = chunks_of(bz2.decompress(body), gear)
+                lists.append([digest(c) for c in parts])
+                lengths.append([len(c) for c in parts])
+                bodies.append(bz2.compress(b"".join(c for i, c in enumerate(parts) if i not in away)) if away else body)
+            columns = [batch.column(0), pa.array(lists, LISTS), pa.array(lengths, pa.list_(pa.int32())), batch.column(1), batch.column(2), pa.array(bodies, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema = "media_key binary, digests array<binary>, lengths array<int>, foreign array<int>, lent array<int>, bytes binary"
+    return stash(chosen.mapInArrow(build, schema), "media-store", "none")
 
 
 def own_chunks(body: bytes, lengths: list[int], foreign: list[int]) -> dict[int, bytes]:
