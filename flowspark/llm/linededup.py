@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, magnitude, stash, table
+from .common import WORD, drop_stash, magnitude, stash, table
 from .quality import bound
 
 PERCENT = 80
@@ -100,9 +100,8 @@ def prefixes(docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame
 
 
 def exploded(reps: DataFrame) -> DataFrame:
-    """One row for each prefix word, with the length class that limits partners by length."""
-    rows = reps.select("doc", "line_no", "n", "b1", "b2", F.posexplode("prefix").alias("at", "word"))
-    return rows.withColumn("common", F.shiftright("word", 56) >= COMMON)
+    """One row for each prefix word."""
+    return reps.select("doc", "line_no", "n", "b1", "b2", "undecided", F.posexplode("prefix").alias("at", "word"))
 
 
 def length_class(n: Column, percent: int) -> Column:
@@ -110,25 +109,28 @@ def length_class(n: Column, percent: int) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
 
 
-def partners(x: DataFrame, y: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a line of x and an earlier line of y that share a prefix word and pass all filters: doc, line_no, to_doc, to_line."""
+def partners(x: DataFrame, y: DataFrame, percent: int, on: list[str]) -> DataFrame:
+    """Pairs of an undecided line of x and an earlier line of y that share a prefix word and pass all filters: doc, line_no, to_doc, to_line.
+
+    x and y may be one plan, which is then shuffled once: no condition is on x alone.
+    """
     a, b = F.col("x.n"), F.col("y.n")
     # The least overlap: ceil(percent * (a + b) / (100 + percent)).
     overlap = F.floor((percent * (a + b) + 99 + percent) / (100 + percent))
     reach = F.least(a - F.col("x.at"), b - F.col("y.at"))
     differ = F.bit_count(F.col("x.b1").bitwiseXOR(F.col("y.b1"))) + F.bit_count(F.col("x.b2").bitwiseXOR(F.col("y.b2")))
-    near = x.withColumn("class", F.explode(F.array(*[length_class(F.col("n"), percent) + i for i in (-1, 0, 1)])))
     earlier = (F.col("y.doc") < F.col("x.doc")) | ((F.col("y.doc") == F.col("x.doc")) & (F.col("y.line_no") < F.col("x.line_no")))
+    together = F.lit(True)
+    for c in on:
+        together = together & (F.col(f"x.{c}") == F.col(f"y.{c}"))
+    close = (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (reach >= overlap) & (differ <= a + b - 2 * overlap)
+    open_x = F.col("x.undecided") * 2 + F.col("y.undecided") >= 2  # whatever y's is
     return (
-        near.alias("x")
-        .join(
-            y.withColumn("class", length_class(F.col("n"), percent)).alias("y"),
-            (F.col("x.word") == F.col("y.word")) & (F.col("x.class") == F.col("y.class")) & earlier
-            & (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (reach >= overlap) & (differ <= a + b - 2 * overlap),
-        )
+        x.alias("x")
+        .join(y.alias("y"), together & close & earlier & open_x)
         .select(F.col("x.doc").alias("doc"), F.col("x.line_no").alias("line_no"), F.col("y.doc").alias("to_doc"), F.col("y.line_no").alias("to_line"))
         .distinct()
-    )
+    )
 
 
 def verified(pairs: DataFrame, docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
@@ -154,13 +156,17 @@ def matches(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent
     same = (F.col("doc") == F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))
     reps = stash(every.join(firsts, ["k1", "k2"]).filter(same).select("doc", "line_no", "n", "b1", "b2", "prefix").dropDuplicates(["doc", "line_no"]), "reps")
 
-    common = exploded(reps).filter("common")
+    common = exploded(reps.withColumn("undecided", F.lit(1))).filter(F.shiftright("word", 56) >= COMMON)
+    classed = common.withColumn("class", length_class(F.col("n"), percent))
     order = Window.partitionBy("word", "class").orderBy("doc", "line_no")
-    pivots = common.withColumn("class", length_class(F.col("n"), percent)).withColumn("k", F.row_number().over(order)).filter(F.col("k") <= PIVOTS).drop("k", "class")
-    near = stash(partners(common, pivots, percent), "pairs")
+    pivots = classed.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= PIVOTS).drop("k")
+    near = stash(partners(classed, pivots, percent, ["word", "class"]), "pairs")
     early = stash(verified(near, docs, text, doc_id, percent), "matches")
-    left = stash(reps.join(early, ["doc", "line_no"], "left_anti"), "undecided")
-    rest = stash(partners(exploded(left), exploded(reps), percent), "pairs")
+    decided = early.select("doc", "line_no", F.lit(0).alias("decided"))
+    flagged = stash(reps.join(decided, ["doc", "line_no"], "left").withColumn("undecided", F.coalesce("decided", F.lit(1))).drop("decided"), "flagged")
+    drop_stash(reps)
+    every_word = exploded(flagged)
+    rest = stash(partners(every_word, every_word, percent, ["word"]), "pairs")
     late = stash(verified(rest, docs, text, doc_id, percent), "matches")
 
     # A line's own class may have an earlier line, and the class's first line may match an earlier class.
