@@ -39,7 +39,7 @@ TOKENIZER = "word_bpe_49k.json"
 CACHE_WORDS = 900_000
 NODES = 20_000
 #: Texts that are encoded together.
-GROUP = 128
+GROUP = 192
 #: Completions that are looked at for one largest piece.
 FILLINGS = 64
 
@@ -66,21 +66,22 @@ class WordEncoder:
         self.cache: dict[bytes, bytes] = {}
         self.cores: dict[str, bytes] = {}
 
-    def encoded(self, words: list[str]) -> list[bytes]:
-        """The ids of each of some words without white space."""
-        plain = [w for w in words if "<|" not in w and not any(map(str.isspace, w))] if any("<|" in w or len(w.split()) != 1 for w in words) else words
-        got = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+    def encoded(self, words: list[str], single: bool = False) -> list[bytes]:
+        """The ids of each of some words without white space. single: each is one part to the tokenizer."""
+        text = " ".join(words)
+        if "<|" in text or len(text.split()) != len(words):  # special tokens and other white space: one by one
+            return [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes() for w in words]
+        got = self.tokenizer.encode(text, add_special_tokens=False)
         ids = np.array(got.ids, dtype="<u4").tobytes()
-        first = np.cumsum([0, *[len(w) + 1 for w in plain]])[:-1]
-        owner = np.searchsorted(first, np.fromiter((o[0] for o in got.offsets), dtype=np.int64, count=len(got.ids)), side="right") - 1
-        ends = np.cumsum(np.bincount(owner, minlength=len(plain)) * 4).tolist() if plain else []
-        known = {w: ids[a:b] for w, a, b in zip(plain, [0, *ends], ends, strict=False)}
-        for w in words:
-            if w not in known:
-                known[w] = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return [known[w] for w in words]
-
-    def learn(self, parts: set[bytes]) -> None:
+        if single:
+            owner = np.array(got.word_ids, dtype=np.int64)
+        else:
+            first = np.cumsum([0, *[len(w) + 1 for w in words]])[:-1]
+            owner = np.searchsorted(first, np.fromiter((o[0] for o in got.offsets), dtype=np.int64, count=len(got.ids)), side="right") - 1
+        ends = np.cumsum(np.bincount(owner, minlength=len(words)) * 4).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def learn(self, parts: list[bytes]) -> None:
         if len(self.cores) > CACHE_WORDS // 3:
             self.cores.clear()
         match, cores, cache = self.SIMPLE.fullmatch, self.cores, self.cache
@@ -89,7 +90,8 @@ class WordEncoder:
         for part in parts:
             word = part.decode()
             if m := match(word):
-                core, run = m[1].lower(), m[2]
+                core, run = m.groups()
+                core = core.lower()
                 simple.append((part, core, run))
                 if core not in cores:
                     new.add(core)
@@ -99,7 +101,7 @@ class WordEncoder:
                 other.append((part, word))
         if new:
             words = list(new)
-            cores.update(zip(words, self.encoded(words), strict=True))
+            cores.update(zip(words, self.encoded(words, single=True), strict=True))
         for part, core, run in simple:
             cache[part] = cores[core] + cores[run]
         for (part, _), ids in zip(other, self.encoded([w for _, w in other]) if other else [], strict=True):
@@ -110,10 +112,9 @@ class WordEncoder:
         own = dict.fromkeys(set().union(*texts))
         if len(self.cache) + len(own) > CACHE_WORDS:
             self.cache.clear()
-        if new := {p for p in own if p not in self.cache}:
+        if new := [part for part, ids in zip(own, map(self.cache.get, own), strict=True) if ids is None]:
             self.learn(new)
-        for part in own:
-            own[part] = self.cache[part]
+        own = dict(zip(own, map(self.cache.__getitem__, own), strict=True))
         return [b"".join(map(own.__getitem__, parts)) for parts in texts]
 
 
