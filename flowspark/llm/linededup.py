@@ -6,14 +6,15 @@ the length and positional filters and to a bound from parity bitmaps (the ones o
 the symmetric difference), and are verified on the full sets. A line that matches an earlier one (by
 doc_id, then line number) is removed.
 
-Lines with equal sets are one class, of which the first line is compared. Common prefix words come from families of near-copies; there
+Lines with equal sets are one class, of which the first line is compared. Sets so small that only an equal one can reach the
+threshold (up to three words at 80 percent) are classes too, but have no prefix words. Common prefix words come from families of near-copies; there
 each line is first compared with the `PIVOTS` earliest lines that share the word, and only lines that found no earlier match go on to the join
 with all earlier lines. So families don't make all their pairs, and no line loses its match.
 
 Rarity is kept as a quarter-power-of-two class for each of 2**20 hashes of words, a table of fixed size; any
 fixed order gives the same matches, a good one fewer candidates.
 
-Defined cases: a null text has no lines and stays null; lines of fewer than `MIN_WORDS` distinct words are kept; a document that
+Defined cases: a null text has no lines and stays null; lines without words are kept; a document that
 loses all its words is dropped by `drop_repeated_lines`; a null doc_id counts as the least id; rows with equal ids are parts of one
 document; an empty table gives an empty table; other columns are carried along.
 """
@@ -27,7 +28,6 @@ from .common import WORD, drop_stash, magnitude, stash, table
 from .quality import bound
 
 PERCENT = 80
-MIN_WORDS = 5
 HASHES = 1 << 20
 CHUNK = 1 << 10
 #: Words of a rarity class from this on are common (128 uses and more).
@@ -65,7 +65,7 @@ def lines_of(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 
 def prefixes(docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
-    """One row for each line that is long enough: doc, line_no, n, k1 and k2 (the set's key), b1 and b2 (bitmap), prefix.
+    """One row for each line with words: doc, line_no, n, k1 and k2 (the set's key), b1 and b2 (bitmap), prefix.
 
     An element of prefix is a word's class and 56 bits of its hash.
     """
@@ -91,10 +91,11 @@ def prefixes(docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame
             F.xxhash64(F.lit(7), t).alias("k2"),
             parity(t, 0).alias("b1"),
             parity(t, 1).alias("b2"),
-            F.slice(t, 1, n - least + 1).alias("prefix"),
+            # Even the set with one word more is too far from the smallest sets.
+            F.when(n * 100 >= (n + 1) * percent, F.slice(t, 1, n - least + 1)).otherwise(F.slice(t, 1, 0)).alias("prefix"),
         )
 
-    hashed = lines_of(docs, text, doc_id).select("doc", "line_no", token_set(F.col("line")).alias("h")).filter(F.size("h") >= MIN_WORDS)
+    hashed = lines_of(docs, text, doc_id).select("doc", "line_no", token_set(F.col("line")).alias("h")).filter(F.size("h") > 0)
     sets = hashed.withColumn("classes", classes).select("doc", "line_no", F.transform("h", ranked).alias("t"))
     return sets.select("doc", "line_no", bound(F.sort_array("t"), described).alias("d")).select("doc", "line_no", "d.*")
 

@@ -60,6 +60,16 @@ def test_families_of_near_copies(spark):
     assert found_lines(matches(spark.createDataFrame(rows, "doc_id long, text string"))).keys() == brute_lines(rows).keys()
 
 
+def test_short_lines_against_brute_force(spark):
+    """Equal sets of any size match, and four words match five that hold them."""
+    rnd = random.Random(4)
+    rows = [(i, "\n".join(" ".join(rnd.choice("abcdefg") for _ in range(rnd.randint(0, 8))) for _ in range(4))) for i in range(40)]
+    rows += [(100, "All rights reserved."), (101, "p q r s\nall  Rights reserved."), (102, "q p s t r"), (103, "u v w x y"), (104, "Les.\n\nu v w x"), (105, "les.\n\nu v w")]
+    got = found_lines(matches(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert got.keys() == brute_lines(rows, least=1).keys()
+    assert {(101, 1), (102, 0), (104, 2), (105, 0)} <= got.keys() and not {(101, 0), (105, 1), (105, 2)} & got.keys()
+
+
 def test_lines_edge_cases(awkward, empty):
     done = {r["doc_id"]: r for r in drop_repeated_lines(awkward).collect()}
     assert 2 not in done and done[1]["doc"] == 5 and done[3]["text"] is None and done[4]["text"] == "" and done[None]["text"]
