@@ -7,8 +7,10 @@ fixed size whatever the vocabulary, and a text's likelihood is the product of th
 likelihood, exact by the scaled forward recursion, and its rare tokens' shares, which come from a join with
 the whole count table.
 
-Baum-Welch: starting from a model fitted to a bounded sample, each round runs forward-backward over all training texts;
-the expected counts are summed by Spark and the model is re-estimated. States smooth their emissions towards the corpus.
+The start: all training texts, in parts of at most `PART` tokens, are dealt to states by a hash, and then to the state that gives
+them the highest probability, until few parts change their state or their likelihood stops rising. Baum-Welch: each round runs forward-backward
+over all training texts; the model is re-estimated until the likelihood settles. The counts of both are summed by Spark.
+States smooth their emissions towards the corpus.
 
 Probabilities sum to one over each token: a state's class probabilities do, and so do the shares within a class with one place for unseen tokens.
 
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +34,11 @@ from .common import stash, table
 from .toxicity import groups
 
 HEAD, TAIL, STATES = 60_000, 256, 8
-ROUNDS, SAMPLE_TEXTS, SAMPLE_ROUNDS = 2, 1500, 12
-#: Texts of the starting sample have at most so many tokens.
-SAMPLE_TOKENS = 4000
+#: The start is settled once at most this share of the parts change their state, after so many rounds at least.
+MOVED, START_ROUNDS = 0.02, 4
+#: Baum-Welch is settled once a round raises the log likelihood by at most this share.
+SETTLED = 1e-3
+PART = 1000
 SMOOTH = 500.0
 PIECE = 200_000
 #: Tokens whose recursions are held together.
@@ -185,8 +189,31 @@ def expected(model: Model, texts: list[np.ndarray], sums: dict) -> None:
     sums["log"] += np.log(scales).sum()
 
 
+def dealt(logs: list, texts: list[np.ndarray], sums: dict) -> None:
+    """Add the counts of parts in their likeliest states to sums. logs: those of the last emissions and the ones before; None deals by a hash."""
+    classes, k = sums["emit"].shape
+    parts = [p for t in texts for p in pieces_of(t, PART)]
+    for group in batches_by_length(parts):
+        mine = [parts[i] for i in group]
+        sizes, flat = np.array([len(p) for p in mine]), np.concatenate(mine)
+        starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        states = []
+        for table in logs:
+            if table is None:
+                states.append(np.array([zlib.crc32(p.tobytes()) % k for p in mine]))
+            else:
+                total = np.add.reduceat(table[flat], starts, axis=0)
+                states.append(total.argmax(axis=1))
+                if table is logs[0]:
+                    sums["log"] += total.max(axis=1).sum()
+        sums["start"] += np.bincount(states[0], minlength=k)
+        sums["emit"] += np.bincount(flat * k + np.repeat(states[0], sizes), minlength=classes * k).reshape(classes, k)
+        sums["moved"] += float((states[0] != states[-1]).sum())
+        sums["parts"] += float(len(mine))
+
+
 def empty_sums(classes: int, k: int) -> dict:
-    return {"start": np.zeros(k), "move": np.zeros((k, k)), "emit": np.zeros((classes, k)), "log": 0.0}
+    return {"start": np.zeros(k), "move": np.zeros((k, k)), "emit": np.zeros((classes, k)), "log": 0.0, "moved": 0.0, "parts": 0.0}
 
 
 def estimated(sums: dict, corpus: np.ndarray) -> Model:
@@ -198,70 +225,79 @@ def estimated(sums: dict, corpus: np.ndarray) -> Model:
     return Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit)
 
 
-def pieces_of(ids: np.ndarray) -> list[np.ndarray]:
-    return [ids[i : i + PIECE] for i in range(0, len(ids), PIECE)]
-
-
-def first_model(texts: list[np.ndarray], corpus: np.ndarray, states: int, rounds: int = SAMPLE_ROUNDS) -> Model:
-    """Texts start in random states and settle by whole-text reassignment, then by Baum-Welch."""
-    rng = np.random.default_rng(7)
-    k, classes = states, len(corpus)
-    sums = empty_sums(classes, k)
-    mine = rng.integers(0, k, len(texts))
-    for _ in range(rounds):
-        counts = np.full((classes, k), 0.0)
-        for t, s in zip(texts, mine, strict=True):
-            counts[:, s] += np.bincount(t, minlength=classes)
-        sums = {"start": np.bincount(mine, minlength=k).astype(float), "move": np.eye(k) * 100, "emit": counts, "log": 0.0}
-        logs = np.log(estimated(sums, corpus).emit)
-        mine = np.array([int(np.argmax(logs[t].sum(axis=0))) for t in texts], dtype=int)
-    model = estimated(sums, corpus)
-    for _ in range(2):
-        sums = empty_sums(classes, k)
-        for group in batches_by_length(texts):
-            expected(model, [texts[i] for i in group], sums)
-        model = estimated(sums, corpus)
-    return model
+def pieces_of(ids: np.ndarray, size: int = PIECE) -> list[np.ndarray]:
+    return [ids[i : i + size] for i in range(0, len(ids), size)]
 
 
-def trained(docs: DataFrame, corpus: np.ndarray, states: int, rounds: int) -> Model:
-    """docs: the training rows of encoded()."""
-    spark, classes = docs.sparkSession, len(corpus)
-    sample = docs.filter(F.length("ids") <= 2 * SAMPLE_TOKENS).orderBy(F.xxhash64("ids"), "ids").select("ids").limit(SAMPLE_TEXTS).toArrow()
-    texts = [np.frombuffer(x.as_py(), dtype="<u2").astype(np.int64) for x in sample.column(0)]
-    if not texts:
-        return Model(np.ones(states) / states, np.ones((states, states)) / states, np.repeat(corpus[:, None], states, axis=1))
-    model = first_model(texts, corpus, states)
+def all_expected(model: Model, texts: list[np.ndarray], sums: dict) -> None:
+    pieces = [p for t in texts for p in pieces_of(t)]
+    for group in batches_by_length(pieces):
+        expected(model, [pieces[i] for i in group], sums)
+
+
+def sums_here(texts: list[np.ndarray], add: Callable, told, classes: int, states: int) -> dict:
+    sums = empty_sums(classes, states)
+    add(told, texts, sums)
+    return sums
+
+
+def sums_of_all(docs: DataFrame, add: Callable, told, classes: int, states: int) -> dict:
+    """What add(told, texts, sums) adds to sums over all rows. docs: the training rows of encoded()."""
     names = ["kind", "at", *[f"s{j}" for j in range(states)]]
     schema = ", ".join(["kind int", "at int", *[f"s{j} double" for j in range(states)]])
-    for _ in range(rounds):
-        told = spark.sparkContext.broadcast(model)  # classes x states numbers
-
-        def run(batches: Iterator[pa.RecordBatch], told=told) -> Iterator[pa.RecordBatch]:
-            model, sums = told.value, empty_sums(classes, states)
-            for batch in batches:
-                texts = [p for x in batch.column(0) for p in pieces_of(np.frombuffer(x.as_py(), dtype="<u2").astype(np.int64))]
-                for group in batches_by_length(texts):
-                    expected(model, [texts[i] for i in group], sums)
-            some = np.flatnonzero(sums["emit"].any(axis=1))
-            log = np.zeros((1, states))
-            log[0, 0] = sums["log"]
-            table = np.concatenate([sums["emit"][some], sums["move"], sums["start"][None], log])
-            kind = np.concatenate([np.zeros(len(some)), np.ones(states), [2], [3]]).astype(np.int32)
-            at = np.concatenate([some, np.arange(states), [0], [0]]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(at), *[pa.array(table[:, j]) for j in range(states)]], names=names)
-
-        # Expected counts are summed before and after the shuffle; what comes back is one row for each class.
-        counted = docs.select("ids").mapInArrow(run, schema).groupBy("kind", "at").agg(*[F.sum(f"s{j}").alias(f"s{j}") for j in range(states)]).toArrow()
-        kind, at = counted.column(0).to_numpy(), counted.column(1).to_numpy()
-        rows = np.stack([counted.column(2 + j).to_numpy() for j in range(states)], axis=1)
+    shared = docs.sparkSession.sparkContext.broadcast(told)  # classes x states numbers, twice at most
+    single = ["log", "moved", "parts"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = empty_sums(classes, states)
-        sums["emit"][at[kind == 0]] = rows[kind == 0]
-        sums["move"][at[kind == 1]] = rows[kind == 1]
-        sums["start"] = rows[kind == 2].sum(axis=0)
+        for batch in batches:
+            add(shared.value, [np.frombuffer(x.as_py(), dtype="<u2").astype(np.int64) for x in batch.column(0)], sums)
+        some = np.flatnonzero(sums["emit"].any(axis=1))
+        ones = np.zeros((len(single), states))
+        ones[:, 0] = [sums[x] for x in single]
+        table = np.concatenate([sums["emit"][some], sums["move"], sums["start"][None], ones])
+        kind = np.concatenate([np.zeros(len(some)), np.ones(states), [2], np.full(len(single), 3)]).astype(np.int32)
+        at = np.concatenate([some, np.arange(states), [0], np.arange(len(single))]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(at), *[pa.array(table[:, j]) for j in range(states)]], names=names)
+
+    # Counts are summed before and after the shuffle; what comes back is one row for each class.
+    counted = docs.select("ids").mapInArrow(run, schema).groupBy("kind", "at").agg(*[F.sum(f"s{j}").alias(f"s{j}") for j in range(states)]).toArrow()
+    shared.unpersist()
+    kind, at = counted.column(0).to_numpy(), counted.column(1).to_numpy()
+    rows = np.stack([counted.column(2 + j).to_numpy() for j in range(states)], axis=1)
+    sums = empty_sums(classes, states)
+    sums["emit"][at[kind == 0]] = rows[kind == 0]
+    sums["move"][at[kind == 1]] = rows[kind == 1]
+    sums["start"] = rows[kind == 2].sum(axis=0)
+    for i, name in enumerate(single):
+        sums[name] = float(rows[(kind == 3) & (at == i), 0].sum())
+    return sums
+
+
+def first_model(texts, corpus: np.ndarray, states: int, rounds: int = START_ROUNDS, count: Callable = sums_here) -> Model:
+    """Parts of the texts start in states by their hashes and settle by reassignment, in so many rounds at least."""
+    logs, last, done = [None], -math.inf, 0
+    while True:
+        sums = count(texts, dealt, logs, len(corpus), states)
+        model = estimated(sums | {"move": np.eye(states) * 100}, corpus)
+        done += 1
+        stays = logs[0] is not None and (sums["moved"] <= MOVED * sums["parts"] or sums["log"] <= last)
+        if not sums["parts"] or (done >= rounds and stays):
+            return model
+        last = sums["log"] if logs[0] is not None else last
+        with np.errstate(divide="ignore"):  # classes that no token has
+            logs = [np.log(model.emit), logs[0]]
+
+
+def trained(docs: DataFrame, corpus: np.ndarray, states: int) -> Model:
+    """docs: the training rows of encoded()."""
+    model, last = first_model(docs, corpus, states, count=sums_of_all), -math.inf
+    while True:
+        sums = sums_of_all(docs, all_expected, model, len(corpus), states)
         model = estimated(sums, corpus)
-        told.unpersist()
-    return model
+        if sums["log"] - last <= SETTLED * abs(sums["log"]):  # also without training texts
+            return model
+        last = sums["log"]
 
 
 def class_scores(docs: DataFrame, model: Model, head_logs: np.ndarray) -> DataFrame:
@@ -285,7 +321,7 @@ def class_scores(docs: DataFrame, model: Model, head_logs: np.ndarray) -> DataFr
     return docs.select("key", "doc_id", "ids").mapInArrow(run, f"key bigint, doc_id {kind}, n_tokens bigint, classes double, head_base double, head_known bigint")
 
 
-def scored(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, head_size: int = HEAD) -> DataFrame:
+def scored(docs: DataFrame, states: int = STATES, head_size: int = HEAD) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. docs: doc_id, text."""
     spark = docs.sparkSession
     texts = docs.filter(~held_out(F.col("doc_id"))).select(F.coalesce("text", F.lit("")).cast("binary").alias("text"))
@@ -310,7 +346,7 @@ def scored(docs: DataFrame, states: int = STATES, rounds: int = ROUNDS, head_siz
     base_of = lambda c: np.log10((c + 1.0) / (n + v + 1.0))
 
     rows = encoded(docs, head)
-    model = trained(rows.filter("train"), corpus, states, rounds)
+    model = trained(rows.filter("train"), corpus, states)
     shares = spark.createDataFrame(pa.table({"class": pa.array(range(TAIL), pa.int32()), "all": pa.array(tail_n + tail_v + 1.0)}))
     asked = rows.select("key", F.explode("tail").alias("t")).select("key", "t.token", "t.n")
     found = asked.join(rare.select("token", "c"), "token", "left").withColumn("class", group).join(F.broadcast(shares), "class")  # TAIL rows

@@ -123,6 +123,23 @@ def test_scores(spark):
     assert sum(r["score"] for r in rows.values()) > sum(r["base_score"] for r in rows.values())
 
 
+def test_states_of_long_texts_among_copies(spark):
+    """Only texts of over 4000 tokens, most of them copies of one: the states still tell the kinds of texts apart."""
+    rnd = random.Random(8)
+    docs = [(i, " ".join(rnd.choice("abcdefgh" if i % 2 else "ijklmnop") for _ in range(4500))) for i in range(30)]
+    docs += [(100 + i, docs[0][1]) for i in range(30)]
+    for r in hmm.scored(spark.createDataFrame(docs, "doc_id long, text string"), head_size=20).collect():
+        if r["doc_id"] < 100 and r["doc_id"] % 2:  # the kind without copies; a single state gives what the base score gives
+            assert r["score"] - r["base_score"] > 0.2 * r["n_tokens"]
+
+
+def test_start_covers_all_texts():
+    texts = [np.arange(n) % 7 for n in (1, hmm.PART, 3 * hmm.PART + 1)]
+    sums = hmm.empty_sums(7, 3)
+    hmm.dealt([None], texts, sums)
+    assert sums["emit"].sum() == sum(map(len, texts)) and sums["start"].sum() == sums["parts"] == 6
+
+
 def test_scores_edge_cases(awkward, empty):
     assert hmm.scored(awkward).count() == 9
     assert hmm.scored(empty).count() == 0
