@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import contextlib
-import gc
 import sys
 import tempfile
 import threading
@@ -35,30 +34,41 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of earlier steps: it does so once nothing refers to their plans."""
-    gc.collect()
-    spark._jvm.System.gc()
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stash(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-    """Cut the lineage: write df as Parquet in the shared folder and read it back.
+@contextlib.contextmanager
+def shuffles_end_with_the_job(spark: SparkSession):
+    """Spark deletes a job's shuffle files as soon as it has written its table, instead of whenever the driver collects garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
+def stash(df: DataFrame, name: str, compression: str = "zstd", by: str | None = None) -> DataFrame:
+    """Cut the lineage: write df as Parquet in the shared folder (in a folder for each value of `by`) and read it back.
 
     Unlike a block held by one executor, the files survive the loss of any executor.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    release(df.sparkSession)
-    df.write.option("compression", compression).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    writer = df.write.option("compression", compression)
+    with shuffles_end_with_the_job(spark):
+        (writer.partitionBy(by) if by else writer).parquet(path)
+    kept = spark.read.schema(df.schema).parquet(path)
+    kept._stash = path
+    return kept
 
 
 def drop_stash(*frames: DataFrame) -> None:
-    """Delete stashed tables that nothing reads any more."""
+    """Delete stashed tables that nothing reads any more. frames: as stash() returned them."""
     for df in frames:
         spark = df.sparkSession
-        for file in df.inputFiles()[:1]:
-            path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stash)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextlib.contextmanager

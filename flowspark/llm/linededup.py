@@ -4,19 +4,21 @@ A line is the set of its words (in lower case). Words are counted over the corpu
 rarity, and lines whose Jaccard similarity reaches the threshold must share a word of their prefixes. Pairs that do are held to
 the length and positional filters and to a bound from parity bitmaps (the ones of the XOR never exceed
 the symmetric difference), and are verified on the full sets. A line that matches an earlier one (by
-doc_id, then line number) is removed.
+doc_id, then a hash of the text, then line number) is removed.
 
-Lines with equal sets are one class, of which the first line is compared. Sets so small that only an equal one can reach the
-threshold (up to three words at 80 percent) are classes too, but have no prefix words. Common prefix words come from families of near-copies; there
-each line is first compared with the `PIVOTS` earliest lines that share the word, and only lines that found no earlier match go on to the join
-with all earlier lines. So families don't make all their pairs, and no line loses its match.
+Lines with equal sets are one class, of which the earliest line is compared. Sets so small that only an equal one can reach the
+threshold (up to three words at 80 percent) are classes too, but have no prefix words; nor are words joined that the corpus holds once.
+Common prefix words come from families of near-copies; there each line is first compared with the `PIVOTS` earliest lines of its
+length that share the word, and only pairs with a line that found no earlier match go on to the join of all lines. So families don't
+make all their pairs, and no line loses its match. Common words are joined within classes of like length, rare ones alone.
 
-Rarity is kept as a quarter-power-of-two class for each of 2**20 hashes of words, a table of fixed size; any
-fixed order gives the same matches, a good one fewer candidates.
+Rarity is kept as a quarter-power-of-two class for each hash of words, in a table that grows with the number of documents up to
+2**`MOST_BITS` bytes; any fixed order gives the same matches, a good one fewer candidates.
 
 Defined cases: a null text has no lines and stays null; lines without words are kept; a document that
-loses all its words is dropped by `drop_repeated_lines`; a null doc_id counts as the least id; rows with equal ids are parts of one
-document; an empty table gives an empty table; other columns are carried along.
+loses all its words is dropped by `drop_repeated_lines`; a null doc_id counts as the least id; rows with equal ids and different texts are
+documents of their own; rows with equal ids and texts are one document given twice, and get equal results; an empty table gives an
+empty table; other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -28,81 +30,97 @@ from .common import WORD, drop_stash, magnitude, stash, table
 from .quality import bound
 
 PERCENT = 80
-HASHES = 1 << 20
+#: The rarity table has 2**LEAST_BITS hashes at least and 2**MOST_BITS at most, and else 8 to 16 for each document.
+LEAST_BITS, MOST_BITS = 12, 24
 CHUNK = 1 << 10
-#: Words of a rarity class from this on are common (128 uses and more).
-COMMON = 32
+#: Words of a rarity class from this on (128 uses and more), and from so many classes above the mean use of a hash on, are common.
+COMMON, ABOVE_MEAN = 32, 8
+#: The rarity class of hashes that are used once.
+ONCE = 5
 PIVOTS = 8
+#: Where a line stands; earlier lines are less.
+PLACE = ["doc", "mark", "line_no"]
 
 
 def words_of(line: Column) -> Column:
     """The words of a line in lower case; spaces, tabs and the like part them, and some may be empty."""
-    plain = F.lower(line)
+    return F.split(plain(line), " ")
+
+
+def plain(text: Column) -> Column:
+    out = F.lower(text)
     for other in "\t\x0b\x0c\r":  # much faster than translate()
-        plain = F.replace(plain, F.lit(other), F.lit(" "))
-    return F.split(plain, " ")
+        out = F.replace(out, F.lit(other), F.lit(" "))
+    return out
 
 
-def token_set(line: Column) -> Column:
-    """Distinct words of a line as 64-bit hashes."""
-    return F.array_remove(F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+def token_set(words: Column) -> Column:
+    """Distinct words as 64-bit hashes."""
+    return F.array_remove(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
-def rarity(docs: DataFrame, text: str) -> Column:
-    """The classes of all hashes, in order, as a scalar subquery: a table of HASHES small numbers whatever the input."""
+def rarity(docs: DataFrame, text: str) -> tuple[DataFrame, int, int]:
+    """The classes of all hashes, in chunks; the number of hashes, and the class from which on words are common."""
+    bits = min(max((16 * max(docs.count(), 1)).bit_length() - 1, LEAST_BITS), MOST_BITS)
     words = docs.select(F.explode(words_of(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))).alias("w"))
-    counts = words.groupBy(F.pmod(F.xxhash64("w"), F.lit(HASHES)).cast("int").alias("h")).agg(F.count(F.lit(1)).alias("n"))
-    every = docs.sparkSession.range(HASHES).select(F.col("id").cast("int").alias("h")).join(counts, "h", "left")
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND((1 << bits) - 1).cast("int").alias("h")).agg(F.count(F.lit(1)).alias("n"))
+    every = docs.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("h")).join(counts, "h", "left").select("h", F.coalesce("n", F.lit(0)).alias("n"))
     chunks = every.groupBy((F.col("h") / CHUNK).cast("int").alias("c")).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("h", magnitude(F.coalesce("n", F.lit(0))).cast("tinyint").alias("k")))), lambda x: x["k"]).alias("ks")
+        F.transform(F.sort_array(F.collect_list(F.struct("h", F.least(magnitude(F.col("n")), F.lit(127)).cast("tinyint").alias("k")))), lambda x: x["k"]).alias("ks"),
+        F.sum("n").alias("n"),
     )
     kept = stash(chunks, "rarity")
-    return kept.select(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("c", "ks"))), lambda x: x["ks"])).alias("ks")).scalar()
+    mean = int(kept.agg(F.sum("n")).first()[0] or 0) >> bits
+    return kept, bits, max(COMMON, 4 * mean.bit_length() + ABOVE_MEAN)
 
 
 def lines_of(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    return docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
+    lines = F.posexplode(F.split(plain(F.col(text)), "\n")).alias("line_no", "line")
+    return docs.select(*place_of(docs, text, doc_id), lines)
+
+
+def place_of(docs: DataFrame, text: str, doc_id: str) -> list[Column]:
+    """doc and mark, which tell documents apart."""
+    return [F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64(text).alias("mark")]
 
 
 def prefixes(docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
-    """One row for each line with words: doc, line_no, n, k1 and k2 (the set's key), b1 and b2 (bitmap), prefix.
+    """One row for each line with words: its place, n, k1 and k2 (the set's key), bits (its words' parities), rare and codes.
 
-    An element of prefix is a word's class and 56 bits of its hash.
+    codes are 31-bit hashes of the prefix words, rarest first, or 0 for words that occur once; the first `rare` of them are not common.
     """
-    classes = rarity(docs, text)
+    chunks, n_bits, common = rarity(docs, text)
+    classes = chunks.select(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("c", "ks"))), lambda x: x["ks"])).alias("ks")).scalar()
 
     def ranked(h: Column) -> Column:
-        # Class first (as the highest bits), then the hash.
-        k = F.coalesce(F.element_at("classes", (F.pmod(h, F.lit(HASHES)) + 1).cast("int")).cast("bigint"), F.lit(0).cast("bigint"))  # never null, so that numbers are sorted as such
+        # Class first (as the highest bits), then the hash; never null, so that numbers are sorted as such.
+        k = F.coalesce(F.get("classes", h.bitwiseAND((1 << n_bits) - 1).cast("int")).cast("bigint"), F.lit(0).cast("bigint"))
         return F.shiftleft(k, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    def parity(t: Column, odd: int) -> Column:
-        """The words whose lowest bit is odd, as flips of the 64 bits of a number."""
-        flip = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), F.shiftrightunsigned(h, 1).bitwiseAND(F.lit(63).cast("bigint")).cast("int"))
-        mine = lambda h: h.bitwiseAND(F.lit(1).cast("bigint")) == odd
-        return F.aggregate(t, F.lit(0).cast("bigint"), lambda a, h: F.when(mine(h), a.bitwiseXOR(flip(h))).otherwise(a))
+    def code(x: Column) -> Column:
+        hashed = F.greatest(F.shiftright(x, 24).bitwiseAND(0x7FFFFFFF).cast("int"), F.lit(1))
+        return F.when(F.shiftright(x, 56) <= ONCE, F.lit(0)).otherwise(hashed)
 
     def described(t: Column) -> Column:
         n = F.size(t)
         least = F.floor((n * percent + 99) / 100).cast("int")  # ceil(n * percent / 100)
+        # Even the set with one word more is too far from the smallest sets.
+        prefix = F.slice(t, 1, F.when(n * 100 >= (n + 1) * percent, n - least + 1).otherwise(0))
+        flip = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int"))
         return F.struct(
             n.alias("n"),
             F.xxhash64(t).alias("k1"),
             F.xxhash64(F.lit(7), t).alias("k2"),
-            parity(t, 0).alias("b1"),
-            parity(t, 1).alias("b2"),
-            # Even the set with one word more is too far from the smallest sets.
-            F.when(n * 100 >= (n + 1) * percent, F.slice(t, 1, n - least + 1)).otherwise(F.slice(t, 1, 0)).alias("prefix"),
+            F.aggregate(t, F.lit(0).cast("bigint"), lambda a, h: a.bitwiseXOR(flip(h))).alias("bits"),
+            F.size(F.filter(prefix, lambda x: F.shiftright(x, 56) < common)).alias("rare"),
+            F.transform(prefix, code).alias("codes"),
         )
 
-    hashed = lines_of(docs, text, doc_id).select("doc", "line_no", token_set(F.col("line")).alias("h")).filter(F.size("h") > 0)
-    sets = hashed.withColumn("classes", classes).select("doc", "line_no", F.transform("h", ranked).alias("t"))
-    return sets.select("doc", "line_no", bound(F.sort_array("t"), described).alias("d")).select("doc", "line_no", "d.*")
-
-
-def exploded(reps: DataFrame) -> DataFrame:
-    """One row for each prefix word."""
-    return reps.select("doc", "line_no", "n", "b1", "b2", "undecided", F.posexplode("prefix").alias("at", "word"))
+    hashed = lines_of(docs, text, doc_id).select(*PLACE, token_set(F.split("line", " ")).alias("h")).filter(F.size("h") > 0)
+    sets = hashed.withColumn("classes", classes).select(*PLACE, F.transform("h", ranked).alias("t"))
+    done = stash(sets.select(*PLACE, bound(F.sort_array("t"), described).alias("d")).select(*PLACE, "d.*"), "prefixes")
+    drop_stash(chunks)
+    return done
 
 
 def length_class(n: Column, percent: int) -> Column:
@@ -110,8 +128,13 @@ def length_class(n: Column, percent: int) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
 
 
-def partners(x: DataFrame, y: DataFrame, percent: int, on: list[str]) -> DataFrame:
-    """Pairs of an undecided line of x and an earlier line of y that share a prefix word and pass all filters: doc, line_no, to_doc, to_line.
+def prefix_rows(reps: DataFrame, *carry: str) -> DataFrame:
+    """One row for each prefix word that others may have too."""
+    return reps.select("id", "n", "bits", "rare", *carry, F.posexplode("codes").alias("at", "code")).filter("code <> 0")
+
+
+def partners(x: DataFrame, y: DataFrame, percent: int, on: list[str], also: Column) -> DataFrame:
+    """id and to_id of rows of x and y that share a prefix word and pass all filters.
 
     x and y may be one plan, which is then shuffled once: no condition is on x alone.
     """
@@ -119,71 +142,83 @@ def partners(x: DataFrame, y: DataFrame, percent: int, on: list[str]) -> DataFra
     # The least overlap: ceil(percent * (a + b) / (100 + percent)).
     overlap = F.floor((percent * (a + b) + 99 + percent) / (100 + percent))
     reach = F.least(a - F.col("x.at"), b - F.col("y.at"))
-    differ = F.bit_count(F.col("x.b1").bitwiseXOR(F.col("y.b1"))) + F.bit_count(F.col("x.b2").bitwiseXOR(F.col("y.b2")))
-    earlier = (F.col("y.doc") < F.col("x.doc")) | ((F.col("y.doc") == F.col("x.doc")) & (F.col("y.line_no") < F.col("x.line_no")))
-    together = F.lit(True)
-    for c in on:
-        together = together & (F.col(f"x.{c}") == F.col(f"y.{c}"))
+    differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
     close = (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (reach >= overlap) & (differ <= a + b - 2 * overlap)
-    open_x = F.col("x.undecided") * 2 + F.col("y.undecided") >= 2  # whatever y's is
-    return (
-        x.alias("x")
-        .join(y.alias("y"), together & close & earlier & open_x)
-        .select(F.col("x.doc").alias("doc"), F.col("x.line_no").alias("line_no"), F.col("y.doc").alias("to_doc"), F.col("y.line_no").alias("to_line"))
-        .distinct()
-    )
-
-
-def verified(pairs: DataFrame, docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
-    """Of each line with a match: the earliest of its matches among pairs."""
-    places = pairs.select("doc", "line_no").union(pairs.select("to_doc", "to_line")).distinct()
-    asked = places.groupBy("doc").agg(F.collect_list("line_no").alias("wanted"))
-    body = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.col(text).alias("text"))
-    found = body.join(asked, "doc").select("doc", F.explode(bound(F.split("text", "\n"), lambda ls: F.transform(F.filter("wanted", lambda i: i < F.size(ls)), lambda i: F.struct(
-        i.alias("line_no"), F.array_remove(F.array_distinct(words_of(F.element_at(ls, i + 1))), "").alias("t"))))).alias("x"))
-    sets = stash(found.select("doc", "x.line_no", "x.t").dropDuplicates(["doc", "line_no"]), "line-sets")
-    other = sets.select(F.col("doc").alias("to_doc"), F.col("line_no").alias("to_line"), F.col("t").alias("u"))
+    for c in on:
+        also = also & (F.col(f"x.{c}") == F.col(f"y.{c}"))
+    return x.alias("x").join(y.alias("y"), also & close).select(F.col("x.id").alias("id"), F.col("y.id").alias("to_id")).distinct()
+
+
+def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
+    """id and match (a place): of each line with an earlier match among pairs, the earliest of them."""
+    ids = pairs.select("id").union(pairs.select("to_id")).distinct()
+    asked = reps.select("id", *PLACE).join(ids, "id", "left_semi").groupBy("doc", "mark").agg(F.collect_list(F.struct("line_no", "id")).alias("wanted"))
+    body = docs.select(*place_of(docs, text, doc_id), F.col(text).alias("text"))
+    taken = lambda ls: F.transform("wanted", lambda w: F.struct(w["id"].alias("id"), w["line_no"].alias("line_no"), token_set(F.split(F.get(ls, w["line_no"]), " ")).alias("t")))
+    found = body.join(asked, ["doc", "mark"]).select("doc", "mark", F.explode(bound(F.split(plain(F.col("text")), "\n"), taken)).alias("x"))
+    found = found.select("x.id", F.struct("doc", "mark", "x.line_no").alias("place"), "x.t")
+    sets = stash(found.dropDuplicates(["id"]), "line-sets")  # a document may be given twice
+    one = sets.select("id", F.struct("place", "id").alias("p"), "t")
+    other = sets.select(F.col("id").alias("to_id"), F.struct("place", "id").alias("q"), F.col("t").alias("u"))
     shared = F.size(F.array_intersect("t", "u"))
-    good = pairs.join(sets, ["doc", "line_no"]).join(other, ["to_doc", "to_line"]).filter(shared * 100 >= (F.size("t") + F.size("u") - shared) * percent)
-    return good.groupBy("doc", "line_no").agg(F.min(F.struct("to_doc", "to_line")).alias("match"))
+    good = pairs.join(one, "id").join(other, "to_id").filter(shared * 100 >= (F.size("t") + F.size("u") - shared) * percent)
+    directed = good.select(F.greatest("p", "q").alias("later"), F.least("p", "q")["place"].alias("earlier"))
+    done = stash(directed.groupBy("later.id").agg(F.min("earlier").alias("match")), "matches")
+    drop_stash(sets)
+    return done
+
+
+def matched_classes(reps: DataFrame, docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
+    """id and match of the classes (one row of reps each) whose first line matches an earlier line."""
+    also = F.col("x.id") != F.col("y.id")
+    common = prefix_rows(reps, "doc").filter("at >= rare").withColumn("class", length_class(F.col("n"), percent))
+    order = Window.partitionBy("code", "class").orderBy("doc", "id")
+    pivots = stash(common.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= PIVOTS).drop("k"), "pivots")
+    near = stash(partners(common, pivots, percent, ["code", "class"], also & (F.col("x.doc") >= F.col("y.doc"))), "pairs")
+    drop_stash(pivots)
+    early = verified(near, reps, docs, text, doc_id, percent)
+    drop_stash(near)
+
+    # Common words are joined within a class of lengths, where the lines of the class below are guests; rare words alone.
+    decided = early.select("id", F.lit(0).alias("open"))
+    rows = prefix_rows(reps.join(decided, "id", "left").withColumn("open", F.coalesce("open", F.lit(1))), "open")
+    is_common = F.col("at") >= F.col("rare")
+    rows = rows.withColumn("guest", F.explode(F.when(is_common, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    rows = rows.withColumn("class", F.when(is_common, length_class(F.col("n"), percent) + F.col("guest")).otherwise(F.lit(-1))).drop("rare")
+    once = (F.col("x.id") < F.col("y.id")) & (F.col("x.guest") + F.col("y.guest") < 2) & (F.col("x.open") + F.col("y.open") > 0)
+    rest = stash(partners(rows, rows, percent, ["code", "class"], once), "pairs")
+    late = verified(rest, reps, docs, text, doc_id, percent)
+    drop_stash(rest)
+    done = stash(early.unionByName(late).groupBy("id").agg(F.min("match").alias("match")), "matches")
+    drop_stash(early, late)
+    return done
 
 
 def matches(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
-    """doc, line_no, match struct<to_doc, to_line>: a row for each line that matches an earlier one."""
-    every = stash(prefixes(docs, text, doc_id, percent), "prefixes")
-    firsts = every.groupBy("k1", "k2").agg(F.min("doc").alias("first_doc"))
-    firsts = every.select("k1", "k2", F.col("doc").alias("first_doc"), "line_no").join(firsts, ["k1", "k2", "first_doc"])
-    firsts = stash(firsts.groupBy("k1", "k2", "first_doc").agg(F.min("line_no").alias("first_line")), "firsts")
-    same = (F.col("doc") == F.col("first_doc")) & (F.col("line_no") == F.col("first_line"))
-    reps = stash(every.join(firsts, ["k1", "k2"]).filter(same).select("doc", "line_no", "n", "b1", "b2", "prefix").dropDuplicates(["doc", "line_no"]), "reps")
-
-    common = exploded(reps.withColumn("undecided", F.lit(1))).filter(F.shiftright("word", 56) >= COMMON)
-    classed = common.withColumn("class", length_class(F.col("n"), percent))
-    order = Window.partitionBy("word", "class").orderBy("doc", "line_no")
-    pivots = classed.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= PIVOTS).drop("k")
-    near = stash(partners(classed, pivots, percent, ["word", "class"]), "pairs")
-    early = stash(verified(near, docs, text, doc_id, percent), "matches")
-    decided = early.select("doc", "line_no", F.lit(0).alias("decided"))
-    flagged = stash(reps.join(decided, ["doc", "line_no"], "left").withColumn("undecided", F.coalesce("decided", F.lit(1))).drop("decided"), "flagged")
-    drop_stash(reps)
-    every_word = exploded(flagged)
-    rest = stash(partners(every_word, every_word, percent, ["word"]), "pairs")
-    late = stash(verified(rest, docs, text, doc_id, percent), "matches")
+    """doc, mark, line_no, match (a place): a row for each line that matches an earlier one."""
+    every = prefixes(docs, text, doc_id, percent)
+    # The least place brings the other columns along; equal sets have equal ones.
+    firsts = every.groupBy("k1", "k2").agg(F.min(F.struct(*PLACE, "n", "bits", "rare", "codes")).alias("first"), F.count(F.lit(1)).alias("uses"))
+    reps = stash(firsts.select(F.monotonically_increasing_id().alias("id"), "k1", "k2", "uses", "first.*"), "reps")
+    found = matched_classes(reps, docs, text, doc_id, percent)
 
     # A line's own class may have an earlier line, and the class's first line may match an earlier class.
-    of_class = early.unionByName(late).select(F.col("doc").alias("first_doc"), F.col("line_no").alias("first_line"), "match")
-    lines = every.select("doc", "line_no", "k1", "k2").join(firsts, ["k1", "k2"])
-    lines = lines.join(of_class, ["first_doc", "first_line"], "left")
-    own = F.struct(F.col("first_doc").alias("to_doc"), F.col("first_line").alias("to_line"))
-    return lines.withColumn("match", F.coalesce("match", F.when(~same, own))).filter("match IS NOT NULL").select("doc", "line_no", "match")
+    place = F.struct(*PLACE)
+    classes = reps.join(found, "id", "left").filter("uses > 1 OR match IS NOT NULL").select("k1", "k2", place.alias("first"), "match")
+    lines = every.select(*PLACE, "k1", "k2").join(classes, ["k1", "k2"])
+    done = lines.select(*PLACE, F.coalesce("match", F.when(place != F.col("first"), F.col("first"))).alias("match")).filter("match IS NOT NULL")
+    done = stash(done, "line-matches")
+    drop_stash(every, reps, found)
+    return done
 
 
 def with_removed(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = PERCENT) -> DataFrame:
     """docs with _removed array<struct<line_no, to_doc, to_line>>, the lines to remove and the lines that they match."""
-    found = matches(docs, text, doc_id, percent).select("doc", F.struct("line_no", "match.to_doc", "match.to_line").alias("x"))
-    lists = found.groupBy("doc").agg(F.sort_array(F.collect_set("x")).alias("_removed"))
-    keyed = docs.withColumn("doc", F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))))
-    return keyed.join(lists.withColumnRenamed("doc", "_doc"), F.col("doc") == F.col("_doc"), "left").drop("doc", "_doc")
+    found = matches(docs, text, doc_id, percent)
+    told = F.struct("line_no", F.col("match.doc").alias("to_doc"), F.col("match.line_no").alias("to_line"))
+    lists = found.groupBy("doc", "mark").agg(F.sort_array(F.collect_set(told)).alias("_removed")).withColumnsRenamed({"doc": "_doc", "mark": "_mark"})
+    doc, mark = place_of(docs, text, doc_id)
+    return docs.join(lists, (F.col("_doc") == doc) & (F.col("_mark") == mark), "left").drop("_doc", "_mark")
 
 
 def kept_text(text: Column, removed: Column) -> Column:
@@ -197,7 +232,7 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_
     rows = docs.select(F.struct("*").alias("_row"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
     done = with_removed(rows, percent=percent).withColumn("_text", kept_text(F.col("text"), F.col("_removed")))
     empty = F.col("_removed").isNotNull() & ~F.col("_text").rlike(WORD)
-    return done.filter(~empty).select(F.col("_row").withField(text, F.col("_text")).alias("_row")).select("_row.*")
+    return done.filter(~empty).select(F.col("_row").withField(f"`{text}`", F.col("_text")).alias("_row")).select("_row.*")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_stash, release, stash, table
+from .common import drop_stash, stash, table
 from .minhash import mixed
 from .toxicity import groups
 
@@ -240,6 +240,5 @@ def media_columns(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -
 
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, store = media_columns(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    release(spark)
     got = docs.join(read_back(store), "media_key").drop("media_key")
     return got.withColumns({c: F.lower(F.hex(c)) for c in ("payload_sha256", "media_sha256")})

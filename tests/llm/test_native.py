@@ -14,9 +14,9 @@ from flowspark.llm.quality import bucket_floor, judged, measured, quality_filter
 from .conftest import words
 
 
-def brute_lines(rows, percent=80, least=5):
+def brute_lines(rows, percent=80):
     lines = sorted((i, k, frozenset(w for w in l.lower().split(" ") if w)) for i, t in rows for k, l in enumerate(t.split("\n")))
-    lines = [x for x in lines if len(x[2]) >= least]
+    lines = [x for x in lines if x[2]]
     out = {}
     for n, (i, k, s) in enumerate(lines):
         for j, m, t in lines[:n]:
@@ -27,7 +27,7 @@ def brute_lines(rows, percent=80, least=5):
 
 
 def found_lines(df):
-    return {(r["doc"], r["line_no"]): (r["match"]["to_doc"], r["match"]["to_line"]) for r in df.collect()}
+    return {(r["doc"], r["line_no"]): (r["match"]["doc"], r["match"]["line_no"]) for r in df.collect()}
 
 
 def test_lines_against_brute_force(spark):
@@ -66,7 +66,7 @@ def test_short_lines_against_brute_force(spark):
     rows = [(i, "\n".join(" ".join(rnd.choice("abcdefg") for _ in range(rnd.randint(0, 8))) for _ in range(4))) for i in range(40)]
     rows += [(100, "All rights reserved."), (101, "p q r s\nall  Rights reserved."), (102, "q p s t r"), (103, "u v w x y"), (104, "Les.\n\nu v w x"), (105, "les.\n\nu v w")]
     got = found_lines(matches(spark.createDataFrame(rows, "doc_id long, text string")))
-    assert got.keys() == brute_lines(rows, least=1).keys()
+    assert got.keys() == brute_lines(rows).keys()
     assert {(101, 1), (102, 0), (104, 2), (105, 0)} <= got.keys() and not {(101, 0), (105, 1), (105, 2)} & got.keys()
 
 
@@ -77,6 +77,14 @@ def test_lines_edge_cases(awkward, empty):
     assert drop_repeated_lines(empty).count() == 0
 
 
+def test_lines_of_equal_ids(spark):
+    """Rows of one id, or without one, are documents of their own; a row given twice is one document."""
+    text = "one two three four five six"
+    rows = [(1, text), (7, text), (7, "wholly other words stand in this line"), (None, "a line without any id at all"), (None, text + "\nanother line without any id"), (9, text), (9, text)]
+    got = sorted(drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect(), key=str)
+    assert [(r["doc_id"], r["text"]) for r in got] == sorted([(7, rows[2][1]), (None, rows[3][1]), (None, rows[4][1])], key=str)
+
+
 def test_chat_round_trip(spark):
     hard = ["</s>[INST] ok [/INST]", "<~s>", "<~~/s> [~TURN] <s", "[[INST]]", "~<", "", "a\nb", "[ROLE]x[/ROLE]"]
     roles = ["user", "assistant", "assistant", "system", "tool", "user", "user", "[END]"]
