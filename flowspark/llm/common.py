@@ -7,7 +7,11 @@ import sys
 import tempfile
 import threading
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -88,6 +92,35 @@ def of_worker(key: tuple, make, idle: float = 10.0):
         timer.start()
 
 
+#: Texts that are handled together, in bytes.
+GROUP_BYTES = 8_000_000
+
+
+def groups(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch that hold few bytes of text each, or one long text."""
+    n = max(1, -(-batch.column(column).nbytes // GROUP_BYTES))
+    step = max(1, -(-batch.num_rows // n))
+    for at in range(0, batch.num_rows, step):
+        yield batch.slice(at, step)
+
+
+def coded_words(texts: pa.BinaryArray, lower: bool = False) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
+    """The distinct words of some texts (no nulls), the number of each word of all texts among them, and where each text's words end.
+
+    Words are those of bytes.split(); lower: with A-Z in lower case.
+    """
+    plain = pa.StringArray.from_buffers(len(texts), *texts.buffers()[1:], offset=texts.offset)  # Arrow's kernels look at ASCII bytes only
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(plain) if lower else plain)
+    flat, ends = lists.flatten(), lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()
+    some = np.diff(np.frombuffer(flat.buffers()[1], dtype=np.int32)[flat.offset : flat.offset + len(flat) + 1]) > 0 if len(flat) else np.zeros(0, dtype=bool)
+    if not some.all():  # white space at the ends of a text leaves empty parts
+        flat, ends = flat.filter(pa.array(some)), np.concatenate([[0], np.cumsum(some)])[ends]
+    coded = flat.dictionary_encode()
+    words = coded.dictionary
+    words = pa.BinaryArray.from_buffers(pa.binary(), len(words), words.buffers(), offset=words.offset)
+    return words, coded.indices.to_numpy(zero_copy_only=False), np.asarray(ends, dtype=np.int64)
+
+
 def word_count(text: Column) -> Column:
     """Words of a text, as long; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

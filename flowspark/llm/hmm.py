@@ -7,46 +7,48 @@ fixed size whatever the vocabulary, and a text's likelihood is the product of th
 likelihood, exact by the scaled forward recursion, and its rare tokens' shares, which come from a join with
 the whole count table.
 
-The start: all training texts, in parts of at most `PART` tokens, are dealt to states by a hash, and then to the state that gives
-them the highest probability, until few parts change their state or their likelihood stops rising. Baum-Welch: each round runs forward-backward
-over all training texts; the model is re-estimated until the likelihood settles. The counts of both are summed by Spark.
-States smooth their emissions towards the corpus.
+Baum-Welch starts from random transitions and from the corpus' emissions with random factors. Each of `ROUNDS` rounds runs
+forward-backward over all training texts, in `BLOCKS` blocks; after each block the model is re-estimated from the block's counts and a
+fading sum of those before (stepwise expectation maximization), so that a round moves the model as often as there are blocks. A
+last round re-estimates it from the counts of all texts together. The counts are summed by Spark. States smooth their emissions towards the corpus.
 
 Probabilities sum to one over each token: a state's class probabilities do, and so do the shares within a class with one place for unseen tokens.
 
 Defined cases: a null or empty text is the end token alone; a null doc_id is trained on; repeated rows count
-repeatedly; without training texts all tokens are unseen; an empty table gives an empty table; very long texts are scored whole, and trained on
-in pieces of at most `PIECE` tokens; other columns are not used.
+repeatedly; without training texts all tokens are unseen; an empty table gives an empty table; very long texts are trained on and
+scored whole; other columns are not used.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash, table
-from .toxicity import groups
+from .common import coded_words, groups, magnitude, stash, table
 
 HEAD, TAIL, STATES = 60_000, 256, 8
-#: The start is settled once at most this share of the parts change their state, after so many rounds at least.
-MOVED, START_ROUNDS = 0.02, 4
-#: Baum-Welch is settled once a round raises the log likelihood by at most this share.
-SETTLED = 1e-3
-PART = 1000
-SMOOTH = 500.0
-PIECE = 200_000
+#: Rounds over all training texts, and the blocks of a round after each of which the model is re-estimated.
+ROUNDS, BLOCKS = 3, 16
+#: A block's counts weigh a share of the number of blocks so far to the power of -FORGET.
+FORGET = 0.5
+SMOOTH = 50.0
+SEED = 20_240_211
 #: Tokens whose recursions are held together.
-TOKENS = 400_000
-FLUSH = 400_000
+TOKENS = 1_000_000
 END = b""
 FOLDS, HELD_OUT = 7, 2
 
+#: start (K), move (K x K) and emit (classes x K), a plain tuple so that workers need no class of ours.
+Model = tuple[np.ndarray, np.ndarray, np.ndarray]
+
 
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
@@ -60,74 +62,71 @@ def tail_class(token: bytes) -> int:
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
-    """token binary, c long. texts: text (binary). Each task sends one row for a token, or one for each time its table was full."""
+    """token binary, c long. texts: text (binary). Words are counted in groups of texts, in tasks, and then over all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-
-        seen: Counter[bytes] = Counter()
+        for whole in batches:
+            for batch in groups(whole, 0):
+                words, codes, ends = coded_words(batch.column(0), lower=True)
+                counts = np.append(np.bincount(codes, minlength=len(words)), len(ends))
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([words, pa.array([END], pa.binary())]), pa.array(counts, pa.int64())], names=["token", "c"])
 
-        def out() -> pa.RecordBatch:
-            rows = pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["token", "c"])
-            seen.clear()
-            return rows
+    return texts.mapInArrow(run, "token binary, c bigint").groupBy("token").agg(F.sum("c").alias("c")).filter("c > 0")
 
-        for batch in batches:
-            for body in batch.column(0):
-                seen.update(body.as_py().lower().split())
-                seen[END] += 1
-                if len(seen) > FLUSH:
-                    yield out()
-        yield out()
 
-    return texts.mapInArrow(run, "token binary, c bigint").groupBy("token").agg(F.sum("c").alias("c"))
+def commonest(counts: DataFrame, n: int) -> pa.Table:
+    """The n most frequent tokens, ties by token. Only tokens in the classes of counts that hold them are sorted."""
+    classed = counts.withColumn("class", magnitude(F.col("c")))
+    held, least = 0, 0
+    for r in classed.groupBy("class").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("class")).collect():  # four classes for each power of two
+        held, least = held + r["n"], r["class"]
+        if held >= n:
+            break
+    return classed.filter(F.col("class") >= least).orderBy(F.desc("c"), "token").limit(n).select("token", "c").toArrow()
 
 
-def encoded(docs: DataFrame, head: dict[bytes, int]) -> DataFrame:
-    """key, doc_id, train, ids (16-bit class numbers), tail array<struct<token, n>>: one row per document."""
+def encoded(docs: DataFrame, head: list[bytes]) -> DataFrame:
+    """key, doc_id, train, ids (16-bit class numbers), tail array<struct<token, n>>, block: one row per document, in a folder for each block."""
     told = docs.sparkSession.sparkContext.broadcast(head)  # at most HEAD tokens
     names = ["doc_id", "train", "ids", "tail"]
-    kinds = pa.list_(pa.struct([("token", pa.binary()), ("n", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from collections import Counter
-
-        known = dict(told.value)
-        limit = len(known) + 300_000
+        known = pa.array(told.value, pa.binary())
         for whole in batches:
             for batch in groups(whole, 2):
-                ids, tails = [], []
-                for body in batch.column(2):
-                    words = body.as_py().lower().split()
-                    words.append(END)
-                    if any(w not in known for w in words):
-                        if len(known) > limit:
-                            known = dict(told.value)
-                        for w in words:
-                            if w not in known:
-                                known[w] = HEAD + tail_class(w)
-                    row = np.fromiter(map(known.__getitem__, words), dtype="<u2", count=len(words))
-                    ids.append(row.tobytes())
-                    tails.append([{"token": t, "n": n} for t, n in Counter([words[i] for i in np.flatnonzero(row >= HEAD)]).items()])
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array(tails, kinds)], names=names)
+                words, codes, ends = coded_words(batch.column(2), lower=True)
+                words = pa.concat_arrays([words, pa.array([END], pa.binary())])
+                n, end = batch.num_rows, len(words) - 1
+                sizes = np.diff(ends, prepend=0) + 1
+                ends = np.cumsum(sizes)
+                flat = np.full(int(ends[-1]) if n else 0, end, dtype=np.int64)
+                inner = np.ones(len(flat), dtype=bool)
+                inner[ends - 1] = False
+                flat[inner] = codes
+                classes = pc.index_in(words, value_set=known).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+                rare = np.flatnonzero(classes < 0)
+                tail_classes = classes.copy()
+                tail_classes[rare] = [HEAD + tail_class(w) for w in words.take(pa.array(rare)).to_pylist()]
+                ids = tail_classes[flat].astype("<u2")
+                body = pa.BinaryArray.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.append(0, ends * 2).astype(np.int32)), pa.py_buffer(ids)])
+                # A text's rare tokens with their numbers.
+                mine = np.flatnonzero(classes[flat] < 0)
+                pairs, many = np.unique(np.searchsorted(ends, mine, side="right") * len(words) + flat[mine], return_counts=True)
+                items = pa.StructArray.from_arrays([words.take(pa.array(pairs % len(words))), pa.array(many, pa.int32())], names=["token", "n"])
+                tails = pa.ListArray.from_arrays(pa.array(np.searchsorted(pairs, np.arange(n + 1) * len(words)), pa.int32()), items)
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), body, tails], names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     done = docs.select("doc_id", (~held_out(F.col("doc_id"))).alias("train"), F.coalesce("text", F.lit("")).cast("binary").alias("text")).mapInArrow(
         run, f"doc_id {kind}, train boolean, ids binary, tail array<struct<token: binary, n: int>>"
     )
-    return stash(done.withColumn("key", F.monotonically_increasing_id()), "encoded")
+    keyed = done.withColumn("key", F.monotonically_increasing_id())
+    return stash(keyed.withColumn("block", (F.col("key") % BLOCKS).cast("int")), "encoded", by="block")
 
 
 # --- the recursions -------------------------------------------------------------------------------
 
 
-class Model:
-    """start (K), move (K x K) and emit (classes x K)."""
-
-    def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
-        self.start, self.move, self.emit = start, move, emit
-
-
 def batches_by_length(texts: list[np.ndarray], tokens: int = TOKENS) -> Iterator[list[int]]:
     """Numbers of texts of like length, longest first, with about so many tokens together."""
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
@@ -142,125 +141,102 @@ def batches_by_length(texts: list[np.ndarray], tokens: int = TOKENS) -> Iterator
         yield group
 
 
+def side_by_side(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens of some texts (longest first) by their places: all first tokens, then all second ones, and so on; and where each place begins."""
+    sizes = np.array([len(t) for t in texts])
+    alive = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")
+    begins = np.concatenate([[0], np.cumsum(alive)])
+    out = np.empty(begins[-1], dtype=np.int64)
+    place = np.arange(len(out)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out[begins[place] + np.repeat(np.arange(len(texts)), sizes)] = np.concatenate(texts)
+    return out, begins
+
+
 def forward(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     """Natural logarithms of the texts' probabilities; texts of like length advance together. Longest first."""
-    sizes = np.array([len(t) for t in texts])
-    flat, starts = np.concatenate(texts), np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    start, move, emit = model
+    flat, begins = side_by_side(texts)
     total = np.zeros(len(texts))
-    alive = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")
-    state = model.start
-    for t in range(sizes[0]):
-        n = alive[t]
-        now = (state if not t else state[:n] @ model.move) * model.emit[flat[starts[:n] + t]]
+    state = start
+    for t, (a, b) in enumerate(itertools.pairwise(begins.tolist())):
+        now = (state[: b - a] @ move if t else state) * emit[flat[a:b]]
         scale = now.sum(axis=1)
-        total[:n] += np.log(scale)
+        total[: b - a] += np.log(scale)
         state = now / scale[:, None]
     return total
 
 
 def expected(model: Model, texts: list[np.ndarray], sums: dict) -> None:
     """Add the expected counts of start, move and emit, and the log likelihood, to sums. Longest first."""
-    sizes = np.array([len(t) for t in texts])
-    flat, starts = np.concatenate(texts), np.concatenate([[0], np.cumsum(sizes)])[:-1]
-    alive = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")
-    k = len(model.start)
-    ahead, scales = np.empty((len(flat), k)), np.empty(len(flat))
-    state = model.start
-    for t in range(sizes[0]):
-        at = starts[: alive[t]] + t
-        now = (state if not t else state[: len(at)] @ model.move) * model.emit[flat[at]]
+    start, move, emit = (x.astype(np.float32) for x in model)  # the scaled recursions stay near one
+    flat, begins = side_by_side(texts)
+    here = emit[flat]
+    ahead, scales = np.empty_like(here), np.empty(len(flat), dtype=np.float32)
+    spans = list(itertools.pairwise(begins.tolist()))
+    state = start
+    for t, (a, b) in enumerate(spans):
+        now = (state[: b - a] @ move if t else state) * here[a:b]
         scale = now.sum(axis=1)
-        state = now / scale[:, None]
-        ahead[at], scales[at] = state, scale
-    posterior = ahead.copy()
-    later = np.ones((0, k))
-    for t in range(sizes[0] - 2, -1, -1):
-        n = alive[t + 1]
-        if len(later) < n:
-            later = np.concatenate([later, np.ones((n - len(later), k))])
-        at = starts[:n] + t
-        step = model.emit[flat[at + 1]] * later / scales[at + 1][:, None]
-        sums["move"] += ahead[at].T @ step * model.move
-        later = step @ model.move.T
-        posterior[at] = ahead[at] * later
-    sums["start"] += posterior[starts].sum(axis=0)
-    for j in range(k):
-        sums["emit"][:, j] += np.bincount(flat, weights=posterior[:, j], minlength=len(model.emit))
-    sums["log"] += np.log(scales).sum()
-
-
-def dealt(logs: list, texts: list[np.ndarray], sums: dict) -> None:
-    """Add the counts of parts in their likeliest states to sums. logs: those of the last emissions and the ones before; None deals by a hash."""
-    classes, k = sums["emit"].shape
-    parts = [p for t in texts for p in pieces_of(t, PART)]
-    for group in batches_by_length(parts):
-        mine = [parts[i] for i in group]
-        sizes, flat = np.array([len(p) for p in mine]), np.concatenate(mine)
-        starts = np.concatenate([[0], np.cumsum(sizes)])[:-1]
-        states = []
-        for table in logs:
-            if table is None:
-                states.append(np.array([zlib.crc32(p.tobytes()) % k for p in mine]))
-            else:
-                total = np.add.reduceat(table[flat], starts, axis=0)
-                states.append(total.argmax(axis=1))
-                if table is logs[0]:
-                    sums["log"] += total.max(axis=1).sum()
-        sums["start"] += np.bincount(states[0], minlength=k)
-        sums["emit"] += np.bincount(flat * k + np.repeat(states[0], sizes), minlength=classes * k).reshape(classes, k)
-        sums["moved"] += float((states[0] != states[-1]).sum())
-        sums["parts"] += float(len(mine))
+        state = np.divide(now, scale[:, None], out=ahead[a:b])
+        scales[a:b] = scale
+    here /= scales[:, None]
+    moved, later = np.zeros(move.shape), np.ones((0, len(start)), dtype=np.float32)
+    back = np.ascontiguousarray(move.T)
+    for (a, _), (c, d) in zip(spans[-2::-1], spans[:0:-1], strict=True):
+        step = here[c:d]  # of the texts that go on
+        step[: len(later)] *= later
+        before = ahead[a : a + d - c]
+        moved += before.T @ step
+        later = step @ back
+        before *= later
+    sums["move"] += moved * model[1]
+    sums["start"] += ahead[: begins[1]].sum(axis=0, dtype=np.float64)
+    for j in range(len(start)):
+        sums["emit"][:, j] += np.bincount(flat, weights=ahead[:, j], minlength=len(emit))
+    sums["log"] += np.log(scales, dtype=np.float64).sum()
 
 
 def empty_sums(classes: int, k: int) -> dict:
-    return {"start": np.zeros(k), "move": np.zeros((k, k)), "emit": np.zeros((classes, k)), "log": 0.0, "moved": 0.0, "parts": 0.0}
+    return {"start": np.zeros(k), "move": np.zeros((k, k)), "emit": np.zeros((classes, k)), "log": 0.0}
 
 
 def estimated(sums: dict, corpus: np.ndarray) -> Model:
     """The model of these counts; corpus: the classes' probabilities over all states."""
-    start = sums["start"] + 1.0
-    move = sums["move"] + 0.1 + 10.0 * np.eye(len(start))
+    start, move = sums["start"] + 1.0, sums["move"] + 1.0
     share = SMOOTH + (sums["emit"] > 0.5).sum(axis=0)  # of what a state emits, as much is new as it has emitted kinds of classes
     emit = (sums["emit"] + share * corpus[:, None]) / (sums["emit"].sum(axis=0) + share)
-    return Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit)
+    return start / start.sum(), move / move.sum(axis=1, keepdims=True), emit
 
 
-def pieces_of(ids: np.ndarray, size: int = PIECE) -> list[np.ndarray]:
-    return [ids[i : i + size] for i in range(0, len(ids), size)]
+def first_model(corpus: np.ndarray, states: int) -> Model:
+    """Random transitions, and the corpus' emissions, each state's with random factors."""
+    rng = np.random.default_rng(SEED)
+    emit = corpus[:, None] * np.exp(rng.normal(size=(len(corpus), states)))
+    return np.full(states, 1 / states), rng.dirichlet(np.ones(states), states), emit / emit.sum(axis=0)
 
 
 def all_expected(model: Model, texts: list[np.ndarray], sums: dict) -> None:
-    pieces = [p for t in texts for p in pieces_of(t)]
-    for group in batches_by_length(pieces):
-        expected(model, [pieces[i] for i in group], sums)
-
-
-def sums_here(texts: list[np.ndarray], add: Callable, told, classes: int, states: int) -> dict:
-    sums = empty_sums(classes, states)
-    add(told, texts, sums)
-    return sums
+    for group in batches_by_length(texts):
+        expected(model, [texts[i] for i in group], sums)
 
 
-def sums_of_all(docs: DataFrame, add: Callable, told, classes: int, states: int) -> dict:
-    """What add(told, texts, sums) adds to sums over all rows. docs: the training rows of encoded()."""
+def sums_of(docs: DataFrame, model: Model) -> dict:
+    """The expected counts over all rows of docs (ids). They are summed before and after the shuffle; one row for each class comes back."""
+    classes, states = model[2].shape
     names = ["kind", "at", *[f"s{j}" for j in range(states)]]
     schema = ", ".join(["kind int", "at int", *[f"s{j} double" for j in range(states)]])
-    shared = docs.sparkSession.sparkContext.broadcast(told)  # classes x states numbers, twice at most
-    single = ["log", "moved", "parts"]
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # classes x states numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = empty_sums(classes, states)
         for batch in batches:
-            add(shared.value, [np.frombuffer(x.as_py(), dtype="<u2").astype(np.int64) for x in batch.column(0)], sums)
+            all_expected(shared.value, [np.frombuffer(x.as_py(), dtype="<u2").astype(np.int64) for x in batch.column(0)], sums)
         some = np.flatnonzero(sums["emit"].any(axis=1))
-        ones = np.zeros((len(single), states))
-        ones[:, 0] = [sums[x] for x in single]
-        table = np.concatenate([sums["emit"][some], sums["move"], sums["start"][None], ones])
-        kind = np.concatenate([np.zeros(len(some)), np.ones(states), [2], np.full(len(single), 3)]).astype(np.int32)
-        at = np.concatenate([some, np.arange(states), [0], np.arange(len(single))]).astype(np.int32)
+        table = np.concatenate([sums["emit"][some], sums["move"], sums["start"][None], np.full((1, states), sums["log"])])
+        kind = np.concatenate([np.zeros(len(some)), np.ones(states), [2, 3]]).astype(np.int32)
+        at = np.concatenate([some, np.arange(states), [0, 0]]).astype(np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(at), *[pa.array(table[:, j]) for j in range(states)]], names=names)
 
-    # Counts are summed before and after the shuffle; what comes back is one row for each class.
     counted = docs.select("ids").mapInArrow(run, schema).groupBy("kind", "at").agg(*[F.sum(f"s{j}").alias(f"s{j}") for j in range(states)]).toArrow()
     shared.unpersist()
     kind, at = counted.column(0).to_numpy(), counted.column(1).to_numpy()
@@ -269,35 +245,22 @@ def sums_of_all(docs: DataFrame, add: Callable, told, classes: int, states: int)
     sums["emit"][at[kind == 0]] = rows[kind == 0]
     sums["move"][at[kind == 1]] = rows[kind == 1]
     sums["start"] = rows[kind == 2].sum(axis=0)
-    for i, name in enumerate(single):
-        sums[name] = float(rows[(kind == 3) & (at == i), 0].sum())
+    sums["log"] = float(rows[kind == 3, 0].sum())
     return sums
 
 
-def first_model(texts, corpus: np.ndarray, states: int, rounds: int = START_ROUNDS, count: Callable = sums_here) -> Model:
-    """Parts of the texts start in states by their hashes and settle by reassignment, in so many rounds at least."""
-    logs, last, done = [None], -math.inf, 0
-    while True:
-        sums = count(texts, dealt, logs, len(corpus), states)
-        model = estimated(sums | {"move": np.eye(states) * 100}, corpus)
-        done += 1
-        stays = logs[0] is not None and (sums["moved"] <= MOVED * sums["parts"] or sums["log"] <= last)
-        if not sums["parts"] or (done >= rounds and stays):
-            return model
-        last = sums["log"] if logs[0] is not None else last
-        with np.errstate(divide="ignore"):  # classes that no token has
-            logs = [np.log(model.emit), logs[0]]
-
-
-def trained(docs: DataFrame, corpus: np.ndarray, states: int) -> Model:
-    """docs: the training rows of encoded()."""
-    model, last = first_model(docs, corpus, states, count=sums_of_all), -math.inf
-    while True:
-        sums = sums_of_all(docs, all_expected, model, len(corpus), states)
-        model = estimated(sums, corpus)
-        if sums["log"] - last <= SETTLED * abs(sums["log"]):  # also without training texts
-            return model
-        last = sums["log"]
+def trained(blocks: list, whole, tokens: int, corpus: np.ndarray, states: int, rounds: int = ROUNDS, count: Callable = sums_of) -> Model:
+    """Baum-Welch, block by block and then once over all. blocks and whole: what count(texts, model) counts; tokens: their number in whole."""
+    model, held, seen = first_model(corpus, states), None, 0
+    for block in blocks * rounds:
+        new = count(block, model)
+        if not new["emit"].any():
+            continue
+        share = (seen + 2) ** -FORGET
+        held = {name: held[name] * (1 - share) + new[name] * share for name in new} if seen else new
+        seen += 1
+        model = estimated({name: x * (tokens / held["emit"].sum()) for name, x in held.items()}, corpus)
+    return estimated(count(whole, model), corpus)
 
 
 def class_scores(docs: DataFrame, model: Model, head_logs: np.ndarray) -> DataFrame:
@@ -327,11 +290,11 @@ def scored(docs: DataFrame, states: int = STATES, head_size: int = HEAD) -> Data
     texts = docs.filter(~held_out(F.col("doc_id"))).select(F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     counts = stash(token_counts(texts), "token-counts")
     n, v = (int(x or 0) for x in counts.agg(F.sum("c"), F.count(F.lit(1))).first())
-    top = counts.orderBy(F.desc("c"), "token").limit(head_size).toArrow()  # bounded by HEAD
-    head = {t: i for i, t in enumerate(top.column(0).to_pylist())}
+    top = commonest(counts, head_size)  # bounded by HEAD
+    head = top.column(0).to_pylist()
     head_counts = np.zeros(HEAD, dtype=np.int64)
     head_counts[: len(head)] = top.column(1).to_numpy()
-    known_head = spark.createDataFrame(pa.table({"token": pa.array(list(head), pa.binary())})) if head else None
+    known_head = spark.createDataFrame(pa.table({"token": pa.array(head, pa.binary())})) if head else None
     rare = counts.join(F.broadcast(known_head), "token", "left_anti") if head else counts  # at most HEAD rows
     group = (F.crc32(F.when(F.length("token") > 3, F.expr("substring(token, -3, 3)")).otherwise(F.col("token"))) % TAIL).cast("int")
     rare = rare.withColumn("class", group)
@@ -346,7 +309,8 @@ def scored(docs: DataFrame, states: int = STATES, head_size: int = HEAD) -> Data
     base_of = lambda c: np.log10((c + 1.0) / (n + v + 1.0))
 
     rows = encoded(docs, head)
-    model = trained(rows.filter("train"), corpus, states)
+    train = rows.filter("train")
+    model = trained([train.filter(F.col("block") == b) for b in range(BLOCKS)], train, n, corpus, states)
     shares = spark.createDataFrame(pa.table({"class": pa.array(range(TAIL), pa.int32()), "all": pa.array(tail_n + tail_v + 1.0)}))
     asked = rows.select("key", F.explode("tail").alias("t")).select("key", "t.token", "t.n")
     found = asked.join(rare.select("token", "c"), "token", "left").withColumn("class", group).join(F.broadcast(shares), "class")  # TAIL rows

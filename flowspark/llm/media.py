@@ -26,9 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_stash, stash, table
+from .common import drop_stash, groups, stash, table
 from .minhash import mixed
-from .toxicity import groups
 
 BLOCK = 64
 LEAST, MASK_BITS, MOST = 512, 11, 8192

@@ -28,9 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash, table
+from .common import groups, stash, table
 from .components import components
-from .toxicity import groups
 
 WORDS, PERCENT, ROWS, BANDS = 3, 85, 5, 30
 BITS, SET_BITS = 256, 512

@@ -6,8 +6,9 @@ counts, whatever the size of the corpus, and returns patterns: a filling and how
 
 The solver is bin completion with branch and bound. The first incumbent is best-fit decreasing.
 Then the largest piece left is completed by undominated fillings, fullest first; a branch is cut when
-its waste exceeds what a solution better than the incumbent may waste. The search ends at the lower
-bound or after `nodes` nodes; the incumbent is returned, so every result is a whole packing.
+its waste exceeds what a solution better than the incumbent may waste. What a few nodes leave is packed by best fit, as further
+incumbents. Fillings are enumerated as they are needed and none is left out; the search ends at the lower bound, when nothing is left
+to try, or after `steps` steps. The incumbent is returned, so every result is a whole packing; the rows tell its size and the bound.
 
 Pieces are numbered within their length without gathering a length in one task, and each
 number belongs to one place in one pattern.
@@ -19,7 +20,8 @@ repeated rows are documents of their own; an empty table gives an empty table; o
 from __future__ import annotations
 
 import bisect
-import gc
+import json
+import logging
 import re
 import zlib
 from collections import Counter
@@ -30,18 +32,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import of_worker, ranked, spread, stash, table
+from .common import coded_words, groups, of_worker, ranked, spread, stash, table
 
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words in a worker's memory; the cache starts anew beyond.
 CACHE_WORDS = 900_000
-NODES = 20_000
-#: Texts that are encoded together.
-GROUP = 192
-#: Completions that are looked at for one largest piece.
-FILLINGS = 64
+#: Pieces of one length that are numbered together, about.
+CELL = 100_000
+#: Steps of the search, in nodes and in pieces tried for a filling.
+STEPS = 400_000
+
+#: The normalizers and splits of the tokenizer that can go word by word.
+NORMALIZERS = [("NFC", None, None), ("Replace", {"Regex": "\\s+"}, " "), ("Lowercase", None, None)]
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+SPLITS = [("Split", {"Regex": WORD_PATTERN}, "Removed", True, None, None), ("ByteLevel", None, None, None, False, False)]
 
 
 # --- pieces -----------------------------------------------------------------------------------
@@ -107,15 +113,46 @@ class WordEncoder:
         for (part, _), ids in zip(other, self.encoded([w for _, w in other]) if other else [], strict=True):
             self.cache[part] = ids
 
-    def __call__(self, texts: list[list[bytes]]) -> list[bytes]:
-        # A group's own words fit a processor's cache, the large cache does not: each word is looked up there once.
-        own = dict.fromkeys(set().union(*texts))
-        if len(self.cache) + len(own) > CACHE_WORDS:
+    def __call__(self, texts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, and where each text's ids end."""
+        distinct, codes, ends = coded_words(texts)
+        parts = distinct.to_pylist()
+        if len(self.cache) + len(parts) > CACHE_WORDS:
             self.cache.clear()
-        if new := [part for part, ids in zip(own, map(self.cache.get, own), strict=True) if ids is None]:
+        ids = list(map(self.cache.get, parts))
+        if new := [part for part, known in zip(parts, ids, strict=True) if known is None]:
             self.learn(new)
-        own = dict(zip(own, map(self.cache.__getitem__, own), strict=True))
-        return [b"".join(map(own.__getitem__, parts)) for parts in texts]
+            ids = list(map(self.cache.__getitem__, parts))
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        first = np.cumsum(sizes) - sizes
+        each = sizes[codes]
+        upto = np.cumsum(each)
+        at = np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(first[codes] - (upto - each), each)
+        return np.frombuffer(b"".join(ids), dtype="<u4")[at], np.concatenate([[0], upto])[ends]
+
+
+class TextEncoder:
+    """The same for any tokenizer, text by text."""
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def __call__(self, texts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
+        lists = [self.tokenizer.encode(t.decode(), add_special_tokens=False).ids for t in texts.to_pylist()]
+        return np.array([i for ids in lists for i in ids], dtype="<u4"), np.cumsum([len(ids) for ids in lists], dtype=np.int64)
+
+
+def encoder_of(path: str):
+    """Word by word if the tokenizer is known to allow it: it lower-cases, and its split drops white space and keeps words and runs of punctuation apart."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    steps = lambda x, inner: [x] if x and x.get("type") != "Sequence" else (x or {}).get(inner, [])
+    normal = [(n["type"], n.get("pattern"), n.get("content")) for n in steps(spec.get("normalizer"), "normalizers")]
+    split = [(n["type"], n.get("pattern"), n.get("behavior"), n.get("invert"), n.get("add_prefix_space"), n.get("use_regex")) for n in steps(spec.get("pre_tokenizer"), "pretokenizers")]
+    special = all(t["content"].startswith("<|") and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in spec.get("added_tokens", []))
+    return WordEncoder(path) if (normal, split) == (NORMALIZERS, SPLITS) and special else TextEncoder(path)
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -135,21 +172,22 @@ def pieces(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", capacity
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = tokenizer_path(tokenizer)
         end = np.asarray([end_id], dtype="<u4").tobytes()
-        gc.disable()  # the caches have no cycles, and are slow to walk
-        try:
-            with of_worker(("encoder", path), lambda: WordEncoder(path)) as encoder:
-                for batch in batches:
-                    rows = ([], [], [], [], [])
-                    texts = (ids for at in range(0, batch.num_rows, GROUP) for ids in encoder([x.as_py().split() for x in batch.column(1)[at : at + GROUP]]))
-                    for key, ids in zip(batch.column(0), texts, strict=True):
-                        ids += end
-                        for n, at in enumerate(range(0, len(ids), capacity * 4)):
-                            part = ids[at : at + capacity * 4]
-                            for row, value in zip(rows, (key.as_py(), n, at // 4, len(part) // 4, zlib.crc32(part)), strict=True):
-                                row.append(value)
-                    yield pa.RecordBatch.from_arrays([pa.array(r, f.type) for r, f in zip(rows, out, strict=True)], schema=out)
-        finally:
-            gc.enable()
+        with of_worker(("encoder", path), lambda: encoder_of(path)) as encoder:
+            for whole in batches:
+                for batch in groups(whole, 1):
+                    ids, ends = encoder(batch.column(1))
+                    body = memoryview(ids).cast("B")
+                    sizes = np.diff(ends, prepend=0) + 1
+                    cuts = -(-sizes // capacity)
+                    owner = np.repeat(np.arange(len(sizes)), cuts)
+                    piece = np.arange(len(owner)) - np.repeat(np.cumsum(cuts) - cuts, cuts)
+                    start = piece * capacity
+                    upto = np.minimum(sizes[owner], start + capacity)
+                    begin = (ends - sizes + 1)[owner]
+                    crcs = [zlib.crc32(body[4 * a : 4 * b]) for a, b in zip((begin + start).tolist(), (begin + np.minimum(upto, sizes[owner] - 1)).tolist(), strict=True)]
+                    crcs = [zlib.crc32(end, c) if last else c for c, last in zip(crcs, (upto == sizes[owner]).tolist(), strict=True)]
+                    columns = [batch.column(0).take(pa.array(owner)), pa.array(piece, pa.int32()), pa.array(start), pa.array(upto - start), pa.array(crcs, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     schema = f"doc_id {id_type.simpleString()}, piece int, start bigint, length bigint, ids_crc32 bigint"
     return chosen.mapInArrow(cut, schema)
@@ -161,18 +199,23 @@ Filling = tuple[tuple[int, int], ...]  # (length, copies), longest first
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
-    """Sequences that any packing needs: by total length, and by lengths of which no two (over half) or three fit together."""
-    total = -(-sum(k * n for k, n in counts.items()) // capacity)
-    best = total
-    large = {k: n for k, n in counts.items() if 2 * k > capacity}
-    best = max(best, sum(large.values()))
-    for small in sorted(k for k in counts if 2 * k <= capacity)[:200]:
-        fixed = sum(n for k, n in counts.items() if k > capacity - small)
-        middle = sum(n for k, n in counts.items() if capacity - small >= k > capacity / 2)
-        load = sum(k * n for k, n in counts.items() if capacity / 2 >= k >= small)
-        free = middle * capacity - sum(k * n for k, n in large.items() if k <= capacity - small)
-        best = max(best, fixed + middle + max(0, -(-(load - free) // capacity)))
-    return best
+    """Sequences that any packing needs: by total length, and by lengths of which no two (over half) or three fit together.
+
+    The latter for each length `small` at most half: pieces beyond capacity - small are alone, and those over half have no more room than they leave.
+    """
+    n = np.zeros(capacity + 1, dtype=np.int64)
+    for length, many in counts.items():
+        n[length] = many
+    weight = n * np.arange(capacity + 1)
+    upto, load = np.concatenate([[0], np.cumsum(n)]), np.concatenate([[0], np.cumsum(weight)])  # of lengths below an index
+    half = capacity // 2
+    small = np.arange(1, half + 1)
+    fixed = upto[-1] - upto[capacity - small + 1]
+    middle = upto[capacity - small + 1] - upto[half + 1]
+    free = middle * capacity - (load[capacity - small + 1] - load[half + 1])
+    rest = load[half + 1] - load[small]
+    needed = fixed + middle + np.maximum(0, -(-(rest - free) // capacity))
+    return int(max(-(-int(load[-1]) // capacity), upto[-1] - upto[half + 1], needed.max(initial=0)))
 
 
 def best_fit_decreasing(counts: dict[int, int], capacity: int) -> list[tuple[Filling, int]]:
@@ -236,46 +279,66 @@ def dominates(a: list[int], b: list[int]) -> bool:
     return False
 
 
-def completions(lengths: list[int], counts: dict[int, int], room: int, limit: int = FILLINGS) -> list[list[int]]:
-    """Undominated sets of pieces for the room beside the largest piece, fullest first. lengths: ascending, of what is left."""
-    found: list[list[int]] = []
-    budget = [limit * 8]
+class Budget:
+    """Steps that the search may still take."""
+
+    def __init__(self, steps: int):
+        self.left = steps
 
-    def grow(chosen: list[int], room: int, upto: int) -> None:
-        budget[0] -= 1
-        i = bisect.bisect_right(lengths, min(room, upto)) - 1
-        maximal = True
-        while i >= 0 and len(found) < limit and budget[0] > 0:
+    def spend(self) -> bool:
+        self.left -= 1
+        return self.left >= 0
+
+
+def sets_of_sum(total: int, lengths: list[int], left: dict[int, int], budget: Budget) -> Iterator[list[int]]:
+    """The multisets of what is left that have this sum, largest pieces first. lengths: ascending, of which some are left."""
+
+    def grow(chosen: list[int], total: int, upto: int) -> Iterator[list[int]]:
+        if not total:
+            yield list(chosen)
+            return
+        i = bisect.bisect_right(lengths, min(total, upto)) - 1
+        while i >= 0 and budget.spend():
             length = lengths[i]
-            if counts[length] > chosen.count(length):
-                maximal = False
-                grow([*chosen, length], room - length, length)
-                if room == length:  # a perfect fit by one piece dominates all other fillings of this room
-                    break
+            if left[length] > (chosen.count(length) if chosen and chosen[-1] == length else 0):
+                chosen.append(length)
+                yield from grow(chosen, total - length, length)
+                chosen.pop()
             i -= 1
-        if maximal and len(found) < limit:
-            found.append(chosen)
 
-    grow([], room, room)
-    found.sort(key=lambda x: (-sum(x), len(x)))
-    kept: list[list[int]] = []
-    for one in found:
-        if len(one) > 12 or not any(len(k) <= 12 and dominates(k, one) for k in kept):
-            kept.append(one)
-    return kept
+    yield from grow([], total, total)
 
 
-def pack_lengths(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> list[tuple[Filling, int]]:
-    """Patterns that hold all pieces in as few sequences as were found."""
+def completions(lengths: list[int], left: dict[int, int], room: int, waste: int, budget: Budget) -> Iterator[list[int]]:
+    """Undominated sets of pieces for the room beside the largest piece that waste no more than allowed, fullest first, one at a time.
+
+    lengths: ascending, of what is left. A set that leaves room for a piece that it doesn't hold is dominated, so the
+    sums end where all the pieces that would still fit are more than the sum holds.
+    """
+    kept: list[list[int]] = []
+    fits, load = 0, 0  # lengths[:fits] fit into what a set of this sum wastes; load is all that is left of them
+    for total in range(room, max(room - waste, 0) - 1, -1):
+        while fits < len(lengths) and lengths[fits] <= room - total:
+            load += lengths[fits] * left[lengths[fits]]
+            fits += 1
+        if load > total or budget.left <= 0:
+            return
+        for one in sets_of_sum(total, lengths, left, budget):
+            held = Counter(one)
+            if all(held[x] == left[x] for x in lengths[:fits]) and not any(dominates(k, one) for k in kept):
+                yield one
+                if len(one) == 1 and total == room:  # dominates all other fillings of this room
+                    return
+                kept.append(one)
+
+
+def packed_lengths(counts: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> tuple[list[tuple[Filling, int]], int]:
+    """Patterns that hold all pieces in as few sequences as were found, and the lower bound."""
     counts = {k: n for k, n in counts.items() if n}
-    incumbent = best_fit_decreasing(counts, capacity)
     size = lambda patterns: sum(n for _, n in patterns)
-    least = lower_bound(counts, capacity)
-    total = sum(k * n for k, n in counts.items())
-    if size(incumbent) <= least:
-        return incumbent
-    best, left = size(incumbent), dict(counts)
-    lengths = sorted(left)
+    incumbent = best_fit_decreasing(counts, capacity)
+    least, total = lower_bound(counts, capacity), sum(k * n for k, n in counts.items())
+    best, left, lengths, budget = size(incumbent), dict(counts), sorted(counts), Budget(steps)
     path: list[tuple[Filling, int]] = []
 
     def change(filling: Filling, n: int) -> None:
@@ -287,45 +350,52 @@ def pack_lengths(counts: dict[int, int], capacity: int = CAPACITY, nodes: int =
             elif before and not left[length]:
                 del lengths[bisect.bisect_left(lengths, length)]
 
-    def options(waste: int, used: int) -> Iterator[tuple[Filling, int, int]]:
+    def options(waste: int) -> Iterator[tuple[Filling, int, int]]:
         largest = lengths[-1]
         left[largest] -= 1
-        sets = completions([x for x in lengths if left[x]], left, capacity - largest)
+        spare, allowed = dict(left), (best - 1) * capacity - total - waste
         left[largest] += 1
-        for one in sets:
+        for one in completions([x for x in lengths if spare[x]], spare, capacity - largest, allowed, budget):
             filling = tuple(sorted(Counter([largest, *one]).items(), reverse=True))
             lost = capacity - sum(k * n for k, n in filling)
             most = min(left[k] // n for k, n in filling)
             # Perfect fillings are repeated at once; others too, while they stay within half of the waste allowed.
-            allowed = (best - 1) * capacity - total - waste
             times = most if not lost else max(1, min(most, allowed // (2 * lost)))
             yield filling, times, lost * times
 
-    stack = [(options(0, 0), 0, 0)] if lengths else []
-    while stack and nodes > 0 and best > least:
+    stack = [(options(0), 0, 0)] if lengths and best > least else []
+    nodes = 0
+    while stack and best > least and budget.spend():
         choices, waste, used = stack[-1]
         step = next(choices, None)
         if step is None:
             stack.pop()
-            if path and len(path) > len(stack) - 1:
+            if stack:
                 change(path[-1][0], -path.pop()[1])
             continue
-        nodes -= 1
         filling, times, lost = step
         if waste + lost > (best - 1) * capacity - total or used + times >= best:
             continue
         change(filling, times)
         path.append((filling, times))
-        if not lengths:
-            incumbent, best = list(path), used + times
-            change(filling, -times)
-            path.pop()
-            continue
-        stack.append((options(waste + lost, used + times), waste + lost, used + times))
+        nodes += 1
+        if nodes & (nodes - 1) == 0 or not lengths:  # what is left by best fit, at a few nodes and at the leaves
+            rest = best_fit_decreasing({k: n for k, n in left.items() if n}, capacity)
+            if used + times + size(rest) < best:
+                incumbent, best = [*path, *rest], used + times + size(rest)
+        if lengths:
+            stack.append((options(waste + lost), waste + lost, used + times))
+        else:
+            change(filling, -path.pop()[1])
+    logging.getLogger(__name__).info("%d sequences, at least %d, %s", best, least, "search ended" if budget.left > 0 else "steps used up")
     merged: Counter[Filling] = Counter()
     for filling, n in incumbent:
         merged[filling] += n
-    return list(merged.items())
+    return list(merged.items()), least
+
+
+def pack_lengths(counts: dict[int, int], capacity: int = CAPACITY, steps: int = STEPS) -> list[tuple[Filling, int]]:
+    return packed_lengths(counts, capacity, steps)[0]
 
 
 # --- places -----------------------------------------------------------------------------------
@@ -346,12 +416,15 @@ def places(patterns: list[tuple[Filling, int]]) -> dict[int, tuple[np.ndarray, .
     return {length: tuple(np.array(x, dtype=np.int64) for x in zip(*rows, strict=True)) for length, rows in runs.items()}
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, nodes: int = NODES, **options) -> DataFrame:
-    """docs' pieces with sequence_id and offset."""
+def pack(docs: DataFrame, capacity: int = CAPACITY, steps: int = STEPS, **options) -> DataFrame:
+    """docs' pieces with sequence_id and offset; n_sequences and least_sequences (a lower bound) are the same in all rows."""
     cut = stash(pieces(docs, capacity=capacity, **options), "pieces")
     counts = {int(r["length"]): int(r["n"]) for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
-    runs = places(pack_lengths(counts, capacity, nodes))
-    numbered = ranked(cut, ["length"], spread(F.col("doc_id"), 64), F.lit(0), ["doc_id", "piece", "start", "ids_crc32"])
+    patterns, least = packed_lengths(counts, capacity, steps)
+    runs = places(patterns)
+    # So many cells for each length that a cell of the commonest has about CELL pieces.
+    salt = spread(F.concat_ws(",", "doc_id", "piece", "ids_crc32"), min(max(64, max(counts.values(), default=0) // CELL), 1 << 16))
+    numbered = ranked(cut, ["length"], salt, F.lit(0), ["doc_id", "piece", "start", "ids_crc32"])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -369,7 +442,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, nodes: int = NODES, **option
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(sequence), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
     schema = f"doc_id {cut.schema['doc_id'].dataType.simpleString()}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
-    return numbered.mapInArrow(place, schema)
+    told = {"n_sequences": F.lit(sum(n for _, n in patterns)).cast("long"), "least_sequences": F.lit(least).cast("long")}
+    return numbered.mapInArrow(place, schema).withColumns(told)
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import groups, table
 
 #: The training sample: at most so many labelled documents of each kind (chosen by a hash of their id), of at most so many bytes.
 SAMPLE = 1200
@@ -275,19 +275,6 @@ def offending(text: bytes, p: np.ndarray) -> list[dict]:
     return spans
 
 
-#: Texts that are scored together, in bytes.
-GROUP_BYTES = 8_000_000
-
-
-def groups(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch that hold few bytes of text each, or one long text."""
-    sizes = batch.column(column).nbytes
-    n = max(1, -(-sizes // GROUP_BYTES))
-    step = max(1, -(-batch.num_rows // n))
-    for at in range(0, batch.num_rows, step):
-        yield batch.slice(at, step)
-
-
 def scored(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
     """docs with tox_score double and tox_spans array<struct<start, end, marginal>>; docs' columns as they are."""
     if model is None:

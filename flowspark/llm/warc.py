@@ -28,8 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, stash, table
-from .toxicity import groups
+from .common import groups, shared_dir, stash, table
 
 MIN_PAYLOAD = 100
 ARCHIVE_BYTES = 32_000_000

@@ -1,5 +1,6 @@
 """Toxicity and language-model scores."""
 
+import collections
 import math
 import random
 import zlib
@@ -76,42 +77,74 @@ def test_toxicity_edge_cases(spark, toxic_corpus, awkward, empty):
 def test_forward_against_all_paths():
     rng = np.random.default_rng(2)
     k, c = 3, 5
-    model = hmm.Model(rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), size=k), rng.dirichlet(np.ones(c), size=k).T)
+    start, move, emit = model = rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), size=k), rng.dirichlet(np.ones(c), size=k).T
     texts = sorted((rng.integers(0, c, n) for n in (1, 6, 4, 4)), key=len, reverse=True)
     for text, got in zip(texts, hmm.forward(model, texts), strict=True):
         total = 0.0
         for path in np.ndindex(*(k,) * len(text)):
-            p = model.start[path[0]] * model.emit[text[0], path[0]]
+            p = start[path[0]] * emit[text[0], path[0]]
             for t in range(1, len(text)):
-                p *= model.move[path[t - 1], path[t]] * model.emit[text[t], path[t]]
+                p *= move[path[t - 1], path[t]] * emit[text[t], path[t]]
             total += p
         assert math.isclose(got, math.log(total), rel_tol=1e-9)
-    sums = hmm.empty_sums(c, k)
-    hmm.expected(model, texts, sums)
-    assert math.isclose(sums["emit"].sum(), sum(map(len, texts))) and math.isclose(sums["move"].sum(), sum(len(t) - 1 for t in texts))
-    assert math.isclose(sums["log"], hmm.forward(model, texts).sum())
 
 
-def test_training_raises_the_likelihood():
+def test_expected_counts_against_all_paths():
+    rng = np.random.default_rng(4)
+    k, c = 3, 5
+    start, move, emit = model = rng.dirichlet(np.ones(k)), rng.dirichlet(np.ones(k), size=k), rng.dirichlet(np.ones(c), size=k).T
+    texts = sorted((rng.integers(0, c, n) for n in (1, 6, 4, 4)), key=len, reverse=True)
+    want, got = hmm.empty_sums(c, k), hmm.empty_sums(c, k)
+    for text in texts:
+        weights = {}
+        for path in np.ndindex(*(k,) * len(text)):
+            p = start[path[0]] * emit[text[0], path[0]]
+            for t in range(1, len(text)):
+                p *= move[path[t - 1], path[t]] * emit[text[t], path[t]]
+            weights[path] = p
+        total = sum(weights.values())
+        want["log"] += math.log(total)
+        for path, p in weights.items():
+            want["start"][path[0]] += p / total
+            for t, (x, z) in enumerate(zip(text, path, strict=True)):
+                want["emit"][x, z] += p / total
+                if t:
+                    want["move"][path[t - 1], z] += p / total
+    hmm.expected(model, texts, got)
+    assert all(np.allclose(got[name], want[name], rtol=1e-4) for name in want)
+
+
+def test_training_finds_the_chain(monkeypatch):
+    """Texts that alternate between two vocabularies: rounds raise the likelihood of texts not trained on, and the states come to alternate within a text."""
     rng = np.random.default_rng(3)
-    texts = [rng.integers(0, 5, 40) if i % 2 else rng.integers(5, 10, 40) for i in range(40)]
+
+    def text():
+        z, out = rng.integers(2), []
+        for _ in range(60):
+            out.append(rng.integers(5) + 5 * z)
+            z = z if rng.random() < 0.1 else 1 - z
+        return np.array(out)
+
+    blocks, fresh = [[text() for _ in range(20)] for _ in range(4)], [text() for _ in range(40)]
     corpus = np.ones(10) / 10
-    model, logs = hmm.first_model(texts, corpus, 2, 3), []
-    for _ in range(3):
+
+    def count(block, model):
         sums = hmm.empty_sums(10, 2)
-        for group in hmm.batches_by_length(texts):
-            hmm.expected(model, [texts[i] for i in group], sums)
-        logs.append(sums["log"])
-        model = hmm.estimated(sums, corpus)
-    assert logs[0] <= logs[-1] + 1e-6
+        hmm.all_expected(model, block, sums)
+        return sums
+
+    whole = [t for block in blocks for t in block]
+    monkeypatch.setattr(hmm, "SMOOTH", 1.0)
+    models = [hmm.trained(blocks, whole, 80 * 60, corpus, 2, rounds, count) for rounds in (0, 1, 3, 8)]
+    logs = [hmm.forward(m, fresh).sum() for m in models]
+    assert logs == sorted(logs) and logs[-1] > logs[0] + 500
+    assert (np.diag(models[-1][1]) < 0.3).all() and abs(models[-1][1] - models[1][1]).max() > 0.01
 
 
 def test_scores(spark):
     rnd = random.Random(6)
     docs = [(i, " ".join(rnd.choice("abcdefgh" if i % 2 else "ijklmnop") * rnd.randint(1, 3) for _ in range(30))) for i in range(200)] + [(500, None), (None, "Zz aa"), (501, ""), (502, "aa \x1c unseen")]
     rows = {r["doc_id"]: r for r in hmm.scored(spark.createDataFrame(docs, "doc_id long, text string"), head_size=20).collect()}
-    import collections
-
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
     tokens = lambda t: [*(t or "").encode().lower().split(), None]
     counts = collections.Counter(w for i, t in docs if not held(i) for w in tokens(t))
@@ -133,11 +166,39 @@ def test_states_of_long_texts_among_copies(spark):
             assert r["score"] - r["base_score"] > 0.2 * r["n_tokens"]
 
 
-def test_start_covers_all_texts():
-    texts = [np.arange(n) % 7 for n in (1, hmm.PART, 3 * hmm.PART + 1)]
-    sums = hmm.empty_sums(7, 3)
-    hmm.dealt([None], texts, sums)
-    assert sums["emit"].sum() == sum(map(len, texts)) and sums["start"].sum() == sums["parts"] == 6
+def test_score_is_the_models(spark, monkeypatch):
+    """score against the definition: the class sequence's probability by all paths, times each rare token's share of its class."""
+    caught = []
+    monkeypatch.setattr(hmm, "trained", lambda *a, f=hmm.trained: caught.append((a[3], f(*a))) or caught[-1][1])
+    rnd = random.Random(9)
+    docs = [(i, " ".join(rnd.choice(["to", "be", "or", "not", "alpha", "beta", "betta", "gamma"]) for _ in range(rnd.randint(0, 4)))) for i in range(80)]
+    rows = hmm.scored(spark.createDataFrame(docs, "doc_id long, text string"), states=2, head_size=4).collect()
+    (corpus, (start, move, emit)) = caught[0]
+    counts = collections.Counter()
+    for i, t in docs:
+        if zlib.crc32(str(i).encode()) % 7 != 2:
+            counts.update([*t.encode().split(), b""])
+    head = [w for w, _ in sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:4]]
+    tail = {}
+    for w in counts:
+        if w not in head:
+            tail.setdefault(hmm.tail_class(w), []).append(w)
+    class_of = lambda w: head.index(w) if w in head else hmm.HEAD + hmm.tail_class(w)
+    texts = dict(docs)
+    for r in rows:
+        words = [*texts[r["doc_id"]].encode().split(), b""]
+        total = 0.0
+        for path in np.ndindex(*(2,) * len(words)):
+            p = start[path[0]]
+            for t, (w, z) in enumerate(zip(words, path, strict=True)):
+                p *= emit[class_of(w), z] * (move[path[t - 1], z] if t else 1.0)
+            total += p
+        share = 0.0
+        for w in words:
+            if w not in head:
+                same = tail.get(hmm.tail_class(w), [])
+                share += math.log10((counts[w] + 1) / (sum(counts[x] for x in same) + len(same) + 1))
+        assert math.isclose(r["score"], math.log10(total) + share, rel_tol=1e-9)
 
 
 def test_scores_edge_cases(awkward, empty):

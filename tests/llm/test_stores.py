@@ -8,12 +8,13 @@ import zipfile
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from flowspark.llm import media, warc
 from flowspark.llm.minhash import Shingler, Sketcher, drop_near_copies, near_copies, odd_limit
-from flowspark.llm.packing import WordEncoder, best_fit_decreasing, lower_bound, pack, pack_lengths, tokenizer_path
+from flowspark.llm.packing import TextEncoder, WordEncoder, best_fit_decreasing, encoder_of, lower_bound, pack, pack_lengths, tokenizer_path
 
 from .conftest import EN, words
 
@@ -103,9 +104,38 @@ def test_encoder_is_the_tokenizer():
     whole = Tokenizer.from_file(tokenizer_path())
     texts = ["Hello, WORLD!! it's 42 naïve café’s", "a<|endoftext|>b x<|y", "É é   ñandú z", "İstanbul ΣΑΣ ß", "", "\x1c\x85 tab\tnew\nline", "\U0001f600\U0001f600 ok.ok", "don't we'll I'M", EN]
     encoder = WordEncoder(tokenizer_path())
+    bodies = pa.array([t.encode() for t in texts], pa.binary())
     for _ in range(2):
-        got = encoder([t.encode().split() for t in texts])
-        assert [np.frombuffer(g, "<u4").tolist() for g in got] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+        ids, ends = encoder(bodies)
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    ids, ends = encoder(bodies.slice(2, 3))
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [whole.encode(t, add_special_tokens=False).ids for t in texts[2:5]]
+
+
+def test_other_tokenizers_take_whole_texts():
+    import public_tokenizers
+
+    assert isinstance(encoder_of(tokenizer_path()), WordEncoder)
+    assert isinstance(encoder_of(public_tokenizers.path("byte_bpe_50k.json")), TextEncoder)
+
+
+@pytest.mark.parametrize("tokenizer", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_pieces_against_the_tokenizer(spark, tokenizer):
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(tokenizer_path(tokenizer))
+    rnd = random.Random(2)
+    texts = [" ".join(rnd.choice(["Tree", "house,", "ñu", "X1", "don't", "\n", "--"]) for _ in range(n)) for n in (0, 1, 5, 63, 64, 65, 200)] + [None]
+    rows = pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), capacity=64, tokenizer=tokenizer).collect()
+    check_packed(rows, 64)
+    got = {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in rows}
+    want = {}
+    for i, t in enumerate(texts):
+        ids = np.array([*whole.encode(t or "", add_special_tokens=False).ids, 1], dtype="<u4")
+        for k, at in enumerate(range(0, len(ids), 64)):
+            want[i, k] = (at, len(ids[at : at + 64]), zlib.crc32(ids[at : at + 64].tobytes()))
+    assert got == want and len(rows) == len(want)
+    assert rows[0]["n_sequences"] == len({r["sequence_id"] for r in rows}) >= rows[0]["least_sequences"]
 
 
 def check_packed(rows, capacity):
