@@ -30,7 +30,7 @@ from .common import WORD, drop_stash, magnitude, stash, table
 from .quality import bound
 
 PERCENT = 80
-#: The rarity table has 2**LEAST_BITS hashes at least and 2**MOST_BITS at most, and else 8 to 16 for each document.
+#: The rarity table has 2**LEAST_BITS hashes at least and 2**MOST_BITS at most, and else 32 to 64 for each document.
 LEAST_BITS, MOST_BITS = 12, 24
 CHUNK = 1 << 10
 #: Words of a rarity class from this on (128 uses and more), and from so many classes above the mean use of a hash on, are common.
@@ -61,7 +61,7 @@ def token_set(words: Column) -> Column:
 
 def rarity(docs: DataFrame, text: str) -> tuple[DataFrame, int, int]:
     """The classes of all hashes, in chunks; the number of hashes, and the class from which on words are common."""
-    bits = min(max((16 * max(docs.count(), 1)).bit_length() - 1, LEAST_BITS), MOST_BITS)
+    bits = min(max((64 * max(docs.count(), 1)).bit_length() - 1, LEAST_BITS), MOST_BITS)
     words = docs.select(F.explode(words_of(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))).alias("w"))
     counts = words.groupBy(F.xxhash64("w").bitwiseAND((1 << bits) - 1).cast("int").alias("h")).agg(F.count(F.lit(1)).alias("n"))
     every = docs.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("h")).join(counts, "h", "left").select("h", F.coalesce("n", F.lit(0)).alias("n"))
@@ -116,7 +116,7 @@ def prefixes(docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame
             F.transform(prefix, code).alias("codes"),
         )
 
-    hashed = lines_of(docs, text, doc_id).select(*PLACE, token_set(F.split("line", " ")).alias("h")).filter(F.size("h") > 0)
+    hashed = lines_of(docs, text, doc_id).filter(F.trim("line") != "").select(*PLACE, token_set(F.split("line", " ")).alias("h"))
     sets = hashed.withColumn("classes", classes).select(*PLACE, F.transform("h", ranked).alias("t"))
     done = stash(sets.select(*PLACE, bound(F.sort_array("t"), described).alias("d")).select(*PLACE, "d.*"), "prefixes")
     drop_stash(chunks)
@@ -128,25 +128,34 @@ def length_class(n: Column, percent: int) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
 
 
-def prefix_rows(reps: DataFrame, *carry: str) -> DataFrame:
-    """One row for each prefix word that others may have too."""
-    return reps.select("id", "n", "bits", "rare", *carry, F.posexplode("codes").alias("at", "code")).filter("code <> 0")
+def prefix_rows(reps: DataFrame, percent: int, open_: Column, *carry: str) -> DataFrame:
+    """One row for each prefix word that others may have too: key, id, bits and what (n, at, guest and open in one number, as rows are many).
 
+    The key is the word's code and, for common words, the class of the line's length, with a second row, as a guest, for the class above.
+    """
+    rows = reps.select("id", "n", "bits", "rare", open_.alias("open"), *carry, F.posexplode("codes").alias("at", "code")).filter("code <> 0")
+    is_common = F.col("at") >= F.col("rare")
+    rows = rows.withColumn("guest", F.explode(F.when(is_common, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    group = F.when(is_common, length_class(F.col("n"), percent) + F.col("guest") + 1).otherwise(0).cast("bigint")
+    what = F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("at") * 4 + F.col("guest") * 2 + F.col("open")
+    return rows.select(F.shiftleft(group, 32).bitwiseOR(F.col("code").cast("bigint")).alias("key"), "id", "bits", what.alias("what"), *carry)
 
-def partners(x: DataFrame, y: DataFrame, percent: int, on: list[str], also: Column) -> DataFrame:
-    """id and to_id of rows of x and y that share a prefix word and pass all filters.
+
+def partners(x: DataFrame, y: DataFrame, percent: int, also: Column) -> DataFrame:
+    """id and to_id of prefix rows of x and y that share a word, of which one is open, and that pass all filters.
 
     x and y may be one plan, which is then shuffled once: no condition is on x alone.
     """
-    a, b = F.col("x.n"), F.col("y.n")
+    n = lambda r: F.shiftright(f"{r}.what", 32)
+    at = lambda r: F.shiftright(F.col(f"{r}.what").bitwiseAND(0xFFFFFFFF), 2)
+    a, b = n("x"), n("y")
     # The least overlap: ceil(percent * (a + b) / (100 + percent)).
-    overlap = F.floor((percent * (a + b) + 99 + percent) / (100 + percent))
-    reach = F.least(a - F.col("x.at"), b - F.col("y.at"))
+    overlap = F.expr(f"({percent} * (shiftright(x.what, 32) + shiftright(y.what, 32)) + {99 + percent}) div {100 + percent}")
+    reach = F.least(a - at("x"), b - at("y"))
     differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
     close = (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (reach >= overlap) & (differ <= a + b - 2 * overlap)
-    for c in on:
-        also = also & (F.col(f"x.{c}") == F.col(f"y.{c}"))
-    return x.alias("x").join(y.alias("y"), also & close).select(F.col("x.id").alias("id"), F.col("y.id").alias("to_id")).distinct()
+    flags = (F.col("x.what").bitwiseAND(F.col("y.what")).bitwiseAND(2) == 0) & (F.col("x.what").bitwiseOR(F.col("y.what")).bitwiseAND(1) == 1)
+    return x.alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & also & flags & close).select(F.col("x.id").alias("id"), F.col("y.id").alias("to_id")).distinct()
 
 
 def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
@@ -170,23 +179,18 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, doc_
 
 def matched_classes(reps: DataFrame, docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
     """id and match of the classes (one row of reps each) whose first line matches an earlier line."""
-    also = F.col("x.id") != F.col("y.id")
-    common = prefix_rows(reps, "doc").filter("at >= rare").withColumn("class", length_class(F.col("n"), percent))
-    order = Window.partitionBy("code", "class").orderBy("doc", "id")
+    only_common = F.transform("codes", lambda c, at: F.when(at >= F.col("rare"), c).otherwise(0))
+    common = prefix_rows(reps.withColumn("codes", only_common), percent, F.lit(1), "doc")
+    order = Window.partitionBy("key").orderBy("doc", "id")
     pivots = stash(common.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= PIVOTS).drop("k"), "pivots")
-    near = stash(partners(common, pivots, percent, ["code", "class"], also & (F.col("x.doc") >= F.col("y.doc"))), "pairs")
+    near = stash(partners(common, pivots, percent, (F.col("x.id") != F.col("y.id")) & (F.col("x.doc") >= F.col("y.doc"))), "pairs")
     drop_stash(pivots)
     early = verified(near, reps, docs, text, doc_id, percent)
     drop_stash(near)
 
-    # Common words are joined within a class of lengths, where the lines of the class below are guests; rare words alone.
-    decided = early.select("id", F.lit(0).alias("open"))
-    rows = prefix_rows(reps.join(decided, "id", "left").withColumn("open", F.coalesce("open", F.lit(1))), "open")
-    is_common = F.col("at") >= F.col("rare")
-    rows = rows.withColumn("guest", F.explode(F.when(is_common, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-    rows = rows.withColumn("class", F.when(is_common, length_class(F.col("n"), percent) + F.col("guest")).otherwise(F.lit(-1))).drop("rare")
-    once = (F.col("x.id") < F.col("y.id")) & (F.col("x.guest") + F.col("y.guest") < 2) & (F.col("x.open") + F.col("y.open") > 0)
-    rest = stash(partners(rows, rows, percent, ["code", "class"], once), "pairs")
+    decided = early.select("id", F.lit(0).alias("decided"))
+    rows = prefix_rows(reps.join(decided, "id", "left"), percent, F.coalesce("decided", F.lit(1)))
+    rest = stash(partners(rows, rows, percent, F.col("x.id") < F.col("y.id")), "pairs")
     late = verified(rest, reps, docs, text, doc_id, percent)
     drop_stash(rest)
     done = stash(early.unionByName(late).groupBy("id").agg(F.min("match").alias("match")), "matches")
