@@ -33,8 +33,8 @@ PERCENT = 80
 #: The rarity table has 2**LEAST_BITS hashes at least and 2**MOST_BITS at most, and else 32 to 64 for each document.
 LEAST_BITS, MOST_BITS = 12, 24
 CHUNK = 1 << 10
-#: Words of a rarity class from this on (128 uses and more), and from so many classes above the mean use of a hash on, are common.
-COMMON, ABOVE_MEAN = 32, 8
+#: Words that are used once in so many documents, or more often, are common; none with fewer uses than LEAST_COMMON is.
+DOCS_PER_USE, LEAST_COMMON = 400, 128
 #: The rarity class of hashes that are used once.
 ONCE = 5
 PIVOTS = 8
@@ -60,18 +60,20 @@ def token_set(words: Column) -> Column:
 
 
 def rarity(docs: DataFrame, text: str) -> tuple[DataFrame, int, int]:
-    """The classes of all hashes, in chunks; the number of hashes, and the class from which on words are common."""
-    bits = min(max((64 * max(docs.count(), 1)).bit_length() - 1, LEAST_BITS), MOST_BITS)
+    """The classes of all hashes, in chunks; the number of hashes, and the class from which on words are common.
+
+    Common is what is used often for the number of documents, so that their share of the rows is the same at every size.
+    """
+    n_docs = docs.count()
+    bits = min(max((64 * max(n_docs, 1)).bit_length() - 1, LEAST_BITS), MOST_BITS)
     words = docs.select(F.explode(words_of(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))).alias("w"))
     counts = words.groupBy(F.xxhash64("w").bitwiseAND((1 << bits) - 1).cast("int").alias("h")).agg(F.count(F.lit(1)).alias("n"))
     every = docs.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("h")).join(counts, "h", "left").select("h", F.coalesce("n", F.lit(0)).alias("n"))
     chunks = every.groupBy((F.col("h") / CHUNK).cast("int").alias("c")).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("h", F.least(magnitude(F.col("n")), F.lit(127)).cast("tinyint").alias("k")))), lambda x: x["k"]).alias("ks"),
-        F.sum("n").alias("n"),
+        F.transform(F.sort_array(F.collect_list(F.struct("h", F.least(magnitude(F.col("n")), F.lit(127)).cast("tinyint").alias("k")))), lambda x: x["k"]).alias("ks")
     )
-    kept = stash(chunks, "rarity")
-    mean = int(kept.agg(F.sum("n")).first()[0] or 0) >> bits
-    return kept, bits, max(COMMON, 4 * mean.bit_length() + ABOVE_MEAN)
+    uses = max(n_docs // DOCS_PER_USE, LEAST_COMMON)
+    return stash(chunks, "rarity"), bits, min(4 * uses.bit_length() + (uses >> (uses.bit_length() - 3) & 3), 127)
 
 
 def lines_of(docs: DataFrame, text: str, doc_id: str) -> DataFrame:

@@ -28,12 +28,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import groups, stash, table
+from .common import coded_words, groups, stash, table
 from .components import components
 
 WORDS, PERCENT, ROWS, BANDS = 3, 85, 5, 30
 BITS, SET_BITS = 256, 512
-CACHE_WORDS = 400_000
 SEED = 20_240_117
 
 
@@ -48,30 +47,26 @@ class Shingler:
     """Sorted distinct 64-bit hashes of a text's word shingles; the words are lower-cased (A-Z) bytes."""
 
     def __init__(self, words: int = WORDS):
-        self.words, self.cache = words, {}
+        self.words = words
 
-    def hashes(self, text: bytes) -> np.ndarray:
+    def __call__(self, texts: pa.BinaryArray) -> Iterator[np.ndarray]:
+        """Of each text."""
         import xxhash
 
-        parts, cache = text.lower().split(), self.cache
-        if new := {p for p in parts if p not in cache}:
-            if len(cache) + len(new) > CACHE_WORDS:
-                cache.clear()
-                new = set(parts)
-            digest = xxhash.xxh3_64_intdigest
-            for p in new:
-                cache[p] = digest(p)
-        return np.fromiter(map(cache.__getitem__, parts), dtype=np.uint64, count=len(parts))
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        words = self.hashes(text)
-        if not len(words):
-            return words
-        size = min(self.words, len(words))
-        n = len(words) - size + 1
+        distinct, codes, ends = coded_words(texts, lower=True)
+        digest = xxhash.xxh3_64_intdigest
+        hashes = np.fromiter(map(digest, distinct.to_pylist()), dtype=np.uint64, count=len(distinct))[codes]
+        for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+            yield self.shingles(hashes[begin:end])
+
+    def shingles(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(hashes):
+            return hashes
+        size = min(self.words, len(hashes))
+        n = len(hashes) - size + 1
         out = np.full(n, size, dtype=np.uint64)
         for k in range(size):
-            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + words[k : k + n])
+            out = mixed(out * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + n])
         return np.unique(out)
 
 
@@ -116,8 +111,7 @@ def sketched(docs: DataFrame, text: str, doc_id: str, words: int, rows: int, ban
         for whole in batches:
             for batch in groups(whole, 1):
                 sizes, keys, sketches, buckets = [], [], [], []
-                for body in batch.column(1):
-                    s = shingler(body.as_py())
+                for s in shingler(batch.column(1)):
                     sizes.append(len(s))
                     keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     sketch, band = sketcher(s) if len(s) else ([], [])
@@ -138,7 +132,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str, words:
         shingler = Shingler(words)
         for whole in batches:
             for batch in groups(whole, 1):
-                sets = [shingler(body.as_py()).tobytes() for body in batch.column(1)]
+                sets = [s.tobytes() for s in shingler(batch.column(1))]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
 
     return chosen.mapInArrow(run, "doc_id bigint, shingles binary")
@@ -207,7 +201,7 @@ def near_copies(
         .filter(alike("x", "y", percent, limit))
         .select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
     )
-    pairs = stash(pairs.distinct(), "pairs")
+    pairs = stash(pairs, "pairs")  # stars are distinct; no aggregation here, so that the join's hot pivots can be split
 
     def sets_of(p: DataFrame) -> DataFrame:
         return stash(full_sets(docs, p.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), text, doc_id, words), "sets")
@@ -215,17 +209,19 @@ def near_copies(
     links = stash(confirmed(pairs, sets_of(pairs), percent), "links")
     joined = components(links)
 
-    # Classes outside the component of their bucket's least id, against the bucket's other components.
+    # Classes outside the component of their bucket's least id, against the bucket's other components. Both sides are dealt by bucket and
+    # class of set size, where the sets of the class below are guests.
     placed = members.join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     placed = placed.join(joined.select(F.col("id").alias("pivot"), F.col("component").alias("main")), "pivot", "left").withColumn("main", F.coalesce("main", "pivot"))
-    placed = stash(placed.select("bucket", "rep", "component", "main"), "placed")
-    outside = placed.filter("component <> main").join(info, "rep")
-    mixed_buckets = outside.select("bucket").distinct()
-    inside = placed.join(mixed_buckets, "bucket", "left_semi").join(info, "rep")
+    placed = stash(placed.select("bucket", "rep", "component", F.col("component") != F.col("main")).toDF("bucket", "rep", "component", "outside"), "placed")
+    mixed_buckets = placed.filter("outside").select("bucket").distinct()
+    dealt = placed.join(mixed_buckets, "bucket", "left_semi").join(info, "rep").withColumn("guest", F.explode(F.array(F.lit(0), F.lit(1))))
+    dealt = dealt.withColumn("sized", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent) + 1e-9).cast("int") + F.col("guest"))
+    once = (F.col("x.rep") < F.col("y.rep")) & (F.col("x.guest") + F.col("y.guest") < 2) & (F.col("x.outside") | F.col("y.outside"))
     more = (
-        outside.alias("x")
-        .join(inside.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")) & alike("x", "y", percent, limit))
-        .select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b"))
+        dealt.alias("x")
+        .join(dealt.alias("y"), (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.sized") == F.col("y.sized")) & once & (F.col("x.component") != F.col("y.component")) & alike("x", "y", percent, limit))
+        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
         .distinct()
     )
     more = stash(more.join(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "more")
@@ -236,10 +232,11 @@ def near_copies(
     return classed.join(joined.withColumnRenamed("id", "rep"), "rep", "left").select("doc_id", "n", F.coalesce("component", "rep", "doc_id").alias("component"))
 
 
-def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
+def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
     """docs without those whose component has a smaller id; of equal rows with that id all stay."""
-    gone = near_copies(docs, doc_id=doc_id, **options).filter("doc_id <> component").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(doc_id).cast("long") == F.col("_gone"), "left_anti")
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(doc_id).cast("long").alias("doc_id"))
+    gone = near_copies(rows, **options).filter("doc_id <> component").select("doc_id").distinct()
+    return rows.join(gone, "doc_id", "left_anti").select("row.*")
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

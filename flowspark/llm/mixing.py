@@ -8,7 +8,7 @@ As documents of like sizes are neighbours, the words taken come near the target.
 
 Defined cases: a null source is a source of its own and comes last; a null or empty text has
 size 0 and takes no words; repeated rows are documents of their own; an empty table gives an
-empty table; other columns are carried along, and may have any name that does not begin with `_mix`.
+empty table; other columns are carried along, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import magnitude, spread, stash, table, word_count
+from .common import drop_stash, magnitude, spread, stash, table, word_count
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -33,84 +33,78 @@ def offset_of(name: Column, missing: Column, seed: str) -> Column:
 
 
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
-    """sources: _mix_source, _mix_null, _mix_words. Adds _mix_target (double).
+    """sources: source, missing, words. Adds target (double).
 
-    Ranks come from a distributed sort and only sums reach the driver, so that there may be
-    any number of sources.
+    Sources are numbered by a distributed sort: a number within the sorted partition, after the partitions before. Only the partitions'
+    counts and sums reach the driver, so that there may be any number of sources.
     """
-    spark = sources.sparkSession
-    by_name = sources.orderBy("_mix_null", "_mix_source").rdd.zipWithIndex()
-    schema = sources.schema
-    weighed = stash(
-        spark.createDataFrame(by_name.map(lambda x: (*x[0], int(weights[x[1] % len(weights)]))), schema.add("_mix_weight", "long")),
-        "mix-sources",
-    )
-    total = weighed.agg(F.sum("_mix_words")).first()[0] or 0
-    rest, over = total, F.lit(False)
-    weight = weighed.agg(F.sum("_mix_weight")).first()[0] or 1
+    ordered = stash(sources.orderBy("missing", "source").withColumn("at", F.monotonically_increasing_id()), "mix-sources")
+    part, inside = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
+    before, first = 0, F.lit(0)
+    for r in ordered.groupBy(part.cast("int").alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect():  # one row for each partition
+        first, before = F.when(part == r["part"], F.lit(before)).otherwise(first), (before + r["n"]) % len(weights)
+    weight = F.element_at(F.array(*map(F.lit, weights)), ((inside + first) % len(weights) + 1).cast("int")).cast("long")
+    weighed = stash(ordered.select("source", "missing", "words", weight.alias("weight")), "mix-weights")
+    drop_stash(ordered)
+    total, all_weights = weighed.agg(F.sum("words"), F.sum("weight")).first()
+    total, all_weights = total or 0, all_weights or 1
+    rest, left, over = total, all_weights, F.lit(False)
     while True:
-        exact = "decimal(38,0)"
-        over = F.lit(cap) * F.col("_mix_words").cast(exact) * F.lit(weight).cast("decimal(20,0)") < F.col("_mix_weight").cast("decimal(5,0)") * F.lit(rest).cast("decimal(30,0)")
-        got = weighed.agg(
-            F.sum(F.when(over, F.col("_mix_words") * cap)).alias("full"), F.sum(F.when(~over, F.col("_mix_weight"))).alias("left")
-        ).first()
-        new_rest, new_weight = total - (got["full"] or 0), got["left"] or 0
-        if (new_rest, new_weight) == (rest, weight) or not new_weight:
+        over = F.lit(cap) * F.col("words").cast("decimal(38,0)") * F.lit(left).cast("decimal(20,0)") < F.col("weight").cast("decimal(5,0)") * F.lit(rest).cast("decimal(30,0)")
+        got = weighed.agg(F.sum(F.when(over, F.col("words") * cap)).alias("full"), F.sum(F.when(~over, F.col("weight"))).alias("left")).first()
+        new_rest, new_left = total - (got["full"] or 0), got["left"] or 0
+        if (new_rest, new_left) == (rest, left) or not new_left:
             break
-        rest, weight = new_rest, new_weight
-    share = (F.col("_mix_weight") * F.lit(rest).cast("long")).cast("double") / F.lit(float(weight))
-    return weighed.withColumn("_mix_target", F.when(over, (F.col("_mix_words") * cap).cast("double")).otherwise(share))
+        rest, left = new_rest, new_left
+    share = (F.col("weight") * F.lit(rest).cast("long")).cast("double") / F.lit(float(left))
+    return weighed.withColumn("target", F.when(over, (F.col("words") * cap).cast("double")).otherwise(share)).drop("weight")
 
 
 def plan_mix(
     docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id",
     weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: str = "mix", size: Callable[[Column], Column] = word_count, carry: list[str] | None = None,
 ) -> DataFrame:
-    """docs with _mix_words, _mix_source_words, _mix_target and _mix_copies, one row per document.
-
-    carry: the columns to keep (all by default).
-    """
+    """doc (a struct of docs' columns, or of those in carry), words, source_words, target and copies, one row per document."""
     sized = docs.select(
-        *[F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)],
-        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("_mix_source"),
-        F.col(source).isNull().alias("_mix_null"),
-        size(F.col(text)).alias("_mix_words"),
-        F.col(doc_id).alias("_mix_id"),
+        F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in (docs.columns if carry is None else carry)]).alias("doc"),
+        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"),
+        F.col(source).isNull().alias("missing"),
+        size(F.col(text)).alias("words"),
+        F.col(doc_id).alias("id"),
     )
-    dealt = sized.withColumns({"_mix_class": magnitude(F.col("_mix_words")), "_mix_salt": spread(F.col("_mix_id"), SALTS)})
-    cell = ["_mix_source", "_mix_null", "_mix_class", "_mix_salt"]
-    cells = stash(dealt.groupBy(*cell).agg(F.count(F.lit(1)).alias("_mix_n"), F.sum("_mix_words").alias("_mix_words")), "mix-cells")
-    sources = targets(cells.groupBy("_mix_source", "_mix_null").agg(F.sum("_mix_words").alias("_mix_words")), weights, cap)
-    before = Window.partitionBy("_mix_source", "_mix_null").orderBy("_mix_class", "_mix_salt").rowsBetween(Window.unboundedPreceding, -1)
-    first = cells.select(*cell, F.coalesce(F.sum("_mix_n").over(before), F.lit(0)).alias("_mix_before"))
-    first = first.join(sources.withColumnRenamed("_mix_words", "_mix_source_words").drop("_mix_weight"), ["_mix_source", "_mix_null"])
-    inside = F.row_number().over(Window.partitionBy(*cell).orderBy("_mix_words", "_mix_id"))
-    rate = F.when(F.col("_mix_source_words") > 0, F.col("_mix_target") / F.col("_mix_source_words").cast("double")).otherwise(F.lit(0.0))
-    upto = lambda k: F.floor(k.cast("double") * F.col("_mix_rate") + F.col("_mix_offset"))
+    dealt = sized.withColumns({"class": magnitude(F.col("words")), "salt": spread(F.col("id"), SALTS)})
+    cell = ["source", "missing", "class", "salt"]
+    cells = stash(dealt.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"), F.sum("words").alias("words")), "mix-cells")
+    sources = targets(cells.groupBy("source", "missing").agg(F.sum("words").alias("words")), weights, cap)
+    before = Window.partitionBy("source", "missing").orderBy("class", "salt").rowsBetween(Window.unboundedPreceding, -1)
+    first = cells.select(*cell, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    first = first.join(sources.withColumnRenamed("words", "source_words"), ["source", "missing"])
+    inside = F.row_number().over(Window.partitionBy(*cell).orderBy("words", "id"))
+    rate = F.when(F.col("source_words") > 0, F.col("target") / F.col("source_words").cast("double")).otherwise(F.lit(0.0))
+    upto = lambda k: F.floor(k.cast("double") * F.col("rate") + F.col("offset"))
     return (
         dealt.join(first, cell)
-        .withColumns({"_mix_k": F.col("_mix_before") + inside, "_mix_rate": rate, "_mix_offset": offset_of(F.col("_mix_source"), F.col("_mix_null"), seed)})
-        .withColumn("_mix_copies", (upto(F.col("_mix_k")) - upto(F.col("_mix_k") - 1)).cast("int"))
-        .drop("_mix_class", "_mix_salt", "_mix_before", "_mix_k", "_mix_rate", "_mix_offset", "_mix_source", "_mix_null", "_mix_id")
+        .withColumns({"k": F.col("before") + inside, "rate": rate, "offset": offset_of(F.col("source"), F.col("missing"), seed)})
+        .withColumn("copies", (upto(F.col("k")) - upto(F.col("k") - 1)).cast("int"))
+        .select("doc", "words", "source_words", "target", "copies")
     )
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document's row as many times as it is taken, with the columns of docs."""
-    planned = plan_mix(docs, **options)
-    again = planned.filter("_mix_copies > 0").withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
-    return again.select(*[F.col(f"`{c}`") for c in docs.columns])
+    again = plan_mix(docs, **options).filter("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return again.select("doc.*")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     planned = plan_mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return planned.select(
-        "doc_id",
-        F.col("_mix_words").alias("size"),
-        F.col("_mix_source_words").alias("source_size"),
-        F.col("_mix_target").alias("target"),
-        (F.col("_mix_copies") * F.col("_mix_words")).cast("long").alias("taken"),
-        F.col("_mix_copies").alias("copies"),
+        "doc.doc_id",
+        F.col("words").alias("size"),
+        F.col("source_words").alias("source_size"),
+        "target",
+        (F.col("copies") * F.col("words")).cast("long").alias("taken"),
+        "copies",
     )
 
 

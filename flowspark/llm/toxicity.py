@@ -9,9 +9,9 @@ their maximum and sum, and the offsets of offending tokens.
 
 Labels, lang, source and doc_id are no inputs of a score. Defined cases: a null or empty text has
 no tokens and gets the score of the intercept alone; null labels are not used, and of
-several labels of a document the highest counts; without labels of both kinds every score is
+several labels of a document the highest counts; without labelled documents of both kinds every score is
 0; an empty table gives an empty table; repeated rows get equal scores; very long
-texts are scored whole; other columns are carried along by `scored` and `reject_toxic`.
+texts are scored whole; other columns are carried along by `scored` and `reject_toxic`, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,21 +22,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from .common import groups, table
+from .common import coded_words, groups, stash, table
 
-#: The training sample: at most so many labelled documents of each kind (chosen by a hash of their id), of at most so many bytes.
-SAMPLE = 1200
-SAMPLE_BYTES = 12_000
+#: The training sample: of each kind at most so many labelled documents and, but for the first, so many bytes together.
+SAMPLE, SAMPLE_BYTES = 1200, 12_000_000
+#: Documents of more bytes teach only where there are too few others; and so many times the sample is sorted to choose it.
+LONG, MARGIN = 12_000, 3
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
 PREFIXES = (3, 4, 5, 6)
 STEPS = 60
 CACHE_WORDS = 300_000
 EDGES = b".,;:!?\"'()[]{}*&%$#<>|"
-SPAN = "array<struct<start: bigint, end: bigint, marginal: double>>"
+SPANS = ArrayType(StructType([StructField("start", LongType()), StructField("end", LongType()), StructField("marginal", DoubleType())]))
 
 
 def features(word: bytes) -> list[bytes]:
@@ -211,19 +213,33 @@ def logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 # --- on tables ------------------------------------------------------------------------------------
 
 
-def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE) -> dict | None:
-    """The model, or None if the labels to learn from are not of both kinds.
+def sampled(docs: DataFrame, labels: DataFrame, text: str, doc_id: str, sample: int, sample_bytes: int) -> DataFrame:
+    """_id and _toxic of the documents to learn from: of each kind at most `sample`, chosen by a hash of their id.
 
-    Reads labels, then the texts of at most 2 * sample documents of at most SAMPLE_BYTES bytes.
+    Only labels with a document count. Together a kind's texts hold at most sample_bytes bytes, but for the first; documents of over LONG
+    bytes are taken last, so that they teach where there are too few others.
     """
     usable = labels.filter(F.col("toxic").isNotNull() & F.col(doc_id).isNotNull() & ~held_out(F.col(doc_id)))
     usable = usable.groupBy(F.col(doc_id).alias("_id")).agg((F.max("toxic") > 0).cast("int").alias("_toxic"))
-    picked = [usable.filter(F.col("_toxic") == y).orderBy(F.xxhash64("_id"), "_id").limit(sample) for y in (0, 1)]
-    chosen = picked[0].unionByName(picked[1])
+    sizes = docs.groupBy(F.col(doc_id).alias("_id")).agg(F.max(F.coalesce(F.octet_length(text), F.lit(0))).cast("long").alias("_bytes"))
+    labelled = stash(usable.join(sizes, "_id").withColumn("_place", F.xxhash64("_id")), "labelled")
+    found = {r["_toxic"]: r["n"] for r in labelled.groupBy("_toxic").agg(F.count(F.lit(1)).alias("n")).collect()}  # two rows
+    # About MARGIN times the sample is sorted, whatever the number of labels.
+    share = F.lit(0.0)
+    for kind, n in found.items():
+        share = F.when(F.col("_toxic") == kind, F.lit(min(1.0, MARGIN * sample / n))).otherwise(share)
+    some = labelled.filter(F.pmod("_place", F.lit(1 << 30)).cast("double") < share * float(1 << 30))
+    order = Window.partitionBy("_toxic").orderBy(F.col("_bytes") > LONG, "_place", "_id")
+    ranked = some.withColumns({"_k": F.row_number().over(order), "_upto": F.sum("_bytes").over(order.rowsBetween(Window.unboundedPreceding, 0))})
+    return ranked.filter((F.col("_k") == 1) | (F.col("_k") <= sample) & (F.col("_upto") <= sample_bytes)).select("_id", "_toxic")
+
+
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> dict | None:
+    """The model, or None if there are no documents with labels of both kinds. Reads the texts of at most 2 * sample documents."""
+    chosen = sampled(docs, labels, text, doc_id, sample, sample_bytes)
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
     rows = (
         docs.select(F.col(doc_id).alias("_id"), body.alias("_text"))
-        .filter(F.length("_text") <= SAMPLE_BYTES)
         .join(F.broadcast(chosen), "_id")  # at most 2 * sample rows
         .groupBy("_id", "_toxic")
         .agg(F.min("_text").alias("_text"))
@@ -243,22 +259,23 @@ class Scorer:
         self.model = model
         self.cache: dict[bytes, float] = {}
 
-    def tokens(self, words: list[bytes]) -> np.ndarray:
+    def emissions(self, words: list[bytes]) -> np.ndarray:
+        """Of some distinct words."""
         cache, get, bias = self.cache, self.model["weights"].get, self.model["bias"]
-        if new := {w for w in words if w not in cache}:
-            if len(cache) + len(new) > CACHE_WORDS:
-                cache.clear()
-                new = set(words)
-            for w in new:
-                cache[w] = sum([get(f, 0.0) for f in features(w)]) + bias
-        return np.fromiter(map(cache.__getitem__, words), dtype=np.float64, count=len(words))
-
-    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if len(cache) + len(words) > CACHE_WORDS:
+            cache.clear()
+        found = list(map(cache.get, words))
+        for i, known in enumerate(found):
+            if known is None:
+                cache[words[i]] = found[i] = sum([get(f, 0.0) for f in features(words[i])]) + bias
+        return np.array(found, dtype=np.float64)
+
+    def __call__(self, texts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Scores, each text's number of tokens, and the marginals of all tokens."""
-        parts = [self.tokens(t.split()) for t in texts]
-        lengths = np.array([len(p) for p in parts], dtype=np.int64)
-        flat = np.concatenate(parts) if parts else np.zeros(0)
-        p = marginals(np.exp(np.clip(flat, -30, 30)), lengths, self.model["chain"])
+        words, codes, ends = coded_words(texts)
+        odds = np.exp(np.clip(self.emissions(words.to_pylist()), -30, 30))[codes]
+        lengths = np.diff(ends, prepend=0)
+        p = marginals(odds, lengths, self.model["chain"])
         x = document_inputs(p, lengths) @ self.model["layer"]
         return 1 / (1 + np.exp(-np.clip(x, -30, 30))), lengths, p
 
@@ -275,44 +292,40 @@ def offending(text: bytes, p: np.ndarray) -> list[dict]:
     return spans
 
 
-def scored(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
-    """docs with tox_score double and tox_spans array<struct<start, end, marginal>>; docs' columns as they are."""
+def scored(docs: DataFrame, model: dict | None, text: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """doc (a struct of docs' columns, or of those in carry, whatever their names), score double and spans array<struct<start, end, marginal>>."""
+    doc = F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in (docs.columns if carry is None else carry)]).alias("doc")
     if model is None:
-        return docs.withColumns({"tox_score": F.lit(0.0), "tox_spans": F.array().cast(SPAN)})
-    with_text = docs.withColumns({"_tox_text": F.coalesce(F.col(text), F.lit("")).cast("binary"), "tox_score": F.lit(0.0), "tox_spans": F.array().cast(SPAN)})
-    columns = with_text.columns
-    names = [c for c in columns if c != "_tox_text"]
-    at = with_text.columns.index("_tox_text")
+        return docs.select(doc, F.lit(0.0).alias("score"), F.array().cast(SPANS).alias("spans"))
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("marginal", pa.float64())]))
+    rows = docs.select(doc, F.coalesce(F.col(text), F.lit("")).cast("binary").alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
         for whole in batches:
-            for batch in groups(whole, at):
-                texts = batch.column(at).to_pylist()
-                score, lengths, p = scorer(texts)
+            for batch in groups(whole, 1):
+                texts = batch.column(1).to_pylist()
+                score, lengths, p = scorer(batch.column(1))
                 ends = np.cumsum(lengths)
                 high = np.concatenate([[0], np.cumsum(p > 0.5)])
                 spans = [offending(t, p[e - n : e]) if high[e] > high[e - n] else [] for t, e, n in zip(texts, ends, lengths, strict=True)]
-                new = {"tox_score": pa.array(score), "tox_spans": pa.array(spans, span)}
-                yield pa.RecordBatch.from_arrays([new.get(c, batch.column(i)) for i, c in enumerate(columns) if c != "_tox_text"], names=names)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array(spans, span)], names=["doc", "score", "spans"])
 
-    return with_text.mapInArrow(run, with_text.drop("_tox_text").schema)
+    return rows.mapInArrow(run, StructType([rows.schema["doc"], StructField("score", DoubleType()), StructField("spans", SPANS)]))
 
 
 def reject_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that are not toxic, with the columns of docs."""
-    rows = docs.select(F.struct("*").alias("_row"), "text")
-    return scored(rows, fit(docs, labels)).filter(F.col("tox_score") < threshold).select("_row.*")
+    return scored(docs, fit(docs, labels)).filter(F.col("score") < threshold).select("doc.*")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    got = scored(docs, fit(docs, table(spark, sf_dir, "labels")))
+    got = scored(docs, fit(docs, table(spark, sf_dir, "labels")), carry=["doc_id"])
     return got.select(
-        "doc_id",
-        held_out(F.col("doc_id")).alias("held_out"),
-        F.col("tox_score").alias("score"),
-        (F.col("tox_score") >= THRESHOLD).cast("int").alias("predicted"),
-        F.col("tox_spans").alias("spans"),
+        "doc.doc_id",
+        held_out(F.col("doc.doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        "spans",
     )

@@ -33,6 +33,8 @@ from .common import groups, shared_dir, stash, table
 MIN_PAYLOAD = 100
 ARCHIVE_BYTES = 32_000_000
 RANGE_BYTES = 2_000_000
+#: Ranges that a task reads, where there are many.
+RANGES = 64
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 #: Signatures and sizes of the ZIP format.
 LOCAL, CENTRAL, END, END64, LOCATOR64 = b"PK\x03\x04", b"PK\x01\x02", b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07"
@@ -183,10 +185,11 @@ def parsed(member: bytes) -> tuple[int | None, int, str, str, int | None]:
 
 
 def opened(path: str):
-    """(file system, path) for any store that Arrow knows."""
+    """(file system, path) for any store that Arrow knows; Hadoop's names for S3 are Arrow's s3."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path)
+    scheme, colon, rest = path.partition(":")
+    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3"}.get(scheme, scheme) + colon + rest)
 
 
 def classified(pages: DataFrame) -> DataFrame:
@@ -275,7 +278,10 @@ def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFr
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
     ranges = archives.select("path", "size").mapInArrow(plan, "path string, start bigint, lengths array<bigint>")
-    dealt = ranges.repartition(F.col("path"), F.col("start"))
+    # A row stands for range_bytes, so that the number of tasks is told here: rows are too small for Spark to judge by.
+    n_ranges = -(-int(archives.agg(F.sum("size")).first()[0] or 0) // range_bytes) + 1
+    tasks = min(n_ranges, max(2 * archives.sparkSession.sparkContext.defaultParallelism, n_ranges // RANGES))
+    dealt = ranges.repartition(tasks, F.col("path"), F.col("start"))
     return dealt.mapInArrow(fetch, "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint")
 
 

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from flowspark.llm import hmm
-from flowspark.llm.toxicity import fit, forward_backward, marginals, reject_toxic, scored
+from flowspark.llm.toxicity import fit, forward_backward, marginals, reject_toxic, sampled, scored
 
 
 def brute_marginals(odds, chain):
@@ -58,16 +58,31 @@ def toxic_corpus(spark):
 def test_held_out_accuracy(toxic_corpus):
     docs, labels = toxic_corpus
     rows = scored(docs, fit(docs, labels)).collect()
-    assert all((r["tox_score"] >= 0.3) == (r["doc_id"] % 5 == 0) for r in rows)
-    assert all(r["text"][s["start"] : s["end"]].strip(",.") in ("idiot", "Moron", "scum") for r in rows for s in r["tox_spans"])
+    assert all((r["score"] >= 0.3) == (r["doc"]["doc_id"] % 5 == 0) for r in rows)
+    assert all(r["doc"]["text"][s["start"] : s["end"]].strip(",.") in ("idiot", "Moron", "scum") for r in rows for s in r["spans"])
     assert reject_toxic(docs, labels).count() == 480
 
 
+def test_long_labelled_texts_teach(spark, toxic_corpus):
+    """Where all toxic documents are long they are learned from, as many as the bound on bytes allows; labels without a document don't count."""
+    docs, labels = toxic_corpus
+    rows, marks = docs.collect(), labels.collect()
+    toxic = {r["doc_id"] for r in marks if r["toxic"]}
+    grown = [(r["doc_id"], r["text"] + " word7" * 3000 if r["doc_id"] in toxic else r["text"]) for r in rows]
+    long_docs = spark.createDataFrame(grown, "doc_id long, text string")
+    more = labels.unionByName(spark.createDataFrame([(10_000 + i, 1) for i in range(5000)], "doc_id long, toxic int"))
+    got = scored(long_docs, fit(long_docs, more)).collect()
+    assert sum((r["score"] >= 0.3) == (r["doc"]["doc_id"] % 5 == 0) for r in got) >= 0.98 * len(got)
+    few = {r["_id"]: r["_toxic"] for r in sampled(long_docs, more, "text", "doc_id", 20, 100_000).collect()}
+    assert sum(few.values()) == 5 and len(few) == 25  # 18 kB each
+    assert sampled(long_docs, more, "text", "doc_id", 20, 10).count() == 2
+
+
 def test_toxicity_edge_cases(spark, toxic_corpus, awkward, empty):
     docs, labels = toxic_corpus
     model = fit(docs, labels)
     rows = scored(awkward, model).collect()
-    assert len(rows) == 9 and all(0 <= r["tox_score"] <= 1 for r in rows)
+    assert len(rows) == 9 and all(0 <= r["score"] <= 1 for r in rows)
     assert scored(empty, model).count() == 0
     none = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, toxic int")
     assert fit(awkward, none) is None and reject_toxic(awkward, none).count() == 9

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from flowspark.llm.chat import escape, format_chats, read_back, under_mask, unescape
 from flowspark.llm.linededup import drop_repeated_lines, matches
-from flowspark.llm.mixing import mix, plan_mix
+from flowspark.llm.mixing import mix, plan_mix, targets
 from flowspark.llm.quality import bucket_floor, judged, measured, quality_filter, sketches, thresholds
 
 from .conftest import words
@@ -159,17 +159,28 @@ def test_mix_meets_targets(spark, seed):
     rows = [(i, words(0, rnd.randint(1, 60)), "abcdef"[min(int(rnd.expovariate(0.8)), 5)]) for i in range(1500)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     plan = plan_mix(docs, seed=seed).toPandas()
+    plan["source"] = [r["source"] for r in plan["doc"]]
     for _, g in plan.groupby("source"):
-        target = g["_mix_target"].iloc[0]
-        taken = (g["_mix_copies"] * g["_mix_words"]).sum()
-        assert abs(taken - target) <= 60 + 0.02 * target and target <= 3 * g["_mix_words"].sum() + 1e-6
-    assert plan["_mix_copies"].max() <= 3 and abs(plan.groupby("source")["_mix_target"].first().sum() - plan["_mix_words"].sum()) < 1e-6
+        target = g["target"].iloc[0]
+        taken = (g["copies"] * g["words"]).sum()
+        assert abs(taken - target) <= 60 + 0.02 * target and target <= 3 * g["words"].sum() + 1e-6
+    assert plan["copies"].max() <= 3 and abs(plan.groupby("source")["target"].first().sum() - plan["words"].sum()) < 1e-6
     assert sorted(map(tuple, mix(docs, seed=seed).collect())) == sorted(map(tuple, mix(docs, seed=seed).collect()))
 
 
+def test_many_sources_weigh_in_order(spark):
+    """Weights repeat over the sources in order of their names, null last, over several sorted partitions."""
+    names = [None, *(f"s{i:03d}" for i in range(50)), "ñ", "Z"]
+    sources = spark.createDataFrame([(n or "", n is None, 100) for n in names], "source string, missing boolean, words long").repartition(5)
+    got = {(r["source"], r["missing"]): r["target"] for r in targets(sources, cap=1000).collect()}
+    weights = [1 + i % 3 for i in range(len(names))]
+    for name, w in zip([*sorted(n for n in names if n), None], weights, strict=True):
+        assert abs(got[name or "", name is None] - w * 100 * len(names) / sum(weights)) < 1e-6
+
+
 def test_mix_edge_cases(awkward, empty):
     plan = plan_mix(awkward)
     assert plan.count() == awkward.count()
-    assert all(r["_mix_words"] == 0 for r in plan.collect() if not (r["text"] or "").strip())
+    assert all(r["words"] == 0 for r in plan.collect() if not (r["doc"]["text"] or "").strip())
     assert mix(awkward).columns == awkward.columns
     assert mix(empty).count() == 0
