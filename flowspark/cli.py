@@ -15,7 +15,7 @@ from .dataflow import compiled, failure, read_script, run_script
 from .errors import FlowError
 from .recipe import load_recipe, run_recipe
 from .sources.catalog import SECRET_NAME, Secrets, load_catalog
-from .sources.jdbc import TargetDatabase
+from .sources.jdbc import TargetDatabase, packages
 
 SCRIPT_FLAGS = ("--dataflow-script", "-dataflowscript", "--dataflow-script-contenido")
 
@@ -58,6 +58,7 @@ def parser(script: bool) -> argparse.ArgumentParser:
         out.add_argument("--base-destino", dest="target")
         out.add_argument("--solo-compilar", action="store_true", dest="compile_only")
         out.add_argument("--plan-salida", dest="plan")
+        out.add_argument("--solo-paquetes", action="store_true", dest="packages_only")
     else:
         for name in ("--receta", "--entrada", "--salida"):
             out.add_argument(name, required=True)
@@ -106,6 +107,9 @@ def script_main(args: argparse.Namespace) -> int:
             secrets = Secrets.from_environment(secret_pairs(args.secreto))
             catalog = load_catalog(args.catalog_text or args.catalog, inline=bool(args.catalog_text))
             target = TargetDatabase.of(json.loads(args.target if args.target.lstrip().startswith("{") else Path(args.target).read_text("utf-8"))) if args.target else None
+            if args.packages_only:
+                print(",".join(packages(catalog, target)))
+                return 0
             spark = session("flowspark dataflow")
             doc = run_script(spark, text, catalog, secrets, target, args.ejecucion_id, "archivo" if args.script else "contenido")
     except Exception as e:

@@ -15,6 +15,8 @@ from .plans.ops import Plan
 from .sources.catalog import Catalog, Secrets
 from .sources.jdbc import TargetDatabase
 
+#: Shorter secrets may stand in a script by chance.
+LEAST_SECRET = 8
 #: Session settings that scripts rely on.
 SETTINGS = {"spark.sql.caseSensitive": "true", "spark.sql.ansi.enabled": "true", "spark.sql.session.timeZone": "UTC"}
 
@@ -59,7 +61,9 @@ def session_for(spark: SparkSession) -> SparkSession:
 
 
 def run_script(spark: SparkSession, text: str, catalog: Catalog, secrets: Secrets, target: TargetDatabase | None = None, run_id: str = "", origin: str = "contenido") -> dict:
-    plan, _ = compiled(text)
+    plan, doc = compiled(text)
+    if secrets.exposed({"plan": plan.to_json(), **doc}, LEAST_SECRET):
+        raise FlowError("El script contiene un secreto", "SECRET_EXPOSED")
     executor = Executor(session_for(spark), catalog, secrets, target)
     tables = executor.run(plan)
     return {

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import RecipeError
@@ -30,10 +30,17 @@ class IncrementalConfig:
 
 
 def first_of_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """One row for each key, the least by all other columns, so that a rerun keeps the same one."""
-    rest = [column(c) for c in df.columns if c not in keys and df.schema[c].dataType.typeName() not in ("map", "variant")]
-    order = Window.partitionBy(*map(column, keys)).orderBy(*(rest or [F.lit(1)]))
-    return df.withColumn("_flow_order", F.row_number().over(order)).filter("_flow_order = 1").drop("_flow_order")
+    """One row for each key, the least by all other columns, so that a rerun keeps the same one.
+
+    An aggregation, so that a key with very many rows shrinks before the shuffle.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    ordered = [c for c in rest if df.schema[c].dataType.typeName() not in ("map", "variant")]
+    if not rest:
+        return df.dropDuplicates(keys)
+    least = F.min_by(F.struct(*map(column, rest)), F.struct(*map(column, ordered)) if ordered else F.lit(1)).alias("_flow_rest")
+    found = df.groupBy(*map(column, keys)).agg(least)
+    return found.select(*[column(c) if c in keys else F.col("_flow_rest")[c].alias(c) for c in df.columns])
 
 
 def run_incremental(spark: SparkSession, batch: DataFrame, path: str, config: IncrementalConfig, output: OutputConfig) -> dict:

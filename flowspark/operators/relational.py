@@ -75,4 +75,4 @@ def metric_text(text: str) -> Column:
 
 def new_rows(batch: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of batch whose keys are not in existing (left anti join)."""
-    return batch.join(existing.select(*map(column, keys)).distinct(), keys, "left_anti")
+    return batch.join(existing.select(*map(column, keys)), keys, "left_anti")

@@ -2,16 +2,27 @@
 
 from __future__ import annotations
 
+import json
+import tempfile
+import uuid
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators.incremental import IncrementalConfig, run_incremental
 from .operators.relational import concatenate, equi_join, natural_join, new_rows
 from .operators.steps import apply_steps
 from .plans.compiler import compile_script
 from .plans.executor import Executor
 from .plans.ops import Aggregate, Filter, Plan, Project
+from .recipe import load_recipe, run_recipe
+from .sinks.parquet import OutputConfig, write
+from .sources.catalog import load_catalog
+from .sources.reader import InputConfig, read, resolve_schema
+from .streaming.csv_sink import stream_to_csv
+from .types import void_to_string
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,9 +136,9 @@ def join_equality(spark, sf_dir):
     return equi_join(orders, table(spark, sf_dir, "customer").select("c_custkey", "c_name"), "o.o_custkey = c.c_custkey")
 
 
-@direct("incremental_new_rows", "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@direct("incremental_new_rows", "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderkey % 16 = 1)")
 def incremental_new_rows(spark, sf_dir):
-    seen = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    seen = table(spark, sf_dir, "orders").filter("o_orderkey % 16 = 1").select(F.col("o_custkey").alias("c_custkey"))
     return new_rows(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), seen, ["c_custkey"])
 
 
@@ -150,6 +161,140 @@ def plan_text_metrics(spark, sf_dir):
     return executor.run(plan)["r"]
 
 
+@direct("plan_text_sums", "SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS suma, round(avg(l_quantity), 4) AS media, max(l_shipdate) AS ultima, count(l_tax) AS n FROM lineitem GROUP BY ALL")
+def plan_text_sums(spark, sf_dir):
+    executor = Executor(spark)
+    executor.register("lineitem", table(spark, sf_dir, "lineitem"))
+    metrics = ("SUM(l_quantity) AS suma", "AVG(l_quantity) AS media", "MAX(l_shipdate) AS ultima", "COUNT(l_tax) AS n")
+    found = executor.run(Plan((Aggregate("lineitem", ("l_returnflag", "l_linestatus"), metrics, (), "r"),)))["r"]
+    return found.withColumns({"suma": F.round("suma", 2), "media": F.round("media", 4)})
+
+
+# --- sources and sinks: tables go through files in the shared folder and come back
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's address in spark.checkpoint.dir, which is set here only where it is unset and the session is local."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="flowspark-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def as_csv(df: DataFrame, name: str, separator: str = ",") -> str:
+    path = scratch(df.sparkSession, name)
+    df.write.options(header="true", sep=separator).csv(path)
+    return path
+
+
+@direct("source_declared_csv", "SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(14,2)) AS o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate FROM orders")
+def source_declared_csv(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_orderstatus", "cast(o_totalprice as decimal(14,2)) AS o_totalprice", "cast(o_orderdate as date) AS o_orderdate")
+    config = InputConfig.of({"formato": "csv", "opciones": {"header": True, "sep": "|"}})
+    schema = resolve_schema(config, "o_orderkey:long|o_orderstatus:texto|o_totalprice:decimal(14,2)|o_orderdate:fecha")
+    return read(spark, as_csv(orders, "orders", "|"), schema, config)
+
+
+@direct("source_inferred_csv", "SELECT c_custkey AS numero_de_cliente, c_name AS nombre, CAST(c_acctbal AS VARCHAR) AS col_2026_saldo, c_nationkey AS pais FROM customer")
+def source_inferred_csv(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey AS `Número de cliente`", "c_name AS ` Nombre`", "c_acctbal AS `2026 saldo`", "c_nationkey AS `PAÍS`")
+    config = InputConfig.of({"modo_esquema": "inferir", "tipos_forzados": {"numero_de_cliente": "long", "col_2026_saldo": "string", "pais": "int"}})
+    return read(spark, as_csv(customers, "customer"), None, config)
+
+
+@direct("source_parquet", "SELECT s_suppkey, s_name, s_nationkey, CAST(s_acctbal AS DECIMAL(12,2)) AS s_acctbal FROM supplier")
+def source_parquet(spark, sf_dir):
+    config = InputConfig.of({"formato": "parquet", "modo_esquema": "inferir", "tipos_forzados": {"s_acctbal": "decimal(12,2)"}})
+    return read(spark, f"{sf_dir}/supplier.parquet", None, config)
+
+
+@direct("source_void_columns", "SELECT n_nationkey, CAST(NULL AS VARCHAR) AS nada FROM nation")
+def source_void_columns(spark, sf_dir):
+    return void_to_string(table(spark, sf_dir, "nation").select("n_nationkey", F.lit(None).alias("nada")))
+
+
+@direct("sink_parquet", "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, l_linestatus FROM lineitem")
+def sink_parquet(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
+    path = scratch(spark, "lineitem")
+    config = OutputConfig.of({"numero_particiones": 3, "columnas_reparticion": ["l_orderkey"], "particionar_por": ["l_returnflag", "l_linestatus"], "compresion": "zstd"})
+    write(spark, lines, path, config)
+    return spark.read.parquet(path)
+
+
+@direct("sink_metrics", "SELECT CAST(2 AS BIGINT) AS archivos, TRUE AS success, TRUE AS bytes")
+def sink_metrics(spark, sf_dir):
+    """What the sink's check of its own output finds."""
+    path = scratch(spark, "part")
+    found = write(spark, table(spark, sf_dir, "part"), path, OutputConfig.of({"numero_particiones": 2}))
+    row = (found["cantidad_archivos_parquet"], found["archivo_success"], found["bytes_parquet"] > 0)
+    return spark.createDataFrame([row], "archivos long, success boolean, bytes boolean")
+
+
+@direct("recipe_run", "SELECT c_custkey, upper(trim(c_mktsegment)) AS c_mktsegment, CAST(c_acctbal AS DECIMAL(12,2)) AS c_acctbal FROM customer WHERE c_acctbal > 0")
+def recipe_run(spark, sf_dir):
+    """A recipe from its document to its verified output, read back."""
+    customers = table(spark, sf_dir, "customer").selectExpr("c_custkey", "concat(' ', c_mktsegment) AS c_mktsegment", "cast(c_acctbal as decimal(12,2)) AS c_acctbal")
+    doc = {
+        "entrada": {"opciones": {"header": True}},
+        "pasos": [{"tipo": "normalizar_texto", "columnas": ["c_mktsegment"], "operaciones": ["trim", "upper"]}, {"tipo": "filtrar", "expresion": "c_acctbal > 0"}],
+        "salida": {"formato": "parquet", "particionar_por": ["c_mktsegment"]},
+        "auditoria": {"contar_registros": True},
+    }
+    target = scratch(spark, "recipe")
+    run_recipe(spark, load_recipe(json.dumps(doc)), as_csv(customers, "customer"), target, "c_custkey:long|c_mktsegment:string|c_acctbal:decimal(12,2)", "q", lambda _: None)
+    return spark.read.parquet(target)
+
+
+@direct("incremental_write", "SELECT o_custkey, min(o_orderkey) FILTER (o_orderkey % 2 = 0 OR o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 2 = 0)) AS o_orderkey FROM orders GROUP BY o_custkey")
+def incremental_write(spark, sf_dir):
+    """Two loads into one target: the second adds the customers that the first lacks, each with its least order."""
+    orders, target = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), scratch(spark, "orders")
+    config, output = IncrementalConfig.of({"activo": True, "claves": ["o_custkey"]}), OutputConfig.of({"modo": "append"})
+    for batch in (orders.filter("o_orderkey % 2 = 0"), orders):
+        run_incremental(spark, batch, target, config, output)
+    return spark.read.parquet(target)
+
+
+@direct("incremental_metrics", """SELECT count(*) AS entrada, count(DISTINCT o_custkey) AS unicos, count(DISTINCT o_custkey) - (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 64 = 1) AS nuevos,
+    count(*) - (count(DISTINCT o_custkey) - (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 64 = 1)) AS duplicados, (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 64 = 1) AS antes FROM orders""")
+def incremental_metrics(spark, sf_dir):
+    orders, target = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), scratch(spark, "orders")
+    config, output = IncrementalConfig.of({"activo": True, "claves": ["o_custkey"]}), OutputConfig.of({"modo": "append"})
+    run_incremental(spark, orders.filter("o_orderkey % 64 = 1"), target, config, output)
+    found = run_incremental(spark, orders, target, config, output)
+    names = ("entrada", "total_registros_entrada"), ("unicos", "total_registros_unicos_lote"), ("nuevos", "total_registros_nuevos"), ("duplicados", "total_registros_duplicados"), ("antes", "total_registros_antes")
+    return spark.createDataFrame([tuple(found[key] for _, key in names)], ", ".join(f"{name} long" for name, _ in names))
+
+
+@direct("script_store_and_load", "SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_regionkey > 0")
+def script_store_and_load(spark, sf_dir):
+    """A script that publishes a table as one CSV of a connection, and one that loads it from there (LIB CONNECT, allow-list, types by the file)."""
+    folder = Path(scratch(spark, "published").removeprefix("file://"))
+    folder.mkdir(parents=True)
+    files = [{"esquema": "", "tabla": "paises.csv", "campos": []}]
+    catalog = load_catalog(json.dumps({"locales": [{"nombre": "datos", "tipo": "local", "ruta_base": str(folder), "allowlist": files}]}), inline=True)
+    first = Executor(spark, catalog)
+    first.register("nation", table(spark, sf_dir, "nation"))
+    first.run(compile_script("r: LOAD n_nationkey, n_name, n_regionkey RESIDENT nation WHERE n_regionkey > 0; STORE r INTO [lib://datos/paises.csv] (csv);", TABLES))
+    return Executor(spark, catalog).run(compile_script("LIB CONNECT TO 'datos'; p: LOAD n_nationkey, n_name, n_regionkey FROM [lib://datos/paises.csv];"))["p"]
+
+
+@direct("stream_to_csv", "SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'view'")
+def stream_events(spark, sf_dir):
+    """Events as a stream to one CSV file, read back."""
+    folder = Path(scratch(spark, "stream").removeprefix("file://"))
+    (folder / "stage").mkdir(parents=True)
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    events.repartition(4).write.parquet(f"file://{folder}/in")
+    stream = spark.readStream.schema(events.schema).parquet(f"file://{folder}/in")
+    stream_to_csv(stream.filter("event_type <> 'view'"), folder / "stage", folder / "events.csv")
+    return read(spark, f"file://{folder}/events.csv", events.schema, InputConfig.of({"opciones": {"header": True}}))
+
+
 # --- dataflow scripts
 
 script("script_distinct", "r: LOAD DISTINCT c_mktsegment AS segmento, c_nationkey RESIDENT customer;", "r", "SELECT DISTINCT c_mktsegment AS segmento, c_nationkey FROM customer")
@@ -215,6 +360,26 @@ script(
     "script_union_distinct", "t: LOAD c_nationkey AS k RESIDENT customer; CONCATENATE (t) LOAD s_nationkey AS k RESIDENT supplier; r: NOCONCATENATE LOAD DISTINCT k RESIDENT t; DROP TABLE t;", "r",
     "SELECT c_nationkey AS k FROM customer UNION SELECT s_nationkey FROM supplier",
 )
+script(
+    "script_null_equality", "t: LOAD c_custkey, c_nationkey AS k RESIDENT customer; LEFT JOIN (t) LOAD s_nationkey AS k, Max(s_nationkey) AS m RESIDENT supplier WHERE s_nationkey < 10 GROUP BY s_nationkey; "
+    "LEFT JOIN (t) LOAD c_custkey, Max(c_nationkey) AS o RESIDENT customer WHERE c_nationkey < 5 GROUP BY c_custkey; r: LOAD c_custkey RESIDENT t WHERE m = o;", "r",
+    "SELECT c_custkey FROM customer LEFT JOIN (SELECT DISTINCT s_nationkey AS m FROM supplier WHERE s_nationkey < 10) ON c_nationkey = m WHERE m IS NOT DISTINCT FROM (CASE WHEN c_nationkey < 5 THEN c_nationkey END)",
+)
+script(
+    "script_functions", "r: LOAD s_suppkey, False() AS falso, IfNull(s_name, 'x') AS nombre, Text(s_nationkey) AS pais, Length(s_name) AS largo, If(False(), 1, 2) AS dos RESIDENT supplier;", "r",
+    "SELECT s_suppkey, FALSE AS falso, coalesce(s_name, 'x') AS nombre, CAST(s_nationkey AS VARCHAR) AS pais, length(s_name)::INTEGER AS largo, 2.0::DOUBLE AS dos FROM supplier",
+)
+script(
+    "script_num_signs", "r: LOAD c_custkey, Num(Concat('$ ', c_acctbal, ' COP')) AS saldo, Num(Concat('1,', c_custkey)) AS coma, Num('-') AS signo, Num('') AS vacio, Num('a1b2.5') AS junto RESIDENT customer;", "r",
+    "SELECT c_custkey, c_acctbal AS saldo, 0.0::DOUBLE AS coma, 0.0::DOUBLE AS signo, 0.0::DOUBLE AS vacio, 12.5::DOUBLE AS junto FROM customer",
+)
+script(
+    "script_regex_occurrences", "r: LOAD p_partkey, IndexRegEx(p_brand, '[0-9]', 2) AS dos, IndexRegEx(p_brand, '[0-9]', 3) AS tres, IndexRegEx(p_brand, 'zzz') AS nada RESIDENT part;", "r",
+    r"""SELECT p_partkey, CASE WHEN regexp_matches(p_brand, '[0-9][^0-9]*[0-9]') THEN length(regexp_extract(p_brand, '^[^0-9]*[0-9][^0-9]*')) + 1 ELSE 0 END::INTEGER AS dos,
+    CASE WHEN regexp_matches(p_brand, '[0-9][^0-9]*[0-9][^0-9]*[0-9]') THEN length(regexp_extract(p_brand, '^[^0-9]*[0-9][^0-9]*[0-9][^0-9]*')) + 1 ELSE 0 END::INTEGER AS tres, 0::INTEGER AS nada FROM part""",
+)
+script("script_plain_keys", "r: LOAD c_nationkey, c_mktsegment AS segmento RESIDENT customer GROUP BY c_nationkey, c_mktsegment;", "r", "SELECT DISTINCT c_nationkey, c_mktsegment AS segmento FROM customer")
+script("script_distinct_groups", "r: LOAD DISTINCT c_nationkey, Count(*) AS n RESIDENT customer GROUP BY c_nationkey;", "r", "SELECT DISTINCT c_nationkey, count(*) AS n FROM customer GROUP BY c_nationkey")
 script("script_resident_filter", "r: RESIDENT nation, n_regionkey = 2;", "r", "SELECT * FROM nation WHERE n_regionkey = 2")
 _RULE = "l_quantity > 0 AND IndexRegEx(l_returnflag, '[AR]') > 0"
 script("script_accepted", f"r: LOAD l_orderkey, l_linenumber RESIDENT lineitem WHERE {_RULE};", "r", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity > 0 AND regexp_matches(l_returnflag, '[AR]')")

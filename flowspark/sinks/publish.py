@@ -4,20 +4,24 @@ from __future__ import annotations
 
 import csv
 import hashlib
+import io
 import os
 import re
 import shutil
 import stat
 import tempfile
+import uuid
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass
 from datetime import UTC, datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..errors import FlowError
 from ..sources.catalog import Secrets, SftpConnection
+from .parquet import hadoop_path
 
 COMPONENT = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 
@@ -90,16 +94,34 @@ def digest(path: Path) -> str:
 
 
 def single_csv(df: DataFrame, target: Path) -> None:
-    """One CSV through the Hadoop file system, so that it also works where driver and executors share no folder.
+    """One CSV with header: tasks write the parts, and their bytes are put together in order through Hadoop's file systems.
 
-    Rows pass through the driver one partition at a time; the format is Spark's (quotes where needed, header).
+    The parts lie in spark.checkpoint.dir, which all executors share, or, where that is unset, beside the target.
     """
-    names = df.columns
-    with target.open("w", encoding="utf-8", newline="") as file:
-        out = csv.writer(file, lineterminator="\n", quoting=csv.QUOTE_MINIMAL)
-        out.writerow(names)
-        for row in df.select(*[df[f"`{c}`"].cast("string") for c in names]).toLocalIterator(prefetchPartitions=True):
-            out.writerow(["" if v is None else v for v in row])
+    spark, names = df.sparkSession, df.columns
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    parts = f"{shared.rstrip('/')}/publish-{uuid.uuid4().hex}" if shared else f"file://{target.parent.resolve()}/.parts-{uuid.uuid4().hex}"
+    plain = df.select(*[F.col("`" + c.replace("`", "``") + "`").cast("string").alias(c) for c in names])
+    options = {"emptyValue": "", "nullValue": "", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    where, files = hadoop_path(spark, parts)
+    try:
+        plain.write.options(**options).csv(parts)
+        head = io.StringIO()
+        csv.writer(head, lineterminator="\n").writerow(names)
+        target.write_text(head.getvalue(), encoding="utf-8")
+        found = sorted(str(f.getPath()) for f in files.listStatus(where) if f.getPath().getName().startswith("part-"))
+        java = spark._jvm.java.io.FileOutputStream(str(target.resolve()), True)
+        try:
+            for name in found:
+                part = files.open(spark._jvm.org.apache.hadoop.fs.Path(name))
+                try:
+                    spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, java, 1 << 20, False)
+                finally:
+                    part.close()
+        finally:
+            java.close()
+    finally:
+        files.delete(where, True)
 
 
 def promote(staged: Path, target: Path) -> Manifest:

@@ -16,6 +16,17 @@ SECRET_NAME = re.compile(r"[A-Za-z_]\w*")
 #: Names that Windows keeps for devices.
 DEVICES = {"con", "prn", "aux", "nul", *(f"{d}{i}" for d in ("com", "lpt") for i in range(1, 10))}
 FILE_ENDINGS = (".csv", ".txt")
+#: What a text that becomes part of an SQL statement may not hold.
+UNSAFE_WORDS = ("UNION", "SELECT", "INSERT", "UPDATE", "DELETE", "DROP", "EXEC", "EXECUTE")
+UNSAFE_SIGNS = (";", "--", "/*")
+UNSAFE = re.compile("|".join([rf"\b(?:{'|'.join(UNSAFE_WORDS)})\b", r"\b(?:OR|AND)\b.*=", *map(re.escape, UNSAFE_SIGNS)]), re.IGNORECASE | re.DOTALL)
+
+
+def safe_for_sql(text: str) -> str:
+    """The text, if nothing in it could change a statement that it becomes part of."""
+    if UNSAFE.search(text):
+        raise FlowError(f"Texto no seguro para SQL: {text!r}", "SQL_UNSAFE")
+    return text
 
 
 class Secrets:
@@ -56,10 +67,10 @@ class Secrets:
             text = text.replace(value, "***")
         return text
 
-    def exposed(self, doc: dict) -> bool:
-        """Whether a document shows one of the secrets."""
+    def exposed(self, doc: dict, least: int = 1) -> bool:
+        """Whether a document shows one of the secrets of at least so many characters."""
         text = json.dumps(doc, ensure_ascii=False)
-        return any(v and v in text for v in self.given.values())
+        return any(len(v) >= least and v in text for v in self.given.values())
 
 
 @dataclass(frozen=True)
@@ -70,6 +81,7 @@ class JdbcConnection:
     secret: str | None
     tables: dict[str, tuple[str, ...]]  # "schema.table" or "table": columns
     options: dict = field(default_factory=dict)
+    splits: dict[str, dict] = field(default_factory=dict)  # table: column, bounds and number of ranges
 
 
 @dataclass(frozen=True)
@@ -180,7 +192,8 @@ def load_catalog(source: str, inline: bool = False) -> Catalog:
         try:
             if kind == "jdbc":
                 tables = {f"{schema}.{table}" if schema else table: columns for schema, table, columns in allowed}
-                out[name] = JdbcConnection(name, one["url"], one.get("driver"), secret, tables, one.get("propiedades") or {})
+                splits = {a["tabla"]: a["particion"] for a in one.get("allowlist") or [] if a.get("tabla") and a.get("particion")}
+                out[name] = JdbcConnection(name, one["url"], one.get("driver"), secret, tables, one.get("propiedades") or {}, splits)
             elif kind == "local":
                 out[name] = LocalConnection(name, one["ruta_base"], tuple(table for _, table, _ in allowed))
             elif kind == "sftp":

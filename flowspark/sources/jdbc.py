@@ -8,19 +8,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import FlowError
-from .catalog import Catalog, JdbcConnection, Secrets, expand
+from .catalog import Catalog, JdbcConnection, Secrets, expand, safe_for_sql
 
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 MAX_IDENTIFIER = 128
-#: Words that may not be identifiers, and options that only this module sets.
+#: Words that may not be identifiers, and options that only this module sets.
 RESERVED = set("SELECT FROM WHERE INSERT UPDATE DELETE DROP CREATE ALTER TABLE UNION JOIN GRANT EXEC EXECUTE".split())
 OWN_OPTIONS = {"url", "user", "password", "driver", "dbtable", "query"}
 #: Driver class to Maven coordinates.
 PACKAGES = {
-    "org.postgresql.Driver": "org.postgresql:postgresql:42.7.4",
+    "org.postgresql.Driver": "org.postgresql:postgresql:42.7.7",
     "com.microsoft.sqlserver.jdbc.SQLServerDriver": "com.microsoft.sqlserver:mssql-jdbc:12.8.1.jre11",
-    "com.mysql.cj.jdbc.Driver": "com.mysql:mysql-connector-j:9.1.0",
-    "org.mariadb.jdbc.Driver": "org.mariadb.jdbc:mariadb-java-client:3.5.0",
+    "com.mysql.cj.jdbc.Driver": "com.mysql:mysql-connector-j:8.4.0",
+    "org.mariadb.jdbc.Driver": "org.mariadb.jdbc:mariadb-java-client:3.5.2",
 }
 MODES = {"append", "overwrite", "error", "errorifexists", "ignore"}
 
@@ -47,6 +47,22 @@ def credentials(connection: JdbcConnection, secrets: Secrets) -> dict[str, str]:
     return {"user": user, "password": password}
 
 
+def split_options(split: dict | None, allowed: tuple[str, ...]) -> dict[str, str]:
+    """How a table is read by many tasks: by ranges of a column between two bounds; without them one task reads it."""
+    if not split:
+        return {}
+    wanted = {"partitionColumn": "columna", "lowerBound": "minimo", "upperBound": "maximo", "numPartitions": "particiones"}
+    if missing := [key for key in wanted.values() if split.get(key) is None]:
+        raise FlowError(f"La partición necesita {missing}", "JDBC_PARTITION_INVALID")
+    out = {option: str(split[key]) for option, key in wanted.items()}
+    identifier(out["partitionColumn"], "columna")
+    if allowed and out["partitionColumn"] not in allowed or not out["numPartitions"].isdigit() or out["numPartitions"] == "0":
+        raise FlowError("Partición inválida", "JDBC_PARTITION_INVALID")
+    for bound in ("lowerBound", "upperBound"):
+        safe_for_sql(out[bound])
+    return out
+
+
 def scan_options(connection: JdbcConnection, schema: str | None, table: str, columns: tuple[str, ...], secrets: Secrets) -> dict[str, str]:
     allowed = connection.tables.get(f"{schema}.{table}" if schema else table, connection.tables.get(table))
     if allowed is None:
@@ -59,6 +75,7 @@ def scan_options(connection: JdbcConnection, schema: str | None, table: str, col
     if bad:
         raise FlowError(f"Opciones reservadas: {sorted(bad)}", "OPTION_RESERVED")
     options = {k: str(v) for k, v in connection.options.items()}
+    options |= split_options(connection.splits.get(table), allowed)
     options |= {"url": expand(connection.url), "dbtable": f"({subquery(schema, table, chosen)}) AS flow_source"}
     if connection.driver:
         options["driver"] = connection.driver
@@ -69,12 +86,23 @@ def scan(spark: SparkSession, catalog: Catalog, name: str, schema: str | None, t
     return spark.read.format("jdbc").options(**scan_options(catalog.get(name, JdbcConnection), schema, table, columns, secrets)).load()
 
 
-def package_of(driver: str) -> str:
+def package_of(driver: str | None) -> str:
     if driver not in PACKAGES:
         raise FlowError(f"Driver fuera de la lista: {driver}", "DRIVER_NOT_ALLOWED")
     return PACKAGES[driver]
 
 
+def packages(catalog: Catalog, target: TargetDatabase | None = None) -> tuple[str, ...]:
+    """The Maven packages that the catalog's connections and the target need, each once, to be known before Spark starts.
+
+    A catalog names drivers, never packages; each of its drivers must be on the list, the target's may come from elsewhere.
+    """
+    found = [package_of(c.driver) for c in catalog.connections.values() if isinstance(c, JdbcConnection)]
+    if target and target.driver in PACKAGES:
+        found.append(PACKAGES[target.driver])
+    return tuple(dict.fromkeys(found))
+
+
 @dataclass(frozen=True)
 class TargetDatabase:
     """The database that every STORE goes to, if one is given."""

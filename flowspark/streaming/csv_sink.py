@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import shutil
 from pathlib import Path
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame
 
@@ -11,25 +13,45 @@ from ..errors import FlowError
 from ..sinks.publish import Manifest, promote
 
 
-def stream_to_csv(df: DataFrame, staging: Path, target: Path, header: bool = True, timeout: int = 300) -> Manifest:
-    """Reads what the source has, appends to staging with a checkpoint, and publishes its parts as one file."""
+def written_parts(folder: Path) -> list[Path]:
+    """The files that finished batches wrote, batch by batch and in the order of their partitions, by the sink's own log."""
+    logs = sorted((f for f in (folder / "_spark_metadata").glob("*") if f.name.split(".")[0].isdigit()), key=lambda f: int(f.name.split(".")[0]))
+    compact = max((i for i, f in enumerate(logs) if f.name.endswith(".compact")), default=0)  # holds all before it
+    out = []
+    for log in logs[compact:]:
+        entries = [json.loads(line)["path"] for line in log.read_text("utf-8").splitlines()[1:]]
+        paths = [Path(unquote(urlparse(p).path)) for p in entries]
+        out += paths if log.name.endswith(".compact") else sorted(paths, key=lambda p: p.name)
+    return out
+
+
+def stream_to_csv(df: DataFrame, staging: Path, target: Path, header: bool = True, timeout: int | None = None) -> Manifest:
+    """Reads what the source has, appends to staging with a checkpoint, and publishes its parts as one file.
+
+    Partitions are written side by side; staging must be a folder that driver and executors share. Without a timeout (seconds) a
+    stream of any size runs to its end.
+    """
     if not df.isStreaming:
         raise FlowError("Se esperaba un DataFrame de streaming", "STREAM_REQUIRED")
     parts, state = staging / "parts", staging / "checkpoint"
     query = (
-        df.coalesce(1).writeStream.format("csv").option("header", str(header).lower()).option("checkpointLocation", f"file://{state}")
+        df.writeStream.format("csv").option("header", str(header).lower()).option("checkpointLocation", f"file://{state}")
         .outputMode("append").trigger(availableNow=True).start(f"file://{parts}")
     )
-    if not query.awaitTermination(timeout):
+    ended = query.awaitTermination(timeout) if timeout is not None else query.awaitTermination() is None
+    if not ended:
         query.stop()
         raise FlowError("El streaming no terminó a tiempo", "STREAM_TIMEOUT")
     if query.exception():
         raise FlowError(f"El streaming falló: {query.exception()}", "STREAM_FAILED")
-    whole = staging / "whole.csv"
+    whole, first = staging / "whole.csv", True
     with whole.open("wb") as out:
-        for i, part in enumerate(sorted(parts.glob("part-*.csv"), key=lambda p: p.stat().st_mtime_ns)):
+        for part in written_parts(parts):
+            if not part.stat().st_size:
+                continue
             with part.open("rb") as file:
-                if header and i:
+                if header and not first:
                     file.readline()
                 shutil.copyfileobj(file, out)
+            first = False
     return promote(whole, target)

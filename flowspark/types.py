@@ -23,6 +23,7 @@ TYPE_WORDS = {
     "date": T.DateType, "fecha": T.DateType,
     "timestamp": T.TimestampType,
 }
+#: The words for true and false that recipes may use.
 TRUE_WORDS = {"1", "true", "si", "sí", "yes"}
 FALSE_WORDS = {"0", "false", "no"}
 

@@ -1,3 +1,4 @@
+import csv
 import json
 
 import pytest
@@ -5,10 +6,10 @@ import pytest
 from flowspark.cli import main
 from flowspark.dataflow import run_script
 from flowspark.errors import FlowError
-from flowspark.sinks.publish import CsvWriter, Staging, publish_sftp
-from flowspark.sources.catalog import JdbcConnection, Secrets, SftpConnection, load_catalog, local_path, relative
-from flowspark.sources.jdbc import TargetDatabase, package_of, scan_options, subquery, table_name
-from flowspark.streaming.csv_sink import stream_to_csv
+from flowspark.sinks.publish import CsvWriter, Staging, publish_sftp, single_csv
+from flowspark.sources.catalog import JdbcConnection, Secrets, SftpConnection, load_catalog, local_path, relative, safe_for_sql
+from flowspark.sources.jdbc import TargetDatabase, package_of, packages, scan_options, subquery, table_name
+from flowspark.streaming.csv_sink import stream_to_csv, written_parts
 
 
 def catalog_of(base, files=("in.csv",)):
@@ -63,6 +64,62 @@ def test_jdbc_options():
     assert target.options("t", Secrets())["dbtable"] == '"s"."t"' and table_name("lib://c/Mi Salida-1.csv") == "mi_salida_1"
 
 
+def test_jdbc_ranges():
+    allowed = [{"esquema": "e", "tabla": "t", "campos": ["a", "b"], "particion": {"columna": "a", "minimo": 1, "maximo": "900", "particiones": 8}}]
+    catalog = load_catalog(json.dumps({"jdbc": [{"nombre": "db", "tipo": "jdbc", "url": "jdbc:x", "driver": "org.postgresql.Driver", "allowlist": allowed}]}), inline=True)
+    options = scan_options(catalog.get("db"), "e", "t", ("b",), Secrets())
+    assert [options[k] for k in ("partitionColumn", "lowerBound", "upperBound", "numPartitions")] == ["a", "1", "900", "8"]
+    for bad in ({"columna": "zz"}, {"maximo": "1; drop"}, {"particiones": 0}, {"minimo": None}):
+        broken = JdbcConnection("db", "jdbc:x", None, None, {"e.t": ("a", "b")}, {}, {"t": allowed[0]["particion"] | bad})
+        with pytest.raises(FlowError):
+            scan_options(broken, "e", "t", ("b",), Secrets())
+
+
+def test_packages_are_known_before_the_start(tmp_path, capsys):
+    def catalog(*drivers):
+        return json.dumps({"jdbc": [{"nombre": f"db{i}", "tipo": "jdbc", "url": "jdbc:x", "driver": d} for i, d in enumerate(drivers)]})
+
+    held = load_catalog(catalog("org.mariadb.jdbc.Driver", "org.postgresql.Driver", "org.mariadb.jdbc.Driver"), inline=True)
+    assert [p.split(":")[0] for p in packages(held)] == ["org.mariadb.jdbc", "org.postgresql"]
+    own = TargetDatabase.of({"url": "jdbc:y", "driver": "com.example.Driver"})
+    assert packages(held, own) == packages(held)
+    assert len(packages(held, TargetDatabase.of({"url": "jdbc:y", "driver": "com.mysql.cj.jdbc.Driver"}))) == 3
+    with pytest.raises(FlowError):
+        packages(load_catalog(catalog("com.example.Driver"), inline=True))
+    arguments = ["--dataflow-script-contenido", "a: LOAD x FROM [lib://c/f.csv];", "--conexiones-contenido", catalog("org.postgresql.Driver"), "--ejecucion-id", "e"]
+    assert main([*arguments, "--solo-paquetes", "--base-destino", json.dumps({"host": "h", "db": "b"})]) == 0
+    assert capsys.readouterr().out.strip() == packages(held)[1]
+
+
+@pytest.mark.parametrize("text", ["x; y", "1 -- z", "a /* b", "1 OR 1=1", "p and q = r", "union all", "Drop it", "exec p"])
+def test_texts_that_are_unsafe_in_sql(text):
+    with pytest.raises(FlowError):
+        safe_for_sql(text)
+
+
+def test_texts_that_are_safe_in_sql():
+    for text in ("2024-01-01", "selection of androids", "", "oro = plata", "dropped"):
+        assert safe_for_sql(text) == text
+
+
+def test_a_script_may_not_show_a_secret(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("id\n1\n")
+    text = "v: LOAD id, 'user:hunter22' AS c FROM [lib://datos/in.csv];"
+    with pytest.raises(FlowError):
+        run_script(spark, text, catalog_of(tmp_path), Secrets({"S": "user:hunter22"}))
+    assert run_script(spark, text, catalog_of(tmp_path), Secrets({"S": "id"}))["estado"] == "COMPLETADO"
+
+
+def test_single_files_keep_what_csv_must_quote(spark, tmp_path):
+    rows = [("a,b", 1), ('say "x"', None), (" blank ", 3), (None, 4), ("", 5), ("two\nlines", 6)]
+    single_csv(spark.createDataFrame(rows, "t string, n int").repartition(1), tmp_path / "o.csv")
+    with (tmp_path / "o.csv").open(newline="") as file:
+        got = list(csv.reader(file))
+    assert got[0] == ["t", "n"] and sorted(got[1:]) == sorted([t or "", "" if n is None else str(n)] for t, n in rows)
+    single_csv(spark.range(1000).repartition(7).sortWithinPartitions("id"), tmp_path / "p.csv")
+    assert sorted(map(int, (tmp_path / "p.csv").read_text().split()[1:])) == list(range(1000)) and not list(tmp_path.glob(".parts*"))
+
+
 def test_script_run_and_publish(spark, tmp_path):
     (tmp_path / "in.csv").write_text("id,region,monto\n1,N,100\n2,N,200\n3,S,50\n")
     text = "v: LOAD id, region, monto FROM [lib://datos/in.csv] WHERE monto > 60; r: LOAD region, Sum(monto) AS total, Count(*) AS n RESIDENT v GROUP BY region; STORE r INTO [lib://datos/out.csv] (csv); STORE v INTO [lib://datos/v.txt]; DROP TABLE v;"
@@ -130,6 +187,20 @@ def test_streaming_sink(spark, tmp_path):
     assert done.estado == "PUBLICADO" and sorted((tmp_path / "out.csv").read_text().split()) == ["0", "1", "2", "id"]
 
 
+def test_streaming_parts_come_in_order(spark, tmp_path):
+    """One batch for each file, and the rows of a batch in the order of their partitions."""
+    for d in ("in", "stage"):
+        (tmp_path / d).mkdir()
+    for i in range(12):
+        spark.range(i * 10, i * 10 + 10, numPartitions=1).write.parquet(str(tmp_path / "tmp" / str(i)))
+        part = next((tmp_path / "tmp" / str(i)).glob("part-*.parquet"))
+        part.rename(tmp_path / "in" / f"{i:02d}.parquet")
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    stream_to_csv(stream, tmp_path / "stage", tmp_path / "out.csv")
+    assert sorted(map(int, (tmp_path / "out.csv").read_text().split()[1:])) == list(range(120))
+    assert len(written_parts(tmp_path / "stage" / "parts")) == 12
+
+
 def test_compile_only_cli(tmp_path, capsys):
     plan, result = tmp_path / "plan.json", tmp_path / "r.json"
     code = main(["--dataflow-script-contenido", "a: LOAD x FROM [lib://c/f.csv];", "--conexiones-contenido", "{}", "--ejecucion-id", "e", "--solo-compilar", "--plan-salida", str(plan), "--resultado", str(result)])

@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 
 from flowspark.errors import FlowError, ScriptError
@@ -20,10 +23,10 @@ def values(spark, text: str, rows, schema):
 @pytest.mark.parametrize(
     ("text", "rows", "schema", "expected"),
     [
-        ("Match(v, 'A', 'B', 'A')", [("A",), ("B",), ("X",), (None,)], "v string", [1, 2, 0, 0]),
-        (r"IndexRegEx(v, '\\d+')", [("abc-123",), ("sin numero",)], "v string", [5, 0]),
-        (r"IndexRegEx(v, '\\d+', 2)", [("a-12-b-34",), ("x1",), (None,)], "v string", [8, 0, None]),
-        ("If(Match(v, 'OK'), 'valido', 'invalido')", [("OK",), ("ERROR",)], "v string", ["valido", "invalido"]),
+        ("Match(v, 'rojo', 'azul', 'rojo', 'gris')", [("azul",), ("rojo",), ("gris",), ("Rojo",), (None,)], "v string", [2, 1, 4, 0, 0]),
+        (r"IndexRegEx(v, '[xyz]{2}')", [("paxyz",), ("xay",), ("",), (None,)], "v string", [3, 0, 0, None]),
+        (r"IndexRegEx(v, 'o\\w', 2)", [("roto ojo",), ("oso",), (None,)], "v string", [6, 0, None]),
+        ("If(Match(v, 2), 'par', 'impar')", [(2,), (3,), (None,)], "v int", ["par", "impar", "impar"]),
         ("IsNull(v)", [(None,), ("x",)], "v string", [-1, 0]),
         ("Num(v)", [("123.45",), ("$ -7",), ("abc",), (None,)], "v string", [123.45, -7.0, 0.0, 0.0]),
         ("Month(v)", [("2024-07-15",)], "v string", [7]),
@@ -41,10 +44,53 @@ def test_expressions(spark, text, rows, schema, expected):
     assert values(spark, text, rows, schema) == expected
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_operators_bind_as_in_python(spark, seed):
+    """Random expressions against Python's own reading of them (whose `not`, `and` and `or` bind alike)."""
+    rnd = random.Random(seed)
+
+    def number(depth):
+        if depth == 0 or rnd.random() < 0.2:
+            return str(rnd.randint(1, 9))
+        return rnd.choice(["{} + {}", "{} - {}", "{} * {}", "{} / 4", "({})", "-{}"]).format(number(depth - 1), number(depth - 1))
+
+    def truth(depth):
+        if depth == 0:
+            return f"{number(2)} {rnd.choice(['=', '<>', '<', '>', '<=', '>='])} {number(2)}"
+        return rnd.choice(["{} AND {}", "{} OR {}", "NOT {}", "({})", "{} OR {} AND {}"]).format(*[truth(depth - 1) for _ in range(3)])
+
+    for _ in range(20):
+        text = truth(3)
+        python = re.sub(r"(?<![<>!])=", "==", text.replace("<>", "!=")).replace("AND", "and").replace("OR", "or").replace("NOT", "not")
+        assert values(spark, text, [(1,)], "x int") == [eval(python)], text  # noqa: S307
+
+
+def test_not_within_comparisons():
+    assert str(node("a = NOT b = c")) == str(node("(a = (NOT b)) = c"))
+    assert str(node("NOT a = b AND c")) == str(node("(NOT (a = b)) AND c"))
+    assert str(node("- a * b - c")) == str(node("((-a) * b) - c"))
+
+
+def test_limits():
+    Parser(tokenize("LOAD a FROM t WHERE " + " AND ".join(["a = 1"] * 200))).load()
+    too_much = {
+        "DFS_SYNTAX_TOO_MANY_CONDITIONS": "a: LOAD x RESIDENT t WHERE " + " OR ".join(["NOT x = 1"] * 201) + ";",
+        "DFS_SYNTAX_LINE_TOO_LONG": "a: LOAD x RESIDENT t;\n" + " " * 10_001,
+        "DFS_SYNTAX_TOO_DEEP": "a: LOAD " + "(" * 51 + "x" + ")" * 51 + " RESIDENT t;",
+        "DFS_SYNTAX_IDENTIFIER_TOO_LONG": "a: LOAD " + "x" * 257 + " RESIDENT t;",
+    }
+    for code, text in too_much.items():
+        with pytest.raises(ScriptError) as e:
+            compile_script(text, ("t",))
+        assert e.value.errors[0].code == code
+    with pytest.raises(ScriptError):
+        compile_script("a: LOAD " + "NOT " * 60 + "x RESIDENT t;", ("t",))
+
+
 def test_rank(spark):
-    rows = [("Norte", 200), ("Norte", 200), ("Norte", 100), ("Sur", 50)]
-    df = spark.createDataFrame(rows, "region string, total int").select("region", lower(node("Window(WRank(1,1), region, 'DESC', total)")).alias("k"))
-    assert sorted(map(tuple, df.collect())) == [("Norte", 1), ("Norte", 1), ("Norte", 3), ("Sur", 1)]
+    rows = [("u", 7, 1), ("u", 9, 2), ("u", 9, 3), ("u", 7, 4), ("v", 1, 5), (None, 2, 6)]
+    df = spark.createDataFrame(rows, "g string, puntos int, fila int").select("fila", lower(node("Window(WRank(1,1), g, 'DESC', puntos)")).alias("k"))
+    assert {r["fila"]: r["k"] for r in df.collect()} == {1: 3, 2: 1, 3: 1, 4: 3, 5: 1, 6: 1}
     for bad in ("Window(WRank(), a, 'ASC', b)", "Window(WRank(1,2), a, 'ASC', b)", "Window(WRank(1,1), a, b)", "WRank(1,1)", "Window(Sum(a), 'ASC', b)"):
         with pytest.raises(FlowError):
             lower(node(bad))
