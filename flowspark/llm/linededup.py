@@ -249,6 +249,37 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long").alias("n_lines"),
         F.coalesce(F.size("_removed"), F.lit(0)).cast("long").alias("n_removed"),
         F.transform("_removed", lambda x: x["line_no"].cast("long")).alias("removed_lines"),
-        F.transform("_removed", lambda x: x["to_doc"]).alias("matched_doc_ids"),
         kept_text(F.col("text"), F.col("_removed")).alias("text"),
     )
+
+
+OP1_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, CAST(i - 1 AS INTEGER) AS line_no, list_distinct(list_filter(string_split(regexp_replace(lower(l[i]), '[\x09\x0B-\x0D]', ' ', 'g'), ' '), lambda x: x <> '')) AS s
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS l, unnest(range(1, CAST(len(string_split(text, chr(10))) AS BIGINT) + 1)) AS i FROM documents WHERE text IS NOT NULL)
+), numbered AS (
+  SELECT *, len(s) AS n, row_number() OVER (ORDER BY doc_id, line_no) AS id FROM lines WHERE len(s) > 0
+), classes AS (
+  SELECT list_sort(s) AS k, min(id) AS id FROM numbered GROUP BY k
+), firsts AS (
+  SELECT n.id, n.n, n.s FROM classes c JOIN numbered n ON n.id = c.id
+), items AS (
+  SELECT id, n, unnest(s) AS x FROM firsts
+), ordered AS (
+  SELECT id, n, x, row_number() OVER (PARTITION BY id ORDER BY uses, x) AS place FROM (SELECT *, count(*) OVER (PARTITION BY x) AS uses FROM items)
+), prefix AS (
+  SELECT id, n, x, place FROM ordered WHERE place <= n - (n * 80 + 99) // 100 + 1
+), pairs AS (
+  SELECT DISTINCT a.id AS a, b.id AS b FROM prefix a JOIN prefix b ON a.x = b.x AND a.id < b.id AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 80
+    AND least(a.n - a.place, b.n - b.place) + 1 >= (80 * (a.n + b.n) + 179) // 180
+), matched AS (
+  SELECT DISTINCT b AS id FROM pairs JOIN firsts x ON x.id = a JOIN firsts y ON y.id = b
+  WHERE 100 * len(list_intersect(x.s, y.s)) >= 80 * (x.n + y.n - len(list_intersect(x.s, y.s)))
+), gone AS (
+  SELECT doc_id, list(CAST(line_no AS BIGINT) ORDER BY line_no) AS removed_lines FROM numbered n LEFT JOIN firsts f ON n.id = f.id
+  WHERE f.id IS NULL OR n.id IN (SELECT id FROM matched) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(coalesce(len(string_split(text, chr(10))), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(removed_lines), 0) AS BIGINT) AS n_removed, removed_lines,
+  CASE WHEN removed_lines IS NULL THEN text ELSE array_to_string(list_transform(list_filter(range(0, CAST(len(string_split(text, chr(10))) AS BIGINT)), lambda i: NOT list_contains(removed_lines, i)), lambda i: string_split(text, chr(10))[i + 1]), chr(10)) END AS text
+FROM documents d LEFT JOIN gone g ON d.doc_id = g.doc_id
+"""

@@ -90,13 +90,12 @@ def digest(chunk: bytes) -> bytes:
 
 
 def feature_of(payload: bytes) -> str:
-    """Length, mean, spread, sign changes and the commonest sample values."""
+    """Number, sum and squares of the samples, changes of sign about the middle, and the commonest sample; whole numbers only."""
     x = np.frombuffer(payload, dtype=np.uint8)
-    signed = x.astype(np.int16) - 128
     counts = np.bincount(x, minlength=256)
-    top = np.lexsort((np.arange(256), -counts))[:4]
-    crossings = int(np.count_nonzero((signed[1:] < 0) != (signed[:-1] < 0)))
-    return f"n={len(x)};mean={x.mean():.4f};std={x.std():.4f};crossings={crossings};top=" + ",".join(f"{v}:{counts[v]}" for v in top)
+    values, low, peak = np.arange(256), x < 128, int(counts.argmax())
+    crossings = int(np.count_nonzero(low[1:] != low[:-1]))
+    return f"samples={len(x)};sum={int(counts @ values)};squares={int(counts @ (values * values))};crossings={crossings};peak={peak}x{counts[peak]}"
 
 
 PLACE = -(1 << 63)
@@ -241,3 +240,33 @@ def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, store = media_columns(table(spark, sf_dir, "documents").select("doc_id", "text"))
     got = docs.join(read_back(store), "media_key").drop("media_key")
     return got.withColumns({c: F.lower(F.hex(c)) for c in ("payload_sha256", "media_sha256")})
+
+
+OP4_SQL = r"""
+WITH bodies AS (
+  SELECT doc_id, encode(coalesce(text, '')) AS body FROM documents
+), padded AS (
+  SELECT doc_id, octet_length(body) AS n_bytes, body || repeat('\x00'::BLOB, greatest(64, (octet_length(body) + 63) // 64 * 64) - octet_length(body)) AS payload FROM bodies
+), sized AS (
+  SELECT *, octet_length(payload) AS n, octet_length(payload) + 36 AS m FROM padded
+), stored AS (
+  SELECT *, 'RIFF'::BLOB || unhex(printf('%02x%02x%02x%02x', m & 255, (m >> 8) & 255, (m >> 16) & 255, m >> 24)) || 'WAVEfmt '::BLOB || unhex('1000000001000100401f0000401f000001000800')
+    || 'data'::BLOB || unhex(printf('%02x%02x%02x%02x', n & 255, (n >> 8) & 255, (n >> 16) & 255, n >> 24)) || payload AS media FROM sized
+), samples AS (
+  SELECT doc_id, k, CAST('0x' || h[k] AS BIGINT) AS v FROM (SELECT doc_id, h, unnest(range(1, CAST(len(h) AS BIGINT) + 1)) AS k FROM (SELECT doc_id, regexp_extract_all(hex(payload), '..') AS h FROM padded))
+), counted AS (
+  SELECT doc_id, v, count(*) AS c FROM samples GROUP BY doc_id, v
+), peaks AS (
+  SELECT doc_id, arg_min(v, (-c, v)) AS peak, max(c) AS c FROM counted GROUP BY doc_id
+), shape AS (
+  SELECT doc_id, sum(v) AS total, sum(v * v) AS squares, count(*) FILTER ((v < 128) <> (before < 128)) AS crossings, list(v ORDER BY k) AS vs
+  FROM (SELECT *, lag(v) OVER (PARTITION BY doc_id ORDER BY k) AS before FROM samples) GROUP BY doc_id
+), tails AS (
+  SELECT doc_id, total, squares, crossings, vs[len(vs) - 63:] AS t FROM shape
+)
+SELECT s.doc_id, n_bytes, n AS payload_bytes, sha256(payload) AS payload_sha256,
+  xor(list_reduce(list_prepend(4294967295, range(512)), lambda acc, k: xor(xor(acc, CASE WHEN k % 8 = 0 THEN t[k // 8 + 1] ELSE 0 END) >> 1, 3988292384 * (xor(acc, CASE WHEN k % 8 = 0 THEN t[k // 8 + 1] ELSE 0 END) & 1))), 4294967295) AS tail_crc32,
+  octet_length(media) AS media_bytes, sha256(media) AS media_sha256,
+  'samples=' || n || ';sum=' || total || ';squares=' || squares || ';crossings=' || crossings || ';peak=' || peak || 'x' || c AS feature
+FROM stored s JOIN tails t ON s.doc_id = t.doc_id JOIN peaks p ON s.doc_id = p.doc_id
+"""

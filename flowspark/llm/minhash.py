@@ -242,3 +242,33 @@ def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return got.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"))
+
+
+OP10_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, CAST(len(w) AS BIGINT) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words
+), sized AS (
+  SELECT doc_id, CAST(len(s) AS BIGINT) AS n, s FROM sets
+), items AS (
+  SELECT doc_id, n, unnest(s) AS x FROM sized
+), ordered AS (
+  SELECT doc_id, n, x, row_number() OVER (PARTITION BY doc_id ORDER BY uses, x) AS place FROM (SELECT *, count(*) OVER (PARTITION BY x) AS uses FROM items)
+), prefix AS (
+  SELECT doc_id, n, x FROM ordered WHERE place <= n - (n * 85 + 99) // 100 + 1
+), pairs AS (
+  SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM prefix a JOIN prefix b ON a.x = b.x AND a.doc_id < b.doc_id AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 85
+), links AS (
+  SELECT a, b FROM pairs JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b
+  WHERE 100 * len(list_intersect(x.s, y.s)) >= 85 * (x.n + y.n - len(list_intersect(x.s, y.s)))
+), ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT a AS doc_id, b AS other FROM ways UNION SELECT doc_id, b FROM reached JOIN ways ON other = a
+), least_of AS (
+  SELECT doc_id, min(other) AS other FROM reached GROUP BY doc_id
+)
+SELECT s.doc_id, n AS n_shingles, coalesce(least(s.doc_id, other), s.doc_id) AS component_id, coalesce(other >= s.doc_id, TRUE) AS kept FROM sized s LEFT JOIN least_of l ON s.doc_id = l.doc_id
+"""

@@ -2,7 +2,7 @@
 
 Each document is measured by whole-number metrics. Each metric's distribution in a
 (language, source) group is kept as a quantile sketch: counts over buckets whose width is at most
-an eighth of their values (small values are exact). Two sketches merge by adding
+a thirty-second of their values (small values are exact). Two sketches merge by adding
 counts, so partial sketches are made before the shuffle, and groups with too few documents
 use the merged sketch of their language or, failing that, of the corpus. The thresholds are
 outer fences, `fence` times the interquartile range beyond the quartiles and never
@@ -26,17 +26,18 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 #: metric: (slack that the lower fence leaves below the first quartile, or None without a lower fence; the same above the third quartile)
 METRICS = {
-    "word_length": (150, 200),  # hundredths of a code point per word
-    "symbols": (None, 100),  # per thousand words
-    "shouting": (None, 300),  # upper-case letters per thousand code points of words
-    "exclaiming": (None, 300),  # ! and ? per thousand words
-    "dup_lines": (None, 500),  # per thousand lines with a word
+    "word_length": (120, 150),  # hundredths of a code point per word
+    "symbols": (None, 50),  # per thousand words
+    "shouting": (None, 25),  # upper-case letters per thousand code points of words
+    "exclaiming": (None, 100),  # ! and ? per thousand words
+    "dup_lines": (None, 400),  # per thousand lines with a word
     "repeat_words": (None, 300),  # per thousand words
 }
-FENCE = 3
+FENCE = 6
 #: Groups with fewer documents use a merged sketch.
 MIN_GROUP = 50
-SUB = 8
+#: Buckets for each power of two; DIGITS are the binary digits that tell them.
+SUB, DIGITS = 32, 6
 
 
 def bound(value: Column, body) -> Column:
@@ -111,9 +112,9 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def bucket_floor(value: Column) -> Column:
-    """The smallest value of value's bucket: exact below 16, then the first four binary digits."""
+    """The smallest value of value's bucket: exact below 2 * SUB, then the first DIGITS binary digits."""
     digits = F.bin(value)
-    floor = F.conv(F.rpad(F.substring(digits, 1, 4), F.length(digits), F.lit("0")), 2, 10).cast("long")
+    floor = F.conv(F.rpad(F.substring(digits, 1, DIGITS), F.length(digits), F.lit("0")), 2, 10).cast("long")
     return F.when(value < 2 * SUB, value).otherwise(floor)
 
 
@@ -191,7 +192,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(scored, thresholds(sketches(scored))).drop("lang", "source")
 
 
-_FLOOR = "CASE WHEN {v} < 16 THEN {v} ELSE ({v} >> (length(bin({v})) - 4)) << (length(bin({v})) - 4) END"
+_FLOOR = f"CASE WHEN {{v}} < {2 * SUB} THEN {{v}} ELSE ({{v}} >> (length(bin({{v}})) - {DIGITS})) << (length(bin({{v}})) - {DIGITS}) END"
 _QUARTILES = """
   SELECT {by} metric, min(CASE WHEN upto * 4 >= total THEN low END) AS q1, min(CASE WHEN upto * 4 >= total * 3 THEN low END) AS q3, max(total) AS n_docs FROM (
     SELECT *, sum(n) OVER (PARTITION BY {by} metric ORDER BY low) AS upto, sum(n) OVER (PARTITION BY {by} metric) AS total
@@ -231,7 +232,7 @@ WITH words AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, word_length, symbols, shouting, exclaiming, dup_lines, repeat_words,
   NOT base_failed""" + "".join(
     f"""
-  AND (SELECT {m} <= max(q3 + greatest(3 * (q3 - q1), {above})){f" AND {m} >= max(q1 - greatest(3 * (q3 - q1), {below}))" if below is not None else ""} FROM picked p WHERE p.metric = '{m}' AND p.lang IS NOT DISTINCT FROM s.lang AND p.source IS NOT DISTINCT FROM s.source)"""
+  AND (SELECT {m} <= max(q3 + greatest({FENCE} * (q3 - q1), {above})){f" AND {m} >= max(q1 - greatest({FENCE} * (q3 - q1), {below}))" if below is not None else ""} FROM picked p WHERE p.metric = '{m}' AND p.lang IS NOT DISTINCT FROM s.lang AND p.source IS NOT DISTINCT FROM s.source)"""
     for m, (below, above) in METRICS.items()
 ) + """ AS kept
 FROM scored s

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from .chat import OP2_SQL, op2_chat
 from .hmm import op3_hmm
-from .linededup import op1_line_dedup
-from .media import op4_media
-from .minhash import op10_minhash
+from .linededup import OP1_SQL, op1_line_dedup
+from .media import OP4_SQL, op4_media
+from .minhash import OP10_SQL, op10_minhash
 from .mixing import OP9_SQL, op9_mixing
 from .packing import op5_packing
 from .quality import OP8_SQL, op8_quality
@@ -27,6 +27,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_line_dedup": OP1_SQL,
+    "op4_media": OP4_SQL,
+    "op10_minhash": OP10_SQL,
     "op6_warc": OP6_SQL,
     "op2_chat": OP2_SQL,
     "op8_quality": OP8_SQL,

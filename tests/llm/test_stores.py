@@ -12,9 +12,13 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from flowspark.llm import media, warc
+from flowspark.llm import hmm, media, warc
+from flowspark.llm.linededup import drop_repeated_lines
 from flowspark.llm.minhash import Shingler, Sketcher, drop_near_copies, near_copies, odd_limit
+from flowspark.llm.mixing import mix
 from flowspark.llm.packing import TextEncoder, WordEncoder, best_fit_decreasing, encoder_of, lower_bound, pack, pack_lengths, tokenizer_path
+from flowspark.llm.quality import quality_filter
+from flowspark.llm.toxicity import reject_toxic
 
 from .conftest import EN, words
 
@@ -253,6 +257,35 @@ def test_sketches_tell_similarity():
     assert len(one) == 1 and len(two) == 2 and (same == other).all()
 
 
+STAGES = {
+    "toxicity": lambda docs, labels: reject_toxic(docs, labels),
+    "line_dedup": lambda docs, labels: drop_repeated_lines(docs),
+    "near_dedup": lambda docs, labels: drop_near_copies(docs),
+    "mixing": lambda docs, labels: mix(docs),
+    "quality": lambda docs, labels: quality_filter(docs),
+    "packing": lambda docs, labels: pack(docs, capacity=64),
+    "media": lambda docs, labels: media.media_columns(docs)[0],
+    "scores": lambda docs, labels: hmm.scored(docs, head_size=20),
+}
+
+
+@pytest.mark.parametrize("name", sorted(STAGES))
+def test_columns_with_clashing_names(spark, name):
+    """Extra columns may have the names that operators use within, and backticks, dots and spaces."""
+    names = ["_gone", "_mix_words", "_mix_copy", "tox_score", "_tox_text", "score", "spans", "doc", "row", "words", "copies", "copy", "class", "salt", "rank", "mark", "line_no", "id", "key", "body",
+             "n", "component", "_row", "_text", "_removed", "a `b` c", "x.y", "length", "piece", "sequence_id", "bits", "codes", "first", "n_words"]
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 90}" for k in range(40)), "en", "s", *[f"{c}{i}" for c in names]) for i in range(12)]
+    docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", *names])
+    labels = spark.createDataFrame([(i, int(i % 2)) for i in range(12)], "doc_id long, toxic int")
+    got = STAGES[name](docs, labels)
+    if name in ("packing", "media", "scores"):
+        assert {r["doc_id"] for r in got.collect()} == set(range(12))
+        return
+    assert got.columns == docs.columns
+    for r in got.collect():
+        assert [r[docs.columns.index(c)] for c in names] == [f"{c}{r['doc_id']}" for c in names]
+
+
 def test_near_copies_edge_cases(awkward, empty):
     kept = drop_near_copies(awkward)
     assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in kept.collect()) == [(False, 1), (False, 1), (False, 3), (False, 4), (False, 5), (False, 6), (False, 7), (True, 0)]
