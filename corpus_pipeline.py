@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowspark.llm.common import stash, table
+from flowspark.llm.common import drop_stash, stash, table
 from flowspark.llm.linededup import drop_repeated_lines
 from flowspark.llm.minhash import drop_near_copies
 from flowspark.llm.mixing import mix
@@ -46,7 +46,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = stash(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            drop_stash(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
