@@ -290,17 +290,37 @@ class Budget:
         return self.left >= 0
 
 
-def sets_of_sum(total: int, lengths: list[int], left: dict[int, int], budget: Budget) -> Iterator[list[int]]:
-    """The multisets of what is left that have this sum, largest pieces first. lengths: ascending, of which some are left."""
+class Supply:
+    """The pieces that are left, by length; one of them may be set aside. Generators over it go on only when it is as they left it."""
+
+    def __init__(self, counts: dict[int, int]):
+        self.left, self.lengths = dict(counts), sorted(counts)  # lengths: ascending, those of which some are left
+
+    def change(self, filling: Filling, n: int) -> None:
+        for length, k in filling:
+            before = self.left[length]
+            self.left[length] = before - n * k
+            if not before and self.left[length]:
+                bisect.insort(self.lengths, length)
+            elif before and not self.left[length]:
+                del self.lengths[bisect.bisect_left(self.lengths, length)]
+
+    def beside(self, length: int, aside: int) -> int:
+        """Pieces of a length that are left beside one of the length aside."""
+        return self.left[length] - (length == aside)
+
+
+def sets_of_sum(total: int, supply: Supply, aside: int, budget: Budget) -> Iterator[list[int]]:
+    """The multisets of what is left that have this sum, largest pieces first."""
 
     def grow(chosen: list[int], total: int, upto: int) -> Iterator[list[int]]:
         if not total:
             yield list(chosen)
             return
-        i = bisect.bisect_right(lengths, min(total, upto)) - 1
+        i = bisect.bisect_right(supply.lengths, min(total, upto)) - 1
         while i >= 0 and budget.spend():
-            length = lengths[i]
-            if left[length] > (chosen.count(length) if chosen and chosen[-1] == length else 0):
+            length = supply.lengths[i]
+            if supply.beside(length, aside) > (chosen.count(length) if chosen and chosen[-1] == length else 0):
                 chosen.append(length)
                 yield from grow(chosen, total - length, length)
                 chosen.pop()
@@ -309,23 +329,23 @@ def sets_of_sum(total: int, lengths: list[int], left: dict[int, int], budget: Bu
     yield from grow([], total, total)
 
 
-def completions(lengths: list[int], left: dict[int, int], room: int, waste: int, budget: Budget) -> Iterator[list[int]]:
-    """Undominated sets of pieces for the room beside the largest piece that waste no more than allowed, fullest first, one at a time.
+def completions(supply: Supply, aside: int, room: int, waste: int, budget: Budget) -> Iterator[list[int]]:
+    """Undominated sets of pieces for the room beside the largest piece (aside) that waste no more than allowed, fullest first, one at a time.
 
-    lengths: ascending, of what is left. A set that leaves room for a piece that it doesn't hold is dominated, so the
-    sums end where all the pieces that would still fit are more than the sum holds.
+    A set that leaves room for a piece that it doesn't hold is dominated, so the sums end where all the pieces that
+    would still fit are more than the sum holds.
     """
     kept: list[list[int]] = []
     fits, load = 0, 0  # lengths[:fits] fit into what a set of this sum wastes; load is all that is left of them
     for total in range(room, max(room - waste, 0) - 1, -1):
-        while fits < len(lengths) and lengths[fits] <= room - total:
-            load += lengths[fits] * left[lengths[fits]]
+        while fits < len(supply.lengths) and supply.lengths[fits] <= room - total:
+            load += supply.lengths[fits] * supply.beside(supply.lengths[fits], aside)
             fits += 1
         if load > total or budget.left <= 0:
             return
-        for one in sets_of_sum(total, lengths, left, budget):
+        for one in sets_of_sum(total, supply, aside, budget):
             held = Counter(one)
-            if all(held[x] == left[x] for x in lengths[:fits]) and not any(dominates(k, one) for k in kept):
+            if all(held[x] == supply.beside(x, aside) for x in supply.lengths[:fits]) and not any(dominates(k, one) for k in kept):
                 yield one
                 if len(one) == 1 and total == room:  # dominates all other fillings of this room
                     return
@@ -338,32 +358,20 @@ def packed_lengths(counts: dict[int, int], capacity: int = CAPACITY, steps: int
     size = lambda patterns: sum(n for _, n in patterns)
     incumbent = best_fit_decreasing(counts, capacity)
     least, total = lower_bound(counts, capacity), sum(k * n for k, n in counts.items())
-    best, left, lengths, budget = size(incumbent), dict(counts), sorted(counts), Budget(steps)
+    best, supply, budget = size(incumbent), Supply(counts), Budget(steps)
     path: list[tuple[Filling, int]] = []
 
-    def change(filling: Filling, n: int) -> None:
-        for length, k in filling:
-            before = left[length]
-            left[length] = before - n * k
-            if not before and left[length]:
-                bisect.insort(lengths, length)
-            elif before and not left[length]:
-                del lengths[bisect.bisect_left(lengths, length)]
-
     def options(waste: int) -> Iterator[tuple[Filling, int, int]]:
-        largest = lengths[-1]
-        left[largest] -= 1
-        spare, allowed = dict(left), (best - 1) * capacity - total - waste
-        left[largest] += 1
-        for one in completions([x for x in lengths if spare[x]], spare, capacity - largest, allowed, budget):
+        largest, allowed = supply.lengths[-1], (best - 1) * capacity - total - waste
+        for one in completions(supply, largest, capacity - largest, allowed, budget):
             filling = tuple(sorted(Counter([largest, *one]).items(), reverse=True))
             lost = capacity - sum(k * n for k, n in filling)
-            most = min(left[k] // n for k, n in filling)
+            most = min(supply.left[k] // n for k, n in filling)
             # Perfect fillings are repeated at once; others too, while they stay within half of the waste allowed.
             times = most if not lost else max(1, min(most, allowed // (2 * lost)))
             yield filling, times, lost * times
 
-    stack = [(options(0), 0, 0)] if lengths and best > least else []
+    stack = [(options(0), 0, 0)] if counts and best > least else []
     nodes = 0
     while stack and best > least and budget.spend():
         choices, waste, used = stack[-1]
@@ -371,22 +379,22 @@ def packed_lengths(counts: dict[int, int], capacity: int = CAPACITY, steps: int
         if step is None:
             stack.pop()
             if stack:
-                change(path[-1][0], -path.pop()[1])
+                supply.change(path[-1][0], -path.pop()[1])
             continue
         filling, times, lost = step
         if waste + lost > (best - 1) * capacity - total or used + times >= best:
             continue
-        change(filling, times)
+        supply.change(filling, times)
         path.append((filling, times))
         nodes += 1
-        if nodes & (nodes - 1) == 0 or not lengths:  # what is left by best fit, at a few nodes and at the leaves
-            rest = best_fit_decreasing({k: n for k, n in left.items() if n}, capacity)
+        if nodes & (nodes - 1) == 0 or not supply.lengths:  # what is left by best fit, at a few nodes and at the leaves
+            rest = best_fit_decreasing({k: n for k, n in supply.left.items() if n}, capacity)
             if used + times + size(rest) < best:
                 incumbent, best = [*path, *rest], used + times + size(rest)
-        if lengths:
+        if supply.lengths:
             stack.append((options(waste + lost), waste + lost, used + times))
         else:
-            change(filling, -path.pop()[1])
+            supply.change(filling, -path.pop()[1])
     logging.getLogger(__name__).info("%d sequences, at least %d, %s", best, least, "search ended" if budget.left > 0 else "steps used up")
     merged: Counter[Filling] = Counter()
     for filling, n in incumbent:

@@ -7,20 +7,23 @@ import random
 import zipfile
 import zlib
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from flowspark.llm import hmm, media, warc
 from flowspark.llm.linededup import drop_repeated_lines
 from flowspark.llm.minhash import Shingler, Sketcher, drop_near_copies, near_copies, odd_limit
-from flowspark.llm.mixing import mix
+from flowspark.llm.mixing import OP9_SQL, mix
 from flowspark.llm.packing import TextEncoder, WordEncoder, best_fit_decreasing, encoder_of, lower_bound, pack, pack_lengths, tokenizer_path
 from flowspark.llm.quality import quality_filter
 from flowspark.llm.toxicity import reject_toxic
 
 from .conftest import EN, words
+from .test_native import brute_lines
 
 
 def test_chunks_follow_content():
@@ -103,8 +106,6 @@ def test_packing_is_optimal_on_small_cases():
 
 
 def test_encoder_is_the_tokenizer():
-    from tokenizers import Tokenizer
-
     whole = Tokenizer.from_file(tokenizer_path())
     texts = ["Hello, WORLD!! it's 42 naïve café’s", "a<|endoftext|>b x<|y", "É é   ñandú z", "İstanbul ΣΑΣ ß", "", "\x1c\x85 tab\tnew\nline", "\U0001f600\U0001f600 ok.ok", "don't we'll I'M", EN]
     encoder = WordEncoder(tokenizer_path())
@@ -125,8 +126,6 @@ def test_other_tokenizers_take_whole_texts():
 
 @pytest.mark.parametrize("tokenizer", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_pieces_against_the_tokenizer(spark, tokenizer):
-    from tokenizers import Tokenizer
-
     whole = Tokenizer.from_file(tokenizer_path(tokenizer))
     rnd = random.Random(2)
     texts = [" ".join(rnd.choice(["Tree", "house,", "ñu", "X1", "don't", "\n", "--"]) for _ in range(n)) for n in (0, 1, 5, 63, 64, 65, 200)] + [None]
@@ -302,13 +301,31 @@ def test_pipeline_stages(spark, tmp_path):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(0, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
-    seen = {}
+    seen, frames = {}, {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
-        seen[name] = {r["doc_id"]: r["text"] for r in docs.collect()}
+        frames[name] = docs.toPandas()
+        seen[name] = dict(zip(frames[name]["doc_id"], frames[name]["text"], strict=True))
     assert set(range(60)) <= seen["toxicity"].keys() and set(range(60)) <= seen["near_dedup"].keys()
     assert 100 not in seen["line_dedup"] and passage in seen["line_dedup"][102] and passage not in seen["line_dedup"][103]
     assert all(seen["line_dedup"][i] == t for i, t, *_ in clean)
+
+    # Each stage against a plain version of it, on what the stage before kept.
+    gone = brute_lines(list(seen["toxicity"].items()))
+    left = {i: "\n".join(x for k, x in enumerate(t.split("\n")) if (i, k) not in gone) for i, t in seen["toxicity"].items()}
+    assert seen["line_dedup"] == {i: t for i, t in left.items() if t.split()}
+    kept = {i for i, (_, root) in brute_near(list(seen["line_dedup"].items()), 5, 80).items() if root == i}
+    assert seen["near_dedup"].keys() == kept
+    duck = duckdb.connect()
+    duck.register("documents", frames["near_dedup"])
+    copies = {r[0]: r[1] for r in duck.sql(f"SELECT doc_id, copies FROM ({OP9_SQL})").fetchall()}
+    assert collections.Counter(frames["mixing"]["doc_id"].tolist()) == collections.Counter({i: n for i, n in copies.items() if n})
     rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert rows and check_packed(rows, 4096) == 1 + sum(r["length"] for r in rows) // 4096
+    whole = Tokenizer.from_file(tokenizer_path())
+    want = collections.Counter()
+    for i, t in zip(frames["mixing"]["doc_id"].tolist(), frames["mixing"]["text"], strict=True):
+        ids = np.array([*whole.encode(t, add_special_tokens=False).ids, 1], dtype="<u4")
+        want.update((i, k, zlib.crc32(ids[at : at + 4096].tobytes())) for k, at in enumerate(range(0, len(ids), 4096)))
+    assert collections.Counter((r["doc_id"], r["piece"], r["ids_crc32"]) for r in rows) == want
