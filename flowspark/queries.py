@@ -19,7 +19,9 @@ from .plans.executor import Executor
 from .plans.ops import Aggregate, Filter, Plan, Project
 from .recipe import load_recipe, run_recipe
 from .sinks.parquet import OutputConfig, write
+from .sinks.publish import Staging, publish_local
 from .sources.catalog import load_catalog
+from .sources.jdbc import TargetDatabase
 from .sources.reader import InputConfig, read, resolve_schema
 from .streaming.csv_sink import stream_to_csv
 from .types import void_to_string
@@ -109,8 +111,9 @@ recipe(
 )
 recipe(
     "step_group_first_last", "nation",
-    [{"tipo": "crear_columna", "nombre": "region", "expresion": "concat('r', n_regionkey)"}, {"tipo": "agrupar", "columnas": ["n_regionkey"], "metricas": [{"operacion": "first", "columna": "region", "alias": "primera"}, {"operacion": "last", "columna": "region", "alias": "ultima"}]}],
-    "SELECT n_regionkey, 'r' || n_regionkey AS primera, 'r' || n_regionkey AS ultima FROM nation GROUP BY n_regionkey",
+    [{"tipo": "crear_columna", "nombre": "region", "expresion": "case when n_nationkey % 3 = 1 then concat('r', n_regionkey) end"},
+     {"tipo": "agrupar", "columnas": ["n_regionkey"], "metricas": [{"operacion": "first", "columna": "region", "alias": "primera"}, {"operacion": "last", "columna": "region", "alias": "ultima"}]}],
+    "SELECT n_regionkey, max(CASE WHEN n_nationkey % 3 = 1 THEN 'r' || n_regionkey END) AS primera, max(CASE WHEN n_nationkey % 3 = 1 THEN 'r' || n_regionkey END) AS ultima FROM nation GROUP BY n_regionkey",
 )
 recipe("step_distinct_keys", "customer", [{"tipo": "seleccionar_columnas", "columnas": ["c_nationkey", "c_mktsegment"]}, {"tipo": "eliminar_duplicados", "columnas": ["c_nationkey", "c_mktsegment"]}], "SELECT DISTINCT c_nationkey, c_mktsegment FROM customer")
 recipe("step_distinct_rows", "events", [{"tipo": "seleccionar_columnas", "columnas": ["event_type"]}, {"tipo": "eliminar_duplicados", "columnas": []}], "SELECT DISTINCT event_type FROM events")
@@ -170,6 +173,15 @@ def plan_text_sums(spark, sf_dir):
     return found.withColumns({"suma": F.round("suma", 2), "media": F.round("media", 4)})
 
 
+@direct("plan_from_json", "SELECT s_nationkey AS pais, count(*) AS n, max(s_suppkey) AS ultimo FROM supplier WHERE s_acctbal > 0 GROUP BY s_nationkey")
+def plan_from_json(spark, sf_dir):
+    """A plan that went through its JSON form, whose hash is checked on the way back."""
+    plan = compile_script("r: LOAD s_nationkey AS pais, Count(*) AS n, Max(s_suppkey) AS ultimo RESIDENT supplier WHERE s_acctbal > 0 GROUP BY s_nationkey;", TABLES)
+    executor = Executor(spark)
+    executor.register("supplier", table(spark, sf_dir, "supplier"))
+    return executor.run(Plan.from_json(plan.to_json(), plan.hash))["r"]
+
+
 # --- sources and sinks: tables go through files in the shared folder and come back
 
 
@@ -283,6 +295,28 @@ def script_store_and_load(spark, sf_dir):
     return Executor(spark, catalog).run(compile_script("LIB CONNECT TO 'datos'; p: LOAD n_nationkey, n_name, n_regionkey FROM [lib://datos/paises.csv];"))["p"]
 
 
+@direct("jdbc_round_trip", "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice > 100000")
+def jdbc_round_trip(spark, sf_dir):
+    """A script that publishes to a database, and one that reads the table by ranges and filters it. The database is in this JVM's memory."""
+    url, driver = f"jdbc:derby:memory:flow{uuid.uuid4().hex};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    first = Executor(spark, target=TargetDatabase.of({"url": url, "driver": driver}))
+    first.register("orders", table(spark, sf_dir, "orders"))
+    first.run(compile_script("r: LOAD o_orderkey, o_custkey, o_orderstatus, o_totalprice RESIDENT orders; STORE r INTO [lib://base/Pedidos.csv] (csv);", TABLES))
+    allowed = {"esquema": "", "tabla": "pedidos", "campos": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"], "particion": {"columna": "o_orderkey", "minimo": 0, "maximo": 60000, "particiones": 4}}
+    catalog = load_catalog(json.dumps({"jdbc": [{"nombre": "db", "tipo": "jdbc", "url": url, "driver": driver, "allowlist": [allowed]}]}), inline=True)
+    return Executor(spark, catalog).run(compile_script("LIB CONNECT TO 'db'; p: SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM pedidos WHERE o_totalprice > 100000;"))["p"]
+
+
+@direct("sink_manifest", """SELECT 'paises.csv' AS archivo, CAST(octet_length(encode(t)) AS BIGINT) AS bytes, sha256(t) AS sha256, 'PUBLICADO' AS estado
+    FROM (SELECT 'n_nationkey,n_name' || chr(10) || string_agg(n_nationkey || ',' || n_name || chr(10), '' ORDER BY n_nationkey) AS t FROM nation)""")
+def sink_manifest(spark, sf_dir):
+    """What the manifest of a published file says of its bytes."""
+    folder = Path(scratch(spark, "manifest").removeprefix("file://"))
+    folder.mkdir(parents=True)
+    told = publish_local(table(spark, sf_dir, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey"), folder / "paises.csv", Staging(str(folder / "stage")), "a")
+    return spark.createDataFrame([(told.archivo, told.bytes, told.sha256, told.estado)], "archivo string, bytes long, sha256 string, estado string")
+
+
 @direct("stream_to_csv", "SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'view'")
 def stream_events(spark, sf_dir):
     """Events as a stream to one CSV file, read back."""
