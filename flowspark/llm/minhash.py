@@ -229,7 +229,8 @@ def near_copies(
         extra = stash(confirmed(more, sets_of(more), percent), "links")
         joined = components(links.unionByName(extra)) if extra.limit(1).count() else joined
     classed = seen.select("doc_id", "n", "set_key").join(classes, "set_key", "left")
-    return classed.join(joined.withColumnRenamed("id", "rep"), "rep", "left").select("doc_id", "n", F.coalesce("component", "rep", "doc_id").alias("component"))
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
+    return classed.join(joined.withColumnRenamed("id", "rep"), "rep", "left").select("doc_id", "n", component.alias("component"))
 
 
 def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:

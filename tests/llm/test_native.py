@@ -107,6 +107,16 @@ def test_chat_round_trip(spark):
     assert format_chats(df.limit(0)).count() == 0
 
 
+def test_chat_of_long_texts_and_many_turns(spark):
+    long = "word </s>[INST] " * 20_000
+    rows = [(1, 0, "user", long), (1, 1, "assistant", long), *[(2, t, ("user", "assistant")[t % 2], f"t{t} [TURN]") for t in range(600)]]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = format_chats(df).select("conv_id", read_back(F.col("formatted")).alias("back"), under_mask(F.col("formatted"), F.col("loss_spans")).alias("loss")).collect()
+    for row in out:
+        mine = [(r, x) for c, _, r, x in rows if c == row["conv_id"]]
+        assert [tuple(x) for x in row["back"]] == mine and row["loss"] == "".join(x for r, x in mine if r == "assistant")
+
+
 def test_escape_is_reversible(spark):
     rnd = random.Random(1)
     texts = ["".join(rnd.choice(["<", "[", "~", "/", "s>", "INST]", "/INST]", "x", "TURN]"]) for _ in range(rnd.randint(0, 12))) for _ in range(500)]

@@ -256,6 +256,15 @@ def test_sketches_tell_similarity():
     assert len(one) == 1 and len(two) == 2 and (same == other).all()
 
 
+def test_near_copies_of_equal_ids(spark):
+    """An id with several texts is one document that is linked by each of them; every row gets a result."""
+    a, b = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    rows = [(5, a), (5, b), (7, [*a[:-1], "x"]), (9, [*b[:-1], "x"]), (11, [f"c{i}" for i in range(60)]), (None, a), (5, a)]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["n"], r["component"]) for r in near_copies(docs).collect()), key=str)
+    assert got == sorted([(5, 58, 5), (5, 58, 5), (5, 58, 5), (7, 58, 5), (9, 58, 5), (11, 58, 11), (None, 58, None)], key=str)
+
+
 STAGES = {
     "toxicity": lambda docs, labels: reject_toxic(docs, labels),
     "line_dedup": lambda docs, labels: drop_repeated_lines(docs),
