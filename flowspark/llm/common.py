@@ -96,9 +96,9 @@ def of_worker(key: tuple, make, idle: float = 10.0):
 GROUP_BYTES = 8_000_000
 
 
-def groups(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch that hold few bytes of text each, or one long text."""
-    n = max(1, -(-batch.column(column).nbytes // GROUP_BYTES))
+def groups(batch: pa.RecordBatch, column: int, held: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch that hold about so many bytes of text each, or one long text."""
+    n = max(1, -(-batch.column(column).nbytes // held))
     step = max(1, -(-batch.num_rows // n))
     for at in range(0, batch.num_rows, step):
         yield batch.slice(at, step)

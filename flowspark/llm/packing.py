@@ -39,6 +39,8 @@ END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words in a worker's memory; the cache starts anew beyond.
 CACHE_WORDS = 900_000
+#: Bytes of text, and of them new words, that are encoded together; the tokenizer's objects take some hundred bytes a word.
+TEXT_BYTES, WORDS_TOGETHER = 4_000_000, 16_384
 #: Pieces of one length that are numbered together, about.
 CELL = 100_000
 #: Steps of the search, in nodes and in pieces tried for a filling.
@@ -74,6 +76,9 @@ class WordEncoder:
 
     def encoded(self, words: list[str], single: bool = False) -> list[bytes]:
         """The ids of each of some words without white space. single: each is one part to the tokenizer."""
+        return [ids for at in range(0, len(words), WORDS_TOGETHER) for ids in self.encoded_together(words[at : at + WORDS_TOGETHER], single)]
+
+    def encoded_together(self, words: list[str], single: bool) -> list[bytes]:
         text = " ".join(words)
         if "<|" in text or len(text.split()) != len(words):  # special tokens and other white space: one by one
             return [np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes() for w in words]
@@ -110,7 +115,7 @@ class WordEncoder:
             cores.update(zip(words, self.encoded(words, single=True), strict=True))
         for part, core, run in simple:
             cache[part] = cores[core] + cores[run]
-        for (part, _), ids in zip(other, self.encoded([w for _, w in other]) if other else [], strict=True):
+        for (part, _), ids in zip(other, self.encoded([w for _, w in other]), strict=True):
             self.cache[part] = ids
 
     def __call__(self, texts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,7 +179,7 @@ def pieces(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", capacity
         end = np.asarray([end_id], dtype="<u4").tobytes()
         with of_worker(("encoder", path), lambda: encoder_of(path)) as encoder:
             for whole in batches:
-                for batch in groups(whole, 1):
+                for batch in groups(whole, 1, TEXT_BYTES):
                     ids, ends = encoder(batch.column(1))
                     body = memoryview(ids).cast("B")
                     sizes = np.diff(ends, prepend=0) + 1
