@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
 import sys
 import tempfile
 import threading
@@ -92,16 +93,25 @@ def of_worker(key: tuple, make, idle: float = 10.0):
         timer.start()
 
 
+def give_back() -> None:
+    """Return freed memory to the system, as workers live on beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with contextlib.suppress(AttributeError):  # C libraries other than glibc
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 #: Texts that are handled together, in bytes.
 GROUP_BYTES = 8_000_000
 
 
 def groups(batch: pa.RecordBatch, column: int, held: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch that hold about so many bytes of text each, or one long text."""
+    """Slices of a batch that hold about so many bytes of text each, or one long text. What a slice took is given back to the system after it."""
     n = max(1, -(-batch.column(column).nbytes // held))
     step = max(1, -(-batch.num_rows // n))
     for at in range(0, batch.num_rows, step):
         yield batch.slice(at, step)
+        give_back()
 
 
 def coded_words(texts: pa.BinaryArray, lower: bool = False) -> tuple[pa.BinaryArray, np.ndarray, np.ndarray]:
