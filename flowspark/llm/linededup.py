@@ -32,7 +32,7 @@ from .quality import bound
 PERCENT = 80
 #: The rarity table has 2**LEAST_BITS hashes at least and 2**MOST_BITS at most, and else 32 to 64 for each document.
 LEAST_BITS, MOST_BITS = 12, 24
-CHUNK = 1 << 10
+CHUNK_BITS = 10
 #: Words that are used once in so many documents, or more often, are common; none with fewer uses than LEAST_COMMON is.
 DOCS_PER_USE, LEAST_COMMON = 400, 128
 #: The rarity class of hashes that are used once.
@@ -40,6 +40,8 @@ ONCE = 5
 PIVOTS = 8
 #: Where a line stands; earlier lines are less.
 PLACE = ["doc", "mark", "line_no"]
+#: What equal sets share: their size, a 64-bit hash and 64 parities.
+SET = ["n", "k1", "bits"]
 
 
 def words_of(line: Column) -> Column:
@@ -67,18 +69,20 @@ def rarity(docs: DataFrame, text: str) -> tuple[DataFrame, int, int]:
     n_docs = docs.count()
     bits = min(max((64 * max(n_docs, 1)).bit_length() - 1, LEAST_BITS), MOST_BITS)
     words = docs.select(F.explode(words_of(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))).alias("w"))
-    counts = words.groupBy(F.xxhash64("w").bitwiseAND((1 << bits) - 1).cast("int").alias("h")).agg(F.count(F.lit(1)).alias("n"))
-    every = docs.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("h")).join(counts, "h", "left").select("h", F.coalesce("n", F.lit(0)).alias("n"))
-    chunks = every.groupBy((F.col("h") / CHUNK).cast("int").alias("c")).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("h", F.least(magnitude(F.col("n")), F.lit(127)).cast("tinyint").alias("k")))), lambda x: x["k"]).alias("ks")
-    )
+    used = words.select(F.xxhash64("w").bitwiseAND((1 << bits) - 1).cast("int").alias("h"), F.lit(1).cast("long").alias("n"))
+    unused = docs.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("h"), F.lit(0).cast("long").alias("n"))
+    counts = used.unionAll(unused).groupBy("h").agg(F.sum("n").alias("n"))
+    # Hash and class in one number, as numbers are sorted faster than structs.
+    coded = F.shiftleft("h", 7).bitwiseOR(F.coalesce(F.least(magnitude(F.col("n")), F.lit(127)), F.lit(0)))
+    chunks = counts.groupBy(F.shiftright("h", CHUNK_BITS).alias("c")).agg(F.transform(F.sort_array(F.collect_list(coded)), lambda x: x.bitwiseAND(127).cast("tinyint")).alias("ks"))
     uses = max(n_docs // DOCS_PER_USE, LEAST_COMMON)
     return stash(chunks, "rarity"), bits, min(4 * uses.bit_length() + (uses >> (uses.bit_length() - 3) & 3), 127)
 
 
 def lines_of(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    lines = F.posexplode(F.split(plain(F.col(text)), "\n")).alias("line_no", "line")
-    return docs.select(*place_of(docs, text, doc_id), lines)
+    # The place is made before lines are: beside them it would be hashed from the whole text for each line.
+    bodies = docs.select(*place_of(docs, text, doc_id), plain(F.col(text)).alias("body"))
+    return bodies.select("doc", "mark", F.posexplode(F.split("body", "\n")).alias("line_no", "line"))
 
 
 def place_of(docs: DataFrame, text: str, doc_id: str) -> list[Column]:
@@ -87,9 +91,9 @@ def place_of(docs: DataFrame, text: str, doc_id: str) -> list[Column]:
 
 
 def prefixes(docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
-    """One row for each line with words: its place, n, k1 and k2 (the set's key), bits (its words' parities), rare and codes.
+    """One row for each line with words: its place, n, k1 and bits (its words' parities), which are the set's key, once, rare and codes.
 
-    codes are 31-bit hashes of the prefix words, rarest first, or 0 for words that occur once; the first `rare` of them are not common.
+    The first `once` of the prefix words, rarest first, occur once; codes are 31-bit hashes of the others; the first `rare` of them all are not common.
     """
     chunks, n_bits, common = rarity(docs, text)
     classes = chunks.select(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("c", "ks"))), lambda x: x["ks"])).alias("ks")).scalar()
@@ -99,9 +103,13 @@ def prefixes(docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame
         k = F.coalesce(F.get("classes", h.bitwiseAND((1 << n_bits) - 1).cast("int")).cast("bigint"), F.lit(0).cast("bigint"))
         return F.shiftleft(k, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    def code(x: Column) -> Column:
-        hashed = F.greatest(F.shiftright(x, 24).bitwiseAND(0x7FFFFFFF).cast("int"), F.lit(1))
-        return F.when(F.shiftright(x, 56) <= ONCE, F.lit(0)).otherwise(hashed)
+    def below(prefix: Column, k: int) -> Column:
+        return F.size(F.filter(prefix, lambda x: x < F.lit(k << 56)))
+
+    def coded(prefix: Column) -> Column:
+        once = below(prefix, ONCE + 1)
+        others = F.slice(prefix, once + 1, F.size(prefix))
+        return F.struct(once.alias("once"), below(prefix, common).alias("rare"), F.transform(others, lambda x: F.shiftright(x, 24).bitwiseAND(0x7FFFFFFF).cast("int")).alias("codes"))
 
     def described(t: Column) -> Column:
         n = F.size(t)
@@ -112,15 +120,13 @@ def prefixes(docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame
         return F.struct(
             n.alias("n"),
             F.xxhash64(t).alias("k1"),
-            F.xxhash64(F.lit(7), t).alias("k2"),
             F.aggregate(t, F.lit(0).cast("bigint"), lambda a, h: a.bitwiseXOR(flip(h))).alias("bits"),
-            F.size(F.filter(prefix, lambda x: F.shiftright(x, 56) < common)).alias("rare"),
-            F.transform(prefix, code).alias("codes"),
+            bound(prefix, coded).alias("p"),
         )
 
     hashed = lines_of(docs, text, doc_id).filter(F.trim("line") != "").select(*PLACE, token_set(F.split("line", " ")).alias("h"))
     sets = hashed.withColumn("classes", classes).select(*PLACE, F.transform("h", ranked).alias("t"))
-    done = stash(sets.select(*PLACE, bound(F.sort_array("t"), described).alias("d")).select(*PLACE, "d.*"), "prefixes")
+    done = stash(sets.select(*PLACE, bound(F.sort_array("t"), described).alias("d")).select(*PLACE, "d.n", "d.k1", "d.bits", "d.p.*"), "prefixes")
     drop_stash(chunks)
     return done
 
@@ -135,7 +141,7 @@ def prefix_rows(reps: DataFrame, percent: int, open_: Column, *carry: str) -> Da
 
     The key is the word's code and, for common words, the class of the line's length, with a second row, as a guest, for the class above.
     """
-    rows = reps.select("id", "n", "bits", "rare", open_.alias("open"), *carry, F.posexplode("codes").alias("at", "code")).filter("code <> 0")
+    rows = reps.select("id", "n", "bits", "once", "rare", open_.alias("open"), *carry, F.posexplode("codes").alias("at", "code")).withColumn("at", F.col("at") + F.col("once"))
     is_common = F.col("at") >= F.col("rare")
     rows = rows.withColumn("guest", F.explode(F.when(is_common, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     group = F.when(is_common, length_class(F.col("n"), percent) + F.col("guest") + 1).otherwise(0).cast("bigint")
@@ -181,8 +187,9 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, doc_
 
 def matched_classes(reps: DataFrame, docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
     """id and match of the classes (one row of reps each) whose first line matches an earlier line."""
-    only_common = F.transform("codes", lambda c, at: F.when(at >= F.col("rare"), c).otherwise(0))
-    common = prefix_rows(reps.withColumn("codes", only_common), percent, F.lit(1), "doc")
+    start = F.greatest("once", "rare")
+    only_common = reps.withColumns({"codes": F.slice("codes", start - F.col("once") + 1, F.size("codes")), "once": start}).filter(F.size("codes") > 0)
+    common = prefix_rows(only_common, percent, F.lit(1), "doc")
     order = Window.partitionBy("key").orderBy("doc", "id")
     pivots = stash(common.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= PIVOTS).drop("k"), "pivots")
     near = stash(partners(common, pivots, percent, (F.col("x.id") != F.col("y.id")) & (F.col("x.doc") >= F.col("y.doc"))), "pairs")
@@ -204,14 +211,14 @@ def matches(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent
     """doc, mark, line_no, match (a place): a row for each line that matches an earlier one."""
     every = prefixes(docs, text, doc_id, percent)
     # The least place brings the other columns along; equal sets have equal ones.
-    firsts = every.groupBy("k1", "k2").agg(F.min(F.struct(*PLACE, "n", "bits", "rare", "codes")).alias("first"), F.count(F.lit(1)).alias("uses"))
-    reps = stash(firsts.select(F.monotonically_increasing_id().alias("id"), "k1", "k2", "uses", "first.*"), "reps")
+    firsts = every.groupBy(*SET).agg(F.min(F.struct(*PLACE, "once", "rare", "codes")).alias("first"), F.count(F.lit(1)).alias("uses"))
+    reps = stash(firsts.select(F.monotonically_increasing_id().alias("id"), *SET, "uses", "first.*"), "reps")
     found = matched_classes(reps, docs, text, doc_id, percent)
 
     # A line's own class may have an earlier line, and the class's first line may match an earlier class.
     place = F.struct(*PLACE)
-    classes = reps.join(found, "id", "left").filter("uses > 1 OR match IS NOT NULL").select("k1", "k2", place.alias("first"), "match")
-    lines = every.select(*PLACE, "k1", "k2").join(classes, ["k1", "k2"])
+    classes = reps.join(found, "id", "left").filter("uses > 1 OR match IS NOT NULL").select(*SET, place.alias("first"), "match")
+    lines = every.select(*PLACE, *SET).join(classes, SET)
     done = lines.select(*PLACE, F.coalesce("match", F.when(place != F.col("first"), F.col("first"))).alias("match")).filter("match IS NOT NULL")
     done = stash(done, "line-matches")
     drop_stash(every, reps, found)
