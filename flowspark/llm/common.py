@@ -168,3 +168,20 @@ def ranked(df: DataFrame, keys: list[str], coarse: Column, salt: Column, order:
         .withColumn(out, (F.col("_base") + inside - 1).cast("long"))
         .drop("_coarse", "_salt", "_base")
     )
+
+
+def numbered(df: DataFrame, order: list, out: str) -> DataFrame:
+    """df, written to the shared folder, with all its rows numbered from 0 in an order.
+
+    The sort is dealt by ranges; a row's number is its place in its part after the parts before. What is summed in one task
+    and broadcast is a count for each part. drop_stash() takes the result.
+    """
+    ordered = stash(df.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_at", 33).alias("_part")
+    counts = ordered.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    done = ordered.withColumn("_part", F.shiftright("_at", 33)).join(F.broadcast(first), "_part").withColumn(out, F.col("_first") + inside).drop("_part", "_at", "_first")
+    done._stash = ordered._stash
+    return done

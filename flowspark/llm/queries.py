@@ -6,6 +6,7 @@ from .chat import OP2_SQL, op2_chat
 from .hmm import op3_hmm
 from .linededup import OP1_SQL, op1_line_dedup
 from .media import OP4_SQL, op4_media
+from .merkle import OP13_SQL, op13_merkle
 from .minhash import OP10_SQL, op10_minhash
 from .mixing import OP9_SQL, op9_mixing
 from .packing import op5_packing
@@ -24,6 +25,7 @@ QUERIES = {
     "op2_chat": op2_chat,
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLES = {
@@ -34,4 +36,5 @@ ORACLES = {
     "op2_chat": OP2_SQL,
     "op8_quality": OP8_SQL,
     "op9_mixing": OP9_SQL,
+    "op13_merkle": OP13_SQL,
 }
