@@ -11,6 +11,7 @@ from .minhash import OP10_SQL, op10_minhash
 from .mixing import OP9_SQL, op9_mixing
 from .packing import op5_packing
 from .quality import OP8_SQL, op8_quality
+from .tokencount import op11_tokens
 from .toxicity import op7_toxicity
 from .warc import OP6_SQL, op6_warc
 
@@ -25,6 +26,7 @@ QUERIES = {
     "op2_chat": op2_chat,
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
+    "op11_tokens": op11_tokens,
     "op13_merkle": op13_merkle,
 }
 
