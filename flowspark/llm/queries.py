@@ -10,6 +10,7 @@ from .merkle import OP13_SQL, op13_merkle
 from .minhash import OP10_SQL, op10_minhash
 from .mixing import OP9_SQL, op9_mixing
 from .packing import op5_packing
+from .periodic import op12_runs
 from .quality import OP8_SQL, op8_quality
 from .tokencount import op11_tokens
 from .toxicity import op7_toxicity
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op11_tokens": op11_tokens,
+    "op12_runs": op12_runs,
     "op13_merkle": op13_merkle,
 }
 
