@@ -131,6 +131,13 @@ def coded_words(texts: pa.BinaryArray, lower: bool = False) -> tuple[pa.BinaryAr
     return words, coded.indices.to_numpy(zero_copy_only=False), np.asarray(ends, dtype=np.int64)
 
 
+def id_of(docs: DataFrame, doc_id: str) -> Column:
+    """Ids as keys that are never null: whole numbers as longs (null: the least one), others as strings (null: empty)."""
+    if docs.schema[doc_id].dataType.typeName() in ("byte", "short", "integer", "long"):
+        return F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)))
+    return F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+
+
 def word_count(text: Column) -> Column:
     """Words of a text, as long; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import drop_stash, stash
 
 
 def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -13,7 +13,7 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
     Each round gives a node the least label among itself and its neighbours, then that label's own
     label; labels are written to the shared folder after each round, so that a lost executor costs one
-    round. Only the number of changes reaches the driver.
+    round, and those of the round before are deleted. Only the number of changes reaches the driver. drop_stash() takes the result.
     """
     both = stash(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).filter("a <> b").distinct(), "links")
     labels = stash(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("component")), "labels")
@@ -23,6 +23,9 @@ def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
         step = labels.join(least, "id").select("id", F.col("component").alias("old"), F.least("component", "c").alias("component"))
         jump = labels.select(F.col("id").alias("component"), F.col("component").alias("further"))
         step = stash(step.join(jump, "component").select("id", "old", F.least("component", "further").alias("component")), "labels")
+        drop_stash(labels)
         labels = step.select("id", "component")
+        labels._stash = step._stash
         if step.filter(F.col("old") != F.col("component")).limit(1).count() == 0:
+            drop_stash(both)
             return labels

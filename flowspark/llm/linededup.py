@@ -16,7 +16,7 @@ Rarity is kept as a quarter-power-of-two class for each hash of words, in a tabl
 2**`MOST_BITS` bytes; any fixed order gives the same matches, a good one fewer candidates.
 
 Defined cases: a null text has no lines and stays null; lines without words are kept; a document that
-loses all its words is dropped by `drop_repeated_lines`; a null doc_id counts as the least id; rows with equal ids and different texts are
+loses all its words is dropped by `drop_repeated_lines`; a null doc_id counts as the least id; ids that aren't whole numbers are sorted as strings; rows with equal ids and different texts are
 documents of their own; rows with equal ids and texts are one document given twice, and get equal results; an empty table gives an
 empty table; other columns are carried along, whatever their names.
 """
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, drop_stash, magnitude, stash, table
+from .common import WORD, drop_stash, id_of, magnitude, stash, table
 from .quality import bound
 
 PERCENT = 80
@@ -87,7 +87,7 @@ def lines_of(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 def place_of(docs: DataFrame, text: str, doc_id: str) -> list[Column]:
     """doc and mark, which tell documents apart."""
-    return [F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63))).alias("doc"), F.xxhash64(text).alias("mark")]
+    return [id_of(docs, doc_id).alias("doc"), F.xxhash64(text).alias("mark")]
 
 
 def prefixes(docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:

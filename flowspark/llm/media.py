@@ -9,7 +9,7 @@ by digest, checks every chunk's digest, and puts the medium together in order; a
 Equal texts are one medium. Only digests, places and compressed bytes are shuffled.
 
 Defined cases: a null text is an empty text (64 zero bytes of payload); a null doc_id counts as the least id for ownership
-and is returned as null; repeated rows get equal values; an empty table gives an empty table; very long texts are stored whole (up to
+and is returned as null; ids are of any type; repeated rows get equal values; an empty table gives an empty table; very long texts are stored whole (up to
 Spark's limit for a value); other columns are not used.
 """
 
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import drop_stash, groups, stash, table
+from .common import drop_stash, groups, id_of, stash, table
 from .minhash import mixed
 
 BLOCK = 64
@@ -98,7 +98,6 @@ def feature_of(payload: bytes) -> str:
     return f"samples={len(x)};sum={int(counts @ values)};squares={int(counts @ (values * values))};crossings={crossings};peak={peak}x{counts[peak]}"
 
 
-PLACE = -(1 << 63)
 LISTS = pa.list_(pa.binary())
 
 
@@ -109,7 +108,7 @@ def key_of(text: bytes) -> bytes:
 def described(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     """doc_id, doc (id without nulls), n_bytes, media_key, digests: one row per document."""
     chosen = docs.select(
-        F.col(doc_id).alias("doc_id"), F.coalesce(F.col(doc_id).cast("long"), F.lit(PLACE)).alias("doc"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
+        F.col(doc_id).alias("doc_id"), id_of(docs, doc_id).alias("doc"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,8 +122,8 @@ def described(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
                     names=["doc_id", "doc", "n_bytes", "media_key", "digests"],
                 )
 
-    kind = chosen.schema["doc_id"].dataType.simpleString()
-    return chosen.mapInArrow(run, f"doc_id {kind}, doc bigint, n_bytes bigint, media_key binary, digests array<binary>")
+    kind, key = (chosen.schema[c].dataType.simpleString() for c in ("doc_id", "doc"))
+    return chosen.mapInArrow(run, f"doc_id {kind}, doc {key}, n_bytes bigint, media_key binary, digests array<binary>")
 
 
 def owners(seen: DataFrame) -> DataFrame:
@@ -148,7 +147,7 @@ def stored(docs: DataFrame, owned: DataFrame, text: str, doc_id: str) -> DataFra
 
     Media travel compressed, and are stored as they came unless some of their chunks have other owners.
     """
-    packed = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(PLACE)).alias("doc"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+    packed = docs.select(id_of(docs, doc_id).alias("doc"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
 
     def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -158,7 +157,7 @@ def stored(docs: DataFrame, owned: DataFrame, text: str, doc_id: str) -> DataFra
                 bodies = [bz2.compress(to_wav(payload_of(t))) for t in texts]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(bodies, pa.binary())], names=["doc", "media_key", "bytes"])
 
-    small = packed.mapInArrow(squeeze, "doc bigint, media_key binary, bytes binary")
+    small = packed.mapInArrow(squeeze, f"doc {packed.schema['doc'].dataType.simpleString()}, media_key binary, bytes binary")
     chosen = small.join(owned, ["doc", "media_key"]).dropDuplicates(["doc", "media_key"]).select("media_key", "foreign", "lent", "bytes")
     names = ["media_key", "digests", "lengths", "foreign", "lent", "bytes"]
 

@@ -13,8 +13,9 @@ outside the component of their bucket's least id are compared with the bucket's
 never make all their pairs, and no candidate pair of different components is left out.
 
 Defined cases: null and empty texts have empty sets and are linked with nothing; rows with a null doc_id
-are linked with nothing and have a null component; equal ids are one document; an empty table gives an empty
-table; very long texts are used whole; other columns are carried along by `drop_near_copies`.
+are linked with nothing and have a null component; ids are of any type that can be sorted; rows of one id have one component, which all of their texts
+are linked into, but `drop_near_copies` judges each row by its own text; an empty table gives an empty table; very long texts are used whole;
+other columns are carried along by `drop_near_copies`.
 """
 
 from __future__ import annotations
@@ -27,8 +28,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import coded_words, groups, stash, table
+from .common import coded_words, drop_stash, groups, stash, table
 from .components import components
 
 WORDS, PERCENT, ROWS, BANDS = 3, 85, 5, 30
@@ -101,41 +103,50 @@ def odd_limit(samples: int, percent: int, bits: int = BITS) -> int:
     return math.ceil(bits / 2 * (1 - math.exp(-4 * differ / bits)) + 1.5 * math.sqrt(bits) / 2)
 
 
+def keyed(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """doc_id, mark (a hash that tells the texts of one id apart), text as bytes."""
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("mark"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+
+
 def sketched(docs: DataFrame, text: str, doc_id: str, words: int, rows: int, bands: int) -> DataFrame:
-    """doc_id, n (set size), set_key, sketch, bands."""
-    chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    names = ["doc_id", "n", "set_key", "sketch", "bands"]
+    """doc_id, mark, n (set size), set_key, sketch, bands."""
+    chosen = keyed(docs, text, doc_id)
+    kind = chosen.schema["doc_id"].dataType
+    longs = pa.list_(pa.int64())
+    out = pa.schema([("doc_id", to_arrow_type(kind)), ("mark", pa.int64()), ("n", pa.int64()), ("set_key", pa.binary()), ("sketch", longs), ("bands", longs)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, sketcher = Shingler(words), Sketcher(rows, bands)
         for whole in batches:
-            for batch in groups(whole, 1):
+            for batch in groups(whole, 2):
                 sizes, keys, sketches, buckets = [], [], [], []
-                for s in shingler(batch.column(1)):
+                for s in shingler(batch.column(2)):
                     sizes.append(len(s))
                     keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                     sketch, band = sketcher(s) if len(s) else ([], [])
                     sketches.append(sketch)
                     buckets.append(band)
-                longs = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, longs), pa.array(buckets, longs)], names=names)
+                made = [pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()), pa.array(sketches, longs), pa.array(buckets, longs)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).cast(out.field(0).type), batch.column(1), *made], schema=out)
 
-    return chosen.mapInArrow(run, "doc_id bigint, n bigint, set_key binary, sketch array<bigint>, bands array<bigint>")
+    return chosen.mapInArrow(run, f"doc_id {kind.simpleString()}, mark bigint, n bigint, set_key binary, sketch array<bigint>, bands array<bigint>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str, words: int) -> DataFrame:
-    """doc_id, shingles (binary, sorted 64-bit hashes) of the documents whose ids are in wanted(doc_id)."""
-    chosen = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    chosen = chosen.join(wanted, "doc_id", "left_semi").select("doc_id", "text")
+    """rep, shingles (binary, sorted 64-bit hashes) of the texts in wanted(rep, doc_id, mark); equal rows give their set once in a task."""
+    chosen = keyed(docs, text, doc_id).join(wanted, ["doc_id", "mark"]).select("rep", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
+        shingler, seen = Shingler(words), set()
         for whole in batches:
             for batch in groups(whole, 1):
+                reps = batch.column(0).to_pylist()
+                new = [r not in seen and not seen.add(r) for r in reps]
+                batch = batch.filter(pa.array(new, pa.bool_()))
                 sets = [s.tobytes() for s in shingler(batch.column(1))]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["doc_id", "shingles"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["rep", "shingles"])
 
-    return chosen.mapInArrow(run, "doc_id bigint, shingles binary")
+    return chosen.mapInArrow(run, "rep bigint, shingles binary")
 
 
 def differing(a: Column, b: Column, first: int, words: int) -> Column:
@@ -164,7 +175,7 @@ def alike(x: str, y: str, percent: int, limit: int) -> Column:
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets are alike."""
-    one, other = (sets.select(F.col("doc_id").alias(k), F.col("shingles").alias(f"set_{k}")) for k in "ab")
+    one, other = (sets.select(F.col("rep").alias(k), F.col("shingles").alias(f"set_{k}")) for k in "ab")
     both = pairs.select("a", "b").join(one, "a").join(other, "b").select("a", "b", "set_a", "set_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,16 +193,20 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_copies(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words: int = WORDS, percent: int = PERCENT, rows: int = ROWS, bands: int = BANDS
 ) -> DataFrame:
-    """doc_id, n (set size), component: one row for each row of docs."""
+    """doc_id, mark (of the text), n (set size), component, lead (the least id that the text alone is linked with): one row for each row of docs.
+
+    A table in the shared folder; what was made on the way to it is deleted. drop_stash() takes the result.
+    """
     limit = odd_limit(rows * bands, percent)
     seen = stash(sketched(docs, text, doc_id, words, rows, bands), "sketches")
-    named = seen.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = stash(named.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    # One row for each class, and for each of its bands. An id with several texts is one node with several classes.
-    reps = stash(named.join(classes, "set_key").filter("doc_id = rep").dropDuplicates(["set_key"]).select("set_key", "rep", "n", "sketch", "bands"), "reps")
+    some = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    # One row for each set, and for each of its bands. Sets are numbered when they are written.
+    sets = seen.filter(some).groupBy("set_key").agg(F.min(F.struct("doc_id", "mark")).alias("least"), *[F.first(c).alias(c) for c in ("n", "sketch", "bands")])
+    reps = stash(sets.select("set_key", "least.*", "n", "sketch", "bands", F.monotonically_increasing_id().alias("rep")), "reps")
     rows_of = reps.select("rep", "n", "sketch", F.explode("bands").alias("bucket"))
     pivots = rows_of.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("members")).filter("members > 1").drop("members")
     members = stash(rows_of.select("bucket", "rep").join(pivots, "bucket"), "members")
+    made = [seen, reps, members]
 
     info = reps.select("rep", "n", "sketch")
     stars = members.select("rep", "pivot").filter("rep <> pivot").distinct()
@@ -203,13 +218,18 @@ def near_copies(
     )
     pairs = stash(pairs, "pairs")  # stars are distinct; no aggregation here, so that the join's hot pivots can be split
 
-    def sets_of(p: DataFrame) -> DataFrame:
-        return stash(full_sets(docs, p.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), text, doc_id, words), "sets")
+    def linked(p: DataFrame) -> DataFrame:
+        asked = p.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(reps.select("rep", "doc_id", "mark"), "rep")
+        whole = stash(full_sets(docs, asked, text, doc_id, words), "sets")
+        out = stash(confirmed(p, whole, percent), "links")
+        drop_stash(whole)
+        return out
 
-    links = stash(confirmed(pairs, sets_of(pairs), percent), "links")
+    links = linked(pairs)
     joined = components(links)
+    made += [pairs, links, joined]
 
-    # Classes outside the component of their bucket's least id, against the bucket's other components. Both sides are dealt by bucket and
+    # Classes outside the component of their bucket's pivot, against the bucket's other components. Both sides are dealt by bucket and
     # class of set size, where the sets of the class below are guests.
     placed = members.join(joined.select(F.col("id").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     placed = placed.join(joined.select(F.col("id").alias("pivot"), F.col("component").alias("main")), "pivot", "left").withColumn("main", F.coalesce("main", "pivot"))
@@ -225,19 +245,41 @@ def near_copies(
         .distinct()
     )
     more = stash(more.join(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"), "more")
+    made += [placed, more]
     if more.limit(1).count():
-        extra = stash(confirmed(more, sets_of(more), percent), "links")
-        joined = components(links.unionByName(extra)) if extra.limit(1).count() else joined
-    classed = seen.select("doc_id", "n", "set_key").join(classes, "set_key", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id"))
-    return classed.join(joined.withColumnRenamed("id", "rep"), "rep", "left").select("doc_id", "n", component.alias("component"))
+        extra = linked(more)
+        made.append(extra)
+        if extra.limit(1).count():
+            joined = components(links.unionByName(extra))
+            made.append(joined)
+
+    # Each set's lead; then the rows, of which those without a set or an id are on their own.
+    within = reps.select("set_key", "rep", "doc_id").join(joined.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    leads = within.join(within.groupBy("component").agg(F.min("doc_id").alias("lead")), "component").select("set_key", "lead")
+    told = seen.filter(some).join(leads, "set_key").select("doc_id", "mark", "n", "lead")
+    alone = seen.filter(~some).select("doc_id", "mark", "n", F.col("doc_id").alias("lead"))
+    told = stash(told.unionByName(alone), "leads")
+    drop_stash(*made)
+
+    # The texts of one id may have different leads.
+    several = told.filter("lead IS NOT NULL").groupBy("doc_id").agg(F.min("lead").alias("a"), F.max("lead").alias("b")).filter("a <> b")
+    if not several.limit(1).count():
+        done = told.withColumn("component", F.col("lead"))
+    else:
+        ways = told.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("lead").alias("b"))
+        ends = components(ways)
+        done = stash(told.join(ends.select(F.col("id").alias("lead"), "component"), "lead", "left").withColumn("component", F.coalesce("component", "lead")), "near")
+        drop_stash(told, ends)
+        return done
+    done._stash = told._stash
+    return done
 
 
 def drop_near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
-    """docs without those whose component has a smaller id; of equal rows with that id all stay."""
-    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(doc_id).cast("long").alias("doc_id"))
-    gone = near_copies(rows, **options).filter("doc_id <> component").select("doc_id").distinct()
-    return rows.join(gone, "doc_id", "left_anti").select("row.*")
+    """docs without the rows whose texts are linked with a row of a smaller id; of rows with the least id all stay."""
+    rows = docs.select(F.struct("*").alias("row"), F.col(text).alias("text"), F.col(doc_id).alias("doc_id"))
+    gone = near_copies(rows, **options).filter("doc_id <> lead").select("doc_id", "mark").distinct()
+    return rows.withColumn("mark", F.xxhash64("text")).join(gone, ["doc_id", "mark"], "left_anti").select("row.*")
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

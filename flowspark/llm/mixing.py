@@ -18,7 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import drop_stash, magnitude, spread, stash, table, word_count
+from .common import drop_stash, magnitude, numbered, spread, stash, table, word_count
 
 WEIGHTS = (1, 2, 3)
 CAP = 3
@@ -35,15 +35,10 @@ def offset_of(name: Column, missing: Column, seed: str) -> Column:
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP) -> DataFrame:
     """sources: source, missing, words. Adds target (double).
 
-    Sources are numbered by a distributed sort: a number within the sorted partition, after the partitions before. Only the partitions'
-    counts and sums reach the driver, so that there may be any number of sources.
+    Sources are numbered by a distributed sort, so that there may be any number of them, in any number of parts.
     """
-    ordered = stash(sources.orderBy("missing", "source").withColumn("at", F.monotonically_increasing_id()), "mix-sources")
-    part, inside = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
-    before, first = 0, F.lit(0)
-    for r in ordered.groupBy(part.cast("int").alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect():  # one row for each partition
-        first, before = F.when(part == r["part"], F.lit(before)).otherwise(first), (before + r["n"]) % len(weights)
-    weight = F.element_at(F.array(*map(F.lit, weights)), ((inside + first) % len(weights) + 1).cast("int")).cast("long")
+    ordered = numbered(sources, ["missing", "source"], "number")
+    weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("number") % len(weights) + 1).cast("int")).cast("long")
     weighed = stash(ordered.select("source", "missing", "words", weight.alias("weight")), "mix-weights")
     drop_stash(ordered)
     total, all_weights = weighed.agg(F.sum("words"), F.sum("weight")).first()

@@ -188,6 +188,23 @@ def test_many_sources_weigh_in_order(spark):
         assert abs(got[name or "", name is None] - w * 100 * len(names) / sum(weights)) < 1e-6
 
 
+def test_sources_over_thousands_of_parts(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    settings = {"spark.sql.shuffle.partitions": "2000", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        sources = spark.range(2500).select(F.format_string("s%05d", "id").alias("source"), F.lit(False).alias("missing"), F.lit(100).cast("long").alias("words"))
+        got = targets(sources, cap=1000)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        rows = {r["source"]: r["target"] for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    total = sum(1 + i % 3 for i in range(2500))
+    assert all(abs(rows[f"s{i:05d}"] - (1 + i % 3) * 250_000 / total) < 1e-6 for i in range(2500))
+
+
 def test_mix_edge_cases(awkward, empty):
     plan = plan_mix(awkward)
     assert plan.count() == awkward.count()

@@ -265,6 +265,37 @@ def test_near_copies_of_equal_ids(spark):
     assert got == sorted([(5, 58, 5), (5, 58, 5), (5, 58, 5), (7, 58, 5), (9, 58, 5), (11, 58, 11), (None, 58, None)], key=str)
 
 
+def test_rows_of_an_id_that_is_not_the_least(spark):
+    """A repeated id has one component over all of its texts, but each row stays or goes by its own text."""
+    rnd = random.Random(3)
+    families = [[f"f{k}x{i}" for i in range(60)] for k in range(8)]
+    rows = []
+    for _ in range(60):
+        words_ = list(rnd.choice(families))
+        for _ in range(rnd.randrange(3)):
+            words_[rnd.randrange(60)] = f"n{rnd.randrange(9)}"
+        rows.append((rnd.randrange(25), " ".join(words_)))
+    rows += [(1, "a b c d e f"), (7, "a b c d e f"), (7, "wholly other words that match nothing here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    shingles = [{tuple(t.split()[i : i + 3]) for i in range(len(t.split()) - 2)} for _, t in rows]
+    alike = lambda a, b: 100 * len(a & b) >= 85 * len(a | b)
+
+    def least(same):
+        lead = [i for i, _ in rows]
+        while True:
+            new = [min(lead[y] for y in range(len(rows)) if same(x, y)) for x in range(len(rows))]
+            if new == lead:
+                return lead
+            lead = new
+
+    links = [[alike(a, b) for b in shingles] for a in shingles]
+    lead, component = least(lambda x, y: links[x][y]), least(lambda x, y: links[x][y] or rows[x][0] == rows[y][0])
+    got = near_copies(docs).collect()
+    assert sorted((r["doc_id"], r["lead"], r["component"]) for r in got) == sorted((i, a, c) for (i, _), a, c in zip(rows, lead, component, strict=True))
+    kept = sorted((r["doc_id"], r["text"]) for r in drop_near_copies(docs).collect())
+    assert kept == sorted(r for r, a in zip(rows, lead, strict=True) if r[0] == a) and (7, rows[-1][1]) in kept
+
+
 STAGES = {
     "toxicity": lambda docs, labels: reject_toxic(docs, labels),
     "line_dedup": lambda docs, labels: drop_repeated_lines(docs),
@@ -284,6 +315,10 @@ def test_columns_with_clashing_names(spark, name):
              "n", "component", "_row", "_text", "_removed", "a `b` c", "x.y", "length", "piece", "sequence_id", "bits", "codes", "first", "n_words"]
     rows = [(i, " ".join(f"w{(i * 7 + k) % 90}" for k in range(40)), "en", "s", *[f"{c}{i}" for c in names]) for i in range(12)]
     docs = spark.createDataFrame(rows, ["doc_id", "text", "lang", "source", *names])
+    if name in ("line_dedup", "near_dedup", "mixing", "media"):  # ids of any type
+        named = docs.withColumn("doc_id", F.concat(F.lit("id-"), F.col("doc_id").cast("string")))
+        found = {r["doc_id"] for r in STAGES[name](named, None).select("doc_id").collect()}
+        assert found and found <= {f"id-{i}" for i in range(12)}
     labels = spark.createDataFrame([(i, int(i % 2)) for i in range(12)], "doc_id long, toxic int")
     got = STAGES[name](docs, labels)
     if name in ("packing", "media", "scores"):
