@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators.incremental import IncrementalConfig, run_incremental
+from .operators.keyfilter import pruned
 from .operators.relational import concatenate, equi_join, natural_join, new_rows
 from .operators.steps import apply_steps
 from .plans.compiler import compile_script
@@ -24,6 +25,7 @@ from .sources.catalog import load_catalog
 from .sources.jdbc import TargetDatabase
 from .sources.reader import InputConfig, read, resolve_schema
 from .streaming.csv_sink import stream_to_csv
+from .streaming.incremental import stream_incremental
 from .types import void_to_string
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -319,14 +321,37 @@ def sink_manifest(spark, sf_dir):
 
 @direct("stream_to_csv", "SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'view'")
 def stream_events(spark, sf_dir):
-    """Events as a stream to one CSV file, read back."""
-    folder = Path(scratch(spark, "stream").removeprefix("file://"))
-    (folder / "stage").mkdir(parents=True)
+    """Events as a stream to one CSV file by two runs, of which the second adds what came meanwhile; read back."""
+    folder = scratch(spark, "stream")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    events.repartition(4).write.parquet(f"file://{folder}/in")
-    stream = spark.readStream.schema(events.schema).parquet(f"file://{folder}/in")
-    stream_to_csv(stream.filter("event_type <> 'view'"), folder / "stage", folder / "events.csv")
-    return read(spark, f"file://{folder}/events.csv", events.schema, InputConfig.of({"opciones": {"header": True}}))
+    for half in ("event_id % 2 = 0", "event_id % 2 <> 0 OR event_id IS NULL"):
+        events.filter(half).repartition(4).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{folder}/in")
+        stream_to_csv(stream.filter("event_type <> 'view'"), f"{folder}/state", f"{folder}/events.csv")
+    return read(spark, f"{folder}/events.csv", events.schema, InputConfig.of({"opciones": {"header": True}}))
+
+
+@direct("stream_incremental", "SELECT o_custkey, min(o_orderkey) FILTER (o_orderkey % 2 = 0 OR o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 2 = 0)) AS o_orderkey FROM orders GROUP BY o_custkey")
+def stream_orders(spark, sf_dir):
+    """Orders as a stream into one target by two runs: the second adds the customers that the first lacks, each with its least order."""
+    folder, orders = scratch(spark, "orders"), table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    config, output = IncrementalConfig.of({"activo": True, "claves": ["o_custkey"]}), OutputConfig.of({"modo": "append"})
+    for half in ("o_orderkey % 2 = 0", "o_orderkey % 2 <> 0"):
+        orders.filter(half).write.mode("append").parquet(f"{folder}/in")
+        stream_incremental(spark.readStream.schema(orders.schema).parquet(f"{folder}/in"), f"{folder}/target", config, output, f"{folder}/state")
+    return spark.read.parquet(f"{folder}/target")
+
+
+@direct("incremental_pruned", "SELECT count(*) AS destino, count(*) FILTER (o_orderkey % 16 = 3) AS comunes, TRUE AS completo, TRUE AS podado FROM orders WHERE o_orderkey % 16 < 12")
+def incremental_pruned(spark, sf_dir):
+    """How many of a target's rows an incremental load reads past its filters: all with a key of the batch, and few others."""
+    orders, path = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), scratch(spark, "orders")
+    orders.filter("o_orderkey % 16 < 12").write.parquet(path)
+    old, keys = spark.read.parquet(path), orders.filter("o_orderkey % 16 IN (3, 13)").select("o_orderkey")
+    met = pruned(old, keys, ["o_orderkey"], keys.count()).withColumn("known", F.col("o_orderkey") % 16 == 3)
+    common, others = met.agg(F.count_if("known"), F.count_if(~F.col("known"))).first()
+    total, wanted = old.count(), old.filter("o_orderkey % 16 = 3").count()
+    return spark.createDataFrame([(total, common, common == wanted, others * 20 < total)], "destino long, comunes long, completo boolean, podado boolean")
 
 
 # --- dataflow scripts

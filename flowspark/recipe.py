@@ -7,12 +7,14 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from .errors import RecipeError
 from .operators.incremental import IncrementalConfig, run_incremental
 from .operators.steps import apply_steps, validate_step
+from .observed import Watch, result_of
+from .sinks.commit import write_verified
 from .sinks.parquet import OutputConfig, write
 from .sources.reader import InputConfig, read, resolve_schema
 from .types import as_bool
@@ -73,6 +75,20 @@ def shape(df: DataFrame, what: str) -> dict:
     return {f"columnas_{what}": df.columns, f"esquema_{what}": df.schema.jsonValue(), f"esquema_{what}_simple": df.schema.simpleString()}
 
 
+def full_load(spark: SparkSession, out: DataFrame, target: str, recipe: Recipe, watch: Watch) -> dict:
+    """One job: rows are counted by the tasks that write them, and checks of the input are made on the way."""
+    rows = Observation()
+    counted = (lambda df: df.observe(rows, F.count(F.lit(1)).alias("n"))) if recipe.count else (lambda df: df)
+    if watch.pending:
+        metrics = write_verified(spark, out, target, recipe.output, watch.verify, counted)
+    else:
+        metrics = write(spark, out, target, recipe.output, last=counted)
+    if not recipe.count:
+        return metrics | {"total_registros": None}
+    found = result_of(rows)
+    return metrics | {"total_registros": spark.read.parquet(target).count() if found is None else found["n"]}
+
+
 def run_recipe(spark: SparkSession, recipe: Recipe, source: str, target: str, schema_text: str | None, run_id: str, event: Callable[[str], None] = print) -> dict:
     """The result document; the output is written and verified."""
     event(f"EJECUCION_INICIO={run_id}")
@@ -82,7 +98,8 @@ def run_recipe(spark: SparkSession, recipe: Recipe, source: str, target: str, sc
         event("SCHEMA_SPEC_IGNORADO=true")
     if schema is not None:
         event(f"ESQUEMA_ENTRADA_DECLARADO={schema.simpleString()}")
-    df = read(spark, source, schema, recipe.input)
+    watch = Watch()
+    df = read(spark, source, schema, recipe.input, watch)
     if recipe.input.mode == "inferir":
         event(f"COLUMNAS_NORMALIZADAS={json.dumps(df.columns, ensure_ascii=False)}")
         if recipe.input.forced:
@@ -92,17 +109,10 @@ def run_recipe(spark: SparkSession, recipe: Recipe, source: str, target: str, sc
     out = transform(recipe, df, event)
     event(f"ESCRITURA_INICIO={target}")
     if recipe.incremental.active:
-        metrics = run_incremental(spark, out, target, recipe.incremental, recipe.output)
+        metrics = run_incremental(spark, out, target, recipe.incremental, recipe.output, watch.verify)
         event(f"INCREMENTAL_RESULTADO={json.dumps(metrics, ensure_ascii=False)}")
-    elif recipe.count:
-        kept = out.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            total = kept.count()
-            metrics = write(spark, kept, target, recipe.output) | {"total_registros": total}
-        finally:
-            kept.unpersist()
     else:
-        metrics = write(spark, out, target, recipe.output) | {"total_registros": None}
+        metrics = full_load(spark, out, target, recipe, watch)
     event("ESCRITURA_FIN=true")
     event(f"SALIDA_VALIDADA={metrics['cantidad_archivos_parquet']}")
     return {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import shutil
+from collections.abc import Callable
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -68,27 +69,40 @@ def output_metrics(spark: SparkSession, path: str) -> dict:
     return {"archivo_success": True, "cantidad_archivos_parquet": count, "bytes_parquet": size, "esquema_almacenamiento": where.toUri().getScheme() or "file"}
 
 
-def prepare_local(path: str, config: OutputConfig) -> str:
-    """The mode to write with: a local folder is overwritten only below the configured root."""
+def local_target(path: str, config: OutputConfig) -> Path | None:
+    """The local folder that is to be overwritten, which has to be below the configured root; None for other modes and stores."""
     if config.mode != "overwrite" or "://" in path and not path.startswith("file://"):
-        return config.mode
+        return None
     target, root = Path(path.removeprefix("file://")).resolve(), Path(config.local_root).resolve()
     if target == root or not target.is_relative_to(root):
         raise RecipeError(f"Solo se sobrescribe bajo {root}: {target}", "OVERWRITE_NOT_ALLOWED")
+    return target
+
+
+def prepare_local(path: str, config: OutputConfig) -> str:
+    """The mode to write with, after an old local folder has gone."""
+    target = local_target(path, config)
+    if target is None:
+        return config.mode
     if target.exists():
         shutil.rmtree(target)
     target.mkdir(parents=True, mode=0o2770)
     return "append"
 
 
-def write(spark: SparkSession, df: DataFrame, path: str, config: OutputConfig, mode: str | None = None) -> dict:
-    require_columns(df, [*config.partition_keys, *config.partition_by], "salida")
+def write_files(df: DataFrame, path: str, config: OutputConfig, mode: str, last: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
+    """last: applied when rows are dealt out, so that what it observes is made by the tasks that write, once for each file."""
     if config.partitions:
         df = df.repartition(config.partitions, *map(column, config.partition_keys))
-    writer = df.write.mode(mode or prepare_local(path, config))
+    writer = last(df).write.mode(mode)
     if config.compression != "none":
         writer = writer.option("compression", config.compression)
     if config.partition_by:
         writer = writer.partitionBy(*config.partition_by)
     writer.parquet(path)
+
+
+def write(spark: SparkSession, df: DataFrame, path: str, config: OutputConfig, mode: str | None = None, last: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict:
+    require_columns(df, [*config.partition_keys, *config.partition_by], "salida")
+    write_files(df, path, config, mode or prepare_local(path, config), last)
     return output_metrics(spark, path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..errors import RecipeError
+from ..observed import Watch
 from ..types import as_bool, forced_types, normalise_columns, parse_schema, void_to_string
 
 STRICT_WORDS = {"estricto", "strict", "schema"}
@@ -50,7 +51,8 @@ def resolve_schema(config: InputConfig, text: str | None) -> StructType | None:
     return parse_schema(text)
 
 
-def read(spark: SparkSession, path: str, schema: StructType | None, config: InputConfig) -> DataFrame:
+def read(spark: SparkSession, path: str, schema: StructType | None, config: InputConfig, watch: Watch | None = None) -> DataFrame:
+    """watch: checks of forced types wait for the job that reads the result."""
     options = option_strings(config.options)
     if config.mode == "inferir":
         if schema is not None:
@@ -61,7 +63,7 @@ def read(spark: SparkSession, path: str, schema: StructType | None, config: Inpu
             options.setdefault("inferSchema", str(config.infer_types).lower())
             options.setdefault("mode", "FAILFAST")
         df = spark.read.format(config.format).options(**options).load(path)
-        return forced_types(void_to_string(normalise_columns(df, config.normalise_names)), config.forced)
+        return forced_types(void_to_string(normalise_columns(df, config.normalise_names)), config.forced, watch)
     if schema is None:
         raise RecipeError("El modo estricto necesita un esquema", "SCHEMA_REQUIRED")
     return spark.read.format(config.format).options(**options).schema(schema).load(path)

@@ -1,57 +1,154 @@
-"""A streaming DataFrame to one CSV file: all that is available now, then the file moves into place."""
+"""A streaming DataFrame to one CSV file in any store that Hadoop knows: each run adds what is new to the file.
+
+The stream writes parts, one set for each batch; the sink's own log tells which parts count. A run that finds parts after the last published batch puts
+the file's bytes and theirs together under another name and moves that into place. What is about to be published is told in the
+state folder first, so that a run that stops between moving and telling is known to the next one by the file's digest.
+"""
 
 from __future__ import annotations
 
+import csv
+import io
 import json
-import shutil
+from collections.abc import Callable
 from pathlib import Path
-from urllib.parse import unquote, urlparse
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import FlowError
-from ..sinks.publish import Manifest, promote
-
-
-def written_parts(folder: Path) -> list[Path]:
-    """The files that finished batches wrote, batch by batch and in the order of their partitions, by the sink's own log."""
-    logs = sorted((f for f in (folder / "_spark_metadata").glob("*") if f.name.split(".")[0].isdigit()), key=lambda f: int(f.name.split(".")[0]))
-    compact = max((i for i, f in enumerate(logs) if f.name.endswith(".compact")), default=0)  # holds all before it
-    out = []
-    for log in logs[compact:]:
-        entries = [json.loads(line)["path"] for line in log.read_text("utf-8").splitlines()[1:]]
-        paths = [Path(unquote(urlparse(p).path)) for p in entries]
-        out += paths if log.name.endswith(".compact") else sorted(paths, key=lambda p: p.name)
+from ..sinks.commit import names_in, read_text, write_text
+from ..sinks.parquet import hadoop_path
+from ..sinks.publish import Manifest, now
+from ..types import column
+
+#: Rows are written as they are; the header is put in front once.
+OPTIONS = {"header": "false", "emptyValue": "", "nullValue": "", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def written_parts(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
+    """(batch, file) of finished batches, batch by batch and in the order of their partitions. A compact log has all before it in their order."""
+    logs = [(int(n.split(".")[0]), n) for n in names_in(spark, f"{folder}/_spark_metadata") if n.split(".")[0].isdigit()]
+    logs.sort()
+    compact = max((i for i, (_, n) in enumerate(logs) if n.endswith(".compact")), default=0)
+    out, seen = [], set()
+    for batch, name in logs[compact:]:
+        told = [unquote(json.loads(line)["path"]) for line in read_text(spark, f"{folder}/_spark_metadata/{name}").splitlines()[1:]]
+        new = [p for p in (told if name.endswith(".compact") else sorted(told, key=lambda p: p.rsplit("/", 1)[-1])) if p not in seen]
+        seen.update(new)
+        out += [(batch, p) for p in new]
     return out
 
 
-def stream_to_csv(df: DataFrame, staging: Path, target: Path, header: bool = True, timeout: int | None = None) -> Manifest:
-    """Reads what the source has, appends to staging with a checkpoint, and publishes its parts as one file.
+def store_of(spark: SparkSession, path: str):
+    """A path and its file system; local files are read and written without checksum files beside them, as other programs share them."""
+    where, files = hadoop_path(spark, path)
+    return where, files.getRawFileSystem() if files.getUri().getScheme() == "file" else files
+
+
+def digest_of(spark: SparkSession, path: str) -> tuple[int, str] | None:
+    """A file's size and SHA-256, or None if there is no file."""
+    where, files = store_of(spark, path)
+    if not files.exists(where):
+        return None
+    stream = files.open(where)
+    try:
+        return files.getFileStatus(where).getLen(), spark._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
+
+
+def copy_into(spark: SparkSession, out, path: str) -> None:
+    where, files = store_of(spark, path)
+    stream = files.open(where)
+    try:
+        spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
+    finally:
+        stream.close()
+
+
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file into place at once, over one that is there."""
+    jvm, to_path = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path
+    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    how = spark.sparkContext._gateway.new_array(kind, 1)
+    how[0] = kind.OVERWRITE
+    where, files = hadoop_path(spark, target)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(files.makeQualified(to_path(source)), files.makeQualified(where), how)
+
+
+def published(spark: SparkSession, state: str) -> dict | None:
+    """The last thing told of the file: batch, from (digest before, null for none) and bytes, sha256 (after)."""
+    names = [n for n in names_in(spark, f"{state}/published") if n.endswith(".json")]
+    return json.loads(read_text(spark, f"{state}/published/{names[-1]}")) if names else None
+
+
+def head_of(names: list[str]) -> bytes:
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerow(names)
+    return out.getvalue().encode()
+
+
+def add_to_file(spark: SparkSession, state: str, target: str, head: bytes, phase: Callable[[str], None]) -> dict:
+    """Bring the file up to date with the finished batches."""
+    told, there = published(spark, state), digest_of(spark, target)
+    if told and there and there[1] != told["sha256"]:
+        if there[1] != told["from"]:
+            raise FlowError(f"El destino existe con otro contenido: {target.rsplit('/', 1)[-1]}", "PUBLISH_CONFLICT")
+        told = told["before"]  # the run before stopped ahead of the move
+    elif told and not there:
+        told = told["before"] if told["from"] is None else None
+    last = told["lote"] if told else -1
+    new = [(batch, p) for batch, p in written_parts(spark, f"{state}/parts") if batch > last]
+    if told and not new:
+        return told
+    upto = max((batch for batch, _ in new), default=0)
+    partial = f"{target}.partial"
+    where, files = store_of(spark, partial)
+    out = files.create(where, True)
+    try:
+        if told:
+            copy_into(spark, out, target)
+        else:
+            out.write(bytearray(head))
+        for _, part in new:
+            copy_into(spark, out, part)
+    finally:
+        out.close()
+    size, sha = digest_of(spark, partial)
+    if there and not told and there[1] != sha:
+        files.delete(where, False)
+        raise FlowError(f"El destino existe con otro contenido: {target.rsplit('/', 1)[-1]}", "PUBLISH_CONFLICT")
+    doc = {"lote": upto, "bytes": size, "sha256": sha, "partes": len(new), "from": there[1] if there else None}
+    write_text(spark, f"{state}/published/{upto:012}-{sha[:12]}.json", json.dumps(doc | {"before": told and {k: v for k, v in told.items() if k != "before"}}))
+    phase("told")
+    replace(spark, partial, target)
+    phase("moved")
+    return doc
+
+
+def stream_to_csv(df: DataFrame, state: str | Path, target: str | Path, header: bool = True, timeout: int | None = None, phase: Callable[[str], None] = lambda _name: None) -> Manifest:
+    """Reads what the source has, and adds it to the file.
 
-    Partitions are written side by side; staging must be a folder that driver and executors share. Without a timeout (seconds) a
-    stream of any size runs to its end.
+    state: a folder that driver and executors share, which belongs to this stream (parts, checkpoint, what was published); target: the file.
+    Both are addresses of any file system or local paths. Without a timeout (seconds) a stream of any size runs to its end. Another content than
+    what this stream has published is never replaced.
     """
     if not df.isStreaming:
         raise FlowError("Se esperaba un DataFrame de streaming", "STREAM_REQUIRED")
-    parts, state = staging / "parts", staging / "checkpoint"
+    spark, names = df.sparkSession, df.columns
+    state, target = (f"file://{x.resolve()}" if isinstance(x, Path) else x.rstrip("/") for x in (state, target))
     query = (
-        df.writeStream.format("csv").option("header", str(header).lower()).option("checkpointLocation", f"file://{state}")
-        .outputMode("append").trigger(availableNow=True).start(f"file://{parts}")
+        df.select(*[column(c).cast("string").alias(c) for c in names]).writeStream.format("csv").options(**OPTIONS)
+        .option("checkpointLocation", f"{state}/checkpoint").outputMode("append").trigger(availableNow=True).start(f"{state}/parts")
     )
-    ended = query.awaitTermination(timeout) if timeout is not None else query.awaitTermination() is None
+    try:
+        ended = query.awaitTermination(timeout) if timeout is not None else query.awaitTermination() is None
+    except Exception as e:
+        raise FlowError(f"El streaming falló: {e}", "STREAM_FAILED") from e
     if not ended:
         query.stop()
         raise FlowError("El streaming no terminó a tiempo", "STREAM_TIMEOUT")
-    if query.exception():
-        raise FlowError(f"El streaming falló: {query.exception()}", "STREAM_FAILED")
-    whole, first = staging / "whole.csv", True
-    with whole.open("wb") as out:
-        for part in written_parts(parts):
-            if not part.stat().st_size:
-                continue
-            with part.open("rb") as file:
-                if header and not first:
-                    file.readline()
-                shutil.copyfileobj(file, out)
-            first = False
-    return promote(whole, target)
+    doc = add_to_file(spark, state, target, head_of(names) if header else b"", phase)
+    return Manifest(target.rsplit("/", 1)[-1], doc["bytes"], doc["sha256"], None, "PUBLICADO", now())

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .errors import RecipeError
+from .observed import Watch
 
 NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 DECIMAL = re.compile(r"decimal\s*\(\s*(\d+)\s*,\s*(\d+)\s*\)")
@@ -97,17 +98,25 @@ def void_to_string(df: DataFrame) -> DataFrame:
     return df.withColumns(void) if void else df
 
 
-def forced_types(df: DataFrame, kinds: dict[str, str]) -> DataFrame:
-    """Cast columns; one job finds values that can't be cast in any of them."""
+def forced_types(df: DataFrame, kinds: dict[str, str], watch: Watch | None = None) -> DataFrame:
+    """Cast columns; values that can't be cast in any of them are an error.
+
+    They are found by one job now or, with a watch, by the job that reads the result; watch.verify() raises then.
+    """
     if not kinds:
         return df
     require_columns(df, list(kinds), "tipos_forzados")
     cast = {c: column(c).cast("string").try_cast(spark_type(k)) if isinstance(df.schema[c].dataType, T.StringType) else column(c).try_cast(spark_type(k)) for c, k in kinds.items()}
-    lost = [F.max(F.when(column(c).isNotNull() & (F.trim(column(c).cast("string")) != "") & cast[c].isNull(), 1).otherwise(0)).alias(str(i)) for i, c in enumerate(kinds)]
-    row = df.select(*lost).first()
-    bad = [c for i, c in enumerate(kinds) if row[i]]
-    if bad:
-        raise RecipeError(f"Valores que no se pueden convertir en {bad}", "FORCED_TYPE_INVALID")
+    lost = [F.max(F.when(column(c).isNotNull() & (F.trim(column(c).cast("string")) != "") & cast[c].isNull(), 1).otherwise(0)).alias(f"perdidos{i}") for i, c in enumerate(kinds)]
+
+    def check(row: dict) -> None:
+        bad = [c for i, c in enumerate(kinds) if row[f"perdidos{i}"]]
+        if bad:
+            raise RecipeError(f"Valores que no se pueden convertir en {bad}", "FORCED_TYPE_INVALID")
+
+    if watch is not None:
+        return watch.over(df, lost, check).withColumns(cast)
+    check(df.select(*lost).first().asDict())
     return df.withColumns(cast)
 
 

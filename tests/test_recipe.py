@@ -84,6 +84,39 @@ def test_inferred_run(spark, tmp_path):
     assert result["esquema_salida_simple"] == "struct<metodo_de_pago:string,col_2026_total:bigint>"
 
 
+def jobs_of(spark, name, work):
+    """Jobs that some work runs."""
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        out = work()
+        return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    finally:
+        spark.sparkContext._jsc.sc().clearJobGroup()
+
+
+@pytest.mark.parametrize("forced", [{}, {"total": "long"}])
+def test_a_counted_load_is_one_job(spark, tmp_path, forced):
+    spark.range(50).selectExpr("cast(id as string) AS total", "id % 3 AS g").write.parquet(f"{tmp_path}/in")
+    doc = {"entrada": {"formato": "parquet", "modo_esquema": "inferir", "tipos_forzados": forced}, "pasos": [{"tipo": "filtrar", "expresion": "g > 0"}], "salida": OUTPUT, "auditoria": {"contar_registros": True}}
+    plain = doc | {"auditoria": {}, "entrada": {"formato": "parquet", "modo_esquema": "inferir"}}
+    run = lambda d, to: lambda: run_recipe(spark, load_recipe(json.dumps(d)), f"{tmp_path}/in", f"{tmp_path}/{to}", None, "e", lambda _: None)
+    _, least = jobs_of(spark, f"plain{len(forced)}", run(plain, "a"))
+    told, jobs = jobs_of(spark, f"counted{len(forced)}", run(doc, "b"))
+    assert told["total_registros"] == 33 and jobs == least
+    assert spark.read.parquet(f"{tmp_path}/b").dtypes[0][1] == ("bigint" if forced else "string")
+
+
+@pytest.mark.parametrize("extra", [{}, {"incremental": {"activo": True, "claves": ["total"]}, "salida": OUTPUT | {"modo": "append"}}])
+@pytest.mark.parametrize("step", ["g > 0", "false", "total < '3'"])
+def test_values_that_cannot_be_forced_leave_the_target_alone(spark, tmp_path, extra, step):
+    """Rows that a later step leaves out are held to the forced types too."""
+    spark.createDataFrame([("1", 1), ("x", 2), (" ", 0)], "total string, g int").write.parquet(f"{tmp_path}/in")
+    doc = {"entrada": {"formato": "parquet", "modo_esquema": "inferir", "tipos_forzados": {"total": "long"}}, "pasos": [{"tipo": "filtrar", "expresion": step}], "salida": OUTPUT} | extra
+    with pytest.raises(RecipeError) as e:
+        run_recipe(spark, load_recipe(json.dumps(doc)), f"{tmp_path}/in", f"{tmp_path}/out", None, "e", lambda _: None)
+    assert e.value.code == "FORCED_TYPE_INVALID" and not [p for p in (tmp_path / "out").rglob("*.parquet")]
+
+
 def test_incremental(spark, tmp_path):
     def run(rows: str, name: str, schema: str = "lote:long|sello:string"):
         source = tmp_path / name
