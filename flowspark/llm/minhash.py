@@ -30,7 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import coded_words, drop_stash, groups, stash, table
+from ..operators.keyfilter import blocks_for, may_be_among
+from .common import coded_words, drop_stash, groups, numbered, stash, table
 from .components import components
 
 WORDS, PERCENT, ROWS, BANDS = 3, 85, 5, 30
@@ -132,9 +133,15 @@ def sketched(docs: DataFrame, text: str, doc_id: str, words: int, rows: int, ban
     return chosen.mapInArrow(run, f"doc_id {kind.simpleString()}, mark bigint, n bigint, set_key binary, sketch array<bigint>, bands array<bigint>")
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame, text: str, doc_id: str, words: int) -> DataFrame:
-    """rep, shingles (binary, sorted 64-bit hashes) of the texts in wanted(rep, doc_id, mark); equal rows give their set once in a task."""
-    chosen = keyed(docs, text, doc_id).join(wanted, ["doc_id", "mark"]).select("rep", "text")
+def full_sets(docs: DataFrame, wanted: DataFrame, n: int, text: str, doc_id: str, words: int) -> DataFrame:
+    """rep, shingles (binary, sorted 64-bit hashes) of the texts in wanted(rep, doc_id, mark), which are n; equal rows give their set once in a task.
+
+    Texts that aren't asked for are held back by a filter of bounded size before they are shuffled.
+    """
+    chosen = keyed(docs, text, doc_id)
+    if blocks := blocks_for(n):
+        chosen = may_be_among(chosen, wanted.select("mark"), ["mark"], blocks)
+    chosen = chosen.join(wanted, ["doc_id", "mark"]).select("rep", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(words), set()
@@ -200,9 +207,9 @@ def near_copies(
     limit = odd_limit(rows * bands, percent)
     seen = stash(sketched(docs, text, doc_id, words, rows, bands), "sketches")
     some = (F.col("n") > 0) & F.col("doc_id").isNotNull()
-    # One row for each set, and for each of its bands. Sets are numbered when they are written.
+    # One row for each set, and for each of its bands. Sets are numbered by their least ids.
     sets = seen.filter(some).groupBy("set_key").agg(F.min(F.struct("doc_id", "mark")).alias("least"), *[F.first(c).alias(c) for c in ("n", "sketch", "bands")])
-    reps = stash(sets.select("set_key", "least.*", "n", "sketch", "bands", F.monotonically_increasing_id().alias("rep")), "reps")
+    reps = numbered(sets.select("set_key", "least.*", "n", "sketch", "bands"), ["doc_id", "mark"], "rep")
     rows_of = reps.select("rep", "n", "sketch", F.explode("bands").alias("bucket"))
     pivots = rows_of.groupBy("bucket").agg(F.min("rep").alias("pivot"), F.count(F.lit(1)).alias("members")).filter("members > 1").drop("members")
     members = stash(rows_of.select("bucket", "rep").join(pivots, "bucket"), "members")
@@ -219,10 +226,10 @@ def near_copies(
     pairs = stash(pairs, "pairs")  # stars are distinct; no aggregation here, so that the join's hot pivots can be split
 
     def linked(p: DataFrame) -> DataFrame:
-        asked = p.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(reps.select("rep", "doc_id", "mark"), "rep")
-        whole = stash(full_sets(docs, asked, text, doc_id, words), "sets")
+        asked = stash(p.select(F.explode(F.array("a", "b")).alias("rep")).distinct().join(reps.select("rep", "doc_id", "mark"), "rep"), "asked")
+        whole = stash(full_sets(docs, asked, asked.count(), text, doc_id, words), "sets")
         out = stash(confirmed(p, whole, percent), "links")
-        drop_stash(whole)
+        drop_stash(asked, whole)
         return out
 
     links = linked(pairs)
