@@ -58,6 +58,8 @@ def parser(script: bool) -> argparse.ArgumentParser:
         out.add_argument("--base-destino", dest="target")
         out.add_argument("--solo-compilar", action="store_true", dest="compile_only")
         out.add_argument("--plan-salida", dest="plan")
+        out.add_argument("--filas-por-particion", type=int, dest="hot_rows")
+        out.add_argument("--claves-pesadas", type=float, dest="skew_share")
         out.add_argument("--solo-paquetes", action="store_true", dest="packages_only")
     else:
         for name in ("--receta", "--entrada", "--salida"):
@@ -111,7 +113,7 @@ def script_main(args: argparse.Namespace) -> int:
                 print(",".join(packages(catalog, target)))
                 return 0
             spark = session("flowspark dataflow")
-            doc = run_script(spark, text, catalog, secrets, target, args.ejecucion_id, "archivo" if args.script else "contenido")
+            doc = run_script(spark, text, catalog, secrets, target, args.ejecucion_id, "archivo" if args.script else "contenido", args.hot_rows, args.skew_share)
     except Exception as e:
         doc = failure(e, secrets) | {"ejecucion_id": args.ejecucion_id}
     finally:

@@ -60,11 +60,11 @@ def session_for(spark: SparkSession) -> SparkSession:
     return own
 
 
-def run_script(spark: SparkSession, text: str, catalog: Catalog, secrets: Secrets, target: TargetDatabase | None = None, run_id: str = "", origin: str = "contenido") -> dict:
+def run_script(spark: SparkSession, text: str, catalog: Catalog, secrets: Secrets, target: TargetDatabase | None = None, run_id: str = "", origin: str = "contenido", hot_rows: int | None = None, skew_share: float | None = None) -> dict:
     plan, doc = compiled(text)
     if secrets.exposed({"plan": plan.to_json(), **doc}, LEAST_SECRET):
         raise FlowError("El script contiene un secreto", "SECRET_EXPOSED")
-    executor = Executor(session_for(spark), catalog, secrets, target)
+    executor = Executor(session_for(spark), catalog, secrets, target, hot_rows=hot_rows, skew_share=skew_share)
     tables = executor.run(plan)
     return {
         "estado": "COMPLETADO", "ejecucion_id": run_id, "hash": plan.hash, "operaciones": len(plan.operaciones), "operaciones_ejecutadas": executor.done,

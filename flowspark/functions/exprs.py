@@ -9,10 +9,11 @@ import math
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..errors import FlowError
+from ..operators.ranking import plain_rank
 from ..types import column
 
 #: Kinds of nodes.
@@ -146,7 +147,17 @@ FUNCTIONS: dict[str, tuple[int, float, Callable[[tuple[Node, ...]], Column]]] =
 REJECTED = {"DUAL", "RIGHT"}
 
 
-def window(node: Node) -> Column:
+@dataclass(frozen=True)
+class Ranking:
+    """A parsed window: mode 1 (competition rank) or 4 (row number), what it is partitioned and ordered by, and whether downwards."""
+
+    mode: int
+    partition: tuple[Node, ...]
+    order: tuple[Node, ...]
+    down: bool
+
+
+def ranking(node: Node) -> Ranking:
     """Window(WRank(mode, format), partition..., 'ASC'|'DESC', order...)."""
     rank, *rest = node.children or (Node(CALL),)
     if rank.kind != CALL or rank.value != "WRANK":
@@ -159,10 +170,12 @@ def window(node: Node) -> Column:
     cuts = [i for i, n in enumerate(rest) if n.kind == STRING and n.value.upper() in ("ASC", "DESC")]
     if len(cuts) != 1 or cuts[0] == len(rest) - 1:
         raise problem("EXPR_WINDOW_ORDER", "Window necesita una dirección y columnas de orden")
-    down = rest[cuts[0]].value.upper() == "DESC"
-    order = [lower(n).desc() if down else lower(n).asc() for n in rest[cuts[0] + 1 :]]
-    spec = Window.partitionBy(*[lower(n) for n in rest[: cuts[0]]]).orderBy(*order)
-    return (F.rank() if mode == 1 else F.row_number()).over(spec)
+    return Ranking(mode, tuple(rest[: cuts[0]]), tuple(rest[cuts[0] + 1 :]), rest[cuts[0]].value.upper() == "DESC")
+
+
+def window(node: Node) -> Column:
+    r = ranking(node)
+    return plain_rank([lower(n) for n in r.partition], [lower(n) for n in r.order], r.down, r.mode)
 
 
 def whole_number(node: Node) -> int | None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..errors import FlowError
 from ..types import column
+from .skew import dealt, heavy_keys, parts_of
 
 JOIN_KINDS = {"LEFT": "left", "INNER": "inner"}
 EQUAL = re.compile(r"\s*(?:(\w+)\.)?(\w+)\s*=\s*(?:(\w+)\.)?(\w+)\s*")
@@ -21,20 +22,38 @@ def join_kind(word: str) -> str:
     return JOIN_KINDS[word.upper()]
 
 
-def natural_join(left: DataFrame, right: DataFrame, kind: str = "LEFT") -> DataFrame:
+SALT = "_flow_parte"
+
+
+def joined(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]], kind: str, keep: list, share: float | None) -> DataFrame:
+    """Left and right by equality of the pairs of columns. share: keys with so much of left's rows are split (see skew), which one job looks for first."""
+    salted = False
+    if share is not None:
+        own, other = [column(a) for a, _ in pairs], [column(b) for _, b in pairs]
+        # Equal keys have equal hashes only if they have one type.
+        if all(left.schema[a].dataType == right.schema[b].dataType for a, b in pairs):
+            heavy, total = heavy_keys(left, own, share)
+            if heavy:
+                partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+                left, right = dealt(left, right, own, other, parts_of(heavy, total, partitions), SALT)
+                salted = True
+    l, r = left.alias("l"), right.alias("r")  # noqa: E741
+    on = F.lit(True)
+    for a, b in [*pairs, (SALT, SALT)] if salted else pairs:
+        on = on & (F.col(f"l.`{a}`") == F.col(f"r.`{b}`"))
+    return l.join(r, on, kind).select(*keep)
+
+
+def natural_join(left: DataFrame, right: DataFrame, kind: str = "LEFT", share: float | None = None) -> DataFrame:
     """Equality on all common columns (null matches nothing): keys, left's rest, right's rest."""
     common = [c for c in left.columns if c in set(right.columns)]
     if not common:
         raise FlowError("Las tablas no tienen columnas comunes (producto cartesiano)", "JOIN_CARTESIAN")
-    l, r = left.alias("l"), right.alias("r")  # noqa: E741
-    on = F.lit(True)
-    for c in common:
-        on = on & (F.col(f"l.`{c}`") == F.col(f"r.`{c}`"))
     keep = [F.col(f"l.`{c}`") for c in common] + [F.col(f"l.`{c}`") for c in left.columns if c not in common] + [F.col(f"r.`{c}`") for c in right.columns if c not in common]
-    return l.join(r, on, join_kind(kind)).select(*keep)
+    return joined(left, right, [(c, c) for c in common], join_kind(kind), keep, share)
 
 
-def equi_join(left: DataFrame, right: DataFrame, condition: str, kind: str = "LEFT") -> DataFrame:
+def equi_join(left: DataFrame, right: DataFrame, condition: str, kind: str = "LEFT", share: float | None = None) -> DataFrame:
     """One equality `a = b`, qualifiers ignored; of columns in both tables the left one stays."""
     m = EQUAL.fullmatch(condition)
     if not m:
@@ -45,9 +64,8 @@ def equi_join(left: DataFrame, right: DataFrame, condition: str, kind: str = "LE
     for name, df in ((a, left), (b, right)):
         if name not in df.columns:
             raise FlowError(f"Columna de join inexistente: {name}", "COLUMN_MISSING")
-    on = F.col(f"l.`{a}`") == F.col(f"r.`{b}`")
     keep = [F.col(f"l.`{c}`") for c in left.columns] + [F.col(f"r.`{c}`") for c in right.columns if c not in left.columns]
-    return left.alias("l").join(right.alias("r"), on, join_kind(kind)).select(*keep)
+    return joined(left, right, [(a, b)], join_kind(kind), keep, share)
 
 
 def concatenate(target: DataFrame, source: DataFrame) -> DataFrame:

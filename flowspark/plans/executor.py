@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import FlowError
-from ..functions.exprs import COLUMN, STAR, lower, predicate
+from ..functions.exprs import COLUMN, STAR, WINDOW, Node, lower, predicate, ranking
+from ..operators.ranking import with_rank
 from ..operators.relational import concatenate, equi_join, metric_text, natural_join
 from ..sinks.publish import Staging, publish_local, publish_sftp
 from ..sources.catalog import Catalog, LocalConnection, Secrets, SftpConnection, local_path, relative, split_uri
@@ -62,6 +63,8 @@ class Executor:
     secrets: Secrets = field(default_factory=Secrets)
     target: TargetDatabase | None = None
     staging_root: str | None = None
+    hot_rows: int | None = None  # partitions with more rows are ranked by many tasks; one job for each rank looks for them
+    skew_share: float | None = None  # keys with so much of a join's left side are split; one job for each join looks for them
     tables: dict[str, DataFrame] = field(default_factory=dict)
     published: list[dict] = field(default_factory=list)
     done: int = 0
@@ -112,7 +115,8 @@ class Executor:
             self.register(op.tabla_objetivo, concatenate(self.table(op.tabla_objetivo), self.table(op.tabla_origen)), replace=True)
         elif isinstance(op, Join):
             left, right = self.table(op.tabla_izquierda), self.table(op.tabla_derecha)
-            joined = natural_join(left, right, op.tipo_join) if op.condicion_on.upper() == "NATURAL" else equi_join(left, right, op.condicion_on, op.tipo_join)
+            natural = op.condicion_on.upper() == "NATURAL"
+            joined = natural_join(left, right, op.tipo_join, self.skew_share) if natural else equi_join(left, right, op.condicion_on, op.tipo_join, self.skew_share)
             self.register(op.tabla_izquierda, joined, replace=True)
         elif isinstance(op, Aggregate):
             self.register(op.tabla_resultado or op.tabla_origen, self.aggregate(self.table(op.tabla_origen), op), replace=True)
@@ -134,19 +138,34 @@ class Executor:
         if missing:
             raise FlowError(f"Columnas inexistentes: {missing}; disponibles {df.columns}", "COLUMN_MISSING")
 
-    def selected(self, df: DataFrame, items: tuple[Selected, ...]) -> list:
-        out = []
+    def ranked(self, df: DataFrame, node: Node, made: list[str]) -> tuple[DataFrame, Node]:
+        """df with a column for each rank in the expression that many tasks have to make, and the expression over these columns."""
+        if node.kind == WINDOW:
+            r = ranking(node)
+            if r.partition and self.hot_rows is None:
+                return df, node
+            made.append(f"_flow_rank{len(made)}")
+            return with_rank(df, [lower(n) for n in r.partition], [lower(n) for n in r.order], r.down, r.mode, made[-1], self.hot_rows), Node(COLUMN, made[-1])
+        children = []
+        for child in node.children:
+            df, child = self.ranked(df, child, made)
+            children.append(child)
+        return df, Node(node.kind, node.value, tuple(children))
+
+    def selected(self, df: DataFrame, items: tuple[Selected, ...]) -> DataFrame:
+        out, names, made = [], df.columns, []
         for s in items:
             if s.expression.kind == STAR:
-                out += [column(c) for c in df.columns]
+                out += [column(c) for c in names]
             else:
                 self.check_columns(df, s.expression.columns())
-                out.append(lower(s.expression).alias(s.name))
-        return out
+                df, expression = self.ranked(df, s.expression, made)
+                out.append(lower(expression).alias(s.name))
+        return df.select(*out)
 
     def project(self, df: DataFrame, op: Project) -> DataFrame:
         if op.selecciones:
-            out = df.select(*self.selected(df, op.selecciones))
+            out = self.selected(df, op.selecciones)
         else:
             names = list(op.campos) if op.campos != ("*",) else df.columns
             self.check_columns(df, names)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 from collections.abc import Callable
 from pathlib import Path
@@ -19,6 +18,7 @@ from .plans.compiler import compile_script
 from .plans.executor import Executor
 from .plans.ops import Aggregate, Filter, Plan, Project
 from .recipe import load_recipe, run_recipe
+from .shared import shared_folder
 from .sinks.parquet import OutputConfig, write
 from .sinks.publish import Staging, publish_local
 from .sources.catalog import load_catalog
@@ -187,19 +187,8 @@ def plan_from_json(spark, sf_dir):
 # --- sources and sinks: tables go through files in the shared folder and come back
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder's address in spark.checkpoint.dir, which is set here only where it is unset and the session is local."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        shared = "file://" + tempfile.mkdtemp(prefix="flowspark-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def as_csv(df: DataFrame, name: str, separator: str = ",") -> str:
-    path = scratch(df.sparkSession, name)
+    path = shared_folder(df.sparkSession, name)
     df.write.options(header="true", sep=separator).csv(path)
     return path
 
@@ -233,7 +222,7 @@ def source_void_columns(spark, sf_dir):
 @direct("sink_parquet", "SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag, l_linestatus FROM lineitem")
 def sink_parquet(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
-    path = scratch(spark, "lineitem")
+    path = shared_folder(spark, "lineitem")
     config = OutputConfig.of({"numero_particiones": 3, "columnas_reparticion": ["l_orderkey"], "particionar_por": ["l_returnflag", "l_linestatus"], "compresion": "zstd"})
     write(spark, lines, path, config)
     return spark.read.parquet(path)
@@ -242,7 +231,7 @@ def sink_parquet(spark, sf_dir):
 @direct("sink_metrics", "SELECT CAST(2 AS BIGINT) AS archivos, TRUE AS success, TRUE AS bytes")
 def sink_metrics(spark, sf_dir):
     """What the sink's check of its own output finds."""
-    path = scratch(spark, "part")
+    path = shared_folder(spark, "part")
     found = write(spark, table(spark, sf_dir, "part"), path, OutputConfig.of({"numero_particiones": 2}))
     row = (found["cantidad_archivos_parquet"], found["archivo_success"], found["bytes_parquet"] > 0)
     return spark.createDataFrame([row], "archivos long, success boolean, bytes boolean")
@@ -258,7 +247,7 @@ def recipe_run(spark, sf_dir):
         "salida": {"formato": "parquet", "particionar_por": ["c_mktsegment"]},
         "auditoria": {"contar_registros": True},
     }
-    target = scratch(spark, "recipe")
+    target = shared_folder(spark, "recipe")
     run_recipe(spark, load_recipe(json.dumps(doc)), as_csv(customers, "customer"), target, "c_custkey:long|c_mktsegment:string|c_acctbal:decimal(12,2)", "q", lambda _: None)
     return spark.read.parquet(target)
 
@@ -266,7 +255,7 @@ def recipe_run(spark, sf_dir):
 @direct("incremental_write", "SELECT o_custkey, min(o_orderkey) FILTER (o_orderkey % 2 = 0 OR o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 2 = 0)) AS o_orderkey FROM orders GROUP BY o_custkey")
 def incremental_write(spark, sf_dir):
     """Two loads into one target: the second adds the customers that the first lacks, each with its least order."""
-    orders, target = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), scratch(spark, "orders")
+    orders, target = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), shared_folder(spark, "orders")
     config, output = IncrementalConfig.of({"activo": True, "claves": ["o_custkey"]}), OutputConfig.of({"modo": "append"})
     for batch in (orders.filter("o_orderkey % 2 = 0"), orders):
         run_incremental(spark, batch, target, config, output)
@@ -276,7 +265,7 @@ def incremental_write(spark, sf_dir):
 @direct("incremental_metrics", """SELECT count(*) AS entrada, count(DISTINCT o_custkey) AS unicos, count(DISTINCT o_custkey) - (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 64 = 1) AS nuevos,
     count(*) - (count(DISTINCT o_custkey) - (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 64 = 1)) AS duplicados, (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_orderkey % 64 = 1) AS antes FROM orders""")
 def incremental_metrics(spark, sf_dir):
-    orders, target = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), scratch(spark, "orders")
+    orders, target = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey"), shared_folder(spark, "orders")
     config, output = IncrementalConfig.of({"activo": True, "claves": ["o_custkey"]}), OutputConfig.of({"modo": "append"})
     run_incremental(spark, orders.filter("o_orderkey % 64 = 1"), target, config, output)
     found = run_incremental(spark, orders, target, config, output)
@@ -287,7 +276,7 @@ def incremental_metrics(spark, sf_dir):
 @direct("script_store_and_load", "SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_regionkey > 0")
 def script_store_and_load(spark, sf_dir):
     """A script that publishes a table as one CSV of a connection, and one that loads it from there (LIB CONNECT, allow-list, types by the file)."""
-    folder = Path(scratch(spark, "published").removeprefix("file://"))
+    folder = Path(shared_folder(spark, "published").removeprefix("file://"))
     folder.mkdir(parents=True)
     files = [{"esquema": "", "tabla": "paises.csv", "campos": []}]
     catalog = load_catalog(json.dumps({"locales": [{"nombre": "datos", "tipo": "local", "ruta_base": str(folder), "allowlist": files}]}), inline=True)
@@ -313,7 +302,7 @@ def jdbc_round_trip(spark, sf_dir):
     FROM (SELECT 'n_nationkey,n_name' || chr(10) || string_agg(n_nationkey || ',' || n_name || chr(10), '' ORDER BY n_nationkey) AS t FROM nation)""")
 def sink_manifest(spark, sf_dir):
     """What the manifest of a published file says of its bytes."""
-    folder = Path(scratch(spark, "manifest").removeprefix("file://"))
+    folder = Path(shared_folder(spark, "manifest").removeprefix("file://"))
     folder.mkdir(parents=True)
     told = publish_local(table(spark, sf_dir, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey"), folder / "paises.csv", Staging(str(folder / "stage")), "a")
     return spark.createDataFrame([(told.archivo, told.bytes, told.sha256, told.estado)], "archivo string, bytes long, sha256 string, estado string")
@@ -322,7 +311,7 @@ def sink_manifest(spark, sf_dir):
 @direct("stream_to_csv", "SELECT event_id, user_id, event_type FROM events WHERE event_type <> 'view'")
 def stream_events(spark, sf_dir):
     """Events as a stream to one CSV file by two runs, of which the second adds what came meanwhile; read back."""
-    folder = scratch(spark, "stream")
+    folder = shared_folder(spark, "stream")
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
     for half in ("event_id % 2 = 0", "event_id % 2 <> 0 OR event_id IS NULL"):
         events.filter(half).repartition(4).write.mode("append").parquet(f"{folder}/in")
@@ -334,7 +323,7 @@ def stream_events(spark, sf_dir):
 @direct("stream_incremental", "SELECT o_custkey, min(o_orderkey) FILTER (o_orderkey % 2 = 0 OR o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 2 = 0)) AS o_orderkey FROM orders GROUP BY o_custkey")
 def stream_orders(spark, sf_dir):
     """Orders as a stream into one target by two runs: the second adds the customers that the first lacks, each with its least order."""
-    folder, orders = scratch(spark, "orders"), table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    folder, orders = shared_folder(spark, "orders"), table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
     config, output = IncrementalConfig.of({"activo": True, "claves": ["o_custkey"]}), OutputConfig.of({"modo": "append"})
     for half in ("o_orderkey % 2 = 0", "o_orderkey % 2 <> 0"):
         orders.filter(half).write.mode("append").parquet(f"{folder}/in")
@@ -345,7 +334,7 @@ def stream_orders(spark, sf_dir):
 @direct("incremental_pruned", "SELECT count(*) AS destino, count(*) FILTER (o_orderkey % 16 = 3) AS comunes, TRUE AS completo, TRUE AS podado FROM orders WHERE o_orderkey % 16 < 12")
 def incremental_pruned(spark, sf_dir):
     """How many of a target's rows an incremental load reads past its filters: all with a key of the batch, and few others."""
-    orders, path = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), scratch(spark, "orders")
+    orders, path = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), shared_folder(spark, "orders")
     orders.filter("o_orderkey % 16 < 12").write.parquet(path)
     old, keys = spark.read.parquet(path), orders.filter("o_orderkey % 16 IN (3, 13)").select("o_orderkey")
     met = pruned(old, keys, ["o_orderkey"], keys.count()).withColumn("known", F.col("o_orderkey") % 16 == 3)
@@ -444,6 +433,33 @@ _RULE = "l_quantity > 0 AND IndexRegEx(l_returnflag, '[AR]') > 0"
 script("script_accepted", f"r: LOAD l_orderkey, l_linenumber RESIDENT lineitem WHERE {_RULE};", "r", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_quantity > 0 AND regexp_matches(l_returnflag, '[AR]')")
 script("script_rejected", f"r: LOAD l_orderkey, l_linenumber RESIDENT lineitem WHERE NOT ({_RULE});", "r", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE NOT (l_quantity > 0 AND regexp_matches(l_returnflag, '[AR]'))")
 
+
+
+@direct("script_rank_global", """SELECT l_orderkey, l_linenumber, rank() OVER (ORDER BY l_quantity DESC)::INTEGER AS puesto, row_number() OVER (ORDER BY l_extendedprice, l_orderkey, l_linenumber)::INTEGER AS fila,
+    rank() OVER (PARTITION BY l_linestatus ORDER BY l_shipdate, l_quantity)::INTEGER + 1.0::DOUBLE AS siguiente FROM lineitem""")
+def script_rank_global(spark, sf_dir):
+    """Ranks over the whole table and over partitions that are taken for too large; lines of one quantity have one rank."""
+    executor = Executor(spark, hot_rows=1000)
+    executor.register("lineitem", table(spark, sf_dir, "lineitem"))
+    text = """r: LOAD l_orderkey, l_linenumber, Window(WRank(1,1), 'DESC', l_quantity) AS puesto, Window(WRank(4,1), 'ASC', l_extendedprice, l_orderkey, l_linenumber) AS fila,
+        Window(WRank(1,1), l_linestatus, 'ASC', l_shipdate, l_quantity) + 1 AS siguiente RESIDENT lineitem;"""
+    return executor.run(compile_script(text, TABLES))["r"]
+
+
+@direct("join_heavy_keys", """SELECT clave, l_orderkey, l_linenumber, s_name, s_nationkey, t FROM (SELECT CASE WHEN l_orderkey % 2 = 0 THEN 1 WHEN l_orderkey % 7 <> 0 THEN l_suppkey END AS clave, l_orderkey, l_linenumber FROM lineitem)
+    LEFT JOIN (SELECT s_suppkey AS clave, s_name, s_nationkey FROM supplier) USING (clave) LEFT JOIN (SELECT n_nationkey AS s_nationkey, n_name AS t FROM nation) USING (s_nationkey)""")
+def join_heavy_keys(spark, sf_dir):
+    """Two joins in which one key has half of the rows, and others have none."""
+    executor = Executor(spark, skew_share=0.05)
+    key = F.expr("CASE WHEN l_orderkey % 2 = 0 THEN 1 WHEN l_orderkey % 7 <> 0 THEN l_suppkey END")
+    executor.register("lineas", table(spark, sf_dir, "lineitem").select(key.alias("clave"), "l_orderkey", "l_linenumber"))
+    for t in ("supplier", "nation"):
+        executor.register(t, table(spark, sf_dir, t))
+    text = """LEFT JOIN (lineas) LOAD s_suppkey AS clave, s_name, s_nationkey RESIDENT supplier; LEFT JOIN (lineas) LOAD n_nationkey AS s_nationkey, n_name AS t RESIDENT nation;
+        r: LOAD clave, l_orderkey, l_linenumber, s_name, s_nationkey, t RESIDENT lineas;"""
+    return executor.run(compile_script(text, (*TABLES, "lineas")))["r"]
+
+
 #: The flagship: load, clean, five joins with renamed columns, arithmetic layers, rank, and a summary.
 MART = """
 SET version = '1';
