@@ -298,6 +298,21 @@ def jdbc_round_trip(spark, sf_dir):
     return Executor(spark, catalog).run(compile_script("LIB CONNECT TO 'db'; p: SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM pedidos WHERE o_totalprice > 100000;"))["p"]
 
 
+@direct("jdbc_even_parts", """SELECT count(*) AS filas, count(DISTINCT o_orderkey) AS claves, CAST(8 AS BIGINT) AS partes, TRUE AS parejas FROM orders""")
+def jdbc_even_parts(spark, sf_dir):
+    """A table whose key lies densely in one corner of its range, read by eight tasks that the database's own counts make even. The database is in this JVM's memory."""
+    url, driver = f"jdbc:derby:memory:flow{uuid.uuid4().hex};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    orders = table(spark, sf_dir, "orders").select(F.expr("CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey * 1000003 ELSE o_orderkey END AS clave"), "o_orderkey")
+    orders.coalesce(4).write.format("jdbc").options(url=url, driver=driver, dbtable='"pedidos"').save()
+    allowed = {"esquema": "", "tabla": "pedidos", "campos": ["clave", "o_orderkey"], "particion": {"columna": "clave", "particiones": 8}}
+    catalog = load_catalog(json.dumps({"jdbc": [{"nombre": "db", "tipo": "jdbc", "url": url, "driver": driver, "allowlist": [allowed]}]}), inline=True)
+    found = Executor(spark, catalog).run(compile_script("LIB CONNECT TO 'db'; p: SELECT clave, o_orderkey FROM pedidos;"))["p"]
+    parts = found.groupBy(F.spark_partition_id().alias("parte")).agg(F.count(F.lit(1)).alias("n"))
+    told = parts.agg(F.sum("n").alias("filas"), F.count(F.lit(1)).alias("partes"), F.max("n").alias("most"))
+    keys = found.agg(F.countDistinct("o_orderkey").alias("claves")).scalar()
+    return told.select("filas", keys.alias("claves"), "partes", (F.col("most") * 8 <= F.col("filas") * 2).alias("parejas"))
+
+
 @direct("sink_manifest", """SELECT 'paises.csv' AS archivo, CAST(octet_length(encode(t)) AS BIGINT) AS bytes, sha256(t) AS sha256, 'PUBLICADO' AS estado
     FROM (SELECT 'n_nationkey,n_name' || chr(10) || string_agg(n_nationkey || ',' || n_name || chr(10), '' ORDER BY n_nationkey) AS t FROM nation)""")
 def sink_manifest(spark, sf_dir):

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import FlowError
+from ..types import column
 from .catalog import Catalog, JdbcConnection, Secrets, expand, safe_for_sql
 
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
@@ -48,8 +50,8 @@ def credentials(connection: JdbcConnection, secrets: Secrets) -> dict[str, str]:
 
 
 def split_options(split: dict | None, allowed: tuple[str, ...]) -> dict[str, str]:
-    """How a table is read by many tasks: by ranges of a column between two bounds; without them one task reads it."""
-    if not split:
+    """How a table is read by many tasks: by ranges of a column between two bounds; without a split one task reads it."""
+    if not split or measured_split(split, allowed):
         return {}
     wanted = {"partitionColumn": "columna", "lowerBound": "minimo", "upperBound": "maximo", "numPartitions": "particiones"}
     if missing := [key for key in wanted.values() if split.get(key) is None]:
@@ -63,6 +65,73 @@ def split_options(split: dict | None, allowed: tuple[str, ...]) -> dict[str, str
     return out
 
 
+def measured_split(split: dict | None, allowed: tuple[str, ...]) -> tuple[str, int] | None:
+    """The column and the number of parts of a split without bounds, whose parts are measured in the database."""
+    if not split or split.get("minimo") is not None or split.get("maximo") is not None or split.get("columna") is None:
+        return None
+    name, n = str(split["columna"]), str(split.get("particiones") or "")
+    identifier(name, "columna")
+    if allowed and name not in allowed or not n.isdigit() or n == "0":
+        raise FlowError("Partición inválida", "JDBC_PARTITION_INVALID")
+    return name, int(n)
+
+
+#: Cells that a range is cut into at a time; a result has so many rows at most.
+CELLS = 256
+
+
+def cells_of(ask: Callable[[str], list], source: str, name: str, n: int) -> tuple[list[tuple[int, int]], int]:
+    """(first value, rows) of cells in order that hold no more than half of an even part, or one value; and all rows with a value.
+
+    ask runs a query in the database, which counts by cells of equal width; only cells that are too full are cut again.
+    """
+    column_ = identifier(name, "columna")
+    least, most, total = ask(f"SELECT MIN({column_}) AS a, MAX({column_}) AS b, COUNT({column_}) AS n FROM {source}")[0]
+    if least is None:
+        return [], 0
+    if any(x != int(x) for x in (least, most)):
+        raise FlowError("Solo se reparte por columnas enteras", "JDBC_PARTITION_INVALID")
+    room = max(1, int(total) // (2 * n))
+    out, open_ = [], [(int(least), int(most), int(total))]
+    while open_:
+        low, high, rows = open_.pop()
+        if rows <= room or low == high:
+            out.append((low, rows))
+            continue
+        width = -(-(high - low + 1) // CELLS)
+        cell = f"FLOOR(({column_} - {low}) / {width})"
+        found = ask(f"SELECT c, COUNT(*) AS n FROM (SELECT {cell} AS c FROM {source} WHERE {column_} >= {low} AND {column_} <= {high}) AS cells GROUP BY c")
+        open_ += [(low + int(c) * width, min(high, low + int(c) * width + width - 1), int(k)) for c, k in found]
+    return sorted(out), int(total)
+
+
+def even_predicates(cells: list[tuple[int, int]], total: int, name: str, n: int) -> list[str]:
+    """Conditions that take each row once, each of them about as many rows; a value that holds more is a part of its own. Rows that come meanwhile are in one of them too."""
+    column_ = identifier(name, "columna")
+    starts, before, part = [], 0, -1
+    for first, rows in cells:
+        middle = (before + rows // 2) * n // total  # the even part that the middle of the cell is in
+        if middle > part:
+            starts.append(first)
+            part = middle
+        before += rows
+    if len(starts) < 2:
+        return ["1 = 1"]
+    inner = [f"{column_} >= {a} AND {column_} < {b}" for a, b in zip(starts[1:], starts[2:], strict=False)]
+    return [f"{column_} < {starts[1]} OR {column_} IS NULL", *inner, f"{column_} >= {starts[-1]}"]
+
+
+def scan_measured(spark: SparkSession, connection: JdbcConnection, schema: str | None, table: str, columns: tuple[str, ...], name: str, n: int, secrets: Secrets) -> DataFrame:
+    """The table by n tasks with about as many rows each, by predicates from the rows' counts in the database."""
+    options = scan_options(connection, schema, table, columns, secrets)
+    chosen = list(connection.tables.get(f"{schema}.{table}" if schema else table, connection.tables.get(table))) if tuple(columns) == ("*",) else list(columns)
+    source = f"({subquery(schema, table, [*dict.fromkeys([*chosen, name])])}) AS flow_source"
+    ask = lambda sql: [tuple(r) for r in spark.read.format("jdbc").options(**options | {"dbtable": f"({sql}) AS flow_counts"}).load().collect()]  # noqa: E731  a row, or CELLS at most
+    cells, total = cells_of(ask, source, name, n)
+    rest = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(options["url"], source, predicates=even_predicates(cells, total, name, n), properties=rest).select(*map(column, chosen))
+
+
 def scan_options(connection: JdbcConnection, schema: str | None, table: str, columns: tuple[str, ...], secrets: Secrets) -> dict[str, str]:
     allowed = connection.tables.get(f"{schema}.{table}" if schema else table, connection.tables.get(table))
     if allowed is None:
@@ -83,7 +152,12 @@ def scan_options(connection: JdbcConnection, schema: str | None, table: str, col
 
 
 def scan(spark: SparkSession, catalog: Catalog, name: str, schema: str | None, table: str, columns: tuple[str, ...], secrets: Secrets) -> DataFrame:
-    return spark.read.format("jdbc").options(**scan_options(catalog.get(name, JdbcConnection), schema, table, columns, secrets)).load()
+    connection = catalog.get(name, JdbcConnection)
+    options = scan_options(connection, schema, table, columns, secrets)
+    split = measured_split(connection.splits.get(table), connection.tables.get(f"{schema}.{table}" if schema else table, connection.tables.get(table)))
+    if split:
+        return scan_measured(spark, connection, schema, table, columns, *split, secrets)
+    return spark.read.format("jdbc").options(**options).load()
 
 
 def package_of(driver: str | None) -> str:

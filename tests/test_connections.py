@@ -1,5 +1,8 @@
+import collections
 import csv
 import json
+import random
+import re
 
 import pytest
 
@@ -8,7 +11,7 @@ from flowspark.dataflow import run_script
 from flowspark.errors import FlowError
 from flowspark.sinks.publish import CsvWriter, Staging, publish_sftp, single_csv
 from flowspark.sources.catalog import JdbcConnection, Secrets, SftpConnection, load_catalog, local_path, relative, safe_for_sql
-from flowspark.sources.jdbc import TargetDatabase, package_of, packages, scan_options, subquery, table_name
+from flowspark.sources.jdbc import TargetDatabase, cells_of, even_predicates, measured_split, package_of, packages, scan_options, subquery, table_name
 from flowspark.streaming.csv_sink import stream_to_csv, written_parts
 
 
@@ -178,6 +181,49 @@ def test_staging_and_csv_writer(tmp_path):
     assert (tmp_path / "x.csv").read_bytes() == b'\xef\xbb\xbfa,b\r\n1,"x,y"\r\n'
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_even_parts_from_counts(seed):
+    """Skewed, dense and far-apart values: every row is in one part, and no part has twice an even share, but for single values that have."""
+    rng = random.Random(seed)
+    values = [rng.choice([rng.randrange(100), 10**12 + rng.randrange(5), -(10**15), rng.randrange(-(10**6), 10**6), 77 if seed % 2 else rng.randrange(10**9)]) for _ in range(3000)] + [None] * 7
+    asked = []
+
+    def ask(sql):
+        asked.append(sql)
+        have = [v for v in values if v is not None]
+        if "GROUP BY" not in sql:
+            return [(min(have), max(have), len(have))]
+        low, width, least, most = map(int, re.search(r'- (-?\d+)\) / (\d+)\) AS c FROM .* >= (-?\d+) AND .* <= (-?\d+)', sql).groups())
+        return list(collections.Counter((v - low) // width for v in have if least <= v <= most).items())
+
+    cells, total = cells_of(ask, "t", "k", 8)
+    conditions = even_predicates(cells, total, "k", 8)
+    held = [[v for v in values if meets(c, v)] for c in conditions]
+    assert sum(map(len, held)) == len(values) and total == 3000 and len(asked) < 40
+    for part in held:
+        heaviest = collections.Counter(part).most_common(1)[0][1]
+        assert len(part) <= 2 * 3000 / 8 + 7 or heaviest > 3000 / 16
+
+
+def meets(condition, value):
+    """Whether a row with this key meets a condition."""
+    if condition.endswith("IS NULL") and value is None:
+        return True
+    if value is None:
+        return False
+    return all(value >= int(n) if op == ">=" else value < int(n) for op, n in re.findall(r'(>=|<) (-?\d+)', condition))
+
+
+def test_even_parts_of_nothing_and_of_other_columns():
+    assert cells_of(lambda _: [(None, None, 0)], "t", "k", 4) == ([], 0) and even_predicates([], 0, "k", 4) == ["1 = 1"]
+    with pytest.raises(FlowError):
+        cells_of(lambda _: [(0.5, 2.5, 9)], "t", "k", 4)
+    assert measured_split({"columna": "a", "particiones": 3}, ("a",)) == ("a", 3) and measured_split({"columna": "a", "minimo": 1, "particiones": 3}, ("a",)) is None
+    for bad in ({"columna": "b", "particiones": 3}, {"columna": "a", "particiones": 0}, {"columna": "a; drop", "particiones": 3}):
+        with pytest.raises(FlowError):
+            measured_split(bad, ("a",))
+
+
 def test_streaming_sink(spark, tmp_path):
     (tmp_path / "in").mkdir()
     spark.range(3).write.mode("overwrite").parquet(str(tmp_path / "in"))
