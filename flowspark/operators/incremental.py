@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from ..errors import RecipeError
 from ..observed import result_of
-from ..sinks.commit import data_files, has_data, move_files, remove
+from ..sinks.commit import data_files, has_data, move_files
 from ..sinks.parquet import OutputConfig, output_metrics, write_files
+from ..sinks.store import remove
 from ..types import check_evolution, column, require_columns
 from .keyfilter import pruned
 from .relational import new_rows

@@ -228,6 +228,15 @@ def sink_parquet(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@direct("sink_planned_files", "SELECT l_orderkey, l_linenumber, l_extendedprice, l_shipdate, CASE WHEN l_orderkey % 8 = 0 THEN l_returnflag ELSE 'X' END AS g FROM lineitem")
+def sink_planned_files(spark, sf_dir):
+    """A table of which most rows lie in one folder, in files of a planned size."""
+    path = shared_folder(spark, "lineitem")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate", F.expr("CASE WHEN l_orderkey % 8 = 0 THEN l_returnflag ELSE 'X' END AS g"))
+    write(spark, lines, path, OutputConfig.of({"particionar_por": ["g"], "tamano_archivo_mb": 0.125, "compresion": "zstd"}))
+    return spark.read.parquet(path)
+
+
 @direct("sink_metrics", "SELECT CAST(2 AS BIGINT) AS archivos, TRUE AS success, TRUE AS bytes")
 def sink_metrics(spark, sf_dir):
     """What the sink's check of its own output finds."""

@@ -19,8 +19,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """df as it was when it was written to the shared folder; the loss of an executor costs nothing of it."""
+def kept_in(df: DataFrame, name: str, compression: str = "zstd") -> tuple[DataFrame, str]:
+    """df as it was when it was written to the shared folder, and where it lies; the loss of an executor costs nothing of it."""
     path = shared_folder(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def kept(df: DataFrame, name: str) -> DataFrame:
+    return kept_in(df, name)[0]

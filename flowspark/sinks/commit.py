@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import FlowError, RecipeError
 from ..types import require_columns
-from .parquet import OutputConfig, exists, hadoop_path, local_target, output_metrics, write_files
+from .parquet import OutputConfig, local_target, output_metrics, write_files
+from .store import exists, hadoop_path, remove
 
 Phase = Callable[[str, int], None]
 
@@ -90,11 +91,6 @@ def has_data(spark: SparkSession, folder: str) -> bool:
     return False
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    where, files = hadoop_path(spark, path)
-    files.delete(where, True)
-
-
 def move_files(spark: SparkSession, folder: str, target: str, names: list[str]) -> None:
     """Files of folder to the same places in target. One that is there already was moved before a stop."""
     to_path = spark._jvm.org.apache.hadoop.fs.Path

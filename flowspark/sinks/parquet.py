@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import RecipeError
 from ..types import column, require_columns
+from .layout import planned
+from .store import hadoop_path, remove
 
 LOCAL_ROOT = "/srv/flowspark/salida"
 MODES = {"append", "overwrite", "error", "errorifexists", "ignore"}
@@ -25,6 +27,7 @@ class OutputConfig:
     partition_keys: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = ()
     local_root: str = LOCAL_ROOT
+    file_mb: float | None = None
 
     @classmethod
     def of(cls, doc: dict) -> OutputConfig:
@@ -36,24 +39,15 @@ class OutputConfig:
             tuple(doc.get("columnas_reparticion") or ()),
             tuple(doc.get("particionar_por") or ()),
             str(doc.get("raiz_local", LOCAL_ROOT)),
+            float(doc["tamano_archivo_mb"]) if doc.get("tamano_archivo_mb") is not None else None,
         )
         if out.format != "parquet":
             raise RecipeError(f"Formato de salida no soportado: {out.format}", "OUTPUT_FORMAT")
-        if out.mode not in MODES or out.partitions is not None and out.partitions < 1:
+        if out.mode not in MODES or out.partitions is not None and out.partitions < 1 or out.file_mb is not None and (out.file_mb <= 0 or out.partitions):
             raise RecipeError("Salida inválida", "RECIPE_INVALID")
         return out
 
 
-def hadoop_path(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    where, files = hadoop_path(spark, path)
-    return files.exists(where)
-
-
 def output_metrics(spark: SparkSession, path: str) -> dict:
     """Checks _SUCCESS and the Parquet files in any store that Hadoop knows."""
     where, files = hadoop_path(spark, path)
@@ -92,14 +86,21 @@ def prepare_local(path: str, config: OutputConfig) -> str:
 
 def write_files(df: DataFrame, path: str, config: OutputConfig, mode: str, last: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
     """last: applied when rows are dealt out, so that what it observes is made by the tasks that write, once for each file."""
-    if config.partitions:
+    spark, tables = df.sparkSession, []
+    if config.file_mb:
+        df, tables = planned(df, config.partition_by, config.file_mb, config.compression)
+    elif config.partitions:
         df = df.repartition(config.partitions, *map(column, config.partition_keys))
     writer = last(df).write.mode(mode)
     if config.compression != "none":
         writer = writer.option("compression", config.compression)
     if config.partition_by:
         writer = writer.partitionBy(*config.partition_by)
-    writer.parquet(path)
+    try:
+        writer.parquet(path)
+    finally:
+        for table in tables:
+            remove(spark, table)
 
 
 def write(spark: SparkSession, df: DataFrame, path: str, config: OutputConfig, mode: str | None = None, last: Callable[[DataFrame], DataFrame] = lambda df: df) -> dict:

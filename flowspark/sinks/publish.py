@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..errors import FlowError
 from ..sources.catalog import Secrets, SftpConnection
-from .parquet import hadoop_path
+from .store import hadoop_path
 
 COMPONENT = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 

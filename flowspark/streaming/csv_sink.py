@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import FlowError
 from ..sinks.commit import names_in, read_text, write_text
-from ..sinks.parquet import hadoop_path
 from ..sinks.publish import Manifest, now
+from ..sinks.store import hadoop_path
 from ..types import column
 
 #: Rows are written as they are; the header is put in front once.

@@ -6,12 +6,14 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from flowspark.errors import RecipeError
 from flowspark.operators.keyfilter import blocks_for, pruned, within_ranges
 from flowspark.operators.ranking import distributed_rank, with_rank
 from flowspark.operators.relational import equi_join, natural_join
 from flowspark.operators.skew import heavy_keys, parts_of
 from flowspark.plans.compiler import compile_script
 from flowspark.plans.executor import Executor
+from flowspark.sinks.parquet import OutputConfig, write
 
 
 def largest_reads(spark, work):
@@ -153,6 +155,28 @@ def test_filters_stay_within_their_bound(spark):
     assert pruned(df, df, ["id"], 100_000_000).count() == 10  # too many keys: ranges only
 
 
+@pytest.mark.parametrize("folders", [[], ["g"], ["g", "h"]])
+def test_files_of_a_planned_size(spark, tmp_path, folders):
+    """One folder with most of the rows, one of null, small ones, and an id of which each file has its own."""
+    g = F.when(F.col("id") % 10 < 7, "most").when(F.col("id") % 10 == 7, None).when(F.col("id") % 10 == 8, F.concat(F.lit("g"), F.col("id") % 40)).otherwise("some")
+    df = spark.range(60_000, numPartitions=3).select("id", g.alias("g"), (F.col("id") % 2).cast("int").alias("h"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    out = OutputConfig.of({"particionar_por": folders, "tamano_archivo_mb": 0.25, "modo": "append", "compresion": "none"})
+    told = write(spark, df, f"{tmp_path}/t", out)
+    files: dict = {}
+    for p in (tmp_path / "t").rglob("*.parquet"):
+        files.setdefault(p.parent, []).append(p.stat().st_size / (1 << 20))
+    assert told["cantidad_archivos_parquet"] == sum(map(len, files.values()))
+    assert sum(sum(f) for f in files.values()) / 0.25 / 2 < sum(map(len, files.values()))
+    for sizes in files.values():
+        assert max(sizes) < 0.5 and (min(sizes) > 0.125 or len(sizes) == 1)
+    got = spark.read.parquet(f"{tmp_path}/t").select("id", "g", "h", "v")
+    assert got.exceptAll(df).count() == 0 and got.count() == 60_000
+    empty = write(spark, df.limit(0), f"{tmp_path}/e", OutputConfig.of({"tamano_archivo_mb": 1})) if not folders else None
+    assert empty is None or spark.read.parquet(f"{tmp_path}/e").count() == 0
+    with pytest.raises(RecipeError):
+        OutputConfig.of({"tamano_archivo_mb": 1, "numero_particiones": 3})
+
+
 def test_ranges_reach_the_scan(spark, tmp_path):
     spark.range(1000).write.parquet(f"{tmp_path}/t")
     old = spark.read.parquet(f"{tmp_path}/t").filter(within_ranges(spark.range(10, 20), ["id"]))
