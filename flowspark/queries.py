@@ -519,3 +519,77 @@ def script_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     for t in TABLES:
         executor.register(t, table(spark, sf_dir, t))
     return executor.run(compile_script(MART, TABLES))["resumen"].withColumn("total", F.round("total", 2))
+
+
+#: A nightly load: seven relational sources, orders of two periods put together, cleaning in layers, ranks, accepted and rejected lines, four tables published to a database.
+WAREHOUSE = """
+SET proceso = 'nocturno';
+LIB CONNECT TO 'almacen';
+paises: LOAD n_nationkey AS pais_id, Upper(Trim(n_name)) AS pais, n_regionkey AS region_id; SELECT n_nationkey, n_name, n_regionkey FROM nation;
+LEFT JOIN (paises) LOAD r_regionkey AS region_id, r_name AS region; SELECT r_regionkey, r_name FROM region;
+clientes: LOAD cliente, segmento, pais_id, If(saldo < 0, 'deudor', 'normal') AS estado;
+LOAD c_custkey AS cliente, Coalesce(Trim(c_mktsegment), 'SIN') AS segmento, c_nationkey AS pais_id, c_acctbal AS saldo; SELECT c_custkey, c_mktsegment, c_nationkey, c_acctbal FROM customer;
+LEFT JOIN (clientes) LOAD pais_id, pais, region RESIDENT paises;
+proveedores: LOAD s_suppkey AS proveedor, s_name AS razon, s_nationkey AS origen_id, Num(Concat('$', s_acctbal)) AS saldo_proveedor; SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier;
+LEFT JOIN (proveedores) LOAD pais_id AS origen_id, pais AS origen RESIDENT paises;
+productos: LOAD DISTINCT p_partkey AS producto, p_brand AS marca, IndexRegEx(p_name, '[aeiou]') AS vocal; SELECT p_partkey, p_name, p_brand FROM part;
+pedidos: LOAD o_orderkey AS pedido, o_custkey AS cliente, o_orderdate AS fecha, Match(o_orderstatus, 'O', 'F', 'P') AS fase; SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus FROM pedidos_viejos;
+CONCATENATE (pedidos) LOAD o_orderkey AS pedido, o_custkey AS cliente, o_orderdate AS fecha, Match(o_orderstatus, 'O', 'F', 'P') AS fase; SELECT o_orderkey, o_custkey, o_orderdate, o_orderstatus FROM pedidos_nuevos;
+lineas: LOAD l_orderkey AS pedido, l_linenumber AS linea, l_partkey AS producto, l_suppkey AS proveedor, l_quantity AS cantidad, l_extendedprice AS bruto, l_discount AS descuento, l_returnflag AS devuelta RESIDENT lineitem;
+LEFT JOIN (lineas) LOAD pedido, cliente, Year(fecha) AS anio, fase RESIDENT pedidos;
+LEFT JOIN (lineas) LOAD cliente, segmento, estado, region RESIDENT clientes;
+LEFT JOIN (lineas) LOAD proveedor, origen, saldo_proveedor RESIDENT proveedores;
+LEFT JOIN (lineas) LOAD producto, marca, vocal RESIDENT productos;
+detalle: LOAD *, Window(WRank(1,1), region, anio, 'DESC', neto) AS puesto;
+LOAD *, bruto - bruto * descuento AS neto RESIDENT lineas;
+DROP TABLE lineas;
+aceptadas: LOAD * RESIDENT detalle WHERE cantidad > 2 AND vocal > 0 AND NOT (devuelta = 'R' AND estado = 'deudor');
+rechazadas: LOAD pedido, linea, cantidad, devuelta, estado RESIDENT detalle WHERE NOT (cantidad > 2 AND vocal > 0 AND NOT (devuelta = 'R' AND estado = 'deudor'));
+resumen: LOAD region, anio, segmento, fase, Count(*) AS lineas, Count(DISTINCT cliente) AS clientes, Count(DISTINCT origen) AS origenes, Max(puesto) AS ultimo, Sum(neto) AS total RESIDENT aceptadas GROUP BY region, anio, segmento, fase;
+marcas: LOAD marca, Sum(cantidad) AS unidades, Min(saldo_proveedor) AS menor RESIDENT aceptadas GROUP BY marca;
+STORE resumen INTO [lib://salida/Resumen.csv] (csv);
+STORE marcas INTO [lib://salida/Marcas.csv] (csv);
+STORE rechazadas INTO [lib://salida/Rechazadas.csv] (csv);
+STORE clientes INTO [lib://salida/Clientes.csv] (csv);
+DROP TABLE detalle;
+"""
+WAREHOUSE_SQL = """
+WITH lineas AS (
+  SELECT r_name AS region, year(o_orderdate) AS anio, trim(c_mktsegment) AS segmento, CASE o_orderstatus WHEN 'O' THEN 1 WHEN 'F' THEN 2 WHEN 'P' THEN 3 ELSE 0 END AS fase, o_custkey, upper(trim(sn.n_name)) AS origen,
+    l_extendedprice - l_extendedprice * l_discount AS neto, l_quantity, coalesce(l_quantity > 2 AND regexp_matches(p_name, '[aeiou]') AND NOT (l_returnflag = 'R' AND c_acctbal < 0), FALSE) AS buena, p_brand, s_acctbal
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation n ON c_nationkey = n.n_nationkey LEFT JOIN region ON n.n_regionkey = r_regionkey
+    LEFT JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation sn ON s_nationkey = sn.n_nationkey LEFT JOIN part ON l_partkey = p_partkey
+), detalle AS (SELECT *, rank() OVER (PARTITION BY region, anio ORDER BY neto DESC) AS puesto FROM lineas), aceptadas AS (SELECT * FROM detalle WHERE buena)
+SELECT 'resumen' AS tabla, region, anio::INTEGER AS anio, segmento, fase::INTEGER AS fase, count(*) AS lineas, count(DISTINCT o_custkey) AS clientes, count(DISTINCT origen) AS origenes, max(puesto)::INTEGER AS ultimo, round(sum(neto), 4) AS total FROM aceptadas GROUP BY region, anio, segmento, fase
+UNION ALL SELECT 'marcas', p_brand, NULL, NULL, NULL, NULL, NULL, NULL, NULL, round(sum(l_quantity) + min(s_acctbal), 4) FROM aceptadas GROUP BY p_brand
+UNION ALL SELECT 'rechazadas', NULL, NULL, NULL, NULL, count(*), NULL, NULL, NULL, sum(l_quantity) FROM detalle WHERE NOT buena
+UNION ALL SELECT 'clientes', NULL, NULL, NULL, NULL, count(*) FILTER (c_acctbal < 0), count(*), NULL, NULL, NULL FROM customer
+"""
+
+
+@direct("script_warehouse", WAREHOUSE_SQL)
+def script_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole nightly load, and what its four published tables hold when they are read back. The database is in this JVM's memory."""
+    url, driver = f"jdbc:derby:memory:flow{uuid.uuid4().hex};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    sources = {t: table(spark, sf_dir, t) for t in ("region", "nation", "customer", "supplier", "part")}
+    orders = table(spark, sf_dir, "orders")
+    sources |= {"pedidos_viejos": orders.filter("o_orderdate < '1998-07-01'"), "pedidos_nuevos": orders.filter("o_orderdate >= '1998-07-01'")}
+    for name, df in sources.items():
+        df.coalesce(4).write.format("jdbc").options(url=url, driver=driver, dbtable=f'"{name}"').save()
+    split = {"pedidos_viejos": {"columna": "o_orderkey", "particiones": 4}, "pedidos_nuevos": {"columna": "o_orderkey", "particiones": 4}}
+    allowed = [{"esquema": "", "tabla": t, "campos": df.columns} | ({"particion": split[t]} if t in split else {}) for t, df in sources.items()]
+    catalog = load_catalog(json.dumps({"jdbc": [{"nombre": "almacen", "tipo": "jdbc", "url": url, "driver": driver, "allowlist": allowed}]}), inline=True)
+    executor = Executor(spark, catalog, target=TargetDatabase.of({"url": url, "driver": driver}))
+    executor.register("lineitem", table(spark, sf_dir, "lineitem"))
+    executor.run(compile_script(WAREHOUSE, ("lineitem",)))
+    back = lambda name: spark.read.format("jdbc").options(url=url, driver=driver, dbtable=f'"{name}"').load()
+    told = [
+        back("resumen").withColumns({"tabla": F.lit("resumen"), "total": F.round("total", 4)}),
+        back("marcas").select(F.lit("marcas").alias("tabla"), F.col("marca").alias("region"), F.round(F.col("unidades") + F.col("menor"), 4).alias("total")),
+        back("rechazadas").agg(F.count(F.lit(1)).alias("lineas"), F.sum("cantidad").alias("total")).withColumn("tabla", F.lit("rechazadas")),
+        back("clientes").agg(F.count_if(F.col("estado") == "deudor").alias("lineas"), F.count(F.lit(1)).alias("clientes")).withColumn("tabla", F.lit("clientes")),
+    ]
+    out = told[0]
+    for df in told[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out.select("tabla", "region", "anio", "segmento", "fase", "lineas", "clientes", "origenes", "ultimo", "total")

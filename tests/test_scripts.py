@@ -1,3 +1,4 @@
+import collections
 import random
 import re
 
@@ -10,6 +11,7 @@ from flowspark.plans.executor import Executor, reused
 from flowspark.plans.lexer import normalise, tokenize
 from flowspark.plans.ops import Filter, Plan, Project, Publish
 from flowspark.plans.parser import Parser
+from flowspark.queries import WAREHOUSE
 
 
 def node(text: str) -> Node:
@@ -168,3 +170,12 @@ def test_joins_and_concat(spark):
         Executor(spark, tables=dict(tables)).run(compile_script("LEFT JOIN (l) LOAD cliente AS otra RESIDENT r;", ("l", "r")))
     out = Executor(spark, tables=dict(tables)).run(compile_script("CONCATENATE (l) LOAD id, cliente RESIDENT r;", ("l", "r")))["l"]
     assert out.columns == ["id", "region", "venta", "cliente"] and out.count() == 3
+
+
+def test_shape_of_the_nightly_load():
+    """Relational sources, joins, ranks and publications come out of the script as they were written; the plan is the same each time."""
+    plan = compile_script(WAREHOUSE, ("lineitem",))
+    kinds = collections.Counter(op.tipo for op in plan.operaciones)
+    assert (kinds["leer_jdbc"], kinds["unir"], kinds["publicar"], kinds["concatenar"], kinds["filtrar"], kinds["agregar"]) == (7, 7, 4, 1, 2, 2)
+    assert plan.hash == compile_script(WAREHOUSE, ("lineitem",)).hash and Plan.from_json(plan.to_json()).hash == plan.hash
+    assert reused(plan)
