@@ -26,18 +26,18 @@ from ..types import column
 OPTIONS = {"header": "false", "emptyValue": "", "nullValue": "", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def written_parts(spark: SparkSession, folder: str) -> list[tuple[int, str]]:
-    """(batch, file) of finished batches, batch by batch and in the order of their partitions. A compact log has all before it in their order."""
-    logs = [(int(n.split(".")[0]), n) for n in names_in(spark, f"{folder}/_spark_metadata") if n.split(".")[0].isdigit()]
-    logs.sort()
+def written_parts(spark: SparkSession, folder: str) -> list[str]:
+    """The files of finished batches, batch by batch and in the order of their partitions; later runs find the same list with more at its end.
+
+    A compact log has the files of all batches before it, in their order.
+    """
+    logs = sorted((int(n.split(".")[0]), n) for n in names_in(spark, f"{folder}/_spark_metadata") if n.split(".")[0].isdigit())
     compact = max((i for i, (_, n) in enumerate(logs) if n.endswith(".compact")), default=0)
-    out, seen = [], set()
-    for batch, name in logs[compact:]:
+    out: dict[str, None] = {}
+    for _, name in logs[compact:]:
         told = [unquote(json.loads(line)["path"]) for line in read_text(spark, f"{folder}/_spark_metadata/{name}").splitlines()[1:]]
-        new = [p for p in (told if name.endswith(".compact") else sorted(told, key=lambda p: p.rsplit("/", 1)[-1])) if p not in seen]
-        seen.update(new)
-        out += [(batch, p) for p in new]
-    return out
+        out |= dict.fromkeys(told if name.endswith(".compact") else sorted(told, key=lambda p: p.rsplit("/", 1)[-1]))
+    return list(out)
 
 
 def store_of(spark: SparkSession, path: str):
@@ -79,7 +79,7 @@ def replace(spark: SparkSession, source: str, target: str) -> None:
 
 
 def published(spark: SparkSession, state: str) -> dict | None:
-    """The last thing told of the file: batch, from (digest before, null for none) and bytes, sha256 (after)."""
+    """The last thing told of the file: partes (how many parts it holds), ultima (the last one), from (digest before, null for none), bytes and sha256 (after)."""
     names = [n for n in names_in(spark, f"{state}/published") if n.endswith(".json")]
     return json.loads(read_text(spark, f"{state}/published/{names[-1]}")) if names else None
 
@@ -99,11 +99,12 @@ def add_to_file(spark: SparkSession, state: str, target: str, head: bytes, phase
         told = told["before"]  # the run before stopped ahead of the move
     elif told and not there:
         told = told["before"] if told["from"] is None else None
-    last = told["lote"] if told else -1
-    new = [(batch, p) for batch, p in written_parts(spark, f"{state}/parts") if batch > last]
+    parts = written_parts(spark, f"{state}/parts")
+    if told and told["ultima"] and told["ultima"] not in parts:
+        raise FlowError("El registro del streaming no conoce lo publicado", "STREAM_LOG_LOST")
+    new = parts[parts.index(told["ultima"]) + 1 :] if told and told["ultima"] else parts
     if told and not new:
         return told
-    upto = max((batch for batch, _ in new), default=0)
     partial = f"{target}.partial"
     where, files = store_of(spark, partial)
     out = files.create(where, True)
@@ -112,7 +113,7 @@ def add_to_file(spark: SparkSession, state: str, target: str, head: bytes, phase
             copy_into(spark, out, target)
         else:
             out.write(bytearray(head))
-        for _, part in new:
+        for part in new:
             copy_into(spark, out, part)
     finally:
         out.close()
@@ -120,8 +121,8 @@ def add_to_file(spark: SparkSession, state: str, target: str, head: bytes, phase
     if there and not told and there[1] != sha:
         files.delete(where, False)
         raise FlowError(f"El destino existe con otro contenido: {target.rsplit('/', 1)[-1]}", "PUBLISH_CONFLICT")
-    doc = {"lote": upto, "bytes": size, "sha256": sha, "partes": len(new), "from": there[1] if there else None}
-    write_text(spark, f"{state}/published/{upto:012}-{sha[:12]}.json", json.dumps(doc | {"before": told and {k: v for k, v in told.items() if k != "before"}}))
+    doc = {"bytes": size, "sha256": sha, "partes": len(parts), "ultima": parts[-1] if parts else None, "from": there[1] if there else None}
+    write_text(spark, f"{state}/published/{len(parts):012}-{sha[:12]}.json", json.dumps(doc | {"before": told and {k: v for k, v in told.items() if k != "before"}}))
     phase("told")
     replace(spark, partial, target)
     phase("moved")

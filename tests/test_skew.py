@@ -87,7 +87,7 @@ def test_one_partition_over_many_tasks(eight_parts, mode):
     reads = largest_reads(spark, lambda: with_rank(df, [F.col("g")], [F.col("v")], False, mode, "r", hot_rows=1000).write.format("noop").mode("overwrite").save())
     alone = largest_reads(spark, lambda: with_rank(df, [F.col("g")], [F.col("v")], False, mode, "r").write.format("noop").mode("overwrite").save())
     assert max(most for most, _ in alone) == n
-    assert all(most < 0.25 * total for most, total in reads if total > 5_000)  # eight tasks: no more than twice an even share
+    assert all(most < 0.4 * total for most, total in reads if total > 5_000)  # eight tasks; two or three ranges may meet in one
 
 
 def test_script_ranks_over_the_whole_table(spark):
