@@ -13,8 +13,8 @@ from ..errors import FlowError
 from ..functions.exprs import COLUMN, STAR, WINDOW, Node, lower, predicate, ranking
 from ..operators.ranking import with_rank
 from ..operators.relational import concatenate, equi_join, metric_text, natural_join
-from ..sinks.publish import Staging, publish_local, publish_sftp
-from ..sources.catalog import Catalog, LocalConnection, Secrets, SftpConnection, local_path, relative, split_uri
+from ..sinks.publish import Staging, publish_local, publish_sftp, publish_store
+from ..sources.catalog import Catalog, LocalConnection, Secrets, SftpConnection, place_of, relative, split_uri
 from ..sources.jdbc import TargetDatabase, scan, table_name
 from ..sources.reader import read_csv
 from ..types import column
@@ -130,7 +130,8 @@ class Executor:
         connection = self.catalog.get(split_uri(uri)[0])
         if isinstance(connection, SftpConnection):
             raise FlowError("La lectura SFTP no está soportada; descargue primero a una carpeta local", "SFTP_READ_UNSUPPORTED")
-        return read_csv(self.spark, f"file://{local_path(self.catalog, uri)}", header, separator)
+        place = place_of(self.catalog, uri)
+        return read_csv(self.spark, place if isinstance(place, str) else f"file://{place}", header, separator)
 
     @staticmethod
     def check_columns(df: DataFrame, names: list[str]) -> None:
@@ -209,4 +210,5 @@ class Executor:
         if isinstance(connection, SftpConnection):
             return publish_sftp(df, connection, relative(path), self.secrets, staging, stage).as_dict()
         self.catalog.get(name, LocalConnection)
-        return publish_local(df, local_path(self.catalog, op.destino, writing=True), staging, stage).as_dict()
+        place = place_of(self.catalog, op.destino, writing=True)
+        return (publish_store(df, place) if isinstance(place, str) else publish_local(df, place, staging, stage)).as_dict()

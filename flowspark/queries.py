@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +19,7 @@ from .plans.ops import Aggregate, Filter, Plan, Project
 from .recipe import load_recipe, run_recipe
 from .shared import shared_folder
 from .sinks.parquet import OutputConfig, write
-from .sinks.publish import Staging, publish_local
+from .sinks.publish import publish_store
 from .sources.catalog import load_catalog
 from .sources.jdbc import TargetDatabase
 from .sources.reader import InputConfig, read, resolve_schema
@@ -285,10 +284,9 @@ def incremental_metrics(spark, sf_dir):
 @direct("script_store_and_load", "SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_regionkey > 0")
 def script_store_and_load(spark, sf_dir):
     """A script that publishes a table as one CSV of a connection, and one that loads it from there (LIB CONNECT, allow-list, types by the file)."""
-    folder = Path(shared_folder(spark, "published").removeprefix("file://"))
-    folder.mkdir(parents=True)
+    folder = shared_folder(spark, "published")
     files = [{"esquema": "", "tabla": "paises.csv", "campos": []}]
-    catalog = load_catalog(json.dumps({"locales": [{"nombre": "datos", "tipo": "local", "ruta_base": str(folder), "allowlist": files}]}), inline=True)
+    catalog = load_catalog(json.dumps({"locales": [{"nombre": "datos", "tipo": "local", "ruta_base": folder, "allowlist": files}]}), inline=True)
     first = Executor(spark, catalog)
     first.register("nation", table(spark, sf_dir, "nation"))
     first.run(compile_script("r: LOAD n_nationkey, n_name, n_regionkey RESIDENT nation WHERE n_regionkey > 0; STORE r INTO [lib://datos/paises.csv] (csv);", TABLES))
@@ -326,9 +324,7 @@ def jdbc_even_parts(spark, sf_dir):
     FROM (SELECT 'n_nationkey,n_name' || chr(10) || string_agg(n_nationkey || ',' || n_name || chr(10), '' ORDER BY n_nationkey) AS t FROM nation)""")
 def sink_manifest(spark, sf_dir):
     """What the manifest of a published file says of its bytes."""
-    folder = Path(shared_folder(spark, "manifest").removeprefix("file://"))
-    folder.mkdir(parents=True)
-    told = publish_local(table(spark, sf_dir, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey"), folder / "paises.csv", Staging(str(folder / "stage")), "a")
+    told = publish_store(table(spark, sf_dir, "nation").select("n_nationkey", "n_name").orderBy("n_nationkey"), f"{shared_folder(spark, 'manifest')}/paises.csv")
     return spark.createDataFrame([(told.archivo, told.bytes, told.sha256, told.estado)], "archivo string, bytes long, sha256 string, estado string")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..errors import FlowError, RecipeError
 from ..types import require_columns
 from .parquet import OutputConfig, local_target, output_metrics, write_files
-from .store import exists, hadoop_path, remove
+from .store import exists, hadoop_path, names_in, remove
 
 Phase = Callable[[str, int], None]
 
@@ -54,12 +54,6 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
             raise FlowError(f"No se pudo escribir {where.getName()}", "COMMIT_FAILED")
 
 
-def names_in(spark: SparkSession, folder: str) -> list[str]:
-    """Names of what lies in a folder, sorted; none if there is no folder."""
-    where, files = hadoop_path(spark, folder)
-    return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []
-
-
 def data_files(spark: SparkSession, folder: str) -> list[str]:
     """The data files below a folder, by their names relative to it, sorted."""
     where, files = hadoop_path(spark, folder)

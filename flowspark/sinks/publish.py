@@ -10,18 +10,19 @@ import re
 import shutil
 import stat
 import tempfile
-import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import asdict, dataclass
 from datetime import UTC, datetime
 from pathlib import Path
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..errors import FlowError
+from ..shared import shared_folder
 from ..sources.catalog import Secrets, SftpConnection
-from .store import hadoop_path
+from ..types import column
+from .store import copy_into, digest_of, names_in, remove, replace, store_of
 
 COMPONENT = re.compile(r"[A-Za-z0-9][A-Za-z0-9_.-]*")
 
@@ -93,35 +94,58 @@ def digest(path: Path) -> str:
     return out.hexdigest()
 
 
-def single_csv(df: DataFrame, target: Path) -> None:
-    """One CSV with header: tasks write the parts, and their bytes are put together in order through Hadoop's file systems.
-
-    The parts lie in spark.checkpoint.dir, which all executors share, or, where that is unset, beside the target.
-    """
-    spark, names = df.sparkSession, df.columns
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    parts = f"{shared.rstrip('/')}/publish-{uuid.uuid4().hex}" if shared else f"file://{target.parent.resolve()}/.parts-{uuid.uuid4().hex}"
-    plain = df.select(*[F.col("`" + c.replace("`", "``") + "`").cast("string").alias(c) for c in names])
+@contextmanager
+def csv_parts(df: DataFrame) -> Iterator[list[str]]:
+    """The rows as CSV without header, written by tasks into the shared folder: the parts' addresses in the rows' order, which are deleted at the end."""
+    spark = df.sparkSession
+    folder = shared_folder(spark, "publish")
+    plain = df.select(*[column(c).cast("string").alias(c) for c in df.columns])
     options = {"emptyValue": "", "nullValue": "", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    where, files = hadoop_path(spark, parts)
     try:
-        plain.write.options(**options).csv(parts)
-        head = io.StringIO()
-        csv.writer(head, lineterminator="\n").writerow(names)
-        target.write_text(head.getvalue(), encoding="utf-8")
-        found = sorted(str(f.getPath()) for f in files.listStatus(where) if f.getPath().getName().startswith("part-"))
+        plain.write.options(**options).csv(folder)
+        yield [f"{folder}/{n}" for n in names_in(spark, folder) if n.startswith("part-")]
+    finally:
+        remove(spark, folder)
+
+
+def head_of(names: list[str]) -> bytes:
+    out = io.StringIO()
+    csv.writer(out, lineterminator="\n").writerow(names)
+    return out.getvalue().encode()
+
+
+def single_csv(df: DataFrame, target: Path) -> None:
+    """One CSV with header on the driver's disk: the bytes of the parts that tasks wrote are put together through Hadoop's file systems."""
+    spark = df.sparkSession
+    with csv_parts(df) as parts:
+        target.write_bytes(head_of(df.columns))
         java = spark._jvm.java.io.FileOutputStream(str(target.resolve()), True)
         try:
-            for name in found:
-                part = files.open(spark._jvm.org.apache.hadoop.fs.Path(name))
-                try:
-                    spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, java, 1 << 20, False)
-                finally:
-                    part.close()
+            for part in parts:
+                copy_into(spark, java, part)
         finally:
             java.close()
-    finally:
-        files.delete(where, True)
+
+
+def publish_store(df: DataFrame, target: str) -> Manifest:
+    """One CSV with header at an address of any store: put together beside the target, then moved into place at once; a target with other content is never replaced."""
+    spark, partial = df.sparkSession, f"{target}.partial"
+    where, files = store_of(spark, partial)
+    with csv_parts(df) as parts:
+        out = files.create(where, True)
+        try:
+            out.write(bytearray(head_of(df.columns)))
+            for part in parts:
+                copy_into(spark, out, part)
+        finally:
+            out.close()
+    size, mine = digest_of(spark, partial)
+    there = digest_of(spark, target)
+    if there and there[1] != mine:
+        files.delete(where, False)
+        raise FlowError(f"El destino existe con otro contenido: {target.rsplit('/', 1)[-1]}", "PUBLISH_CONFLICT")
+    replace(spark, partial, target)
+    return Manifest(target.rsplit("/", 1)[-1], size, mine, None, "PUBLICADO", now())
 
 
 def promote(staged: Path, target: Path) -> Manifest:

@@ -152,6 +152,18 @@ def local_path(catalog: Catalog, uri: str, writing: bool = False) -> Path:
     return full
 
 
+def place_of(catalog: Catalog, uri: str, writing: bool = False) -> Path | str:
+    """The file of a lib:// address: a local path or, where the connection's folder is an address of a store (with ://), an address below it."""
+    name, path = split_uri(uri)
+    connection = catalog.get(name, LocalConnection)
+    if "://" not in connection.base:
+        return local_path(catalog, uri, writing)
+    path = relative(path)
+    if not writing and connection.files and path not in connection.files:
+        raise FlowError(f"Archivo fuera de la lista: {path}", "FILE_NOT_ALLOWED")
+    return f"{connection.base.rstrip('/')}/{path}"
+
+
 def expand(text: str) -> str:
     """${NAME} and ${NAME:default} from the environment."""
 

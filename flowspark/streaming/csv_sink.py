@@ -7,8 +7,6 @@ state folder first, so that a run that stops between moving and telling is known
 
 from __future__ import annotations
 
-import csv
-import io
 import json
 from collections.abc import Callable
 from pathlib import Path
@@ -17,9 +15,9 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 
 from ..errors import FlowError
-from ..sinks.commit import names_in, read_text, write_text
-from ..sinks.publish import Manifest, now
-from ..sinks.store import hadoop_path
+from ..sinks.commit import read_text, write_text
+from ..sinks.publish import Manifest, head_of, now
+from ..sinks.store import copy_into, digest_of, names_in, replace, store_of
 from ..types import column
 
 #: Rows are written as they are; the header is put in front once.
@@ -40,56 +38,12 @@ def written_parts(spark: SparkSession, folder: str) -> list[str]:
     return list(out)
 
 
-def store_of(spark: SparkSession, path: str):
-    """A path and its file system; local files are read and written without checksum files beside them, as other programs share them."""
-    where, files = hadoop_path(spark, path)
-    return where, files.getRawFileSystem() if files.getUri().getScheme() == "file" else files
-
-
-def digest_of(spark: SparkSession, path: str) -> tuple[int, str] | None:
-    """A file's size and SHA-256, or None if there is no file."""
-    where, files = store_of(spark, path)
-    if not files.exists(where):
-        return None
-    stream = files.open(where)
-    try:
-        return files.getFileStatus(where).getLen(), spark._jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
-    finally:
-        stream.close()
-
-
-def copy_into(spark: SparkSession, out, path: str) -> None:
-    where, files = store_of(spark, path)
-    stream = files.open(where)
-    try:
-        spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
-    finally:
-        stream.close()
-
-
-def replace(spark: SparkSession, source: str, target: str) -> None:
-    """Move a file into place at once, over one that is there."""
-    jvm, to_path = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path
-    kind = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-    how = spark.sparkContext._gateway.new_array(kind, 1)
-    how[0] = kind.OVERWRITE
-    where, files = hadoop_path(spark, target)
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), spark._jsc.hadoopConfiguration())
-    context.rename(files.makeQualified(to_path(source)), files.makeQualified(where), how)
-
-
 def published(spark: SparkSession, state: str) -> dict | None:
     """The last thing told of the file: partes (how many parts it holds), ultima (the last one), from (digest before, null for none), bytes and sha256 (after)."""
     names = [n for n in names_in(spark, f"{state}/published") if n.endswith(".json")]
     return json.loads(read_text(spark, f"{state}/published/{names[-1]}")) if names else None
 
 
-def head_of(names: list[str]) -> bytes:
-    out = io.StringIO()
-    csv.writer(out, lineterminator="\n").writerow(names)
-    return out.getvalue().encode()
-
-
 def add_to_file(spark: SparkSession, state: str, target: str, head: bytes, phase: Callable[[str], None]) -> dict:
     """Bring the file up to date with the finished batches."""
     told, there = published(spark, state), digest_of(spark, target)

@@ -9,8 +9,10 @@ import pytest
 from flowspark.cli import main
 from flowspark.dataflow import run_script
 from flowspark.errors import FlowError
-from flowspark.sinks.publish import CsvWriter, Staging, publish_sftp, single_csv
-from flowspark.sources.catalog import JdbcConnection, Secrets, SftpConnection, load_catalog, local_path, relative, safe_for_sql
+from flowspark.plans.compiler import compile_script
+from flowspark.plans.executor import Executor
+from flowspark.sinks.publish import CsvWriter, Staging, publish_sftp, publish_store, single_csv
+from flowspark.sources.catalog import JdbcConnection, Secrets, SftpConnection, load_catalog, local_path, place_of, relative, safe_for_sql
 from flowspark.sources.jdbc import TargetDatabase, cells_of, even_predicates, measured_split, package_of, packages, scan_options, subquery, table_name
 from flowspark.streaming.csv_sink import stream_to_csv, written_parts
 
@@ -224,6 +226,24 @@ def test_even_parts_of_nothing_and_of_other_columns():
             measured_split(bad, ("a",))
 
 
+def test_publishing_to_a_store(spark, tmp_path):
+    """A connection whose folder is an address: here a mount that only Hadoop's file systems know."""
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.tienda.link./datos", f"file://{tmp_path}")
+    catalog = load_catalog(json.dumps({"locales": [{"nombre": "nube", "tipo": "local", "ruta_base": "viewfs://tienda/datos", "allowlist": [{"esquema": "", "tabla": "sub/x.csv", "campos": []}]}]}), inline=True)
+    executor = Executor(spark, catalog)
+    executor.register("t", spark.createDataFrame([(1, 'a "b", c'), (2, None)], "n int, v string"))
+    executor.run(compile_script("STORE t INTO [lib://nube/sub/x.csv] (csv); u: LOAD n, v FROM [lib://nube/sub/x.csv];", ("t",)))
+    assert (tmp_path / "sub" / "x.csv").read_text() == 'n,v\n1,"a ""b"", c"\n2,\n' and [p.name for p in (tmp_path / "sub").iterdir() if not p.name.endswith(".crc")] == ["x.csv"]
+    assert executor.published[0]["bytes"] == (tmp_path / "sub" / "x.csv").stat().st_size and executor.tables["u"].count() == 2
+    publish_store(spark.createDataFrame([(1, 'a "b", c'), (2, None)], "n int, v string"), "viewfs://tienda/datos/sub/x.csv")  # the same content
+    with pytest.raises(FlowError) as e:
+        publish_store(spark.range(3), "viewfs://tienda/datos/sub/x.csv")
+    assert e.value.code == "PUBLISH_CONFLICT" and (tmp_path / "sub" / "x.csv").read_text().startswith("n,v")
+    for bad in ("lib://nube/otro.csv", "lib://nube/../x.csv", "lib://nube//etc/x.csv"):
+        with pytest.raises(FlowError):
+            place_of(catalog, bad)
+
+
 def test_streaming_sink(spark, tmp_path):
     (tmp_path / "in").mkdir()
     spark.range(3).write.mode("overwrite").parquet(str(tmp_path / "in"))
