@@ -63,6 +63,37 @@ def test_held_out_accuracy(toxic_corpus):
     assert reject_toxic(docs, labels).count() == 480
 
 
+def plain_score(text, model):
+    """The score of one text by a plain forward-backward over its words, in probabilities that are scaled at each step."""
+    words = text.lower().encode().split()
+    emit = []
+    for w in words:
+        core = w.strip(b".,;:!?\"'()[]{}*&%$#<>|")
+        names = [b"=" + core, *[b"^" + core[:n] for n in (3, 4, 5, 6) if len(core) > n]]
+        emit.append((1.0, math.exp(max(-30.0, min(30.0, sum(model["weights"].get(f, 0.0) for f in names) + model["bias"])))))
+    chain, ahead, back = model["chain"], [], [(1.0, 1.0)]
+    for t, e in enumerate(emit):
+        now = [e[y] * (sum(ahead[-1][x] * chain[x][y] for x in (0, 1)) if t else 1.0) for y in (0, 1)]
+        ahead.append([v / sum(now) for v in now])
+    for e in reversed(emit[1:]):
+        now = [sum(chain[x][y] * e[y] * back[-1][y] for y in (0, 1)) for x in (0, 1)]
+        back.append([v / sum(now) for v in now])
+    p = [a[1] * b[1] / (a[0] * b[0] + a[1] * b[1]) for a, b in zip(ahead, back[::-1], strict=False)]
+    x = [1.0, max(p, default=0.0), math.log1p(sum(p))]
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(a * b for a, b in zip(x, model["layer"], strict=True)))))), p
+
+
+def test_toxicity_scores_text_by_text(spark, toxic_corpus, awkward):
+    docs, labels = toxic_corpus
+    model = fit(docs, labels)
+    mixed = spark.createDataFrame([(1000 + i, t) for i, t in enumerate(["", "idiot", "idiot Moron, scum word1 word2", "word3 " * 400 + "(scum!)", "ídiot \U0001f600 scum"])], "doc_id long, text string")
+    for frame in (docs, mixed, awkward.select("doc_id", "text")):
+        for r in scored(frame, model).collect():
+            score, p = plain_score(r["doc"]["text"] or "", model)
+            assert math.isclose(r["score"], score, rel_tol=1e-6), r["doc"]
+            assert [s["marginal"] for s in r["spans"]] == pytest.approx([q for q in p if q > 0.5], rel=1e-6)
+
+
 def test_long_labelled_texts_teach(spark, toxic_corpus):
     """Where all toxic documents are long they are learned from, as many as the bound on bytes allows; labels without a document don't count."""
     docs, labels = toxic_corpus

@@ -11,7 +11,7 @@ import pytest
 from ..test_queries import DATA
 
 REPO = Path(__file__).resolve().parents[2]
-QUERIES = ["op3_hmm", "op4_media", "op5_packing", "op6_warc", "op7_toxicity", "op9_mixing", "op10_minhash"]
+QUERIES = ["op3_hmm", "op4_media", "op5_packing", "op6_warc", "op7_toxicity", "op9_mixing", "op10_minhash", "op11_tokens", "op12_runs"]
 PROGRAM = """
 import json, sys
 from pyspark.sql import SparkSession
