@@ -20,7 +20,8 @@ from .recipe import load_recipe, run_recipe
 from .shared import shared_folder
 from .sinks.parquet import OutputConfig, write
 from .sinks.publish import publish_store
-from .sources.catalog import load_catalog
+from .sources import embedded
+from .sources.catalog import Secrets, load_catalog
 from .sources.jdbc import TargetDatabase
 from .sources.reader import InputConfig, read, resolve_schema
 from .streaming.csv_sink import stream_to_csv
@@ -307,10 +308,11 @@ def jdbc_round_trip(spark, sf_dir):
 
 @direct("jdbc_even_parts", """SELECT count(*) AS filas, count(DISTINCT o_orderkey) AS claves, CAST(8 AS BIGINT) AS partes, TRUE AS parejas FROM orders""")
 def jdbc_even_parts(spark, sf_dir):
-    """A table whose key lies densely in one corner of its range, read by eight tasks that the database's own counts make even. The database is in this JVM's memory."""
-    url, driver = f"jdbc:derby:memory:flow{uuid.uuid4().hex};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    """A table whose key lies densely in one corner of its range, read by eight tasks that the database's own counts make even. The database is in files, closed and shared before it is read."""
+    url, driver = embedded.new_database(), embedded.DRIVER
     orders = table(spark, sf_dir, "orders").select(F.expr("CASE WHEN o_orderkey % 10 = 0 THEN o_orderkey * 1000003 ELSE o_orderkey END AS clave"), "o_orderkey")
-    orders.coalesce(4).write.format("jdbc").options(url=url, driver=driver, dbtable='"pedidos"').save()
+    TargetDatabase(url, driver).write(orders, "pedidos", Secrets())
+    url = embedded.sealed(spark, url)
     allowed = {"esquema": "", "tabla": "pedidos", "campos": ["clave", "o_orderkey"], "particion": {"columna": "clave", "particiones": 8}}
     catalog = load_catalog(json.dumps({"jdbc": [{"nombre": "db", "tipo": "jdbc", "url": url, "driver": driver, "allowlist": [allowed]}]}), inline=True)
     found = Executor(spark, catalog).run(compile_script("LIB CONNECT TO 'db'; p: SELECT clave, o_orderkey FROM pedidos;"))["p"]

@@ -7,10 +7,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..errors import FlowError
 from ..types import column
 from .catalog import Catalog, JdbcConnection, Secrets, expand, safe_for_sql
+from .embedded import IN_FILES, bulk_load, table_exists
 
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 MAX_IDENTIFIER = 128
@@ -204,7 +206,13 @@ class TargetDatabase:
         return {"url": expand(self.url), "driver": self.driver, "dbtable": name} | credentials(JdbcConnection("destino", self.url, self.driver, self.secret, {}), secrets)
 
     def write(self, df: DataFrame, table: str, secrets: Secrets) -> None:
-        df.write.format("jdbc").mode(self.mode).options(**self.options(table, secrets)).save()
+        """By the tasks' own connections; a database in files, which only the driver's JVM has open, takes the rows from files that tasks write."""
+        options = self.options(table, secrets)
+        if not IN_FILES.match(options["url"]):
+            df.write.format("jdbc").mode(self.mode).options(**options).save()
+        elif self.mode != "ignore" or not table_exists(df.sparkSession, options["url"], table):
+            df.filter(F.lit(False)).write.format("jdbc").mode(self.mode).options(**options).save()  # the table, by the driver
+            bulk_load(df, options["url"], self.schema, table)
 
 
 def table_name(target: str) -> str:
