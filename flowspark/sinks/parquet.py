@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import shutil
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -16,6 +17,9 @@ from .store import hadoop_path, remove
 
 LOCAL_ROOT = "/srv/flowspark/salida"
 MODES = {"append", "overwrite", "error", "errorifexists", "ignore"}
+#: Folders that a task writes side by side, with a row group in memory for each; rows of further folders are sorted by folder, which spills.
+OPEN_FOLDERS = 8
+CONCURRENT = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 @dataclass(frozen=True)
@@ -84,6 +88,18 @@ def prepare_local(path: str, config: OutputConfig) -> str:
     return "append"
 
 
+@contextlib.contextmanager
+def folders_side_by_side(spark: SparkSession):
+    """Tasks keep a file open for each folder instead of sorting all their rows by folder, which takes memory as the rows do."""
+    before = spark.conf.get(CONCURRENT)
+    if int(before) < OPEN_FOLDERS:
+        spark.conf.set(CONCURRENT, str(OPEN_FOLDERS))
+    try:
+        yield
+    finally:
+        spark.conf.set(CONCURRENT, before)
+
+
 def write_files(df: DataFrame, path: str, config: OutputConfig, mode: str, last: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
     """last: applied when rows are dealt out, so that what it observes is made by the tasks that write, once for each file."""
     spark, tables = df.sparkSession, []
@@ -97,7 +113,8 @@ def write_files(df: DataFrame, path: str, config: OutputConfig, mode: str, last:
     if config.partition_by:
         writer = writer.partitionBy(*config.partition_by)
     try:
-        writer.parquet(path)
+        with folders_side_by_side(spark):
+            writer.parquet(path)
     finally:
         for table in tables:
             remove(spark, table)

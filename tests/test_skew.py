@@ -182,3 +182,32 @@ def test_ranges_reach_the_scan(spark, tmp_path):
     old = spark.read.parquet(f"{tmp_path}/t").filter(within_ranges(spark.range(10, 20), ["id"]))
     plan = old._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(id,10)" in plan and "LessThanOrEqual(id,19)" in plan and old.count() == 10
+
+
+@pytest.mark.parametrize("folders", [6, 30])
+def test_folders_with_a_number_of_files(spark, tmp_path, folders):
+    """A task that writes a few folders doesn't hold its rows to sort them; more folders than are open at a time lose nothing."""
+
+    def written(n, name):
+        df = spark.range(n).select("id", (F.col("id") % folders).alias("g"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        told = write(spark, df, f"{tmp_path}/{name}", OutputConfig.of({"numero_particiones": 3, "columnas_reparticion": ["id"], "particionar_por": ["g"]}))
+        assert told["cantidad_archivos_parquet"] == 3 * folders
+        got = spark.read.parquet(f"{tmp_path}/{name}").select("id", F.col("g").cast("long"), "v")
+        assert got.count() == n and got.exceptAll(df).count() == 0
+
+    def most_memory(work):
+        store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+        stages = lambda: {(s.stageId(), s.attemptId()) for s in map(found().apply, range(found().size()))}
+        found = lambda: store.stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+        before = stages()
+        work()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        tasks = [t for stage in stages() - before for t in (lambda ts: map(ts.apply, range(ts.size())))(store.taskList(*stage, 10_000))]
+        return max(t.taskMetrics().get().peakExecutionMemory() for t in tasks if t.taskMetrics().isDefined())
+
+    conf = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    written(9_000, "t")
+    if folders < 8:
+        df = spark.range(300_000).select("id", (F.col("id") % folders).alias("g"))
+        assert most_memory(lambda: write(spark, df, f"{tmp_path}/m", OutputConfig.of({"numero_particiones": 3, "particionar_por": ["g"]}))) < 1 << 20
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == conf
