@@ -155,6 +155,9 @@ class Executor:
 
     def selected(self, df: DataFrame, items: tuple[Selected, ...]) -> DataFrame:
         out, names, made = [], df.columns, []
+        if not any(s.expression.kind == STAR for s in items):  # ranks may write their rows: only what is used
+            used = {c for s in items for c in s.expression.columns()}
+            df = df.select(*[column(c) for c in names if c in used]) if used and used <= set(names) else df
         for s in items:
             if s.expression.kind == STAR:
                 out += [column(c) for c in names]

@@ -211,3 +211,25 @@ def test_folders_with_a_number_of_files(spark, tmp_path, folders):
         df = spark.range(300_000).select("id", (F.col("id") % folders).alias("g"))
         assert most_memory(lambda: write(spark, df, f"{tmp_path}/m", OutputConfig.of({"numero_particiones": 3, "particionar_por": ["g"]}))) < 1 << 20
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == conf
+
+
+@pytest.mark.parametrize("mode", [1, 4])
+@pytest.mark.parametrize("partition", [[], ["g"], ["g", "x"]])
+def test_rank_where_nothing_can_be_broadcast(spark, monkeypatch, partition, mode):
+    monkeypatch.setattr("flowspark.operators.ranking.FEW", 0)
+    df = spark.createDataFrame(ties(400), "id long, g string, x int, y double")
+    order = [F.col(c) for c in ("x", "y", "id") if c not in partition][: None if mode == 4 else -1]
+    by = Window.partitionBy(*partition).orderBy(*[c.desc() for c in order])
+    got = distributed_rank(df, [F.col(c) for c in partition], order, True, mode, "r")
+    want = df.withColumn("r", (F.rank() if mode == 1 else F.row_number()).over(by))
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
+@pytest.mark.parametrize("mode", [1, 4])
+@pytest.mark.parametrize("partition", [[], ["g"]])
+def test_ranks_shuffle_rows_once_at_most(eight_parts, partition, mode):
+    """Few orders are looked up without a shuffle of the rows; row numbers take one sort."""
+    spark, n = eight_parts, 40_000
+    df = spark.range(n).select("id", (F.col("id") % 3).alias("g"), (F.col("id") * 7919 % (50 if mode == 1 else n)).alias("v"))
+    reads = largest_reads(spark, lambda: distributed_rank(df, [F.col(c) for c in partition], [F.col("v")], True, mode, "r").write.format("noop").mode("overwrite").save())
+    assert sum(total for _, total in reads) < (n / 4 if mode == 1 else 1.2 * n)
