@@ -53,6 +53,18 @@ def shuffles_end_with_the_job(spark: SparkSession):
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
 
 
+@contextlib.contextmanager
+def rows_at_a_time(spark: SparkSession, rows: int):
+    """Jobs that are run meanwhile send Python workers batches of at most so many rows."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def stash(df: DataFrame, name: str, compression: str = "zstd", by: str | None = None) -> DataFrame:
     """Cut the lineage: write df as Parquet in the shared folder (in a folder for each value of `by`) and read it back.
 

@@ -32,15 +32,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import coded_words, groups, of_worker, ranked, spread, stash, table
+from .common import coded_words, groups, of_worker, ranked, rows_at_a_time, spread, stash, table
 
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Words in a worker's memory; the cache starts anew beyond.
-CACHE_WORDS = 900_000
+CACHE_WORDS = 400_000
 #: Bytes of text, and of them new words, that are encoded together; the tokenizer's objects take some hundred bytes a word.
-TEXT_BYTES, WORDS_TOGETHER = 4_000_000, 16_384
+TEXT_BYTES, WORDS_TOGETHER = 2_000_000, 16_384
+#: Documents that a worker is sent at a time; both sides hold a batch beside their other memory.
+BATCH_ROWS = 1000
 #: Pieces of one length that are numbered together, about.
 CELL = 100_000
 #: Steps of the search, in nodes and in pieces tried for a filling.
@@ -431,7 +433,8 @@ def places(patterns: list[tuple[Filling, int]]) -> dict[int, tuple[np.ndarray, .
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, steps: int = STEPS, **options) -> DataFrame:
     """docs' pieces with sequence_id and offset; n_sequences and least_sequences (a lower bound) are the same in all rows."""
-    cut = stash(pieces(docs, capacity=capacity, **options), "pieces")
+    with rows_at_a_time(docs.sparkSession, BATCH_ROWS):
+        cut = stash(pieces(docs, capacity=capacity, **options), "pieces")
     counts = {int(r["length"]): int(r["n"]) for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `capacity` rows
     patterns, least = packed_lengths(counts, capacity, steps)
     runs = places(patterns)

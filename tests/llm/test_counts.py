@@ -224,3 +224,14 @@ def test_manifest_over_several_rounds(spark):
     other = found.withColumn("to", merkle.folded(merkle.leaf_of(F.col("doc_id"), F.concat("text", F.lit("!"))), F.col("proof")))
     assert other.filter("`to` = root").count() == 0
     merkle.free(found)
+
+
+def test_packing_sends_workers_small_batches(spark, monkeypatch):
+    from flowspark.llm import packing
+
+    setting, seen, kept = "spark.sql.execution.arrow.maxRecordsPerBatch", [], packing.stash
+    monkeypatch.setattr(packing, "stash", lambda df, name, **more: (seen.append(int(spark.conf.get(setting))), kept(df, name, **more))[1])
+    before = spark.conf.get(setting)
+    docs = spark.range(2_500, numPartitions=1).selectExpr("id AS doc_id", "concat('word ', id) AS text")
+    assert packing.pack(docs).count() == 2_500
+    assert seen == [packing.BATCH_ROWS] and packing.BATCH_ROWS < int(before) == int(spark.conf.get(setting))
