@@ -29,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ from .common import coded_words, groups, of_worker, ranked, rows_at_a_time, spre
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Words in a worker's memory; the cache starts anew beyond.
+#: Letter sequences in a worker's memory, and four times the other words; those not met for longest are forgotten beyond.
 CACHE_WORDS = 400_000
 #: Bytes of text, and of them new words, that are encoded together; the tokenizer's objects take some hundred bytes a word.
 TEXT_BYTES, WORDS_TOGETHER = 2_000_000, 16_384
@@ -57,24 +58,69 @@ SPLITS = [("Split", {"Regex": WORD_PATTERN}, "Removed", True, None, None), ("Byt
 # --- pieces -----------------------------------------------------------------------------------
 
 
+class Remembered:
+    """Values of words, about `most` at a time. What is asked for again lives on; what isn't while half as many others come is forgotten."""
+
+    def __init__(self, most: int):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.half = most // 2
+
+    def of(self, words: list[str], make) -> list[bytes]:
+        """The values of some distinct words; make gives those of a list of new ones."""
+        if len(self.young) + len(words) > self.half:
+            self.old, self.young = self.young, {}
+        found = list(map(self.young.get, words))
+        if missing := [w for w, v in zip(words, found, strict=True) if v is None]:
+            kept = list(map(self.old.get, missing))
+            self.young.update((w, v) for w, v in zip(missing, kept, strict=True) if v is not None)
+            if new := [w for w, v in zip(missing, kept, strict=True) if v is None]:
+                self.young.update(zip(new, make(new), strict=True))
+            found = list(map(self.young.__getitem__, words))
+        return found
+
+
+def gathered(ids: list[bytes], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the words with these codes, one after the other, and the number of ids up to the end of each."""
+    sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+    return repeated(np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(sizes) - sizes, sizes, codes)
+
+
+def repeated(ids: np.ndarray, first: np.ndarray, sizes: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for words whose ids begin at `first`."""
+    each = sizes[codes]
+    upto = np.cumsum(each)
+    at = np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(first[codes] - (upto - each), each)
+    return ids[at], upto
+
+
 class WordEncoder:
     """Ids of whole texts as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never joins what white space parts, so that a text's ids are
-    those of its space-separated parts, and repeated parts come from a cache. A part of letters and a run
-    of punctuation has the ids of its lower-cased letters, then of the run, which
-    come from a second cache. New entries are encoded many at a time, parted by spaces.
+    those of its space-separated parts. A part of letters and a run of punctuation has the ids of its
+    lower-cased letters (its core), then of the run; cores, runs and other parts are remembered. New ones are encoded many at a time,
+    parted by spaces. Cores of a to z need no normalizer and no split by patterns: a tokenizer with the same model goes
+    from space to space, and a word's last token tells that it is one, as the model marks the ends of words.
     """
 
     #: Letters whose lower case is one precomposed letter in any implementation, then punctuation that the tokenizer keeps together.
-    SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*&%$#]*)")
+    SIMPLE = r"^(?P<core>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<run>[.,;:!?*&%$#]*)$"
+    PLAIN = re.compile("[a-z]+")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[bytes, bytes] = {}
-        self.cores: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        model, end = spec["model"], spec["model"].get("end_of_word_suffix")
+        self.bare = None
+        if model.get("type") == "BPE" and end and not model.get("dropout") and all(c in model["vocab"] and c + end in model["vocab"] for c in "abcdefghijklmnopqrstuvwxyz"):
+            self.bare = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": [], "post_processor": None}))
+            self.ends = np.zeros(max(model["vocab"].values()) + 1, dtype=bool)
+            self.ends[[i for token, i in model["vocab"].items() if token.endswith(end)]] = True
+        self.cores, self.others = Remembered(CACHE_WORDS), Remembered(CACHE_WORDS // 4)
 
     def encoded(self, words: list[str], single: bool = False) -> list[bytes]:
         """The ids of each of some words without white space. single: each is one part to the tokenizer."""
@@ -91,51 +137,52 @@ class WordEncoder:
         else:
             first = np.cumsum([0, *[len(w) + 1 for w in words]])[:-1]
             owner = np.searchsorted(first, np.fromiter((o[0] for o in got.offsets), dtype=np.int64, count=len(got.ids)), side="right") - 1
-        ends = np.cumsum(np.bincount(owner, minlength=len(words)) * 4).tolist()
-        return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-
-    def learn(self, parts: list[bytes]) -> None:
-        if len(self.cores) > CACHE_WORDS // 3:
-            self.cores.clear()
-        match, cores, cache = self.SIMPLE.fullmatch, self.cores, self.cache
-        cores[""] = b""
-        simple, other, new = [], [], set()
-        for part in parts:
-            word = part.decode()
-            if m := match(word):
-                core, run = m.groups()
-                core = core.lower()
-                simple.append((part, core, run))
-                if core not in cores:
-                    new.add(core)
-                if run not in cores:
-                    new.add(run)
-            else:
-                other.append((part, word))
-        if new:
-            words = list(new)
-            cores.update(zip(words, self.encoded(words, single=True), strict=True))
-        for part, core, run in simple:
-            cache[part] = cores[core] + cores[run]
-        for (part, _), ids in zip(other, self.encoded([w for _, w in other]), strict=True):
-            self.cache[part] = ids
+        return parted(ids, np.cumsum(np.bincount(owner, minlength=len(words))))
+
+    def bare_cores(self, cores: list[str]) -> list[bytes]:
+        """The ids of some cores of a to z."""
+        out = []
+        for at in range(0, len(cores), WORDS_TOGETHER):
+            ids = np.array(self.bare.encode_batch_fast([" ".join(cores[at : at + WORDS_TOGETHER])], add_special_tokens=False)[0].ids, dtype="<u4")
+            out += parted(ids.tobytes(), np.flatnonzero(self.ends[ids]) + 1)
+        return out
+
+    def new_cores(self, cores: list[str]) -> list[bytes]:
+        plain = [self.bare is not None and self.PLAIN.fullmatch(c) is not None for c in cores]
+        quick = iter(self.bare_cores([c for c, p in zip(cores, plain, strict=True) if p]))
+        slow = iter(self.encoded([c.lower() for c, p in zip(cores, plain, strict=True) if not p], single=True))
+        return [next(quick if p else slow) for p in plain]
 
     def __call__(self, texts: pa.BinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each text's ids end."""
         distinct, codes, ends = coded_words(texts)
-        parts = distinct.to_pylist()
-        if len(self.cache) + len(parts) > CACHE_WORDS:
-            self.cache.clear()
-        ids = list(map(self.cache.get, parts))
-        if new := [part for part, known in zip(parts, ids, strict=True) if known is None]:
-            self.learn(new)
-            ids = list(map(self.cache.__getitem__, parts))
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        first = np.cumsum(sizes) - sizes
-        each = sizes[codes]
-        upto = np.cumsum(each)
-        at = np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(first[codes] - (upto - each), each)
-        return np.frombuffer(b"".join(ids), dtype="<u4")[at], np.concatenate([[0], upto])[ends]
+        words = pa.StringArray.from_buffers(len(distinct), *distinct.buffers()[1:], offset=distinct.offset)
+        found = pc.extract_regex(words, self.SIMPLE)
+        simple = found.is_valid().to_numpy(zero_copy_only=False)
+        found, other = found.filter(pa.array(simple)), words.filter(pa.array(~simple)).to_pylist()
+        cores, runs = pc.ascii_lower(found.field("core")).dictionary_encode(), found.field("run").dictionary_encode()
+        core_list, run_list = cores.dictionary.to_pylist(), runs.dictionary.to_pylist()
+        ids = self.cores.of(core_list, self.new_cores)
+        ids += self.others.of(other + [r for r in run_list if r], self.encoded)
+        # Of each distinct word: its core and run, or itself (and nothing), among ids.
+        places = {r: len(core_list) + len(other) + i for i, r in enumerate(r for r in run_list if r)}
+        ids.append(b"")
+        nothing = len(ids) - 1
+        pairs = np.full((len(distinct), 2), nothing, dtype=np.int64)
+        pairs[simple, 0] = cores.indices.to_numpy(zero_copy_only=False)
+        pairs[simple, 1] = np.array([places.get(r, nothing) for r in run_list], dtype=np.int64)[runs.indices.to_numpy(zero_copy_only=False)]
+        pairs[~simple, 0] = len(core_list) + np.arange(len(other))
+        flat, upto = gathered(ids, pairs.ravel())
+        stop = upto[1::2]
+        sizes = np.diff(stop, prepend=0)
+        flat, upto = repeated(flat, stop - sizes, sizes, codes)
+        return flat, np.concatenate([[0], upto])[ends]
+
+
+def parted(ids: bytes, ends: np.ndarray) -> list[bytes]:
+    """Pieces of 32-bit ids, up to each of the ends."""
+    at = (ends * 4).tolist()
+    return [ids[a:b] for a, b in zip([0, *at], at, strict=False)]
 
 
 class TextEncoder:

@@ -154,6 +154,25 @@ def check_packed(rows, capacity):
     return len(by_sequence)
 
 
+def test_packing_remembers_words_that_come_again(monkeypatch):
+    """Words of every text are encoded once, however many rare words come between them; ids are those of the tokenizer."""
+    from flowspark.llm import packing
+
+    monkeypatch.setattr(packing, "CACHE_WORDS", 400)
+    encoder, asked = WordEncoder(tokenizer_path()), []
+    for name in ("encoded", "new_cores"):
+        kept = getattr(encoder, name)
+        monkeypatch.setattr(encoder, name, lambda words, *a, kept=kept, **b: (asked.extend(words), kept(words, *a, **b))[1])
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rare = [f"{letters[i // 26]}q{letters[i % 26]}x" for i in range(600)]
+    texts = [" ".join(["Again", "again,", "naïve;", "42%", *rare[at : at + 60], "ÉTÉ."]) for at in range(0, 600, 60)]
+    for text in texts:
+        ids, _ = encoder(pa.array([text.encode()], pa.binary()))
+        assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert [asked.count(w) for w in ("again", rare[0], rare[-1], "42%")] == [1, 1, 1, 1]
+    assert len(encoder.cores.young) + len(encoder.cores.old) <= 400
+
+
 def test_packing_edge_cases(awkward, empty):
     rows = pack(awkward, capacity=64).collect()
     n = check_packed(rows, 64)
