@@ -35,8 +35,8 @@ LEAST_BITS, MOST_BITS = 12, 24
 CHUNK_BITS = 10
 #: Words that are used once in so many documents, or more often, are common; none with fewer uses than LEAST_COMMON is.
 DOCS_PER_USE, LEAST_COMMON = 400, 128
-#: The rarity class of hashes that are used once.
-ONCE = 5
+#: The rarity classes of hashes that are not used, and that are used once.
+UNUSED, ONCE = 4, 5
 PIVOTS = 8
 #: Where a line stands; earlier lines are less.
 PLACE = ["doc", "mark", "line_no"]
@@ -70,15 +70,29 @@ def rarity(docs: DataFrame, text: str) -> tuple[DataFrame, int, int]:
     bits = min(max((64 * max(n_docs, 1)).bit_length() - 1, LEAST_BITS), MOST_BITS)
     words = docs.select(F.explode(words_of(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))).alias("w"))
     used = words.select(F.xxhash64("w").bitwiseAND((1 << bits) - 1).cast("int").alias("h"), F.lit(1).cast("long").alias("n"))
-    unused = docs.sparkSession.range(1 << bits).select(F.col("id").cast("int").alias("h"), F.lit(0).cast("long").alias("n"))
+    # Of each chunk at least the first hash is there; filled() adds the others that no word has.
+    n_chunks = 1 << (bits - CHUNK_BITS)
+    unused = docs.sparkSession.range(n_chunks).select(F.shiftleft("id", CHUNK_BITS).cast("int").alias("h"), F.lit(0).cast("long").alias("n"))
     counts = used.unionAll(unused).groupBy("h").agg(F.sum("n").alias("n"))
     # Hash and class in one number, as numbers are sorted faster than structs.
     coded = F.shiftleft("h", 7).bitwiseOR(F.coalesce(F.least(magnitude(F.col("n")), F.lit(127)), F.lit(0)))
-    chunks = counts.groupBy(F.shiftright("h", CHUNK_BITS).alias("c")).agg(F.transform(F.sort_array(F.collect_list(coded)), lambda x: x.bitwiseAND(127).cast("tinyint")).alias("ks"))
+    chunks = counts.groupBy(F.shiftright("h", CHUNK_BITS).alias("c")).agg(filled(F.sort_array(F.collect_list(coded))).alias("ks"))
     uses = max(n_docs // DOCS_PER_USE, LEAST_COMMON)
     return stash(chunks, "rarity"), bits, min(4 * uses.bit_length() + (uses >> (uses.bit_length() - 3) & 3), 127)
 
 
+def filled(coded: Column) -> Column:
+    """The classes of a chunk's hashes in order, from the sorted numbers of those in use, of which the first hash is one."""
+    at = lambda x: F.shiftright(x, 7).bitwiseAND((1 << CHUNK_BITS) - 1)
+    others = lambda n: F.array_repeat(F.lit(UNUSED).cast("tinyint"), n)
+
+    def spaced(x: Column, following: Column) -> Column:
+        gap = F.when(following.isNull(), 1 << CHUNK_BITS).otherwise(at(following)) - at(x) - 1
+        return F.concat(F.array(x.bitwiseAND(127).cast("tinyint")), others(gap))
+
+    return bound(coded, lambda xs: F.flatten(F.transform(xs, lambda x, i: spaced(x, F.get(xs, i + 1)))))
+
+
 def lines_of(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
     # The place is made before lines are: beside them it would be hashed from the whole text for each line.
     bodies = docs.select(*place_of(docs, text, doc_id), plain(F.col(text)).alias("body"))
@@ -103,30 +117,22 @@ def prefixes(docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame
         k = F.coalesce(F.get("classes", h.bitwiseAND((1 << n_bits) - 1).cast("int")).cast("bigint"), F.lit(0).cast("bigint"))
         return F.shiftleft(k, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    def below(prefix: Column, k: int) -> Column:
+    def below(prefix: str, k: int) -> Column:
         return F.size(F.filter(prefix, lambda x: x < F.lit(k << 56)))
 
-    def coded(prefix: Column) -> Column:
-        once = below(prefix, ONCE + 1)
-        others = F.slice(prefix, once + 1, F.size(prefix))
-        return F.struct(once.alias("once"), below(prefix, common).alias("rare"), F.transform(others, lambda x: F.shiftright(x, 24).bitwiseAND(0x7FFFFFFF).cast("int")).alias("codes"))
-
-    def described(t: Column) -> Column:
-        n = F.size(t)
-        least = F.floor((n * percent + 99) / 100).cast("int")  # ceil(n * percent / 100)
-        # Even the set with one word more is too far from the smallest sets.
-        prefix = F.slice(t, 1, F.when(n * 100 >= (n + 1) * percent, n - least + 1).otherwise(0))
-        flip = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int"))
-        return F.struct(
-            n.alias("n"),
-            F.xxhash64(t).alias("k1"),
-            F.aggregate(t, F.lit(0).cast("bigint"), lambda a, h: a.bitwiseXOR(flip(h))).alias("bits"),
-            bound(prefix, coded).alias("p"),
-        )
-
     hashed = lines_of(docs, text, doc_id).filter(F.trim("line") != "").select(*PLACE, token_set(F.split("line", " ")).alias("h"))
     sets = hashed.withColumn("classes", classes).select(*PLACE, F.transform("h", ranked).alias("t"))
-    done = stash(sets.select(*PLACE, bound(F.sort_array("t"), described).alias("d")).select(*PLACE, "d.n", "d.k1", "d.bits", "d.p.*"), "prefixes")
+    # In steps and outside of lambdas, as sorting and hashing are compiled there.
+    n = F.size("t")
+    least = F.floor((n * percent + 99) / 100).cast("int")  # ceil(n * percent / 100)
+    # Even the set with one word more is too far from the smallest sets.
+    prefix = F.slice("t", 1, F.when(n * 100 >= (n + 1) * percent, n - least + 1).otherwise(0))
+    flip = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int"))
+    bits = F.aggregate("t", F.lit(0).cast("bigint"), lambda a, h: a.bitwiseXOR(flip(h)))
+    keyed = sets.withColumn("t", F.sort_array("t")).select(*PLACE, n.alias("n"), F.xxhash64("t").alias("k1"), bits.alias("bits"), prefix.alias("p"))
+    split = keyed.withColumns({"once": below("p", ONCE + 1), "rare": below("p", common)})
+    codes = F.transform(F.slice("p", F.col("once") + 1, F.size("p")), lambda x: F.shiftright(x, 24).bitwiseAND(0x7FFFFFFF).cast("int"))
+    done = stash(split.select(*PLACE, *SET, "once", "rare", codes.alias("codes")), "prefixes")
     drop_stash(chunks)
     return done
 

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowspark.llm.chat import escape, format_chats, read_back, under_mask, unescape
+from flowspark.llm.common import magnitude
 from flowspark.llm.linededup import drop_repeated_lines, matches
 from flowspark.llm.mixing import mix, plan_mix, targets
 from flowspark.llm.quality import bucket_floor, judged, measured, quality_filter, sketches, thresholds
@@ -211,3 +212,21 @@ def test_mix_edge_cases(awkward, empty):
     assert all(r["words"] == 0 for r in plan.collect() if not (r["doc"]["text"] or "").strip())
     assert mix(awkward).columns == awkward.columns
     assert mix(empty).count() == 0
+
+
+def test_rarity_table_has_every_hash_without_a_row_for_each(spark):
+    """Classes stand at their hashes, and one class where no word is; what is filled up comes from one row a chunk."""
+    from flowspark.llm.linededup import CHUNK_BITS, UNUSED, filled, rarity
+
+    docs = spark.createDataFrame([("a b a\nc",), ("a d",), (None,), ("",)], "text string")
+    chunks, bits, _ = rarity(docs, "text")
+    table = [k for row in chunks.orderBy("c").collect() for k in row["ks"]]
+    words = ["a", "b", "a", "c", "a", "d", ""]
+    hashes = [r[0] for r in spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64("w").bitwiseAND((1 << bits) - 1)).collect()]
+    used = {h: hashes.count(h) for h in hashes}
+    classes = spark.createDataFrame(list(used.items()), "h long, n long").select("h", magnitude(F.col("n"))).collect()
+    assert len(table) == 1 << bits and {h: k for h, k in enumerate(table) if k != UNUSED} == {r[0]: r[1] for r in classes}
+    coded = [0, 3 << 7 | 9, ((1 << CHUNK_BITS) - 1) << 7 | 5]
+    for used in (coded, coded[:2], coded[:1]):
+        got = spark.createDataFrame([(used,)], "xs array<int>").select(filled(F.col("xs"))).first()[0]
+        assert len(got) == 1 << CHUNK_BITS and {i: k for i, k in enumerate(got) if k != UNUSED} == {x >> 7: x & 127 for x in used}
