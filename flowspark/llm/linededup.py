@@ -7,13 +7,15 @@ the symmetric difference), and are verified on the full sets. A line that matche
 doc_id, then a hash of the text, then line number) is removed.
 
 Lines with equal sets are one class, of which the earliest line is compared. Sets so small that only an equal one can reach the
-threshold (up to three words at 80 percent) are classes too, but have no prefix words; nor are words joined that the corpus holds once.
+threshold (up to three words at 80 percent) are classes too, but have no prefix words.
 Common prefix words come from families of near-copies; there each line is first compared with the `PIVOTS` earliest lines of its
 length that share the word, and only pairs with a line that found no earlier match go on to the join of all lines. So families don't
-make all their pairs, and no line loses its match. Common words are joined within classes of like length, rare ones alone.
+make all their pairs, and no line loses its match. There a pair is met by its shorter line: as the longer one has as many words, or more, the
+shorter one's share of a common word lies among fewer of its rarest words than its own prefix has (a ninth of them instead of a fifth, at 80
+percent). Words with some uses are joined within classes of like length, rare ones alone.
 
 Rarity is kept as a quarter-power-of-two class for each hash of words, in a table that grows with the number of documents up to
-2**`MOST_BITS` bytes; any fixed order gives the same matches, a good one fewer candidates.
+2**`MOST_BITS` bytes, and is small enough for a processor's cache; any fixed order gives the same matches, a good one fewer candidates.
 
 Defined cases: a null text has no lines and stays null; lines without words are kept; a document that
 loses all its words is dropped by `drop_repeated_lines`; a null doc_id counts as the least id; ids that aren't whole numbers are sorted as strings; rows with equal ids and different texts are
@@ -30,18 +32,25 @@ from .common import WORD, drop_stash, id_of, magnitude, stash, table
 from .quality import bound
 
 PERCENT = 80
-#: The rarity table has 2**LEAST_BITS hashes at least and 2**MOST_BITS at most, and else 32 to 64 for each document.
+#: The rarity table has 2**LEAST_BITS hashes at least and 2**MOST_BITS at most, and else 4 to 8 for each document.
 LEAST_BITS, MOST_BITS = 12, 24
 CHUNK_BITS = 10
 #: Words that are used once in so many documents, or more often, are common; none with fewer uses than LEAST_COMMON is.
 DOCS_PER_USE, LEAST_COMMON = 400, 128
-#: The rarity classes of hashes that are not used, and that are used once.
-UNUSED, ONCE = 4, 5
+#: Words with so many uses are joined within classes of like length.
+SOME_USES = 128
+#: A code has the kind of its word (few uses, some, common), its rarity among these, and bits of its hash.
+CODE_BITS, RARITIES = 24, 32
+SOME, COMMON = (kind * RARITIES << CODE_BITS for kind in (1, 2))
+#: The rarity class of hashes that are not used.
+UNUSED = 4
 PIVOTS = 8
+#: Documents of which single lines are asked for are found by a broadcast list where it has at most so many, and one for so many different lines.
+MOST_ASKED, LINES_PER_ASKED = 1 << 19, 128
 #: Where a line stands; earlier lines are less.
 PLACE = ["doc", "mark", "line_no"]
 #: What equal sets share: their size, a 64-bit hash and 64 parities.
-SET = ["n", "k1", "bits"]
+SET = ["k1", "n", "bits"]  # the hash first, by which rows are sorted at once
 
 
 def words_of(line: Column) -> Column:
@@ -50,10 +59,12 @@ def words_of(line: Column) -> Column:
 
 
 def plain(text: Column) -> Column:
-    out = F.lower(text)
-    for other in "\t\x0b\x0c\r":  # much faster than translate()
+    lowered = out = F.lower(text)
+    some = F.lit(False)
+    for other in "\t\x0b\x0c\r":  # much faster than translate(); most texts have none, which contains() tells much faster than replace()
+        some = some | F.contains(text, F.lit(other))
         out = F.replace(out, F.lit(other), F.lit(" "))
-    return out
+    return F.when(some, out).otherwise(lowered)
 
 
 def token_set(words: Column) -> Column:
@@ -67,8 +78,9 @@ def rarity(docs: DataFrame, text: str) -> tuple[DataFrame, int, int]:
     Common is what is used often for the number of documents, so that their share of the rows is the same at every size.
     """
     n_docs = docs.count()
-    bits = min(max((64 * max(n_docs, 1)).bit_length() - 1, LEAST_BITS), MOST_BITS)
-    words = docs.select(F.explode(words_of(F.replace(F.col(text), F.lit("\n"), F.lit(" ")))).alias("w"))
+    bits = min(max((8 * max(n_docs, 1)).bit_length() - 1, LEAST_BITS), MOST_BITS)
+    lines = docs.select(F.explode(F.split(plain(F.col(text)), "\n")).alias("line"))
+    words = lines.select(F.explode(F.split("line", " ")).alias("w"))
     used = words.select(F.xxhash64("w").bitwiseAND((1 << bits) - 1).cast("int").alias("h"), F.lit(1).cast("long").alias("n"))
     # Of each chunk at least the first hash is there; filled() adds the others that no word has.
     n_chunks = 1 << (bits - CHUNK_BITS)
@@ -77,8 +89,12 @@ def rarity(docs: DataFrame, text: str) -> tuple[DataFrame, int, int]:
     # Hash and class in one number, as numbers are sorted faster than structs.
     coded = F.shiftleft("h", 7).bitwiseOR(F.coalesce(F.least(magnitude(F.col("n")), F.lit(127)), F.lit(0)))
     chunks = counts.groupBy(F.shiftright("h", CHUNK_BITS).alias("c")).agg(filled(F.sort_array(F.collect_list(coded))).alias("ks"))
-    uses = max(n_docs // DOCS_PER_USE, LEAST_COMMON)
-    return stash(chunks, "rarity"), bits, min(4 * uses.bit_length() + (uses >> (uses.bit_length() - 3) & 3), 127)
+    return stash(chunks, "rarity"), bits, min(class_of(max(n_docs // DOCS_PER_USE, LEAST_COMMON)), 127)
+
+
+def class_of(uses: int) -> int:
+    """magnitude() of a number of four or more."""
+    return 4 * uses.bit_length() + (uses >> (uses.bit_length() - 3) & 3)
 
 
 def filled(coded: Column) -> Column:
@@ -105,24 +121,21 @@ def place_of(docs: DataFrame, text: str, doc_id: str) -> list[Column]:
 
 
 def prefixes(docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
-    """One row for each line with words: its place, n, k1 and bits (its words' parities), which are the set's key, once, rare and codes.
-
-    The first `once` of the prefix words, rarest first, occur once; codes are 31-bit hashes of the others; the first `rare` of them all are not common.
-    """
+    """One row for each line with words: its place, n, k1 and bits (its words' parities), which are the set's key, and the codes of its prefix words, rarest first."""
     chunks, n_bits, common = rarity(docs, text)
-    classes = chunks.select(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("c", "ks"))), lambda x: x["ks"])).alias("ks")).scalar()
+    kinds = chunks.select("c", F.transform("ks", lambda k: kind_of(k, common)).alias("ks"))
+    classes = kinds.select(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("c", "ks"))), lambda x: x["ks"])).alias("ks")).scalar()
 
     def ranked(h: Column) -> Column:
         # Class first (as the highest bits), then the hash; never null, so that numbers are sorted as such.
-        k = F.coalesce(F.get("classes", h.bitwiseAND((1 << n_bits) - 1).cast("int")).cast("bigint"), F.lit(0).cast("bigint"))
+        k = F.coalesce(F.get("classes", h.bitwiseAND((1 << n_bits) - 1)), F.lit(0).cast("tinyint")).cast("bigint")
         return F.shiftleft(k, 56).bitwiseOR(F.shiftrightunsigned(h, 8))
 
-    def below(prefix: str, k: int) -> Column:
-        return F.size(F.filter(prefix, lambda x: x < F.lit(k << 56)))
-
-    hashed = lines_of(docs, text, doc_id).filter(F.trim("line") != "").select(*PLACE, token_set(F.split("line", " ")).alias("h"))
-    sets = hashed.withColumn("classes", classes).select(*PLACE, F.transform("h", ranked).alias("t"))
-    # In steps and outside of lambdas, as sorting and hashing are compiled there.
+    lines = lines_of(docs, text, doc_id).filter(F.trim("line") != "").withColumn("classes", classes)
+    hashes = F.array_remove(F.transform(F.split("line", " "), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))
+    # In steps and neither in lambdas nor below them, as distinct values, sorting and hashing are compiled there.
+    # `classes` is used once: a column with two uses would be copied, all of it, for each line.
+    sets = lines.select(*PLACE, F.array_distinct(F.transform(hashes, ranked)).alias("t"))
     n = F.size("t")
     least = F.floor((n * percent + 99) / 100).cast("int")  # ceil(n * percent / 100)
     # Even the set with one word more is too far from the smallest sets.
@@ -130,44 +143,58 @@ def prefixes(docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame
     flip = lambda h: F.call_function("shiftleft", F.lit(1).cast("bigint"), h.bitwiseAND(63).cast("int"))
     bits = F.aggregate("t", F.lit(0).cast("bigint"), lambda a, h: a.bitwiseXOR(flip(h)))
     keyed = sets.withColumn("t", F.sort_array("t")).select(*PLACE, n.alias("n"), F.xxhash64("t").alias("k1"), bits.alias("bits"), prefix.alias("p"))
-    split = keyed.withColumns({"once": below("p", ONCE + 1), "rare": below("p", common)})
-    codes = F.transform(F.slice("p", F.col("once") + 1, F.size("p")), lambda x: F.shiftright(x, 24).bitwiseAND(0x7FFFFFFF).cast("int"))
-    done = stash(split.select(*PLACE, *SET, "once", "rare", codes.alias("codes")), "prefixes")
+    codes = F.transform("p", lambda x: F.shiftright(x, 56 - CODE_BITS).cast("int"))
+    done = stash(keyed.select(*PLACE, *SET, codes.alias("codes")), "prefixes")
     drop_stash(chunks)
     return done
 
 
+def kind_of(k: Column, common: int) -> Column:
+    """The kind and rarity of the words of a class, in one small number that grows with the class."""
+    some = class_of(SOME_USES)
+    among = lambda kind, least: F.lit(kind * RARITIES) + F.least(k - least, F.lit(RARITIES - 1))
+    return F.when(k >= common, among(2, common)).when(k >= some, among(1, some)).otherwise(among(0, UNUSED)).cast("tinyint")
+
+
 def length_class(n: Column, percent: int) -> Column:
     """Lines at the threshold are in the same or neighbouring classes."""
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
 
 
-def prefix_rows(reps: DataFrame, percent: int, open_: Column, *carry: str) -> DataFrame:
-    """One row for each prefix word that others may have too: key, id, bits and what (n, at, guest and open in one number, as rows are many).
+def of_shorter(reps: DataFrame, percent: int) -> DataFrame:
+    """reps with those codes only by which a line meets its matches that have as many words, or more."""
+    # With m >= n words there, 100 * shared >= percent * (n + m - shared) asks for 2 * percent * n / (100 + percent) shared words at least.
+    most = F.col("n") - F.floor((F.col("n") * 2 * percent + 99 + percent) / (100 + percent)).cast("int") + 1
+    return reps.withColumn("codes", F.slice("codes", 1, most))
 
-    The key is the word's code and, for common words, the class of the line's length, with a second row, as a guest, for the class above.
+
+def prefix_rows(reps: DataFrame, percent: int, open_: Column, *carry: str, least: int = 0, guests: bool = True) -> DataFrame:
+    """One row for each prefix word with a code of `least` or more: key, id, bits and what (n, at, guest and open in one number, as rows are many).
+
+    The key is the word's code and, for words with some uses, the class of the line's length, with a second row, as a guest (if asked for), for the class above.
     """
-    rows = reps.select("id", "n", "bits", "once", "rare", open_.alias("open"), *carry, F.posexplode("codes").alias("at", "code")).withColumn("at", F.col("at") + F.col("once"))
-    is_common = F.col("at") >= F.col("rare")
-    rows = rows.withColumn("guest", F.explode(F.when(is_common, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
-    group = F.when(is_common, length_class(F.col("n"), percent) + F.col("guest") + 1).otherwise(0).cast("bigint")
+    rows = reps.select("id", "n", "bits", open_.alias("open"), *carry, F.posexplode("codes").alias("at", "code")).filter(F.col("code") >= least)
+    by_length = F.col("code") >= SOME
+    one = F.array(F.lit(0))
+    rows = rows.withColumn("guest", F.explode(F.when(by_length, F.array(F.lit(0), F.lit(1))).otherwise(one)) if guests else F.lit(0))
+    group = F.when(by_length, length_class(F.col("n"), percent) + F.col("guest") + 1).otherwise(0).cast("bigint")
     what = F.shiftleft(F.col("n").cast("bigint"), 32) + F.col("at") * 4 + F.col("guest") * 2 + F.col("open")
     return rows.select(F.shiftleft(group, 32).bitwiseOR(F.col("code").cast("bigint")).alias("key"), "id", "bits", what.alias("what"), *carry)
 
 
-def partners(x: DataFrame, y: DataFrame, percent: int, also: Column) -> DataFrame:
-    """id and to_id of prefix rows of x and y that share a word, of which one is open, and that pass all filters.
+def n_of(side: str) -> Column:
+    """The number of words of a prefix row's line."""
+    return F.shiftright(f"{side}.what", 32)
 
-    x and y may be one plan, which is then shuffled once: no condition is on x alone.
-    """
-    n = lambda r: F.shiftright(f"{r}.what", 32)
+
+def partners(x: DataFrame, y: DataFrame, percent: int, also: Column) -> DataFrame:
+    """id and to_id of prefix rows of x and y that share a word, of which one is open, and that pass all filters."""
     at = lambda r: F.shiftright(F.col(f"{r}.what").bitwiseAND(0xFFFFFFFF), 2)
-    a, b = n("x"), n("y")
-    # The least overlap: ceil(percent * (a + b) / (100 + percent)).
-    overlap = F.expr(f"({percent} * (shiftright(x.what, 32) + shiftright(y.what, 32)) + {99 + percent}) div {100 + percent}")
-    reach = F.least(a - at("x"), b - at("y"))
+    a, b = n_of("x"), n_of("y")
+    # Matches share percent * (a + b) / (100 + percent) words at least; multiplied out, as divisions are slow.
+    reach = F.least(a - at("x"), b - at("y")) * (100 + percent) >= (a + b) * percent
     differ = F.bit_count(F.col("x.bits").bitwiseXOR(F.col("y.bits")))
-    close = (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (reach >= overlap) & (differ <= a + b - 2 * overlap)
+    close = (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & reach & (differ * (100 + percent) <= (a + b) * (100 - percent))
     flags = (F.col("x.what").bitwiseAND(F.col("y.what")).bitwiseAND(2) == 0) & (F.col("x.what").bitwiseOR(F.col("y.what")).bitwiseAND(1) == 1)
     return x.alias("x").join(y.alias("y"), (F.col("x.key") == F.col("y.key")) & also & flags & close).select(F.col("x.id").alias("id"), F.col("y.id").alias("to_id")).distinct()
 
@@ -176,26 +203,26 @@ def verified(pairs: DataFrame, reps: DataFrame, docs: DataFrame, text: str, doc_
     """id and match (a place): of each line with an earlier match among pairs, the earliest of them."""
     ids = pairs.select("id").union(pairs.select("to_id")).distinct()
     asked = reps.select("id", *PLACE).join(ids, "id", "left_semi").groupBy("doc", "mark").agg(F.collect_list(F.struct("line_no", "id")).alias("wanted"))
+    asked = stash(asked, "asked")
+    few = asked.count() <= min(reps.count() // LINES_PER_ASKED, MOST_ASKED)
     body = docs.select(*place_of(docs, text, doc_id), F.col(text).alias("text"))
-    taken = lambda ls: F.transform("wanted", lambda w: F.struct(w["id"].alias("id"), w["line_no"].alias("line_no"), token_set(F.split(F.get(ls, w["line_no"]), " ")).alias("t")))
-    found = body.join(asked, ["doc", "mark"]).select("doc", "mark", F.explode(bound(F.split(plain(F.col("text")), "\n"), taken)).alias("x"))
-    found = found.select("x.id", F.struct("doc", "mark", "x.line_no").alias("place"), "x.t")
-    sets = stash(found.dropDuplicates(["id"]), "line-sets")  # a document may be given twice
+    taken = lambda ls: F.transform("wanted", lambda w: F.struct(w["id"].alias("id"), w["line_no"].alias("line_no"), token_set(words_of(F.get(ls, w["line_no"]))).alias("t")))
+    found = body.join(F.broadcast(asked) if few else asked, ["doc", "mark"]).dropDuplicates(["doc", "mark"])  # a document may be given twice
+    found = found.select("doc", "mark", F.explode(bound(F.split("text", "\n"), taken)).alias("x"))
+    sets = stash(found.select("x.id", F.struct("doc", "mark", "x.line_no").alias("place"), "x.t"), "line-sets")
     one = sets.select("id", F.struct("place", "id").alias("p"), "t")
     other = sets.select(F.col("id").alias("to_id"), F.struct("place", "id").alias("q"), F.col("t").alias("u"))
-    shared = F.size(F.array_intersect("t", "u"))
-    good = pairs.join(one, "id").join(other, "to_id").filter(shared * 100 >= (F.size("t") + F.size("u") - shared) * percent)
+    # 100 * shared >= percent * (t + u - shared), so written that the sets are intersected once.
+    good = pairs.join(one, "id").join(other, "to_id").filter(F.size(F.array_intersect("t", "u")) * (100 + percent) >= (F.size("t") + F.size("u")) * percent)
     directed = good.select(F.greatest("p", "q").alias("later"), F.least("p", "q")["place"].alias("earlier"))
     done = stash(directed.groupBy("later.id").agg(F.min("earlier").alias("match")), "matches")
-    drop_stash(sets)
+    drop_stash(asked, sets)
     return done
 
 
 def matched_classes(reps: DataFrame, docs: DataFrame, text: str, doc_id: str, percent: int) -> DataFrame:
     """id and match of the classes (one row of reps each) whose first line matches an earlier line."""
-    start = F.greatest("once", "rare")
-    only_common = reps.withColumns({"codes": F.slice("codes", start - F.col("once") + 1, F.size("codes")), "once": start}).filter(F.size("codes") > 0)
-    common = prefix_rows(only_common, percent, F.lit(1), "doc")
+    common = prefix_rows(reps, percent, F.lit(1), "doc", least=COMMON)
     order = Window.partitionBy("key").orderBy("doc", "id")
     pivots = stash(common.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= PIVOTS).drop("k"), "pivots")
     near = stash(partners(common, pivots, percent, (F.col("x.id") != F.col("y.id")) & (F.col("x.doc") >= F.col("y.doc"))), "pairs")
@@ -204,8 +231,9 @@ def matched_classes(reps: DataFrame, docs: DataFrame, text: str, doc_id: str, pe
     drop_stash(near)
 
     decided = early.select("id", F.lit(0).alias("decided"))
-    rows = prefix_rows(reps.join(decided, "id", "left"), percent, F.coalesce("decided", F.lit(1)))
-    rest = stash(partners(rows, rows, percent, F.col("x.id") < F.col("y.id")), "pairs")
+    told, open_ = reps.join(decided, "id", "left"), F.coalesce("decided", F.lit(1))
+    shorter, longer = prefix_rows(of_shorter(told, percent), percent, open_), prefix_rows(told, percent, open_, guests=False)
+    rest = stash(partners(shorter, longer, percent, (n_of("x") < n_of("y")) | (n_of("x") == n_of("y")) & (F.col("x.id") < F.col("y.id"))), "pairs")
     late = verified(rest, reps, docs, text, doc_id, percent)
     drop_stash(rest)
     done = stash(early.unionByName(late).groupBy("id").agg(F.min("match").alias("match")), "matches")
@@ -217,7 +245,7 @@ def matches(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent
     """doc, mark, line_no, match (a place): a row for each line that matches an earlier one."""
     every = prefixes(docs, text, doc_id, percent)
     # The least place brings the other columns along; equal sets have equal ones.
-    firsts = every.groupBy(*SET).agg(F.min(F.struct(*PLACE, "once", "rare", "codes")).alias("first"), F.count(F.lit(1)).alias("uses"))
+    firsts = every.groupBy(*SET).agg(F.min(F.struct(*PLACE, "codes")).alias("first"), F.count(F.lit(1)).alias("uses"))
     reps = stash(firsts.select(F.monotonically_increasing_id().alias("id"), *SET, "uses", "first.*"), "reps")
     found = matched_classes(reps, docs, text, doc_id, percent)
 

@@ -230,3 +230,40 @@ def test_rarity_table_has_every_hash_without_a_row_for_each(spark):
     for used in (coded, coded[:2], coded[:1]):
         got = spark.createDataFrame([(used,)], "xs array<int>").select(filled(F.col("xs"))).first()[0]
         assert len(got) == 1 << CHUNK_BITS and {i: k for i, k in enumerate(got) if k != UNUSED} == {x >> 7: x & 127 for x in used}
+
+
+def test_rarity_table_fits_a_cache(spark):
+    """At most 8 hashes for each document, where there are more than the table's least size has."""
+    from flowspark.llm.linededup import rarity
+
+    docs = spark.range(4000).select(F.concat_ws(" ", F.lit("w"), "id").alias("text"))
+    chunks, bits, _ = rarity(docs, "text")
+    assert 4000 * 4 <= 1 << bits <= 4000 * 8
+    assert chunks.selectExpr("sum(size(ks))").first()[0] == 1 << bits
+
+
+def test_pairs_are_met_by_few_rare_words_of_the_shorter_line(spark):
+    """One of nine words of the shorter line, not one of five; words with some uses are joined in classes of like length, and no pair is lost."""
+    from flowspark.llm.linededup import SOME_USES, of_shorter, prefixes
+
+    rnd = random.Random(8)
+    rows = []
+    for i in range(4 * SOME_USES):
+        n = rnd.randint(9, 45)
+        line = [f"t{j}" for j in range(n)] if i % 2 else [f"r{rnd.randrange(300)}" for _ in range(n)]
+        for _ in range(rnd.choice([0, 0, 1, 3])):
+            line[rnd.randrange(n)] = f"u{rnd.randrange(40)}"
+        rows.append((i, " ".join(line)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for n, few, all_ in of_shorter(prefixes(docs, "text", "doc_id", 80).withColumn("all", F.size("codes")), 80).select("n", F.size("codes"), "all").collect():
+        assert all_ == n - -(-80 * n // 100) + 1 and few == n - -(-160 * n // 180) + 1 and (few < all_ or n < 10)
+    assert found_lines(matches(docs)).keys() == brute_lines(rows).keys()
+
+
+def test_white_space_in_few_texts(spark):
+    """Tabs and the like part words wherever they are, in upper case and in other scripts too."""
+    from flowspark.llm.linededup import plain
+
+    texts = ["A b\tC", "a\rb\nc", "\x0bA\x0c", "\u00c9\tx", "\u039f\u03a3\n\u03a3", "plain", "", None]
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(plain(F.col("t"))).collect()]
+    assert got == [t if t is None else "".join(" " if c in "\t\r\x0b\x0c" else c for c in t.lower()) for t in texts]
